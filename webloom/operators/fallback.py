@@ -1,0 +1,127 @@
+"""Tree-based fallback for pages a regular pattern cannot pair up.
+
+Only rows flagged by ``functions.html.needs_tree_parse`` (nested lists or
+tables) come here.  ``mapInPandas`` streams them in Arrow batches to a small
+stdlib ``html.parser`` tree builder; each row is parsed on its own, and a row
+that fails yields empty values plus a ``parse_error`` text, never a failed task.
+"""
+
+from __future__ import annotations
+
+from html.parser import HTMLParser
+
+from pyspark.sql import DataFrame
+
+TREE_SCHEMA = ("page_id LONG, tables ARRAY<ARRAY<ARRAY<STRING>>>, "
+               "lists STRUCT<ul: ARRAY<STRING>, ol: ARRAY<STRING>>, parse_error STRING")
+
+# fixed values: elements without content, and elements a new sibling closes
+VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta",
+        "source", "track", "wbr"}
+SKIP = {"script", "style", "template"}
+IMPLIED_END = {"li": {"li"}, "tr": {"tr"}, "td": {"td", "th"}, "th": {"td", "th"},
+               "p": {"p"}, "option": {"option"}}
+
+
+class _Node:
+    __slots__ = ("tag", "children", "parent")
+
+    def __init__(self, tag, parent):
+        self.tag, self.children, self.parent = tag, [], parent
+
+
+class _Builder(HTMLParser):
+    def __init__(self):
+        super().__init__(convert_charrefs=True)
+        self.root = _Node("#root", None)
+        self.cur = self.root
+
+    def handle_starttag(self, tag, attrs):
+        ends = IMPLIED_END.get(tag)
+        if ends and self.cur.tag in ends:
+            self.cur = self.cur.parent
+        node = _Node(tag, self.cur)
+        self.cur.children.append(node)
+        if tag not in VOID:
+            self.cur = node
+
+    def handle_endtag(self, tag):
+        n = self.cur
+        while n is not None and n.tag != tag:
+            n = n.parent
+        if n is not None and n.parent is not None:
+            self.cur = n.parent
+
+    def handle_data(self, data):
+        if self.cur.tag not in SKIP:
+            self.cur.children.append(data)
+
+
+def _strings(node):
+    for ch in node.children:
+        if isinstance(ch, str):
+            yield ch
+        else:
+            yield from _strings(ch)
+
+
+def _text(node) -> str:
+    return "".join(s.strip() for s in _strings(node) if s.strip())
+
+
+def _find_all(node, tags, recursive=True):
+    for ch in node.children:
+        if isinstance(ch, _Node):
+            if ch.tag in tags:
+                yield ch
+            if recursive:
+                yield from _find_all(ch, tags, True)
+
+
+def parse_tree(html: str):
+    """(tables, lists) with the semantics of the regex path, for nested markup."""
+    b = _Builder()
+    b.feed(html or "")
+    b.close()
+    tables = []
+    for t in _find_all(b.root, {"table"}):
+        rows = []
+        for tr in _find_all(t, {"tr"}):
+            cells = [_text(td) for td in _find_all(tr, {"td", "th"})]
+            if cells:
+                rows.append(cells)
+        if rows:
+            tables.append(rows)
+    lists = {}
+    for kind in ("ul", "ol"):
+        items = []
+        for lst in _find_all(b.root, {kind}):
+            for li in _find_all(lst, {"li"}, recursive=False):
+                s = _text(li)
+                if s:
+                    items.append(s)
+        lists[kind] = items
+    return tables, lists
+
+
+def _map(batches):
+    import pandas as pd
+    for pdf in batches:
+        out_t, out_l, out_e = [], [], []
+        for h in pdf["html"]:
+            try:
+                t, lst = parse_tree(h)
+                out_t.append(t)
+                out_l.append(lst)
+                out_e.append(None)
+            except Exception as e:  # X10: keep the row, record the failure
+                out_t.append([])
+                out_l.append({"ul": [], "ol": []})
+                out_e.append(f"{type(e).__name__}: {e}")
+        yield pd.DataFrame({"page_id": pdf["page_id"], "tables": out_t, "lists": out_l,
+                            "parse_error": out_e})
+
+
+def tree_extract(pages: DataFrame) -> DataFrame:
+    """``mapInPandas`` over (page_id, html); one output row per input row."""
+    return pages.select("page_id", "html").mapInPandas(_map, TREE_SCHEMA)

@@ -1,0 +1,20 @@
+"""Join helpers: broadcast only behind a proven size bound."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+DEFAULT_MAX_BROADCAST_ROWS = 200_000
+
+
+def row_count_at_most(df: DataFrame, max_rows: int) -> bool:
+    """Exact bound check that stops early: reads at most ``max_rows + 1`` rows."""
+    return df.limit(max_rows + 1).count() <= max_rows
+
+
+def broadcast_if_small(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
+    """Broadcast hint only when the row count is proven ``<= max_rows``;
+    otherwise the planner keeps a shuffle join (AQE may still switch at runtime
+    from measured sizes)."""
+    return F.broadcast(df) if row_count_at_most(df, max_rows) else df
