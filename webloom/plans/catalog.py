@@ -390,3 +390,123 @@ SELECT event_id, url, attempt, elapsed_s,
 FROM attempts""")
 def w3_adaptive_timeouts(spark, sf):
     return R.adaptive_timeouts(_attempts(spark, sf))
+
+
+# ==== W4–W9 =====================================================================
+# Fixture parameters for the derived log (failures are 1–2 per domain and day):
+# breaker window 1 day, threshold 3, cooldown 12 h; limiter defaults otherwise.
+BREAKER = dict(threshold=3, window_s=86_400.0, cooldown_s=43_200.0)
+# outcome-level failures are rarer than raw rows (most retried requests end in
+# success), so the outage fixture uses a wider window and a lower threshold
+BREAKER_W7 = dict(threshold=2, window_s=3 * 86_400.0, cooldown_s=86_400.0)
+_CAP = 60.0 / (1.0 / 5.0 + 0.5)
+
+_W4_SQL = f"""{OUTCOMES_CTE},
+b AS (SELECT *, count(*) OVER (PARTITION BY domain ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING) AS cnt FROM outcomes),
+c AS (SELECT *, cnt - coalesce(max(CASE WHEN error_type IS NULL THEN cnt END) OVER (PARTITION BY domain ORDER BY ts, event_id
+              ROWS UNBOUNDED PRECEDING), 0) AS k FROM b),
+w4 AS (SELECT event_id, domain, ts, error_type, CAST(k AS INTEGER) AS fails_since_success,
+              round(CASE WHEN k = 0 THEN 1.0 ELSE least(pow(2.0, k), {_CAP!r}) END, 6) AS backoff_multiplier FROM c)"""
+
+
+@query("w4_backoff_multiplier", f"WITH {_W4_SQL} SELECT * FROM w4")
+def w4_backoff_multiplier(spark, sf):
+    from ..operators.politeness import backoff
+    return backoff(_outcomes(spark, sf))
+
+
+@query("w5_rate_compliance", f"""WITH {_W4_SQL},
+p AS (SELECT *, lag(ts) OVER (PARTITION BY domain ORDER BY ts, event_id) AS prev_ts,
+             lag(backoff_multiplier) OVER (PARTITION BY domain ORDER BY ts, event_id) AS prev_m FROM w4),
+q AS (SELECT event_id, domain, ts, round((epoch_us(ts) - epoch_us(prev_ts)) / 1e6, 6) AS gap_s,
+             round(least(0.5 * coalesce(prev_m, 1.0), 60.0), 6) AS required_gap_s FROM p)
+SELECT *, coalesce(gap_s >= required_gap_s, true) AS rate_ok, 1.0 AS crawl_delay,
+       coalesce(gap_s >= 1.0, true) AS delay_ok FROM q""")
+def w5_rate_compliance(spark, sf):
+    from ..operators.politeness import rate_compliance
+    return rate_compliance(_outcomes(spark, sf))
+
+
+@query("w5_rate_compliance_global", f"""WITH {_W4_SQL},
+p AS (SELECT *, lag(ts) OVER (ORDER BY ts, event_id) AS prev_ts,
+             lag(backoff_multiplier) OVER (ORDER BY ts, event_id) AS prev_m FROM w4),
+q AS (SELECT event_id, domain, ts, round((epoch_us(ts) - epoch_us(prev_ts)) / 1e6, 6) AS gap_s,
+             round(least(0.5 * coalesce(prev_m, 1.0), 60.0), 6) AS required_gap_s FROM p)
+SELECT *, coalesce(gap_s >= required_gap_s, true) AS rate_ok, 1.0 AS crawl_delay,
+       coalesce(gap_s >= 1.0, true) AS delay_ok FROM q""")
+def w5_rate_compliance_global(spark, sf):
+    """Global limiter mode; the multiplier is still the per-domain one of W4."""
+    from ..operators.politeness import rate_compliance
+    return rate_compliance(_outcomes(spark, sf), per_domain=False)
+
+
+@query("w6_rolling_failures", f"""WITH {OUTCOMES_CTE},
+x AS (SELECT event_id, domain, ts, coalesce(error_type IS NOT NULL AND error_type <> 'PermanentError', false) AS counting,
+             epoch_us(ts) AS us FROM outcomes)
+SELECT event_id, domain, ts, counting,
+       count(*) FILTER (WHERE counting) OVER (PARTITION BY domain ORDER BY us
+            RANGE BETWEEN {int(BREAKER['window_s'] * 1e6)} PRECEDING AND CURRENT ROW)
+       - coalesce(count(*) FILTER (WHERE counting) OVER (PARTITION BY domain, us ORDER BY event_id
+            ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING), 0) AS failures_in_window
+FROM x""")
+def w6_rolling_failures(spark, sf):
+    from ..operators.politeness import rolling_failures
+    return rolling_failures(_outcomes(spark, sf), BREAKER["window_s"])
+
+
+@query("w7_outages", None)
+def w7_outages(spark, sf):
+    from ..operators.outages import outages
+    return outages(_outcomes(spark, sf), **BREAKER_W7)
+
+
+@query("w7_blocked_flags", None)
+def w7_blocked_flags(spark, sf):
+    from ..operators.outages import flag_blocked, outages
+    o = _outcomes(spark, sf)
+    return flag_blocked(o, outages(o, **BREAKER_W7))
+
+
+def _w8_sql(per_domain: bool) -> str:
+    part = "PARTITION BY domain" if per_domain else ""
+    key = "domain" if per_domain else "'*' AS domain"
+    grp = "GROUP BY domain" if per_domain else ""
+    lim = 5 if per_domain else 10
+    return f"""WITH {ATTEMPTS_CTE},
+iv AS (SELECT domain, url, run, request_no, min(epoch_us(ts)) AS start_us,
+              max(epoch_us(ts) + CAST(round(elapsed_s * 1e6) AS BIGINT)) AS end_us, min(event_id) AS req_id
+       FROM attempts GROUP BY domain, url, run, request_no),
+ev AS (SELECT domain, req_id, start_us AS t, 1 AS delta FROM iv
+       UNION ALL SELECT domain, req_id, end_us AS t, -1 AS delta FROM iv),
+a AS (SELECT *, sum(delta) OVER ({part} ORDER BY t, delta, req_id ROWS UNBOUNDED PRECEDING) AS active FROM ev)
+SELECT {key}, max(active) AS peak_active, make_timestamp(arg_max(t, (active, -t))) AS peak_at,
+       count(*) FILTER (WHERE delta = 1 AND active > {lim}) AS over_limit_starts, min(active) AS min_active
+FROM a {grp}"""
+
+
+@query("w8_concurrency_domains", _w8_sql(True))
+def w8_concurrency_domains(spark, sf):
+    from ..operators.politeness import concurrency_profile
+    return concurrency_profile(_attempts(spark, sf))
+
+
+@query("w8_concurrency_global", _w8_sql(False))
+def w8_concurrency_global(spark, sf):
+    from ..operators.politeness import concurrency_profile
+    return concurrency_profile(_attempts(spark, sf), per_domain=False)
+
+
+@query("w9_latest_per_domain", f"""WITH {OUTCOMES_CTE}
+SELECT event_id, domain, url, ts, status, CAST(rank AS INTEGER) AS rank
+FROM (SELECT *, row_number() OVER (PARTITION BY domain ORDER BY ts DESC, event_id DESC) AS rank FROM outcomes)
+WHERE rank <= 3""")
+def w9_latest_per_domain(spark, sf):
+    from ..operators.politeness import latest_per_domain
+    return latest_per_domain(_outcomes(spark, sf))
+
+
+@query("w9_latest_overall", f"""WITH {OUTCOMES_CTE}
+SELECT event_id, domain, url, ts, status FROM outcomes ORDER BY ts DESC, event_id DESC LIMIT 3""")
+def w9_latest_overall(spark, sf):
+    from ..operators.politeness import latest
+    return latest(_outcomes(spark, sf).select("event_id", "domain", "url", "ts", "status"))
