@@ -510,3 +510,284 @@ SELECT event_id, domain, url, ts, status FROM outcomes ORDER BY ts DESC, event_i
 def w9_latest_overall(spark, sf):
     from ..operators.politeness import latest
     return latest(_outcomes(spark, sf).select("event_id", "domain", "url", "ts", "status"))
+
+
+# ==== S5 / J1–J9 =================================================================
+from ..functions.html import WS_CHARS  # noqa: E402
+from ..operators import frontier as D  # noqa: E402
+from ..operators import robots as RB  # noqa: E402
+from ..sources import robots as RS  # noqa: E402
+
+USER_AGENT = "AsyncCrawler/1.0"
+_WS = lit(WS_CHARS)
+
+
+def _page_hosts(spark, sf):
+    return (T.pages(spark, sf, with_html=False).select(U.netloc("url").alias("domain"))
+            .filter(F.col("domain") != "").distinct())
+
+
+def _all_hosts(spark, sf):
+    return _page_hosts(spark, sf).unionByName(_log(spark, sf).select("domain")).distinct()
+
+
+_PAGE_HOSTS_SQL = f"SELECT DISTINCT {U.netloc_sql('url')} AS domain FROM pages WHERE {U.netloc_sql('url')} <> ''"
+_ALL_HOSTS_SQL = f"{_PAGE_HOSTS_SQL} UNION SELECT DISTINCT domain FROM fetch_log"
+
+
+def robots_sql(hosts_sql: str, user_agent: str = USER_AGENT) -> str:
+    token = lit(user_agent.split("/")[0].lower())
+    return f"""robots AS ({RS.robots_fixture_sql(hosts_sql)}),
+rl AS (SELECT domain, u.raw, CAST(u.line_no AS INTEGER) AS line_no FROM robots,
+       LATERAL (SELECT unnest(string_split_regex(content, {lit(RS.LINE_SPLIT_RE)})) AS raw,
+                       generate_subscripts(string_split_regex(content, {lit(RS.LINE_SPLIT_RE)}), 1) - 1 AS line_no) u),
+rl2 AS (SELECT *, trim(split_part(raw, '#', 1), {_WS}) AS body FROM rl),
+rl3 AS (SELECT *, lower(trim(split_part(body, ':', 1), {_WS})) AS key,
+               trim(substr(body, strpos(body, ':') + 1), {_WS}) AS value FROM rl2),
+rl4 AS (SELECT *, CASE WHEN raw = '' THEN 'B'
+                       WHEN strpos(body, ':') > 0 AND key = 'user-agent' THEN 'U'
+                       WHEN strpos(body, ':') > 0 AND key IN ('allow', 'disallow') THEN 'R' ELSE 'O' END AS kind FROM rl3),
+rl5 AS (SELECT *, last_value(CASE WHEN kind <> 'O' THEN kind END IGNORE NULLS) OVER
+                   (PARTITION BY domain ORDER BY line_no ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS prev_sig,
+                  last_value(CASE WHEN kind IN ('B', 'U') THEN kind END IGNORE NULLS) OVER
+                   (PARTITION BY domain ORDER BY line_no ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS prev_bu
+        FROM rl4),
+rl6 AS (SELECT *, CAST(sum(CASE WHEN kind = 'U' AND coalesce(prev_sig <> 'U', true) THEN 1 ELSE 0 END) OVER
+                   (PARTITION BY domain ORDER BY line_no ROWS UNBOUNDED PRECEDING) AS INTEGER) AS group_no,
+                  kind = 'R' AND coalesce(prev_bu = 'U', false) AS accepted FROM rl5),
+rrules AS (SELECT domain, group_no, line_no AS rule_no, (key = 'allow' OR value = '') AS allow, value AS path
+           FROM rl6 WHERE accepted),
+ragents AS (SELECT domain, group_no, list(value ORDER BY line_no) AS agents FROM rl6 WHERE kind = 'U'
+            GROUP BY domain, group_no),
+rg0 AS (SELECT a.*, list_contains(agents, '*') AS star FROM ragents a
+        WHERE EXISTS (SELECT 1 FROM rrules r WHERE r.domain = a.domain AND r.group_no = a.group_no)),
+rg1 AS (SELECT *, star AND group_no = min(CASE WHEN star THEN group_no END) OVER (PARTITION BY domain) AS is_default
+        FROM rg0),
+rgroups AS (SELECT domain, group_no, agents, is_default FROM rg1 WHERE NOT star OR is_default),
+rchosen AS (SELECT domain, coalesce(
+                min(group_no) FILTER (WHERE NOT is_default AND len(list_filter(agents, lambda a: strpos({token}, lower(a)) > 0)) > 0),
+                min(group_no) FILTER (WHERE is_default)) AS group_no
+            FROM rgroups GROUP BY domain),
+grules AS (SELECT r.* FROM rrules r JOIN rchosen c ON r.domain = c.domain AND r.group_no = c.group_no)"""
+
+
+def _url_path_sql(u: str) -> str:
+    rest = f"regexp_extract({u}, {lit(RB.PATH_RE)}, 1)"
+    return f"CASE WHEN {rest} = '' THEN '/' ELSE {rest} END"
+
+
+_J6_SQL = f"""WITH {robots_sql(_PAGE_HOSTS_SQL)},
+uu AS (SELECT page_id, url, {U.netloc_sql('url')} AS d, {_url_path_sql('url')} AS p FROM pages),
+mm AS (SELECT uu.page_id, arg_min(r.allow, r.rule_no) AS allow FROM uu
+       JOIN grules r ON r.domain = uu.d AND (r.path = '*' OR starts_with(uu.p, r.path)) GROUP BY uu.page_id),
+j6 AS (SELECT uu.page_id, uu.url, coalesce(mm.allow, true) AS allowed FROM uu LEFT JOIN mm ON uu.page_id = mm.page_id)"""
+
+
+def _robots_df(spark, sf, hosts):
+    return RS.robots_fixture(hosts)
+
+
+@query("s5_robots_rules", f"""WITH {robots_sql(_PAGE_HOSTS_SQL)}
+SELECT r.domain, r.group_no, array_to_string(g.agents, '|') AS agents, g.is_default, r.rule_no, r.allow, r.path
+FROM rrules r JOIN rgroups g ON r.domain = g.domain AND r.group_no = g.group_no""")
+def s5_robots_rules(spark, sf):
+    groups, rules = RS.robots_groups_and_rules(RS.robots_fixture(_page_hosts(spark, sf)))
+    return rules.join(groups, ["domain", "group_no"]).select(
+        "domain", "group_no", F.array_join("agents", "|").alias("agents"), "is_default", "rule_no", "allow", "path")
+
+
+@query("j6_robots_allow", f"{_J6_SQL} SELECT * FROM j6")
+def j6_robots_allow(spark, sf):
+    p = T.pages(spark, sf, with_html=False)
+    robots = RS.robots_fixture(_page_hosts(spark, sf))
+    return RB.allow_urls(p, robots, USER_AGENT, id_col="page_id").select("page_id", "url", "allowed")
+
+
+@query("j7_blocked_by_robots", f"""{_J6_SQL}
+SELECT {U.netloc_sql('url')} AS domain, count(*) FILTER (WHERE NOT allowed) AS blocked_by_robots, count(*) AS checked
+FROM j6 GROUP BY 1""")
+def j7_blocked_by_robots(spark, sf):
+    return RB.blocked_counts(j6_robots_allow(spark, sf))
+
+
+@query("j8_crawl_delay", f"""WITH {LOG_CTE}, {robots_sql(_ALL_HOSTS_SQL)},
+hosts AS ({_ALL_HOSTS_SQL}),
+cl AS (SELECT domain, line_no, trim(raw, {_WS}) AS s FROM rl),
+cd AS (SELECT domain, arg_min(v, line_no) AS crawl_delay FROM
+         (SELECT domain, line_no, TRY_CAST(trim(substr(s, 13), {_WS}) AS DOUBLE) AS v FROM cl
+          WHERE starts_with(lower(s), 'crawl-delay:')) WHERE v > 0 GROUP BY domain)
+SELECT h.domain, coalesce(cd.crawl_delay, 1.0) AS crawl_delay FROM hosts h LEFT JOIN cd ON h.domain = cd.domain""")
+def j8_crawl_delay(spark, sf):
+    hosts = _all_hosts(spark, sf)
+    return RB.domain_delays(hosts, RS.robots_fixture(hosts))
+
+
+@query("j1_scoped_links", f"""WITH {LINKS_CTE}
+SELECT page_id, pos, src_url, dst_url FROM (
+  SELECT page_id, CAST(row_number() OVER (PARTITION BY page_id ORDER BY pos) - 1 AS INTEGER) AS pos, src_url, dst_url
+  FROM links WHERE {U.norm_domain_sql('dst_url')} = {U.norm_domain_sql('src_url')}
+                OR {U.norm_domain_sql('dst_url')} IN ('example.com'))""")
+def j1_scoped_links(spark, sf):
+    """filter_external=True with an allow-list: the page's own domain plus the list."""
+    return L.link_table(_pages(spark, sf), filter_external=True, allowed_domains=["example.com"])
+
+
+_SEEDS_SQL = f"SELECT url, page_id AS seed_ord FROM pages WHERE strpos({_url_path_sql('url')}, '/en/') = 1"
+
+
+def _seeds(spark, sf):
+    p = T.pages(spark, sf, with_html=False)
+    return p.filter(RB.url_path_key("url").startswith("/en/")).select("url", F.col("page_id").alias("seed_ord"))
+
+
+@query("j2_same_domain_links", f"""WITH {LINKS_CTE}, seeds AS ({_SEEDS_SQL})
+SELECT page_id, pos, src_url, dst_url FROM links
+WHERE {U.netloc_sql('dst_url')} IN (SELECT {U.netloc_sql('url')} FROM seeds WHERE {U.netloc_sql('url')} <> '')""")
+def j2_same_domain_links(spark, sf):
+    lk = L.link_table(_pages(spark, sf))
+    return L.same_domain_as_seeds(lk, _seeds(spark, sf), url_col="dst_url")
+
+
+EXCLUDE = ["/the", "/of"]
+INCLUDE = ["/a", "/e"]
+
+
+@query("j3_exclude_patterns", f"""WITH {LINKS_CTE}
+SELECT page_id, pos, src_url, dst_url FROM links
+WHERE NOT ({' OR '.join(f"contains(dst_url, {lit(p)})" for p in EXCLUDE)})""")
+def j3_exclude_patterns(spark, sf):
+    return L.apply_patterns(L.link_table(_pages(spark, sf)), "dst_url", exclude=EXCLUDE)
+
+
+@query("j4_include_patterns", f"""WITH {LINKS_CTE}
+SELECT page_id, pos, src_url, dst_url FROM links
+WHERE NOT ({' OR '.join(f"contains(dst_url, {lit(p)})" for p in EXCLUDE)})
+  AND ({' OR '.join(f"contains(dst_url, {lit(p)})" for p in INCLUDE)})""")
+def j4_include_patterns(spark, sf):
+    return L.apply_patterns(L.link_table(_pages(spark, sf)), "dst_url", exclude=EXCLUDE, include=INCLUDE)
+
+
+@query("j5_unseen_links", f"""WITH {LINKS_CTE}
+SELECT DISTINCT dst_url AS url FROM links WHERE dst_url NOT IN (SELECT url FROM pages)""")
+def j5_unseen_links(spark, sf):
+    lk = L.link_table(_pages(spark, sf)).select(F.col("dst_url").alias("url")).distinct()
+    return L.not_yet_seen(lk, T.pages(spark, sf, with_html=False))
+
+
+@query("j9_outcome_per_page", f"""WITH {OUTCOMES_CTE},
+lastout AS (SELECT url, arg_max(status, (ts, event_id)) AS status, arg_max(error_type, (ts, event_id)) AS error_type,
+                   max(ts) AS fetched_at FROM outcomes GROUP BY url)
+SELECT p.page_id, p.url, CAST(length(p.html) AS INTEGER) AS html_chars, l.status, l.error_type, l.fetched_at
+FROM pages p LEFT JOIN lastout l ON p.url = l.url""")
+def j9_outcome_per_page(spark, sf):
+    o = _outcomes(spark, sf)
+    last = o.groupBy("url").agg(F.max_by("status", F.struct("ts", "event_id")).alias("status"),
+                                F.max_by("error_type", F.struct("ts", "event_id")).alias("error_type"),
+                                F.max("ts").alias("fetched_at"))
+    p = T.pages(spark, sf)
+    return p.join(last, "url", "left").select("page_id", "url", F.length("html").alias("html_chars"),
+                                              "status", "error_type", "fetched_at")
+
+
+# ==== D2–D5 =====================================================================
+MAX_DEPTH = 2
+
+
+def _page_edges(spark, sf):
+    return L.link_table(_pages(spark, sf)).select("src_url", "dst_url", "pos")
+
+
+def _scope(spark, sf):
+    seeds = _seeds(spark, sf)
+
+    def f(cand):
+        c = L.same_domain_as_seeds(cand, seeds, url_col="url")
+        return L.apply_patterns(c, "url", exclude=["/admin", "/private"])
+    return f
+
+
+@query("d2_enqueue_dedup", f"""WITH {LINKS_CTE}, seeds AS ({_SEEDS_SQL}),
+offers AS (SELECT url, 0 AS depth, 0 AS priority FROM seeds
+           UNION ALL SELECT l.dst_url AS url, 1 AS depth, 1 AS priority FROM links l JOIN seeds s ON l.src_url = s.url)
+SELECT url, min(depth) AS depth, min(priority) AS priority, count(*) AS offers FROM offers GROUP BY url""")
+def d2_enqueue_dedup(spark, sf):
+    seeds = _seeds(spark, sf)
+    lk = L.link_table(_pages(spark, sf)).join(seeds.select(F.col("url").alias("src_url")), "src_url", "left_semi")
+    offers = (seeds.select("url", F.lit(0).alias("depth"), F.lit(0).alias("priority"))
+              .unionByName(lk.select(F.col("dst_url").alias("url"), F.lit(1).alias("depth"), F.lit(1).alias("priority"))))
+    return D.enqueue_dedup(offers)
+
+
+_REACH_PAGES_SQL = f"""WITH RECURSIVE {LINKS_CTE}, seeds AS ({_SEEDS_SQL}),
+sd AS (SELECT DISTINCT {U.netloc_sql('url')} AS d FROM seeds WHERE {U.netloc_sql('url')} <> ''),
+edges AS (SELECT src_url, dst_url, pos FROM links
+          WHERE {U.netloc_sql('dst_url')} IN (SELECT d FROM sd)
+            AND NOT (contains(dst_url, '/admin') OR contains(dst_url, '/private'))),
+r(url, depth, path) AS (SELECT url, 0, [CAST(seed_ord AS INTEGER)] FROM seeds
+     UNION SELECT e.dst_url, r.depth + 1, list_append(r.path, CAST(e.pos AS INTEGER)) FROM r JOIN edges e ON e.src_url = r.url
+     WHERE r.depth < {MAX_DEPTH}),
+md AS (SELECT url, min(depth) AS depth FROM r GROUP BY url),
+reach AS (SELECT md.url, CAST(md.depth AS INTEGER) AS depth, CAST(CASE WHEN md.depth = 0 THEN 0 ELSE 1 END AS INTEGER) AS priority,
+                 min(r.path) AS path
+          FROM md JOIN r ON r.url = md.url AND r.depth = md.depth GROUP BY md.url, md.depth)"""
+
+
+def _reach_pages(spark, sf):
+    return D.reach(_seeds(spark, sf), _page_edges(spark, sf), MAX_DEPTH, link_filter=_scope(spark, sf))
+
+
+@query("d3_reach_pages", f"{_REACH_PAGES_SQL} SELECT url, depth, priority FROM reach")
+def d3_reach_pages(spark, sf):
+    return _reach_pages(spark, sf).select("url", "depth", "priority")
+
+
+@query("d4_page_budget", f"""{_REACH_PAGES_SQL}
+SELECT url, depth, priority, array_to_string(path, ',') AS path
+FROM (SELECT *, row_number() OVER (ORDER BY priority, depth, path, url) AS rk FROM reach) WHERE rk <= 100""")
+def d4_page_budget(spark, sf):
+    b = D.budget(_reach_pages(spark, sf), 100)
+    return b.select("url", "depth", "priority", F.array_join("path", ",").alias("path"))
+
+
+@query("d5_frontier_counts", f"""{_REACH_PAGES_SQL},
+top AS (SELECT url FROM reach WHERE depth <= {MAX_DEPTH} ORDER BY priority, depth, path, url LIMIT 100),
+st AS (SELECT r.url, CASE WHEN r.depth > {MAX_DEPTH} THEN 'dropped_depth'
+                          WHEN t.url IS NOT NULL AND r.url IN (SELECT url FROM pages) THEN 'processed'
+                          WHEN t.url IS NOT NULL THEN 'failed' ELSE 'pending' END AS state
+       FROM reach r LEFT JOIN top t ON r.url = t.url)
+SELECT count(*) AS total_added, count(*) FILTER (WHERE state = 'processed') AS processed,
+       count(*) FILTER (WHERE state = 'failed') AS failed, count(*) FILTER (WHERE state = 'pending') AS pending,
+       count(*) FILTER (WHERE state = 'dropped_depth') AS dropped_depth,
+       count(*) FILTER (WHERE state IN ('processed', 'failed')) AS visited FROM st""")
+def d5_frontier_counts(spark, sf):
+    r = _reach_pages(spark, sf)
+    return D.state_counts(D.url_states(r, T.pages(spark, sf, with_html=False), MAX_DEPTH, 100))
+
+
+# lineitem as a deep graph: part <-> supplier, seeds = suppliers of one nation
+_PARTS_EDGES_SQL = """edges AS (SELECT DISTINCT 'p' || CAST(l_partkey AS VARCHAR) AS src_url, 's' || CAST(l_suppkey AS VARCHAR) AS dst_url FROM lineitem
+          UNION SELECT DISTINCT 's' || CAST(l_suppkey AS VARCHAR), 'p' || CAST(l_partkey AS VARCHAR) FROM lineitem)"""
+PARTS_DEPTH = 4
+SEED_NATION = 'NATION_7'
+
+
+@query("d3_reach_parts", f"""WITH RECURSIVE {_PARTS_EDGES_SQL},
+seeds AS (SELECT 's' || CAST(s_suppkey AS VARCHAR) AS url FROM supplier JOIN nation ON s_nationkey = n_nationkey
+          WHERE n_name = 'NATION_7'),
+r(url, depth) AS (SELECT url, 0 FROM seeds UNION SELECT e.dst_url, r.depth + 1 FROM r JOIN edges e ON e.src_url = r.url
+                  WHERE r.depth < {PARTS_DEPTH})
+SELECT url, CAST(min(depth) AS INTEGER) AS depth FROM r GROUP BY url""")
+def d3_reach_parts(spark, sf):
+    from ..session import read_table
+    li = read_table(spark, sf, "lineitem").select("l_partkey", "l_suppkey").distinct()
+    p = F.concat(F.lit("p"), F.col("l_partkey").cast("string"))
+    s = F.concat(F.lit("s"), F.col("l_suppkey").cast("string"))
+    edges = (li.select(p.alias("src_url"), s.alias("dst_url"))
+             .unionByName(li.select(s.alias("src_url"), p.alias("dst_url")))
+             .withColumn("pos", F.lit(0)))
+    sup = read_table(spark, sf, "supplier").select("s_suppkey", "s_nationkey")
+    nat = read_table(spark, sf, "nation").filter(F.col("n_name") == SEED_NATION).select("n_nationkey")
+    seeds = (sup.join(nat, sup["s_nationkey"] == nat["n_nationkey"], "left_semi")
+             .select(F.concat(F.lit("s"), F.col("s_suppkey").cast("string")).alias("url"),
+                     F.col("s_suppkey").alias("seed_ord")))
+    return D.reach(seeds, edges, PARTS_DEPTH).select("url", "depth")
