@@ -791,3 +791,78 @@ def d3_reach_parts(spark, sf):
              .select(F.concat(F.lit("s"), F.col("s_suppkey").cast("string")).alias("url"),
                      F.col("s_suppkey").alias("seed_ord")))
     return D.reach(seeds, edges, PARTS_DEPTH).select("url", "depth")
+
+
+# ==== S6 / S7 / D6 ===============================================================
+from ..sources import sitemaps as SM  # noqa: E402
+
+_X_ESC = "replace(replace(replace(url, '&', '&amp;'), '<', '&lt;'), '>', '&gt;')"
+_SITEMAP_FIXTURE_SQL = f"""sp AS (SELECT page_id, url, {U.netloc_sql('url')} AS host FROM pages WHERE {U.netloc_sql('url')} <> ''),
+leaf AS (SELECT host, 'https://' || host || '/sitemap-0.xml' AS sitemap_url,
+                {lit(SM.URLSET_HEAD)} || string_agg('<url><loc>' || {_X_ESC} || '</loc></url>', '' ORDER BY page_id) || '</urlset>' AS xml,
+                regexp_extract(host, {lit(r'\.([^.]+)$')}, 1) AS tld
+         FROM sp GROUP BY host),
+mid AS (SELECT 'https://sitemaps.example/' || tld || '-index-0.xml' AS sitemap_url,
+               {lit(SM.INDEX_HEAD)} || string_agg('<sitemap><loc>' || sitemap_url || '</loc></sitemap>', '' ORDER BY sitemap_url)
+               || '<sitemap><loc>{SM.TOP_SITEMAP}</loc></sitemap></sitemapindex>' AS xml
+        FROM leaf GROUP BY tld),
+sitemaps AS (SELECT sitemap_url, xml FROM leaf UNION ALL SELECT sitemap_url, xml FROM mid
+             UNION ALL SELECT '{SM.TOP_SITEMAP}',
+                 {lit(SM.INDEX_HEAD)} || string_agg('<sitemap><loc>' || sitemap_url || '</loc></sitemap>', '' ORDER BY sitemap_url)
+                 || '</sitemapindex>' FROM mid)"""
+
+
+def _sitemaps(spark, sf):
+    return SM.sitemap_fixture(T.pages(spark, sf, with_html=False))
+
+
+@query("s6_sitemap_fixture", f"WITH {_SITEMAP_FIXTURE_SQL} SELECT sitemap_url, xml FROM sitemaps")
+def s6_sitemap_fixture(spark, sf):
+    return _sitemaps(spark, sf)
+
+
+def _locs_sql(x: str) -> str:
+    ent = "t"
+    for a, b in SM.XML_ENTITIES:
+        ent = f"replace({ent}, {lit(a)}, {lit(b)})"
+    return (f"CASE WHEN regexp_matches({x}, {lit(r'(?s)</(urlset|sitemapindex)\s*>')}) "
+            f"AND strpos({x}, {lit('xmlns=\"' + SM.SITEMAP_NS + '\"')}) > 0 "
+            f"THEN list_filter(list_transform(regexp_extract_all({x}, {lit(SM.LOC_RE)}, 1), lambda t: {ent}), "
+            f"lambda t: t <> '') ELSE []::VARCHAR[] END")
+
+
+def _expand_sql(levels: int = 4) -> str:
+    """Level-by-level expansion unrolled (same rule as the Spark loop)."""
+    parts = [f"""docs AS (SELECT sitemap_url, strpos(lower(xml), '<sitemapindex') > 0 AS is_index, {_locs_sql('xml')} AS locs
+                 FROM sitemaps),
+f0 AS (SELECT '{SM.TOP_SITEMAP}' AS root, '{SM.TOP_SITEMAP}' AS sitemap_url, []::INTEGER[] AS path),
+v0 AS (SELECT root, sitemap_url FROM f0)"""]
+    leaves = []
+    for i in range(levels):
+        parts.append(f"""k{i} AS (SELECT f.root, f.sitemap_url AS via, d.is_index,
+                      list_append(f.path, CAST(u.p - 1 AS INTEGER)) AS path, u.loc
+               FROM f{i} f JOIN docs d ON f.sitemap_url = d.sitemap_url,
+               LATERAL (SELECT unnest(d.locs) AS loc, generate_subscripts(d.locs, 1) AS p) u),
+f{i + 1} AS (SELECT root, loc AS sitemap_url, min(path) AS path FROM k{i} WHERE is_index
+             AND (root, loc) NOT IN (SELECT (root, sitemap_url) FROM v{i}) GROUP BY root, loc),
+v{i + 1} AS (SELECT root, sitemap_url FROM v{i} UNION ALL SELECT root, sitemap_url FROM f{i + 1})""")
+        leaves.append(f"SELECT root, via, path, loc AS url FROM k{i} WHERE NOT is_index")
+    parts.append("leaves AS (" + " UNION ALL ".join(leaves) + ")")
+    return ",\n".join(parts)
+
+
+@query("s6_sitemap_expand", f"""WITH {_SITEMAP_FIXTURE_SQL}, {_expand_sql()}
+SELECT root, CAST(rk - 1 AS INTEGER) AS pos, url, via FROM
+  (SELECT *, row_number() OVER (PARTITION BY root ORDER BY path, url) AS rk FROM leaves) WHERE rk <= {SM.MAX_URLS_TREE}""")
+def s6_sitemap_expand(spark, sf):
+    roots = spark.range(1).select(F.lit(SM.TOP_SITEMAP).alias("root"))
+    return SM.expand(_sitemaps(spark, sf), roots).select("root", F.col("pos").cast("int").alias("pos"), "url", "via")
+
+
+@query("s7_flat_locs", f"""WITH {_SITEMAP_FIXTURE_SQL}
+SELECT sitemap_url, CAST(u.p - 1 AS INTEGER) AS pos, u.url FROM sitemaps,
+  LATERAL (SELECT unnest(regexp_extract_all(xml, {lit(SM.FLAT_LOC_RE)}, 1)) AS url,
+                  generate_subscripts(regexp_extract_all(xml, {lit(SM.FLAT_LOC_RE)}, 1), 1) AS p) u
+WHERE u.p - 1 < {SM.MAX_URLS_FLAT}""")
+def s7_flat_locs(spark, sf):
+    return SM.flat_locs(_sitemaps(spark, sf))
