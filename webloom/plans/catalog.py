@@ -372,7 +372,8 @@ y AS (SELECT x.*, coalesce(p.class_max, 3) AS cmax, coalesce(p.class_factor, 2.0
       FROM x LEFT JOIN {_POLICY_VALUES} ON x.first_error = p.pe)
 SELECT event_id, url, ts, attempt, run, request_no, error_type, first_error,
        CAST(cmax AS INTEGER) AS class_max, CAST(cf AS DOUBLE) AS class_factor,
-       CASE WHEN NOT ok AND attempt < cmax THEN pow(cf, attempt) ELSE 0.0 END AS expected_delay_s,
+       CASE WHEN NOT ok AND error_type IN ('TransientError', 'NetworkError', 'RateLimitError') AND attempt < cmax
+            THEN pow(cf, attempt) ELSE 0.0 END AS expected_delay_s,
        attempt > cmax + 1 AS over_limit,
        (epoch_us(ts) - epoch_us(prev_ts)) / 1e6 AS observed_gap_s
 FROM y""")
@@ -866,3 +867,157 @@ SELECT sitemap_url, CAST(u.p - 1 AS INTEGER) AS pos, u.url FROM sitemaps,
 WHERE u.p - 1 < {SM.MAX_URLS_FLAT}""")
 def s7_flat_locs(spark, sf):
     return SM.flat_locs(_sitemaps(spark, sf))
+
+
+# ==== K1–K8 =====================================================================
+from ..sinks import records as K  # noqa: E402
+
+
+def _records(spark, sf):
+    return K.page_records_to_crawl_records(X.page_records(_pages(spark, sf)))
+
+
+_META_JSON = f"to_json(MAP {{'description': {H.meta_content_sql('c', 'description')}, 'keywords': {H.meta_content_sql('c', 'keywords')}}})::VARCHAR"
+_HEAD_JSON = ("to_json({'h1': " + H.headings_sql('c', 1) + ", 'h2': " + H.headings_sql('c', 2) + ", 'h3': "
+              + H.headings_sql('c', 3) + "})::VARCHAR")
+_REC_SQL = f"""{LINKS_CTE},
+lk AS (SELECT page_id, to_json(list(dst_url ORDER BY pos))::VARCHAR AS links_json, count(*) AS n_links
+       FROM links GROUP BY page_id),
+rec AS (SELECT cp.url, {H.title_sql('c')} AS title, {H.page_text_sql('c')} AS text,
+               coalesce(lk.links_json, '[]') AS links, CAST(coalesce(lk.n_links, 0) AS INTEGER) AS n_links,
+               {_META_JSON} AS metadata, {_HEAD_JSON} AS headings
+        FROM cp LEFT JOIN lk ON cp.page_id = lk.page_id)"""
+
+
+@query("k2_csv_rows", f"""WITH {_REC_SQL}
+SELECT url, title, text, links, metadata, '' AS crawled_at, '200' AS status_code, 'text/html' AS content_type,
+       CAST(length(text) AS VARCHAR) AS text_length, '0' AS images_count, headings, '' AS error FROM rec""")
+def k2_csv_rows(spark, sf):
+    return K.csv_rows(_records(spark, sf))
+
+
+@query("k5_crawl_records", f"""WITH {_REC_SQL}
+SELECT url, title, CAST(length(text) AS INTEGER) AS text_length, n_links, metadata AS metadata_json,
+       '' AS error, 200 AS status_code, 'text/html' AS content_type FROM rec""")
+def k5_crawl_records(spark, sf):
+    r = _records(spark, sf)
+    return r.select("url", "title", "text_length", F.size("links").alias("n_links"),
+                    F.to_json("metadata").alias("metadata_json"), "error", "status_code", "content_type")
+
+
+_FAILED_SQL = f"""{OUTCOMES_CTE},
+failed AS (SELECT url, arg_max(error_type || ': ' || CAST(status AS VARCHAR), (ts, event_id)) AS error, max(ts) AS crawled_at
+           FROM outcomes WHERE error_type IS NOT NULL GROUP BY url)"""
+
+
+def _failed(spark, sf):
+    o = _outcomes(spark, sf).filter(F.col("error_type").isNotNull())
+    return o.groupBy("url").agg(
+        F.max_by(F.concat("error_type", F.lit(": "), F.col("status").cast("string")), F.struct("ts", "event_id"))
+        .alias("error"), F.max("ts").alias("crawled_at"))
+
+
+@query("k6_records_with_errors", f"""WITH {_REC_SQL}, {_FAILED_SQL.split(',', 1)[0]}, {_FAILED_SQL.split(',', 1)[1]}
+SELECT url, title, CAST(length(text) AS INTEGER) AS text_length, 200 AS status_code, '' AS error FROM rec
+UNION ALL SELECT url, '' AS title, 0 AS text_length, 0 AS status_code, error FROM failed""")
+def k6_records_with_errors(spark, sf):
+    u = K.union_records(_records(spark, sf), K.error_records(_failed(spark, sf)))
+    return u.select("url", "title", "text_length", "status_code", "error")
+
+
+@query("k7_result_digest", f"""WITH {_FAILED_SQL}
+SELECT url, substr(html, 1, 1000) AS content FROM pages
+UNION ALL SELECT url, error AS content FROM failed""")
+def k7_result_digest(spark, sf):
+    ok = T.pages(spark, sf).select("url", "html", F.lit(None).cast("string").alias("error"))
+    bad = _failed(spark, sf).select("url", F.lit(None).cast("string").alias("html"), "error")
+    return K.result_digest(ok.unionByName(bad))
+
+
+@query("k8_run_stats", f"""WITH {OUTCOMES_CTE},
+a AS (SELECT count(*) AS total_processed, count(*) FILTER (WHERE error_type IS NULL) AS successful_requests,
+             count(*) FILTER (WHERE error_type IS NOT NULL) AS failed_requests FROM outcomes),
+s AS (SELECT to_json(map_from_entries(list((status, n) ORDER BY status)))::VARCHAR AS status_code_distribution
+      FROM (SELECT CASE WHEN error_type IS NULL THEN CAST(status AS VARCHAR) ELSE 'error' END AS status, count(*) AS n
+            FROM outcomes GROUP BY 1)),
+t AS (SELECT to_json(list({{'domain': domain, 'count': n}} ORDER BY n DESC, domain))::VARCHAR AS top_domains
+      FROM (SELECT {U.netloc_sql('url')} AS domain, count(*) AS n FROM outcomes WHERE {U.netloc_sql('url')} <> ''
+            GROUP BY 1 ORDER BY n DESC, domain LIMIT 10))
+SELECT * FROM a, s, t""")
+def k8_run_stats(spark, sf):
+    r = K.run_stats_row(_outcomes(spark, sf))
+    return r.select("total_processed", "successful_requests", "failed_requests",
+                    F.to_json("status_code_distribution").alias("status_code_distribution"),
+                    F.to_json("top_domains").alias("top_domains"))
+
+
+# ==== T1–T6 (streams run to completion over the derived log) ===================
+def _log_folder(spark, sf, outcomes_only: bool = False):
+    """The stream source: the derived log written as files (attempt rows, or
+    one outcome row per request as the crawler's stats/breaker see them)."""
+    from ..sources.fetchlog import FETCH_LOG_SCHEMA
+    from ..streaming.jobs import scratch_path
+    path = scratch_path(spark, "fetch-log")
+    cols = [c.split()[0] for c in FETCH_LOG_SCHEMA.split(", ")]
+    src = _outcomes(spark, sf) if outcomes_only else _log(spark, sf)
+    src.select(*cols).write.mode("overwrite").parquet(path)
+    return path
+
+
+def _run_stream(spark, sf, build, mode="append", outcomes_only: bool = False):
+    from ..streaming.jobs import fetch_log_stream, run_available, scratch_path
+    src = _log_folder(spark, sf, outcomes_only)
+    out, ck = scratch_path(spark, "out"), scratch_path(spark, "ckpt")
+    run_available(build(fetch_log_stream(spark, src)), out, ck, mode)
+    return spark.read.parquet(out)
+
+
+@query("t1_progress_stream", f"""WITH {LOG_CTE}
+SELECT date_trunc('second', ts) AS window_start, count(*) AS requests,
+       count(*) FILTER (WHERE error_type IS NULL) AS pages, count(*) FILTER (WHERE error_type IS NOT NULL) AS errors,
+       round(avg(elapsed_s) FILTER (WHERE error_type IS NULL), 6) AS mean_latency_s,
+       round(count(*) / 1.0, 6) AS rate_per_s
+FROM fetch_log GROUP BY 1
+-- append mode: a window is final once the watermark (max ts - 10 s) reaches its end
+HAVING date_trunc('second', ts) + INTERVAL 1 SECOND <= (SELECT max(ts) FROM fetch_log) - INTERVAL 10 SECOND""")
+def t1_progress_stream(spark, sf):
+    from ..streaming.jobs import progress
+    return _run_stream(spark, sf, progress)
+
+
+@query("t2_dedup_stream", f"WITH {LOG_CTE} SELECT DISTINCT url FROM fetch_log")
+def t2_dedup_stream(spark, sf):
+    from ..streaming.jobs import dedup_urls
+    return _run_stream(spark, sf, lambda s: dedup_urls(s).select("url", "event_id")).select("url")
+
+
+@query("t3_outage_stream", None)
+def t3_outage_stream(spark, sf):
+    from ..streaming.jobs import outage_stream
+    return _run_stream(spark, sf, lambda s: outage_stream(s, watermark="1 day", **BREAKER_W7), outcomes_only=True)
+
+
+@query("t4_rate_state_stream", None)
+def t4_rate_state_stream(spark, sf):
+    from ..streaming.jobs import rate_state_stream
+    return _run_stream(spark, sf, lambda s: rate_state_stream(s, idle="40 days"), outcomes_only=True)
+
+
+@query("t5_extraction_stream", f"""WITH {CLEAN_CTE}
+SELECT page_id, url, {H.title_sql('c')} AS title, CAST(length({H.page_text_sql('c')}) AS INTEGER) AS text_length FROM cp""")
+def t5_extraction_stream(spark, sf):
+    from ..streaming.jobs import extraction_stream, pages_stream, run_available, scratch_path
+    out, ck = scratch_path(spark, "pages-out"), scratch_path(spark, "pages-ckpt")
+    stream = extraction_stream(pages_stream(spark, sf.rstrip("/"), glob="pages.parquet"))
+    run_available(stream.select("page_id", "url", "title", F.length("text").alias("text_length")), out, ck)
+    return spark.read.parquet(out)
+
+
+@query("t6_error_counters_stream", f"""WITH {LOG_CTE}
+SELECT date_trunc('hour', ts) AS window_start, error_type, count(*) AS n FROM fetch_log
+WHERE error_type IS NOT NULL GROUP BY 1, 2
+-- append mode: a window is final once the watermark (max ts - 1 h) reaches its end
+HAVING date_trunc('hour', ts) + INTERVAL 1 HOUR <= (SELECT max(ts) FROM fetch_log) - INTERVAL 1 HOUR""")
+def t6_error_counters_stream(spark, sf):
+    from ..streaming.jobs import error_counters
+    return _run_stream(spark, sf, error_counters)
