@@ -76,6 +76,8 @@ def union_records(ok: DataFrame, err: DataFrame) -> DataFrame:
 
 # K1 / S2 ------------------------------------------------------------------------
 def with_crawled_at(df: DataFrame) -> DataFrame:
+    if "crawled_at" not in df.columns:
+        return df.withColumn("crawled_at", F.current_timestamp())
     return df.withColumn("crawled_at", F.coalesce(F.col("crawled_at"), F.current_timestamp()))
 
 
@@ -124,16 +126,17 @@ def read_csv(spark: SparkSession, path: str) -> DataFrame:
     schema = ", ".join(f"{f} STRING" for f in CSV_FIELDS)
     raw = (spark.read.schema(schema).option("header", True).option("multiLine", True).option("escape", '"')
            .csv(path))
+    e = lambda c: F.coalesce(F.col(c), F.lit("")).alias(c)  # noqa: E731  (an empty cell is '', as csv.DictReader)
     return raw.select(
-        "url", "title", "text",
+        e("url"), e("title"), e("text"),
         F.from_json("links", "array<string>").alias("links"),
         F.from_json("metadata", "map<string,string>").alias("metadata"),
         F.col("crawled_at").try_cast("timestamp").alias("crawled_at"),
-        F.col("status_code").try_cast("int").alias("status_code"), "content_type",
+        F.col("status_code").try_cast("int").alias("status_code"), e("content_type"),
         F.col("text_length").try_cast("int").alias("text_length"),
         F.col("images_count").try_cast("int").alias("images_count"),
         F.from_json("headings", "struct<h1:array<string>,h2:array<string>,h3:array<string>>").alias("headings"),
-        "error")
+        e("error"))
 
 
 # K3 / S4 ------------------------------------------------------------------------
