@@ -30,9 +30,8 @@ def backoff(outcomes: DataFrame, factor: float = 2.0, rps: float = 5.0, min_dela
     """Multiplier after each request: ``min(factor ** k, cap)``, k = failures
     since the domain's last success (any failure class), 1.0 after a success."""
     x = outcomes.withColumn("_bk", time_bucket("ts", bucket_seconds))
-    x = prefix_aggregate(x, ["domain"], ORDER, "_bk", [Prefix("_cnt", F.lit(1))])
     x = prefix_aggregate(x, ["domain"], ORDER, "_bk",
-                         [Prefix("_okc", F.when(F.col("error_type").isNull(), F.col("_cnt")), how="max")])
+                         [Prefix("_cnt", F.lit(1)), Prefix("_okc", F.col("error_type").isNull(), how="last")])
     k = (F.col("_cnt") - F.coalesce(F.col("_okc"), F.lit(0))).cast("int")
     mult = F.when(k == 0, F.lit(1.0)).otherwise(F.least(F.pow(F.lit(float(factor)), k),
                                                           F.lit(_cap(rps, min_delay, max_backoff))))

@@ -1,13 +1,18 @@
-"""Skew-safe ordered computations per key (running sums/maxima, previous row).
+"""Skew-safe ordered computations per key (running sums/maxima, count at the
+last flagged row, previous row, top-n).
 
 A plain ``Window.partitionBy(domain).orderBy(ts)`` puts every row of a key in
 one task; with one domain holding a third of the log that task holds a third
 of the data.  These helpers split each key's sequence into time buckets:
 
-1. aggregate per (key, bucket)          -> a small table, partial aggregation
-2. carry over earlier buckets           -> window over that small table only
-3. join the carry back on (key, bucket) -> AQE broadcasts it when measured small
-4. finish inside (key, bucket)          -> windows bounded by one bucket
+1. one shuffle on (key, bucket); running values *inside* each bucket
+   (windows bounded by one bucket);
+2. a per-(key, bucket) summary taken from those rows (already partitioned, no
+   new shuffle) and a carry over earlier buckets: a window over the small
+   summary table only;
+3. the carry joined back on (key, bucket): the big side keeps its
+   partitioning, only the small side moves (AQE broadcasts it when measured
+   small).
 
 The result equals the unbucketed window exactly; only the partitioning differs.
 """
@@ -27,56 +32,97 @@ def time_bucket(ts_col: str, seconds: int) -> Column:
 
 @dataclass(frozen=True)
 class Prefix:
+    """One running value.
+
+    how = "sum" | "max": running sum / max of ``value``;
+    how = "last": running row count up to the last row where ``value`` (a
+    boolean) is true, i.e. the position of the last flagged row (null if none).
+    """
     out: str
     value: Column
-    how: str = "sum"          # sum | max
+    how: str = "sum"
     inclusive: bool = True
 
 
 def prefix_aggregate(df: DataFrame, keys: list[str], order: list[str], bucket: str,
                      specs: list[Prefix], last_flag: str | None = None) -> DataFrame:
-    """Running sum/max per key in ``order``; optional flag for the key's last row."""
+    """Running values per key in ``order``; optional flag for the key's last row."""
     vals = [f"_pv{i}" for i in range(len(specs))]
-    x = df.select("*", *[s.value.alias(v) for s, v in zip(specs, vals)])
-    aggs = []
+    wr = W.partitionBy(*keys, bucket).orderBy(*order)
+    x = df.select("*", F.row_number().over(wr).alias("_wn"), *[s.value.alias(v) for s, v in zip(specs, vals)])
+
+    def frame(s: Prefix):
+        return wr.rowsBetween(W.unboundedPreceding, 0 if s.inclusive else -1)
+
+    within = []
+    for s, v in zip(specs, vals):
+        if s.how == "sum":
+            c = F.sum(v).over(frame(s))
+        elif s.how == "max":
+            c = F.max(v).over(frame(s))
+        else:
+            c = F.max(F.when(F.col(v), F.col("_wn"))).over(frame(s))
+        within.append(c.alias(f"_w{v}"))
+    x = x.select("*", *within)
+
+    aggs = [F.max("_wn").alias("_bn")]
     for s, v in zip(specs, vals):
-        aggs.append((F.sum(v) if s.how == "sum" else F.max(v)).alias(f"_b{v}"))
-    aggs.append(F.count(F.lit(1)).alias("_bn"))
+        if s.how == "sum":
+            aggs.append(F.sum(v).alias(f"_b{v}"))
+        elif s.how == "max":
+            aggs.append(F.max(v).alias(f"_b{v}"))
+        else:
+            aggs.append(F.max(F.when(F.col(v), F.col("_wn"))).alias(f"_b{v}"))
     b = x.groupBy(*keys, bucket).agg(*aggs)
-    wb = W.partitionBy(*keys).orderBy(bucket).rowsBetween(W.unboundedPreceding, -1)
-    carry = [(F.sum if s.how == "sum" else F.max)(f"_b{v}").over(wb).alias(f"_c{v}") for s, v in zip(specs, vals)]
+    wb = W.partitionBy(*keys).orderBy(bucket)
+    before = wb.rowsBetween(W.unboundedPreceding, -1)
+    b = b.select("*", F.coalesce(F.sum("_bn").over(before), F.lit(0)).alias("_cbefore"))
+    carry = []
+    for s, v in zip(specs, vals):
+        if s.how == "sum":
+            carry.append(F.sum(f"_b{v}").over(before).alias(f"_c{v}"))
+        elif s.how == "max":
+            carry.append(F.max(f"_b{v}").over(before).alias(f"_c{v}"))
+        else:
+            carry.append(F.max(F.col("_cbefore") + F.col(f"_b{v}")).over(before).alias(f"_c{v}"))
     extra = []
     if last_flag:
         extra = [(F.col(bucket) == F.max(bucket).over(W.partitionBy(*keys))).alias("_blast"), "_bn"]
-    b = b.select(*keys, bucket, *carry, *extra)
+    b = b.select(*keys, bucket, "_cbefore", *carry, *extra)
+
     j = x.join(b, keys + [bucket])
-    wr = W.partitionBy(*keys, bucket).orderBy(*order)
     out = []
     for s, v in zip(specs, vals):
-        frame = wr.rowsBetween(W.unboundedPreceding, 0 if s.inclusive else -1)
-        within = (F.sum if s.how == "sum" else F.max)(v).over(frame)
+        w_, c_ = F.col(f"_w{v}"), F.col(f"_c{v}")
         if s.how == "sum":
-            col = F.coalesce(F.col(f"_c{v}"), F.lit(0)) + F.coalesce(within, F.lit(0))
+            col = F.coalesce(c_, F.lit(0)) + F.coalesce(w_, F.lit(0))
+        elif s.how == "max":
+            col = F.greatest(c_, w_)
         else:
-            col = F.greatest(F.col(f"_c{v}"), within)
+            col = F.coalesce(F.col("_cbefore") + w_, c_)
         out.append(col.alias(s.out))
     if last_flag:
-        out.append((F.col("_blast") & (F.row_number().over(wr) == F.col("_bn"))).alias(last_flag))
+        out.append((F.col("_blast") & (F.col("_wn") == F.col("_bn"))).alias(last_flag))
     return j.select(*df.columns, *out)
 
 
+def running_count(out: str = "_cnt") -> Prefix:
+    return Prefix(out, F.lit(1))
+
+
 def previous_row(df: DataFrame, keys: list[str], order: list[str], bucket: str,
                  cols: list[str], prefix: str = "prev_") -> DataFrame:
     """``lag(col)`` over (keys ordered by order) for each col, bucketed."""
+    wr = W.partitionBy(*keys, bucket).orderBy(*order)
+    x = df.select("*", F.row_number().over(wr).alias("_wn"),
+                  *[F.lag(c).over(wr).alias(f"_lag_{c}") for c in cols])
     st = F.struct(*[F.col(c).alias(c) for c in cols])
-    okey = F.struct(*[F.col(c) for c in order])
-    last = df.groupBy(*keys, bucket).agg(F.max_by(st, okey).alias("_last"))
+    last = x.groupBy(*keys, bucket).agg(F.max_by(st, F.col("_wn")).alias("_last"))
     last = last.select(*keys, bucket,
                        F.lag("_last").over(W.partitionBy(*keys).orderBy(bucket)).alias("_carry"))
-    j = df.join(last, keys + [bucket])
-    wr = W.partitionBy(*keys, bucket).orderBy(*order)
-    first = F.row_number().over(wr) == 1
-    out = [F.when(first, F.col("_carry")[c]).otherwise(F.lag(c).over(wr)).alias(prefix + c) for c in cols]
+    j = x.join(last, keys + [bucket])
+    out = [F.when(F.col("_wn") == 1, F.col("_carry")[c]).otherwise(F.col(f"_lag_{c}")).alias(prefix + c)
+           for c in cols]
     return j.select(*df.columns, *out)
 
 

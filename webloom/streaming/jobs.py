@@ -208,7 +208,8 @@ def fan_out_batches(sinks) -> callable:
 
 # T6 ---------------------------------------------------------------------------
 def error_counters(log: DataFrame, window: str = "1 hour", watermark: str = "1 hour") -> DataFrame:
-    return (log.filter(F.col("error_type").isNotNull()).withWatermark("ts", watermark)
+    # the watermark follows the whole event stream, not only the error rows
+    return (log.withWatermark("ts", watermark).filter(F.col("error_type").isNotNull())
             .groupBy(F.window("ts", window), "error_type").agg(F.count(F.lit(1)).alias("n"))
             .select(F.col("window.start").alias("window_start"), "error_type", "n"))
 
