@@ -39,6 +39,12 @@ def reach(seeds: DataFrame, edges: DataFrame, max_depth: int,
     Returns (url, depth INT, priority INT, path ARRAY<INT>).
     """
     e = edges.select("src_url", "dst_url", F.col("pos").cast("int").alias("pos"))
+    if checkpoint:
+        # materialise the edge table once (links are not re-extracted from html
+        # at every level).  It is left evenly partitioned, not hashed on src_url:
+        # a hub URL's out-links then spread over many tasks when the frontier is
+        # broadcast, and a shuffle join keeps AQE's skew splitting.
+        e = cut_lineage(e)
     seen = seeds.select(F.col("url"), F.lit(0).alias("depth"), F.lit(0).alias("priority"),
                         F.array(F.col("seed_ord").cast("int")).alias("path"))
     seen = seen.groupBy("url").agg(F.min("depth").alias("depth"), F.min("priority").alias("priority"),

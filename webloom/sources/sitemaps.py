@@ -66,6 +66,9 @@ def expand(sitemaps: DataFrame, roots: DataFrame, max_urls: int = MAX_URLS_TREE,
            checkpoint: bool = True) -> DataFrame:
     """S6 + D6: (root, pos, url, via) for every root sitemap URL in ``roots(root)``."""
     docs = sitemaps.select("sitemap_url", is_index("xml").alias("_index"), parse_locs("xml").alias("_locs"))
+    if checkpoint:
+        # parse every document once; levels then join against the parsed table
+        docs = cut_lineage(docs)
     frontier = roots.select("root", F.col("root").alias("sitemap_url"), F.array().cast("array<int>").alias("path"))
     visited = frontier.select("root", "sitemap_url")
     leaves = None
