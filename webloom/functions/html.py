@@ -24,6 +24,7 @@ import re
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from .memo import cached_column
 from .sqltext import lit
 
 # ---- fixed values: patterns --------------------------------------------------
@@ -32,7 +33,11 @@ SKIP_RE = (r"(?is)<script\b[^>]*>.*?</script\s*>|<style\b[^>]*>.*?</style\s*>"
 SKIP_MARK = "<x>"
 TAG_RE = r"</?[A-Za-z][^>]*>|<[!?][^>]*>"
 ATTR_VALUE = r"""\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))"""
-TAG_TOKEN = r"""(?:[^>"']|"[^"]*"|'[^']*')*>"""
+# rest of a start tag, attribute values may hold '>'.  Java form is possessive
+# (no per-character recursion or backtracking); the RE2 form (DuckDB oracle)
+# matches the same strings, RE2 being linear-time anyway.
+TAG_TOKEN = r"""(?:[^>"']++|"[^"]*+"|'[^']*+')*+>"""
+TAG_TOKEN_RE2 = r"""(?:[^>"']|"[^"]*"|'[^']*')*>"""
 
 # ---- fixed values: entities decoded (``&amp;`` always last) ------------------
 ENTITIES = [
@@ -55,10 +60,12 @@ def _c(x) -> Column:
 
 # ---- text primitives ---------------------------------------------------------
 def decode_entities(x) -> Column:
-    x = _c(x)
+    src = _c(x)
+    y = src
     for ent, ch in ENTITIES:
-        x = F.replace(x, F.lit(ent), F.lit(ch))
-    return x
+        y = F.replace(y, F.lit(ent), F.lit(ch))
+    # most text pieces hold no '&': skip the replace chain for them
+    return F.when(F.instr(src, "&") > 0, y).otherwise(src)
 
 
 def decode_entities_sql(x: str) -> str:
@@ -68,13 +75,15 @@ def decode_entities_sql(x: str) -> str:
 
 
 def strip(x) -> Column:
-    return F.regexp_replace(_c(x), STRIP_RE, "")
+    """``str.strip()``: a character-set trim (no regex) over the whitespace set."""
+    return F.btrim(_c(x), F.lit(WS_CHARS))
 
 
 def strip_sql(x: str) -> str:
     return f"trim({x}, {lit(WS_CHARS)})"
 
 
+@cached_column
 def clean(html) -> Column:
     """Blank out non-text elements, keep a node break in their place."""
     return F.regexp_replace(_c(html), SKIP_RE, SKIP_MARK)
@@ -95,6 +104,7 @@ def text_nodes_sql(fragment: str) -> str:
             f"lambda p: {strip_sql(decode_entities_sql('p'))}), lambda p: p <> '')")
 
 
+@cached_column
 def page_text(cleaned) -> Column:
     """``get_text(separator=' ', strip=True)`` of the whole page."""
     return F.array_join(text_nodes(cleaned), " ")
@@ -104,6 +114,7 @@ def page_text_sql(cleaned: str) -> str:
     return f"array_to_string({text_nodes_sql(cleaned)}, ' ')"
 
 
+@cached_column
 def elem_text(fragment) -> Column:
     """``get_text(strip=True)``: no separator between nodes."""
     return F.array_join(text_nodes(fragment), "")
@@ -120,9 +131,9 @@ def element_re(tag: str) -> str:
     return rf"(?is)<{t}\b[^>]*>(.*?)</{t}\s*>"
 
 
-def tag_re(tag: str) -> str:
+def tag_re(tag: str, re2: bool = False) -> str:
     """Every start tag ``<tag …>`` whole (attribute values may hold '>')."""
-    return rf"(?is)<{re.escape(tag)}\b{TAG_TOKEN}"
+    return rf"(?is)<{re.escape(tag)}\b{TAG_TOKEN_RE2 if re2 else TAG_TOKEN}"
 
 
 def attr_re(name: str) -> str:
@@ -164,13 +175,14 @@ def tags_all(cleaned, tag: str) -> Column:
 
 
 def tags_all_sql(cleaned: str, tag: str) -> str:
-    return f"regexp_extract_all({cleaned}, {lit(tag_re(tag))}, 0)"
+    return f"regexp_extract_all({cleaned}, {lit(tag_re(tag, re2=True))}, 0)"
 
 
 # ---- X1 ------------------------------------------------------------------------
 TITLE_RE = element_re("title")
 
 
+@cached_column
 def title(cleaned) -> Column:
     """Text of the first ``<title>``."""
     return elem_text(F.regexp_extract(_c(cleaned), TITLE_RE, 1))
@@ -180,6 +192,7 @@ def title_sql(cleaned: str) -> str:
     return elem_text_sql(f"regexp_extract({cleaned}, {lit(TITLE_RE)}, 1)")
 
 
+@cached_column
 def meta_content(cleaned, name: str) -> Column:
     """``content`` of the last ``<meta name=…>`` whose name equals ``name`` (case-sensitive)."""
     metas = F.filter(tags_all(cleaned, "meta"), lambda m: has_attr(m, "name") & (attr(m, "name") == name))
@@ -192,6 +205,7 @@ def meta_content_sql(cleaned: str, name: str) -> str:
 
 
 # ---- X5 ------------------------------------------------------------------------
+@cached_column
 def images(cleaned) -> Column:
     """``ARRAY<STRUCT<src, alt>>``: src verbatim (not resolved), empty src dropped."""
     imgs = F.transform(tags_all(cleaned, "img"),
@@ -200,6 +214,7 @@ def images(cleaned) -> Column:
 
 
 # ---- X6 ------------------------------------------------------------------------
+@cached_column
 def headings(cleaned, level: int) -> Column:
     return F.filter(F.transform(inner_all(cleaned, f"h{level}"), elem_text), lambda s: s != "")
 
@@ -209,6 +224,7 @@ def headings_sql(cleaned: str, level: int) -> str:
             f"lambda s: {elem_text_sql('s')}), lambda s: s <> '')")
 
 
+@cached_column
 def headings_struct(cleaned) -> Column:
     return F.struct(*(headings(cleaned, n).alias(f"h{n}") for n in (1, 2, 3)))
 
@@ -218,6 +234,7 @@ LI_START = r"(?i)<li\b[^>]*>"
 LI_END = r"(?i)</li\s*>"
 
 
+@cached_column
 def list_items(cleaned, kind: str) -> Column:
     """Texts of the direct ``li`` children of every ``<ul>``/``<ol>``, flattened."""
     def items(block):
@@ -242,6 +259,7 @@ CELL_START = r"(?i)<t[dh]\b[^>]*>"
 CELL_END = r"(?i)</t[dh]\s*>"
 
 
+@cached_column
 def tables(cleaned) -> Column:
     """``ARRAY<ARRAY<ARRAY<STRING>>>`` table -> row -> cell text; empty cells kept,
     empty rows and tables dropped."""
@@ -300,6 +318,7 @@ def selector_re2(selector: str) -> str:
     return rf"(?is)<{t}\b[^>]*>(.*?)</{t}\s*>"
 
 
+@cached_column
 def selector_text(cleaned, selector: str) -> Column:
     """``' '.join(el.get_text(strip=True) for el in soup.select(selector))``."""
     r = selector_re(selector)
@@ -313,6 +332,7 @@ def selector_text_sql(cleaned: str, selector: str) -> str:
 
 
 # ---- X4 --------------------------------------------------------------------------
+@cached_column
 def hrefs(cleaned) -> Column:
     """Decoded ``href`` values of ``<a>`` tags that carry one, in document order."""
     a = F.filter(tags_all(cleaned, "a"), lambda t: has_attr(t, "href"))
@@ -329,6 +349,8 @@ NESTED_RE = (r"(?is)<table\b(?:(?!</table\s*>).)*<table\b"
              r"|<ul\b(?:(?!</ul\s*>).)*<(?:ul|ol)\b|<ol\b(?:(?!</ol\s*>).)*<(?:ul|ol)\b")
 
 
-def needs_tree_parse(cleaned) -> Column:
-    """True where lists or tables nest; those rows go through the tree fallback."""
-    return _c(cleaned).rlike(NESTED_RE)
+def needs_tree_parse(html) -> Column:
+    """True where lists or tables nest; those rows go through the tree fallback.
+    Runs on the raw html (a commented-out nested list only costs a tree parse)."""
+    h = _c(html)
+    return F.coalesce(h.rlike(NESTED_RE), F.lit(False))

@@ -68,50 +68,85 @@ def _clean_ref(x: Column) -> Column:
     return F.regexp_replace(F.regexp_replace(x, LEADING_JUNK_RE, ""), UNSAFE_RE, "")
 
 
-def urljoin(base, href) -> Column:
+DOT_SEGMENT_RE = r"(^|/)\.\.?(/|$)"
+
+
+def base_parts(base) -> dict[str, Column]:
+    """Parts of the base URL; compute once per page and pass to ``resolve``.
+
+    ``dir`` is the base directory as a segment list with the empty middle
+    segments already dropped (``urljoin`` drops them when merging)."""
+    b = strip_fragment(_clean_ref(_c(base)))
+    path = F.regexp_extract(b, r"^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*([^?#]*)", 1)
+    # directory = path up to and including its last '/'; then [''] + its non-empty segments
+    dir_str = F.regexp_extract(path, r"^(.*/)", 1)
+    dir_segs = F.concat(F.array(F.lit("")), F.filter(F.split(dir_str, "/", -1), lambda x: x != ""))
+    return {
+        "b": b,
+        "scheme": F.regexp_extract(b, r"^([A-Za-z][A-Za-z0-9+.-]*):", 1),
+        "origin": F.regexp_extract(b, r"^([A-Za-z][A-Za-z0-9+.-]*://[^/?#]*)", 1),
+        "dir": dir_segs,
+        "noquery": F.substring_index(b, "?", 1),
+    }
+
+
+def clean_ref(href) -> Column:
+    """Reference as urlsplit sees it, fragment cut."""
+    return strip_fragment(_clean_ref(_c(href)))
+
+
+def split_ref(h) -> Column:
+    """STRUCT<h, hp (path), hq (query or null), segs> of a cleaned reference."""
+    h = _c(h)
+    hp = F.substring_index(h, "?", 1)
+    return F.struct(h.alias("h"), hp.alias("hp"),
+                    F.when(F.instr(h, "?") > 0, F.substring(h, F.instr(h, "?") + 1, 1 << 30)).alias("hq"),
+                    F.split(hp, "/", -1).alias("segs"))
+
+
+def _remove_dots(segs: Column) -> Column:
+    """``urljoin``'s dot-segment removal; a trailing '.' or '..' leaves a final ''."""
+    init = F.struct(F.array().cast("array<string>").alias("l"), F.lit(False).alias("dot"))
+
+    def step(acc, s):
+        lst = acc["l"]
+        nxt = (F.when(s == "..", F.when(F.size(lst) > 0, F.slice(lst, 1, F.size(lst) - 1)).otherwise(lst))
+               .when(s == ".", lst).otherwise(F.concat(lst, F.array(s))))
+        return F.struct(nxt.alias("l"), s.isin(".", "..").alias("dot"))
+
+    return F.aggregate(segs, init, step,
+                       lambda acc: F.when(acc["dot"], F.concat(acc["l"], F.array(F.lit("")))).otherwise(acc["l"]))
+
+
+def resolve(parts: dict, ref: Column) -> Column:
+    """Resolution core over a ``split_ref`` struct.  Every part is referenced
+    once (no subtree copies), so the expression stays small inside lambdas."""
+    h, hp, hq, hs = ref["h"], ref["hp"], ref["hq"], ref["segs"]
+    query_part = F.when(F.coalesce(hq, F.lit("")) != "", F.concat(F.lit("?"), hq)).otherwise(F.lit(""))
+    merged = F.concat(parts["dir"], F.filter(F.slice(hs, 1, F.size(hs) - 1), lambda x: x != ""),
+                      F.slice(hs, -1, 1))
+    segs = F.when(hp.startswith("/"), hs).otherwise(merged)
+    path = F.concat(F.lit("/"), F.regexp_replace(F.array_join(_remove_dots(segs), "/"), "^/", ""))
+    return (F.when(h.rlike(SCHEME_RE), h)
+            .when(h.startswith("//"), F.concat(parts["scheme"], F.lit(":"), h))
+            .when((hp == "") & (F.coalesce(hq, F.lit("")) == ""), parts["b"])
+            .when(hp == "", F.concat(parts["noquery"], F.lit("?"), hq))
+            # fast path: an absolute path without dot segments is kept as written
+            .when(hp.startswith("/") & ~hp.rlike(DOT_SEGMENT_RE), F.concat(parts["origin"], hp, query_part))
+            .otherwise(F.concat(parts["origin"], path, query_part)))
+
+
+def urljoin(base, href, parts: dict | None = None) -> Column:
     """RFC-3986-style resolution with the rules of Python's ``urljoin``.
 
     Cases: scheme present -> verbatim; ``//host`` -> base scheme; empty path
     (only ``?query``) -> base path with the new query; ``/path`` -> base
     origin + path; otherwise merge with the base directory (empty middle
     segments dropped) and remove dot segments.  The fragment of ``href`` is
-    dropped up front (callers cut fragments anyway).
+    dropped up front (callers cut fragments anyway).  ``parts`` may hold the
+    base's parts precomputed as columns (see ``base_parts``).
     """
-    b = strip_fragment(_clean_ref(_c(base)))
-    h = strip_fragment(_clean_ref(_c(href)))
-    b_scheme = F.regexp_extract(b, r"^([A-Za-z][A-Za-z0-9+.-]*):", 1)
-    b_origin = F.regexp_extract(b, r"^([A-Za-z][A-Za-z0-9+.-]*://[^/?#]*)", 1)
-    b_path = F.regexp_extract(b, r"^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*([^?#]*)", 1)
-    b_noquery = F.substring_index(b, "?", 1)
-    h_path = F.substring_index(h, "?", 1)
-    h_query = F.when(F.instr(h, "?") > 0, F.substring(h, F.instr(h, "?") + 1, 1 << 30))
-
-    base_parts = F.split(b_path, "/", -1)
-    base_dir = F.when(F.try_element_at(base_parts, F.lit(-1)) != "",
-                      F.slice(base_parts, 1, F.size(base_parts) - 1)).otherwise(base_parts)
-    merged = F.concat(base_dir, F.split(h_path, "/", -1))
-    merged = F.filter(merged, lambda x, i: (i == 0) | (i == F.size(merged) - 1) | (x != ""))
-    segs = F.when(h_path.startswith("/"), F.split(h_path, "/", -1)).otherwise(merged)
-    resolved = F.aggregate(
-        segs, F.array().cast("array<string>"),
-        lambda acc, s: F.when(s == "..", F.when(F.size(acc) > 0, F.slice(acc, 1, F.size(acc) - 1))
-                              .otherwise(acc))
-        .when(s == ".", acc)
-        .otherwise(F.concat(acc, F.array(s))))
-    resolved = F.when(F.try_element_at(segs, F.lit(-1)).isin(".", ".."),
-                      F.concat(resolved, F.array(F.lit("")))).otherwise(resolved)
-    path = F.array_join(resolved, "/")
-    path = F.when(path == "", F.lit("/")).otherwise(path)
-    path = F.when(path.startswith("/"), path).otherwise(F.concat(F.lit("/"), path))
-    with_query = F.concat(b_origin, path,
-                          F.when(h_query.isNotNull() & (h_query != ""), F.concat(F.lit("?"), h_query))
-                          .otherwise(F.lit("")))
-    only_query = F.concat(b_noquery, F.lit("?"), h_query)
-    return (F.when(h.rlike(SCHEME_RE), h)
-            .when(h.startswith("//"), F.concat(b_scheme, F.lit(":"), h))
-            .when((h_path == "") & (h_query.isNull() | (h_query == "")), b)
-            .when(h_path == "", only_query)
-            .otherwise(with_query))
+    return resolve(parts or base_parts(base), split_ref(clean_ref(href)))
 
 
 def urljoin_sql(base: str, href: str) -> str:

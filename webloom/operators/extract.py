@@ -69,10 +69,10 @@ def cells_from_tables(df: DataFrame, col: str = "tables") -> DataFrame:
 def cells(pages: DataFrame) -> DataFrame:
     """Table-cell long table; nested tables go through the tree fallback."""
     from .fallback import tree_extract
-    c = cleaned(pages).withColumn("_nested", H.needs_tree_parse(CLEAN))
-    flat = cells_from_tables(c.filter(~F.col("_nested")).select("page_id", H.tables(CLEAN).alias("tables")))
-    nested = tree_extract(pages.join(c.filter("_nested").select("page_id"), "page_id", "left_semi"))
-    return flat.unionByName(cells_from_tables(nested.select("page_id", "tables")))
+    nested = H.needs_tree_parse("html")
+    flat = cells_from_tables(cleaned(pages.filter(~nested)).select("page_id", H.tables(CLEAN).alias("tables")))
+    tree = tree_extract(pages.filter(nested))
+    return flat.unionByName(cells_from_tables(tree.select("page_id", "tables")))
 
 
 # X8 ---------------------------------------------------------------------------
@@ -85,48 +85,54 @@ def items_from_lists(df: DataFrame, ul: str = "ul", ol: str = "ol") -> DataFrame
 
 def list_items(pages: DataFrame) -> DataFrame:
     from .fallback import tree_extract
-    c = cleaned(pages).withColumn("_nested", H.needs_tree_parse(CLEAN))
-    flat = items_from_lists(c.filter(~F.col("_nested")).select(
+    nested = H.needs_tree_parse("html")
+    flat = items_from_lists(cleaned(pages.filter(~nested)).select(
         "page_id", H.list_items(CLEAN, "ul").alias("ul"), H.list_items(CLEAN, "ol").alias("ol")))
-    nested = tree_extract(pages.join(c.filter("_nested").select("page_id"), "page_id", "left_semi"))
-    return flat.unionByName(items_from_lists(nested.select("page_id", "lists.ul", "lists.ol")))
+    tree = tree_extract(pages.filter(nested))
+    return flat.unionByName(items_from_lists(tree.select("page_id", "lists.ul", "lists.ol")))
 
 
 # X9 ---------------------------------------------------------------------------
 def page_records(pages: DataFrame, filter_external: bool = False, allowed_domains=None) -> DataFrame:
     """Whole ``PAGE`` record per page in one projection (no join).
 
-    Rows whose lists/tables nest take ``tables``/``lists`` from the tree
-    fallback; everything else is pure Catalyst.
+    Rows whose lists/tables nest (detected on the raw html by one pattern)
+    take ``tables``/``lists`` from the tree fallback; only those rows are
+    projected a second time and parsed in Python.  Everything else is pure
+    Catalyst in a single narrow stage.
     """
     from .fallback import tree_extract
-    c = cleaned(pages).withColumn("_nested", H.needs_tree_parse(CLEAN))
-    links = L.page_links_expr("url", CLEAN, filter_external, allowed_domains)
-    base = c.select(
-        "page_id", "url", "_nested",
-        H.title(CLEAN).alias("title"),
-        H.meta_content(CLEAN, "description").alias("description"),
-        H.meta_content(CLEAN, "keywords").alias("keywords"),
-        H.page_text(CLEAN).alias("text"),
-        links.alias("links"),
-        H.images(CLEAN).alias("images"),
-        H.headings_struct(CLEAN).alias("headings"),
-        H.tables(CLEAN).alias("tables"),
-        F.struct(H.list_items(CLEAN, "ul").alias("ul"), H.list_items(CLEAN, "ol").alias("ol")).alias("lists"),
-    )
-    flat = base.filter(~F.col("_nested")).drop("_nested")
-    tree = tree_extract(pages.join(c.filter("_nested").select("page_id"), "page_id", "left_semi"))
-    nested = (base.filter("_nested").drop("_nested", "tables", "lists")
-              .join(tree.select("page_id", "tables", "lists"), "page_id"))
-    return flat.unionByName(nested.select(*flat.columns))
+
+    links = L.page_links_expr("url", CLEAN, filter_external, allowed_domains, parts_projected=True)
+    cols = [H.title(CLEAN).alias("title"),
+            H.meta_content(CLEAN, "description").alias("description"),
+            H.meta_content(CLEAN, "keywords").alias("keywords"),
+            H.page_text(CLEAN).alias("text"),
+            links.alias("links"),
+            H.images(CLEAN).alias("images"),
+            H.headings_struct(CLEAN).alias("headings"),
+            H.tables(CLEAN).alias("tables"),
+            F.struct(H.list_items(CLEAN, "ul").alias("ul"), H.list_items(CLEAN, "ol").alias("ol")).alias("lists")]
+
+    def project(df):  # the same Column objects serve both branches
+        c = L.with_base_parts(df.select("page_id", "url", H.clean("html").alias(CLEAN)))
+        return c.select("page_id", "url", *cols)
+
+    nested = H.needs_tree_parse("html")
+    flat = project(pages.filter(~nested))
+    odd = pages.filter(nested)
+    tree = tree_extract(odd)
+    fixed = (project(odd).drop("tables", "lists")
+             .join(tree.select("page_id", "tables", "lists"), "page_id"))
+    return flat.unionByName(fixed.select(*flat.columns))
 
 
 # X11 --------------------------------------------------------------------------
 def corpus_totals(pages: DataFrame) -> DataFrame:
     """One row: pages, links, images, text characters (partial + final aggregate)."""
-    c = cleaned(pages)
+    c = L.with_base_parts(cleaned(pages))
     per_page = c.select(
-        F.size(L.page_links_expr("url", CLEAN)).alias("n_links"),
+        F.size(L.page_links_expr("url", CLEAN, parts_projected=True)).alias("n_links"),
         F.size(H.images(CLEAN)).alias("n_images"),
         F.length(H.page_text(CLEAN)).alias("n_chars"))
     return per_page.agg(F.count(F.lit(1)).alias("pages"),
@@ -137,7 +143,7 @@ def corpus_totals(pages: DataFrame) -> DataFrame:
 
 def page_digest(pages: DataFrame, n_links: int = 5) -> DataFrame:
     """Per page: title, link count, first ``n_links`` links (in page order)."""
-    c = cleaned(pages).select("page_id", "url", H.title(CLEAN).alias("title"),
-                              L.page_links_expr("url", CLEAN).alias("links"))
+    c = L.with_base_parts(cleaned(pages)).select("page_id", "url", H.title(CLEAN).alias("title"),
+                                                 L.page_links_expr("url", CLEAN, parts_projected=True).alias("links"))
     return c.select("page_id", "url", "title", F.size("links").alias("n_links"),
                     F.array_join(F.slice("links", 1, n_links), " ").alias("first_links"))

@@ -12,16 +12,40 @@ from pyspark.sql import functions as F
 
 from ..functions import html as H
 from ..functions import urls as U
+from ..functions.memo import cached_column
 from .joins import broadcast_if_small
 
 CLEAN = "_clean"
 
 
-def page_links_expr(url, cleaned, filter_external: bool = False, allowed_domains=None) -> Column:
-    """``ARRAY<STRING>`` of the page's unique absolute links (first-seen order)."""
+BASE_COLS = {"b": "_b_url", "scheme": "_b_scheme", "origin": "_b_origin", "dir": "_b_dir",
+             "noquery": "_b_noquery"}
+
+
+def with_base_parts(df: DataFrame, url_col: str = "url") -> DataFrame:
+    """Project the page URL's parts once, so the per-link lambda only reads them."""
+    parts = U.base_parts(url_col)
+    return df.select("*", *[parts[k].alias(v) for k, v in BASE_COLS.items()])
+
+
+def page_links_expr(url, cleaned, filter_external: bool = False, allowed_domains=None,
+                    parts_projected: bool = False) -> Column:
+    if isinstance(allowed_domains, list):
+        allowed_domains = tuple(allowed_domains)
+    return _page_links_expr(url, cleaned, filter_external, allowed_domains, parts_projected)
+
+
+@cached_column
+def _page_links_expr(url, cleaned, filter_external: bool = False, allowed_domains=None,
+                     parts_projected: bool = False) -> Column:
+    """``ARRAY<STRING>`` of the page's unique absolute links (first-seen order).
+    With ``parts_projected`` the base-URL parts are read from the columns added
+    by ``with_base_parts`` instead of being recomputed for every link."""
     url = F.col(url) if isinstance(url, str) else url
+    parts = ({k: F.col(v) for k, v in BASE_COLS.items()} if parts_projected else U.base_parts(url))
     hs = F.filter(H.hrefs(cleaned), lambda h: (h != "") & ~h.startswith("#"))
-    res = F.filter(F.transform(hs, lambda h: U.strip_fragment(U.urljoin(url, h))), U.is_valid_url)
+    refs = F.transform(F.transform(hs, U.clean_ref), U.split_ref)
+    res = F.filter(F.transform(refs, lambda r: U.strip_fragment(U.resolve(parts, r))), U.is_valid_url)
     if filter_external:
         base_dom = U.norm_domain(url)
         allowed = sorted(set(allowed_domains or []))
@@ -34,9 +58,9 @@ def page_links_expr(url, cleaned, filter_external: bool = False, allowed_domains
 
 def page_links(pages: DataFrame, filter_external: bool = False, allowed_domains=None) -> DataFrame:
     """Per page: ``links`` array (X4 in array form)."""
-    c = pages.select("page_id", "url", H.clean("html").alias(CLEAN))
+    c = with_base_parts(pages.select("page_id", "url", H.clean("html").alias(CLEAN)))
     return c.select("page_id", "url",
-                    page_links_expr("url", CLEAN, filter_external, allowed_domains).alias("links"))
+                    page_links_expr("url", CLEAN, filter_external, allowed_domains, True).alias("links"))
 
 
 def link_table(pages: DataFrame, filter_external: bool = False, allowed_domains=None) -> DataFrame:
