@@ -49,3 +49,13 @@ def test_t5_fan_out(spark, tmpdir_path):
     q.awaitTermination()
     n = spark.read.parquet("/root/testdata/sf0.001/pages.parquet").count()
     assert spark.read.json(a).count() == n and K.read_csv(spark, b).count() == n
+
+
+def test_progress_to_target(spark):
+    t0 = dt.datetime(2024, 1, 1)
+    rows = [(t0 + dt.timedelta(seconds=i * 7200), 10, 10, 0, 0.1, 10.0) for i in range(30)]
+    w = spark.createDataFrame(rows, "window_start timestamp, requests long, pages long, errors long, "
+                                    "mean_latency_s double, rate_per_s double")
+    r = S.progress_to_target(w, 100, bucket_seconds=86_400).orderBy("window_start").collect()
+    assert [x.pages_done for x in r[:3]] == [10, 20, 30]
+    assert r[-1].pct_of_target == 100.0 and r[0].eta_s == 9.0

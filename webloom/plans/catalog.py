@@ -191,7 +191,24 @@ def x6_headings(spark, sf):
     return X.headings(_pages(spark, sf))
 
 
-@query("x7_table_cells", None)
+_CELLS_SQL = f"""WITH {CLEAN_CTE},
+tb AS (SELECT page_id, u.t, u.ti FROM cp,
+       LATERAL (SELECT unnest({H.inner_all_sql('c', 'table')}) AS t, generate_subscripts({H.inner_all_sql('c', 'table')}, 1) AS ti) u),
+tr AS (SELECT page_id, ti, u.r, u.ri FROM tb,
+       LATERAL (SELECT unnest(string_split_regex(t, {lit(H.TR_START)})[2:]) AS r,
+                       generate_subscripts(string_split_regex(t, {lit(H.TR_START)})[2:], 1) AS ri) u),
+td AS (SELECT page_id, ti, ri, u.c2, u.ci FROM tr,
+       LATERAL (SELECT unnest(string_split_regex(string_split_regex(r, {lit(H.TR_END)})[1], {lit(H.CELL_START)})[2:]) AS c2,
+                       generate_subscripts(string_split_regex(string_split_regex(r, {lit(H.TR_END)})[1], {lit(H.CELL_START)})[2:], 1) AS ci) u),
+cl AS (SELECT page_id, ti, ri, ci, {H.elem_text_sql(f"string_split_regex(c2, {lit(H.CELL_END)})[1]")} AS text FROM td),
+nr AS (SELECT page_id, ti, ri, dense_rank() OVER (PARTITION BY page_id, ti ORDER BY ri) AS rn FROM (SELECT DISTINCT page_id, ti, ri FROM cl)),
+nt AS (SELECT page_id, ti, dense_rank() OVER (PARTITION BY page_id ORDER BY ti) AS tn FROM (SELECT DISTINCT page_id, ti FROM cl))
+SELECT cl.page_id, CAST(nt.tn - 1 AS INTEGER) AS table_no, CAST(nr.rn - 1 AS INTEGER) AS row_no,
+       CAST(cl.ci - 1 AS INTEGER) AS col_no, cl.text
+FROM cl JOIN nr USING (page_id, ti, ri) JOIN nt USING (page_id, ti)"""
+
+
+@query("x7_table_cells", _CELLS_SQL)
 def x7_table_cells(spark, sf):
     return X.cells(_pages(spark, sf))
 
@@ -1021,3 +1038,29 @@ HAVING date_trunc('hour', ts) + INTERVAL 1 HOUR <= (SELECT max(ts) FROM fetch_lo
 def t6_error_counters_stream(spark, sf):
     from ..streaming.jobs import error_counters
     return _run_stream(spark, sf, error_counters)
+
+
+# ==== D1 / D6 / X7 oracle ========================================================
+@query("d1_link_dedup", f"""WITH {HREF_CTE},
+v AS (SELECT page_id, resolved FROM rs WHERE resolved IS NOT NULL AND {U.is_valid_url_sql('resolved')})
+SELECT page_id, count(*) AS n_valid, count(DISTINCT resolved) AS n_unique, count(*) - count(DISTINCT resolved) AS n_dropped
+FROM v GROUP BY page_id""")
+def d1_link_dedup(spark, sf):
+    """Order-preserving in-page dedup: valid links before and after."""
+    r = L.raw_link_table(_pages(spark, sf)).filter("valid")
+    return r.groupBy("page_id").agg(F.count(F.lit(1)).alias("n_valid"),
+                                    F.count_distinct("resolved").alias("n_unique"),
+                                    (F.count(F.lit(1)) - F.count_distinct("resolved")).alias("n_dropped"))
+
+
+def _d6_sql(levels: int = 4) -> str:
+    parts = _expand_sql(levels)
+    vs = " UNION ALL ".join(f"SELECT root, sitemap_url, {i} AS level FROM f{i}" for i in range(levels + 1))
+    return f"WITH {_SITEMAP_FIXTURE_SQL}, {parts}\nSELECT root, sitemap_url, level FROM ({vs})"
+
+
+@query("d6_sitemap_visits", _d6_sql())
+def d6_sitemap_visits(spark, sf):
+    roots = spark.range(1).select(F.lit(SM.TOP_SITEMAP).alias("root"))
+    return SM.expand(_sitemaps(spark, sf), roots, visits=True).select(
+        "root", "sitemap_url", F.col("level").cast("int").alias("level"))

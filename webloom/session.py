@@ -71,9 +71,15 @@ def checkpoint_dir(spark: SparkSession) -> str:
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint (never localCheckpoint): survives executor loss."""
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """Cut the lineage by writing a Parquet table into the shared checkpoint
+    folder and reading it back (never localCheckpoint): the result survives
+    executor loss, and unlike ``Dataset.checkpoint`` the input is computed
+    once (an RDD checkpoint recomputes an unpersisted input to write it)."""
+    import uuid
+    spark = df.sparkSession
+    path = f"{checkpoint_dir(spark).rstrip('/')}/webloom-cut-{uuid.uuid4().hex}"
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -63,16 +63,18 @@ def is_index(xml) -> F.Column:
 
 
 def expand(sitemaps: DataFrame, roots: DataFrame, max_urls: int = MAX_URLS_TREE, max_levels: int = 10,
-           checkpoint: bool = True) -> DataFrame:
-    """S6 + D6: (root, pos, url, via) for every root sitemap URL in ``roots(root)``."""
+           checkpoint: bool = True, visits: bool = False) -> DataFrame:
+    """S6 + D6: (root, pos, url, via) for every root sitemap URL in ``roots(root)``.
+    With ``visits`` the D6 table is returned instead: every sitemap expanded
+    per root with its level (root, sitemap_url, level)."""
     docs = sitemaps.select("sitemap_url", is_index("xml").alias("_index"), parse_locs("xml").alias("_locs"))
     if checkpoint:
         # parse every document once; levels then join against the parsed table
         docs = cut_lineage(docs)
     frontier = roots.select("root", F.col("root").alias("sitemap_url"), F.array().cast("array<int>").alias("path"))
-    visited = frontier.select("root", "sitemap_url")
+    visited = frontier.select("root", "sitemap_url", F.lit(0).alias("level"))
     leaves = None
-    for _ in range(max_levels):
+    for level in range(1, max_levels + 1):
         cur = frontier.join(docs, "sitemap_url")
         kids = cur.select("root", F.col("sitemap_url").alias("via"), "path", "_index",
                           F.posexplode("_locs").alias("_p", "loc"))
@@ -81,13 +83,15 @@ def expand(sitemaps: DataFrame, roots: DataFrame, max_urls: int = MAX_URLS_TREE,
         leaves = out if leaves is None else leaves.unionByName(out)
         nxt = (kids.filter("_index").groupBy("root", F.col("loc").alias("sitemap_url"))
                .agg(F.min("path").alias("path"))
-               .join(visited, ["root", "sitemap_url"], "left_anti"))
+               .join(visited.select("root", "sitemap_url"), ["root", "sitemap_url"], "left_anti"))
         if checkpoint:
             nxt = cut_lineage(nxt)
         if nxt.isEmpty():
             break
-        visited = visited.unionByName(nxt.select("root", "sitemap_url"))
+        visited = visited.unionByName(nxt.select("root", "sitemap_url", F.lit(level).alias("level")))
         frontier = nxt
+    if visits:
+        return visited
     if leaves is None:
         raise ValueError("no roots")
     top = top_n_per_key(leaves, ["root"], [F.col("path"), F.col("url")], max_urls, rank_col="pos")

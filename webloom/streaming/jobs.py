@@ -49,16 +49,17 @@ def progress(log: DataFrame, window: str = "1 second", watermark: str = "10 seco
                       F.round(F.col("requests") / secs, 6).alias("rate_per_s"))
 
 
-def progress_to_target(windows: DataFrame, max_pages: int) -> DataFrame:
-    """Batch step over the (small) per-window table: cumulative pages, % of
-    the target and ETA at the current rate."""
-    from pyspark.sql import Window as W
-    w = W.orderBy("window_start").rowsBetween(W.unboundedPreceding, 0)
-    cum = F.sum("pages").over(w)
-    return windows.select("*", cum.alias("pages_done"),
-                          F.round(F.least(cum * 100.0 / max_pages, F.lit(100.0)), 3).alias("pct_of_target"),
-                          F.round(F.try_divide(F.greatest(F.lit(max_pages) - cum, F.lit(0)), F.col("rate_per_s")), 3)
-                          .alias("eta_s"))
+def progress_to_target(windows: DataFrame, max_pages: int, bucket_seconds: int = 86_400) -> DataFrame:
+    """Batch step over the per-window table: cumulative pages, % of the target
+    and ETA at the current rate.  The running sum is bucketed by day, so a
+    long log (one row per second) never sorts in one task."""
+    from ..operators.sequence import Prefix, prefix_aggregate, time_bucket
+    w = windows.withColumn("_bk", time_bucket("window_start", bucket_seconds))
+    w = prefix_aggregate(w, [], ["window_start"], "_bk", [Prefix("pages_done", F.col("pages"))])
+    cum = F.col("pages_done")
+    return w.select("*", F.round(F.least(cum * 100.0 / max_pages, F.lit(100.0)), 3).alias("pct_of_target"),
+                    F.round(F.try_divide(F.greatest(F.lit(max_pages) - cum, F.lit(0)), F.col("rate_per_s")), 3)
+                    .alias("eta_s")).drop("_bk")
 
 
 # T2 ---------------------------------------------------------------------------
