@@ -122,3 +122,24 @@ def test_t3_stream_matches_closed_w7(spark):
     assert set(closed_by_failure) <= set(stream)
     # the rest may still be open when the stream ends (emitted by a later timeout)
     assert stream
+
+
+@pytest.mark.parametrize("chunk", [30, 45, 600])
+def test_w7_tiny_chunks_converge(spark, chunk):
+    """Chunks much shorter than an outage: the replay must converge and stitch."""
+    rnd = random.Random(11)
+    t = dt.datetime(2024, 1, 1)
+    rows = []
+    for i in range(1500):
+        t += dt.timedelta(seconds=rnd.choice([1, 3, 8, 15, 40]))
+        dom = "hot.com" if rnd.random() < 0.7 else "cold.com"
+        et = rnd.choice([None, "NetworkError", "TransientError", "NetworkError"])
+        rows.append((i, dom, t, et))
+    df = spark.createDataFrame(rows, "event_id long, domain string, ts timestamp, error_type string")
+    epoch = dt.datetime(1970, 1, 1)
+    flat = [(d, int((ts - epoch).total_seconds() * US), e, et is not None and et != "PermanentError")
+            for e, d, ts, et in rows]
+    exp, _ = brute_force(flat, 3, 60.0, 90.0)
+    assert len(exp) > 3
+    got = _spark_rows(outages(df, 3, 60.0, 90.0, bucket_seconds=3600, chunk_seconds=chunk))
+    assert got == exp
