@@ -188,8 +188,8 @@ def chunked_replay(f: DataFrame, threshold: int, window_us: int, cooldown_us: in
         cmp = prev.select(*keys, "s_recent", "s_open_until", r.alias("a_recent"), o.alias("a_open_until"))
         stale = cmp.filter(~(F.col("s_recent").eqNullSafe(F.col("a_recent"))
                              & F.col("s_open_until").eqNullSafe(F.col("a_open_until"))))
-        stale = cut_lineage(stale.select(*keys, F.col("a_recent").alias("s_recent"),
-                                         F.col("a_open_until").alias("s_open_until")))
+        # small (one row per chunk whose start was wrong); recomputed from the cut state
+        stale = stale.select(*keys, F.col("a_recent").alias("s_recent"), F.col("a_open_until").alias("s_open_until"))
         if stale.isEmpty():
             break
         redo = run(stale).join(stale, keys)
