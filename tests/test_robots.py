@@ -17,7 +17,7 @@ FILES = {
     "f.com": "User-agent: a\n\nDisallow: /lost\nUser-agent: *\nAllow: /p\nDisallow: /\n",
 }
 PATHS = ["/", "/deny", "/deny/x", "/de/a", "/fr/b", "/en/1", "/en/2", "/early", "/x", "/p?q=1", "/lost", "/other"]
-AGENTS = ["*", "AsyncCrawler/1.0", "webloombot/2", "OTHERbot"]
+AGENTS = ["*", "WebloomCrawler/1.0", "webloombot/2", "OTHERbot"]
 
 
 @pytest.mark.parametrize("agent", AGENTS)

@@ -49,8 +49,6 @@ def reach(seeds: DataFrame, edges: DataFrame, max_depth: int,
                         F.array(F.col("seed_ord").cast("int")).alias("path"))
     seen = seen.groupBy("url").agg(F.min("depth").alias("depth"), F.min("priority").alias("priority"),
                                    F.min("path").alias("path"))
-    if checkpoint:
-        seen = cut_lineage(seen)
     frontier = seen
     last = max_depth + (1 if enqueue_beyond else 0)
     for d in range(1, last + 1):

@@ -536,7 +536,7 @@ from ..operators import frontier as D  # noqa: E402
 from ..operators import robots as RB  # noqa: E402
 from ..sources import robots as RS  # noqa: E402
 
-USER_AGENT = "AsyncCrawler/1.0"
+USER_AGENT = "WebloomCrawler/1.0"
 _WS = lit(WS_CHARS)
 
 
@@ -1064,3 +1064,62 @@ def d6_sitemap_visits(spark, sf):
     roots = spark.range(1).select(F.lit(SM.TOP_SITEMAP).alias("root"))
     return SM.expand(_sitemaps(spark, sf), roots, visits=True).select(
         "root", "sitemap_url", F.col("level").cast("int").alias("level"))
+
+
+# ==== S2–S4 / K1 / K3 / K4 round trips (write with the sink, read with the reader) ==
+def _scratch(spark, name):
+    from ..streaming.jobs import scratch_path
+    return scratch_path(spark, name)
+
+
+_TITLES_CTE = f"{CLEAN_CTE}, titles AS (SELECT url, {H.title_sql('c')} AS title FROM cp)"
+
+
+@query("s2_jsonl_scan", f"""WITH {_TITLES_CTE}
+SELECT url, title, 200 AS status_code, '' AS error FROM titles""")
+def s2_jsonl_scan(spark, sf):
+    """K1 JSONL sink of the page records, read back by the S2 reader."""
+    path = _scratch(spark, "jsonl")
+    K.jsonl_sink(path)(_records(spark, sf))
+    return K.read_jsonl(spark, path).select("url", "title", "status_code", "error")
+
+
+@query("s3_csv_scan", f"""WITH {_REC_SQL}
+SELECT url, title, CAST(length(text) AS INTEGER) AS text_length, 0 AS images_count, n_links,
+       json_extract_string(headings, '$.h1[0]') AS h1
+FROM rec""")
+def s3_csv_scan(spark, sf):
+    """K2 CSV sink of the page records, read back by the S3 reader (JSON cells decoded)."""
+    path = _scratch(spark, "csv")
+    K.csv_sink(path)(_records(spark, sf))
+    r = K.read_csv(spark, path)
+    return r.select("url", "title", "text_length", "images_count", F.size("links").alias("n_links"),
+                    F.try_element_at("headings.h1", F.lit(1)).alias("h1"))
+
+
+@query("s4_table_latest", f"""WITH {_TITLES_CTE}
+SELECT url, title FROM titles ORDER BY url DESC LIMIT 10""")
+def s4_table_latest(spark, sf):
+    """K3 table sink (bucketed by url, files in the shared folder), then the S4
+    scan: projection, order, limit."""
+    import uuid
+    name = f"crawled_data_{uuid.uuid4().hex[:8]}"
+    K.table_sink(spark, name, path=_scratch(spark, "table"))(_records(spark, sf))
+    return K.latest_from_table(spark, name, 10, order=("url",)).select("url", "title")
+
+
+@query("k4_fan_out", f"""WITH {_TITLES_CTE}
+SELECT 'jsonl' AS sink, url, title FROM titles UNION ALL SELECT 'csv' AS sink, url, title FROM titles""")
+def k4_fan_out(spark, sf):
+    """One result written to two sinks (computed once), both read back."""
+    a, b = _scratch(spark, "fan-jsonl"), _scratch(spark, "fan-csv")
+    K.fan_out(_records(spark, sf), [K.jsonl_sink(a), K.csv_sink(b)])
+    return (K.read_jsonl(spark, a).select(F.lit("jsonl").alias("sink"), "url", "title")
+            .unionByName(K.read_csv(spark, b).select(F.lit("csv").alias("sink"), "url", "title")))
+
+
+@query("s8_log_stream", f"WITH {LOG_CTE} SELECT event_id, url, domain, ts, status, error_type FROM fetch_log")
+def s8_log_stream(spark, sf):
+    """The fetch log as a file-source stream (explicit schema), passed
+    through to files with availableNow and read back."""
+    return _run_stream(spark, sf, lambda s: s.select("event_id", "url", "domain", "ts", "status", "error_type"))

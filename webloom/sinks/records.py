@@ -144,22 +144,25 @@ TABLE_COLUMNS = ["url", "title", "text", "text_length", "links", "images", "head
                  "crawled_at", "status_code", "content_type"]
 
 
-def table_sink(spark: SparkSession, table: str, buckets: int = 16) -> Sink:
-    """K3: append to a managed Parquet table bucketed and sorted by ``url``
-    (the url index of the reference); duplicates are kept; each row gets a
-    unique ``id`` and ``saved_at``."""
+def table_sink(spark: SparkSession, table: str, buckets: int = 16, path: str | None = None) -> Sink:
+    """K3: append to a Parquet table bucketed and sorted by ``url`` (the url
+    index of the reference); duplicates are kept; each row gets a unique
+    ``id`` and ``saved_at``.  With ``path`` the table's files live there
+    (an external table, e.g. in the shared folder)."""
     def write(df: DataFrame) -> None:
         x = df.select(*[c for c in TABLE_COLUMNS if c in df.columns])
         x = x.withColumn("id", F.monotonically_increasing_id()).withColumn("saved_at", F.current_timestamp())
-        (x.write.mode("append").format("parquet").bucketBy(buckets, "url").sortBy("url")
-         .saveAsTable(table))
+        w = x.write.mode("append").format("parquet").bucketBy(buckets, "url").sortBy("url")
+        if path:
+            w = w.option("path", path)
+        w.saveAsTable(table)
     return write
 
 
-def latest_from_table(spark: SparkSession, table: str, n: int = 3) -> DataFrame:
+def latest_from_table(spark: SparkSession, table: str, n: int = 3, order=("saved_at", "id")) -> DataFrame:
     """Projection, newest first, limit (TakeOrderedAndProject)."""
     return (spark.table(table).select("url", "title", "status_code", "saved_at", "id")
-            .orderBy(F.desc("saved_at"), F.desc("id")).limit(n))
+            .orderBy(*[F.desc(c) for c in order]).limit(n))
 
 
 def lookup_url(spark: SparkSession, table: str, url: str) -> DataFrame:
