@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.outcomes import counts_for_breaker
-from .sequence import Prefix, prefix_aggregate, previous_row, time_bucket
+from .sequence import KEY_BUCKET_SECONDS, GLOBAL_BUCKET_SECONDS, Prefix, prefix_aggregate, previous_row, time_bucket
 
 OUTAGE_SCHEMA = ("domain STRING, episode LONG, opened_at TIMESTAMP, open_until TIMESTAMP, "
                  "opened_by LONG, failures_while_open LONG")
@@ -64,7 +64,7 @@ def replay(times_us: np.ndarray, event_ids: np.ndarray, threshold: int, window_u
 
 
 def counting_failures(outcomes: DataFrame, window_s: float, cooldown_s: float,
-                      bucket_seconds: int = 86_400) -> DataFrame:
+                      bucket_seconds: int = KEY_BUCKET_SECONDS) -> DataFrame:
     """Counting failures with their episode number: a new episode starts
     after a quiet gap longer than the window and at least the cooldown."""
     w_us, c_us = int(window_s * 1e6), int(cooldown_s * 1e6)
@@ -78,12 +78,15 @@ def counting_failures(outcomes: DataFrame, window_s: float, cooldown_s: float,
 
 
 def outages(outcomes: DataFrame, threshold: int = 5, window_s: float = 60.0, cooldown_s: float = 30.0,
-            bucket_seconds: int = 86_400, chunk_seconds: int | None = None) -> DataFrame:
+            bucket_seconds: int = KEY_BUCKET_SECONDS, chunk_seconds: int | None = None) -> DataFrame:
     """Outage intervals.  Episodes are replayed in time chunks of
-    ``chunk_seconds`` (default: one bucket) in parallel; see ``chunked_replay``."""
+    ``chunk_seconds`` in parallel (see ``chunked_replay``).  The default chunk
+    spans at least twice window + cooldown, so a chunk's start state depends
+    on little more than its neighbour and the replay converges in few rounds."""
     w_us, c_us = int(window_s * 1e6), int(cooldown_s * 1e6)
     f = counting_failures(outcomes, window_s, cooldown_s, bucket_seconds)
-    return chunked_replay(f, threshold, w_us, c_us, int((chunk_seconds or bucket_seconds) * 1e6))
+    chunk = chunk_seconds or max(bucket_seconds, int(2 * (window_s + cooldown_s)))
+    return chunked_replay(f, threshold, w_us, c_us, int(chunk * 1e6))
 
 
 # ---- chunked replay -------------------------------------------------------------------
@@ -208,7 +211,7 @@ def chunked_replay(f: DataFrame, threshold: int, window_us: int, cooldown_us: in
                       F.col("failures_while_open").cast("long").alias("failures_while_open"))
 
 
-def flag_blocked(outcomes: DataFrame, outs: DataFrame, bucket_seconds: int = 86_400) -> DataFrame:
+def flag_blocked(outcomes: DataFrame, outs: DataFrame, bucket_seconds: int = KEY_BUCKET_SECONDS) -> DataFrame:
     """Rows that start while the breaker is open: after the opening failure
     and before ``open_until``.  As-of lookup of the latest outage opened at or
     before each row, done with bucketed carry instead of a range join."""

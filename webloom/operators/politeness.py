@@ -15,7 +15,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions.outcomes import counts_for_breaker
-from .sequence import Prefix, prefix_aggregate, previous_row, time_bucket, top_n_per_key
+from .sequence import KEY_BUCKET_SECONDS, GLOBAL_BUCKET_SECONDS, Prefix, prefix_aggregate, previous_row, time_bucket, top_n_per_key
 
 ORDER = ["ts", "event_id"]
 
@@ -26,7 +26,7 @@ def _cap(rps: float, min_delay: float, max_backoff: float) -> float:
 
 # W4 ---------------------------------------------------------------------------
 def backoff(outcomes: DataFrame, factor: float = 2.0, rps: float = 5.0, min_delay: float = 0.5,
-            max_backoff: float = 60.0, bucket_seconds: int = 86_400) -> DataFrame:
+            max_backoff: float = 60.0, bucket_seconds: int = KEY_BUCKET_SECONDS) -> DataFrame:
     """Multiplier after each request: ``min(factor ** k, cap)``, k = failures
     since the domain's last success (any failure class), 1.0 after a success."""
     x = outcomes.withColumn("_bk", time_bucket("ts", bucket_seconds))
@@ -42,7 +42,7 @@ def backoff(outcomes: DataFrame, factor: float = 2.0, rps: float = 5.0, min_dela
 # W5 ---------------------------------------------------------------------------
 def rate_compliance(outcomes: DataFrame, delays: DataFrame | None = None, rps: float = 5.0,
                     min_delay: float = 0.5, factor: float = 2.0, max_backoff: float = 60.0,
-                    per_domain: bool = True, bucket_seconds: int = 86_400,
+                    per_domain: bool = True, bucket_seconds: int = KEY_BUCKET_SECONDS,
                     default_crawl_delay: float = 1.0) -> DataFrame:
     """Gap to the previous request of the domain (or of the whole log when
     ``per_domain`` is False) against the limiter's lower bound
@@ -50,7 +50,8 @@ def rate_compliance(outcomes: DataFrame, delays: DataFrame | None = None, rps: f
     (jitter's lower bound is 0), and against the robots crawl delay."""
     b = backoff(outcomes, factor, rps, min_delay, max_backoff, bucket_seconds)
     keys = ["domain"] if per_domain else []
-    x = b.withColumn("_bk", time_bucket("ts", bucket_seconds))
+    x = b.withColumn("_bk", time_bucket("ts", bucket_seconds if per_domain else
+                                        min(bucket_seconds, GLOBAL_BUCKET_SECONDS)))
     x = previous_row(x, keys, ORDER, "_bk", ["ts", "backoff_multiplier"])
     base = max(min_delay, 1.0 / rps)
     mult_before = F.coalesce(F.col("prev_backoff_multiplier"), F.lit(1.0))
@@ -101,14 +102,15 @@ def request_intervals(attempts: DataFrame) -> DataFrame:
 
 
 def concurrency_profile(attempts: DataFrame, per_domain_limit: int = 5, global_limit: int = 10,
-                        per_domain: bool = True, bucket_seconds: int = 86_400) -> DataFrame:
+                        per_domain: bool = True, bucket_seconds: int = KEY_BUCKET_SECONDS) -> DataFrame:
     """Active requests after each start/end event (ends first at equal times);
     per domain (or globally): peak, first time at peak, starts over the limit."""
     iv = request_intervals(attempts)
     ev = (iv.select("domain", "req_id", F.col("start_us").alias("t"), F.lit(1).alias("delta"))
           .unionByName(iv.select("domain", "req_id", F.col("end_us").alias("t"), F.lit(-1).alias("delta"))))
-    ev = ev.withColumn("_bk", F.floor(F.col("t") / F.lit(bucket_seconds * 1_000_000)).cast("long"))
     keys = ["domain"] if per_domain else []
+    width = bucket_seconds if per_domain else min(bucket_seconds, GLOBAL_BUCKET_SECONDS)
+    ev = ev.withColumn("_bk", F.floor(F.col("t") / F.lit(width * 1_000_000)).cast("long"))
     ev = prefix_aggregate(ev, keys, ["t", "delta", "req_id"], "_bk", [Prefix("active", F.col("delta"))])
     limit = per_domain_limit if per_domain else global_limit
     g = ev.groupBy(*keys) if keys else ev.groupBy()

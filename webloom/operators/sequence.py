@@ -26,6 +26,12 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 
+# default widths: one hour per key bounds the largest task by a hot key's
+# hourly volume; a sequence over the whole log (no key) uses one minute
+KEY_BUCKET_SECONDS = 3_600
+GLOBAL_BUCKET_SECONDS = 60
+
+
 def time_bucket(ts_col: str, seconds: int) -> Column:
     return F.floor(F.unix_micros(F.col(ts_col)) / F.lit(seconds * 1_000_000)).cast("long")
 
@@ -126,10 +132,22 @@ def previous_row(df: DataFrame, keys: list[str], order: list[str], bucket: str,
     return j.select(*df.columns, *out)
 
 
+# Spark plans ``row_number() <= n`` with a partial WindowGroupLimit below the
+# shuffle (only n rows per key leave each map task) up to this n
+WINDOW_GROUP_LIMIT_MAX = 1000
+
+
 def top_n_per_key(df: DataFrame, keys: list[str], order: list[Column], n: int, salt_buckets: int = 16,
                   salt_col: Column | None = None, rank_col: str = "rank") -> DataFrame:
-    """Top-n rows per key in two steps: per (key, salt) first, then per key over
-    at most n x salt_buckets survivors, so no task sorts a hot key whole."""
+    """Top-n rows per key without sorting a hot key in one task.
+
+    For n up to ``WINDOW_GROUP_LIMIT_MAX`` a plain ``row_number() <= n`` is
+    enough: the optimizer adds a partial group limit before the exchange.
+    Larger n go in two steps: per (key, salt) first, then per key over at
+    most n x salt_buckets survivors."""
+    if n <= WINDOW_GROUP_LIMIT_MAX and salt_col is None:
+        x = df.withColumn(rank_col, F.row_number().over(W.partitionBy(*keys).orderBy(*order)))
+        return x.filter(F.col(rank_col) <= n)
     salt = salt_col if salt_col is not None else F.pmod(F.xxhash64(*[F.col(c) for c in df.columns]), F.lit(salt_buckets))
     x = df.withColumn("_salt", salt)
     x = x.withColumn("_r1", F.row_number().over(W.partitionBy(*keys, "_salt").orderBy(*order))).filter(F.col("_r1") <= n)
