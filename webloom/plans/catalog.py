@@ -702,9 +702,9 @@ def j9_outcome_per_page(spark, sf):
     last = o.groupBy("url").agg(F.max_by("status", F.struct("ts", "event_id")).alias("status"),
                                 F.max_by("error_type", F.struct("ts", "event_id")).alias("error_type"),
                                 F.max("ts").alias("fetched_at"))
-    p = T.pages(spark, sf)
-    return p.join(last, "url", "left").select("page_id", "url", F.length("html").alias("html_chars"),
-                                              "status", "error_type", "fetched_at")
+    # measure the html before the join, so the shuffle carries no page bodies
+    p = T.pages(spark, sf).select("page_id", "url", F.length("html").alias("html_chars"))
+    return p.join(last, "url", "left").select("page_id", "url", "html_chars", "status", "error_type", "fetched_at")
 
 
 # ==== D2–D5 =====================================================================
