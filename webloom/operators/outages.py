@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.outcomes import counts_for_breaker
-from .sequence import KEY_BUCKET_SECONDS, GLOBAL_BUCKET_SECONDS, Prefix, prefix_aggregate, previous_row, time_bucket
+from .sequence import KEY_BUCKET_SECONDS, Prefix, prefix_aggregate, previous_row, time_bucket
 
 OUTAGE_SCHEMA = ("domain STRING, episode LONG, opened_at TIMESTAMP, open_until TIMESTAMP, "
                  "opened_by LONG, failures_while_open LONG")

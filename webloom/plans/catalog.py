@@ -1123,3 +1123,23 @@ def s8_log_stream(spark, sf):
     """The fetch log as a file-source stream (explicit schema), passed
     through to files with availableNow and read back."""
     return _run_stream(spark, sf, lambda s: s.select("event_id", "url", "domain", "ts", "status", "error_type"))
+
+
+@query("k1_jsonl_sink", f"""WITH {_TITLES_CTE} SELECT url, title, true AS has_crawled_at FROM titles""")
+def k1_jsonl_sink(spark, sf):
+    """K1: JSON lines appended (one object per line, never indented), with
+    ``crawled_at`` filled where the record has none; read back as text lines."""
+    path = _scratch(spark, "k1")
+    K.jsonl_sink(path)(_records(spark, sf).select("url", "title"))
+    lines = spark.read.text(path)
+    obj = F.from_json("value", "url STRING, title STRING, crawled_at STRING")
+    return lines.select(obj.alias("o")).select("o.url", "o.title", F.col("o.crawled_at").isNotNull().alias("has_crawled_at"))
+
+
+@query("k3_table_sink", f"""WITH {_TITLES_CTE} SELECT url, title, 200 AS status_code FROM titles""")
+def k3_table_sink(spark, sf):
+    """K3: append to a url-bucketed Parquet table; every stored row read back."""
+    import uuid
+    name = f"crawled_data_{uuid.uuid4().hex[:8]}"
+    K.table_sink(spark, name, path=_scratch(spark, "k3"))(_records(spark, sf))
+    return spark.table(name).select("url", "title", "status_code")

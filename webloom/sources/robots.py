@@ -24,7 +24,6 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions.html import strip
-from ..functions.sqltext import lit
 
 # fixed values: line breaks of ``str.splitlines``
 LINE_SPLIT_RE = "\r\n|[\n\r\x0b\x0c\x1c\x1d\x1e\x85\u2028\u2029]"
@@ -112,4 +111,4 @@ def robots_fixture_sql(hosts_sql: str) -> str:
 
 
 __all__ = ["robots_lines", "robots_groups_and_rules", "crawl_delays", "robots_fixture", "robots_fixture_sql",
-           "LINE_SPLIT_RE", "DEFAULT_CRAWL_DELAY", "lit"]
+           "LINE_SPLIT_RE", "DEFAULT_CRAWL_DELAY"]
