@@ -475,7 +475,8 @@ def w6_rolling_failures(spark, sf):
 @query("w7_outages", None)
 def w7_outages(spark, sf):
     from ..operators.outages import outages
-    return outages(_outcomes(spark, sf), **BREAKER_W7)
+    return outages(_outcomes(spark, sf), **BREAKER_W7).select(
+        "domain", "opened_at", "open_until", "opened_by", "failures_while_open")
 
 
 @query("w7_blocked_flags", None)
@@ -1143,3 +1144,50 @@ def k3_table_sink(spark, sf):
     name = f"crawled_data_{uuid.uuid4().hex[:8]}"
     K.table_sink(spark, name, path=_scratch(spark, "k3"))(_records(spark, sf))
     return spark.table(name).select("url", "title", "status_code")
+
+
+# ==== W7 oracle: the breaker replayed by a recursive CTE, one step per failure ====
+def _w7_sql(threshold: int, window_s: float, cooldown_s: float) -> str:
+    w, c = int(window_s * 1e6), int(cooldown_s * 1e6)
+    closing = "(r.open_until IS NOT NULL AND f.t >= r.open_until)"
+    base_recent = f"(CASE WHEN {closing} THEN []::BIGINT[] ELSE r.recent END)"
+    base_open = f"(CASE WHEN {closing} THEN NULL ELSE r.open_until END)"
+    recent2 = f"list_filter(list_append({base_recent}, f.t), lambda x: x >= f.t - {w})"
+    opens = f"(len({recent2}) >= {threshold})"
+    new_open = f"(CASE WHEN {opens} THEN f.t + {c} ELSE {base_open} END)"
+    starts = f"({opens} AND {base_open} IS NULL)"
+    return f"""WITH RECURSIVE {OUTCOMES_CTE},
+f AS (SELECT domain, epoch_us(ts) AS t, event_id,
+             row_number() OVER (PARTITION BY domain ORDER BY ts, event_id) AS i
+      FROM outcomes WHERE error_type IS NOT NULL AND error_type <> 'PermanentError'),
+r(domain, i, recent, open_until, opened_at, opened_by, n, e_at, e_by, e_until, e_n) AS (
+  SELECT domain, i, [t]::BIGINT[],
+         CASE WHEN {threshold} <= 1 THEN t + {c} END, CASE WHEN {threshold} <= 1 THEN t END,
+         CASE WHEN {threshold} <= 1 THEN event_id END, CASE WHEN {threshold} <= 1 THEN 1 ELSE 0 END,
+         NULL::BIGINT, NULL::BIGINT, NULL::BIGINT, NULL::BIGINT
+  FROM f WHERE i = 1
+  UNION ALL
+  SELECT r.domain, f.i, {recent2}, {new_open},
+         CASE WHEN {starts} THEN f.t WHEN {closing} THEN NULL ELSE r.opened_at END,
+         CASE WHEN {starts} THEN f.event_id WHEN {closing} THEN NULL ELSE r.opened_by END,
+         CASE WHEN {new_open} IS NULL THEN 0
+              WHEN {starts} THEN 1 ELSE (CASE WHEN {closing} THEN 0 ELSE r.n END) + 1 END,
+         CASE WHEN {closing} THEN r.opened_at END, CASE WHEN {closing} THEN r.opened_by END,
+         CASE WHEN {closing} THEN r.open_until END, CASE WHEN {closing} THEN r.n END
+  FROM r JOIN f ON f.domain = r.domain AND f.i = r.i + 1),
+last_i AS (SELECT domain, max(i) AS i FROM f GROUP BY domain),
+outs AS (SELECT domain, e_at AS opened_at, e_by AS opened_by, e_until AS open_until, e_n AS n FROM r WHERE e_at IS NOT NULL
+         UNION ALL
+         SELECT r.domain, r.opened_at, r.opened_by, r.open_until, r.n FROM r JOIN last_i l ON r.domain = l.domain AND r.i = l.i
+         WHERE r.open_until IS NOT NULL)"""
+
+
+_W7_CTE = _w7_sql(**BREAKER_W7)
+ORACLE["w7_outages"] = f"""{_W7_CTE}
+SELECT domain, make_timestamp(opened_at) AS opened_at, make_timestamp(open_until) AS open_until, opened_by,
+       CAST(n AS BIGINT) AS failures_while_open FROM outs"""
+ORACLE["w7_blocked_flags"] = f"""{_W7_CTE}
+SELECT x.domain, x.ts, x.event_id,
+       EXISTS (SELECT 1 FROM outs o WHERE o.domain = x.domain AND o.open_until > epoch_us(x.ts)
+               AND (epoch_us(x.ts) > o.opened_at OR (epoch_us(x.ts) = o.opened_at AND x.event_id > o.opened_by))) AS blocked
+FROM outcomes x"""
