@@ -1191,3 +1191,11 @@ SELECT x.domain, x.ts, x.event_id,
        EXISTS (SELECT 1 FROM outs o WHERE o.domain = x.domain AND o.open_until > epoch_us(x.ts)
                AND (epoch_us(x.ts) > o.opened_at OR (epoch_us(x.ts) = o.opened_at AND x.event_id > o.opened_by))) AS blocked
 FROM outcomes x"""
+
+
+# T4 equals the batch limiter audit (W4 multiplier, W5 gaps) on the same outcome rows
+ORACLE["t4_rate_state_stream"] = f"""WITH {_W4_SQL},
+p AS (SELECT *, lag(ts) OVER (PARTITION BY domain ORDER BY ts, event_id) AS prev_ts,
+             lag(backoff_multiplier) OVER (PARTITION BY domain ORDER BY ts, event_id) AS prev_m FROM w4)
+SELECT event_id, domain, ts, round((epoch_us(ts) - epoch_us(prev_ts)) / 1e6, 6) AS gap_s,
+       round(least(0.5 * coalesce(prev_m, 1.0), 60.0), 6) AS required_gap_s, backoff_multiplier FROM p"""

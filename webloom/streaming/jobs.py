@@ -165,7 +165,7 @@ def rate_state_stream(log: DataFrame, rps: float = 5.0, min_delay: float = 0.5,
             if last_us is not None and (t, eid) <= (last_us, last_eid):
                 continue
             mult_before = 1.0 if fails == 0 else min(factor ** fails, cap)
-            gap = None if last_us is None else (t - last_us) / 1e6
+            gap = None if last_us is None else round((t - last_us) / 1e6, 6)
             fails = 0 if ok else fails + 1
             mult_after = 1.0 if fails == 0 else min(factor ** fails, cap)
             rows.append((eid, domain, pd.Timestamp(t, unit="us"), gap, round(min(base * mult_before, max_backoff), 6),
