@@ -1199,3 +1199,34 @@ p AS (SELECT *, lag(ts) OVER (PARTITION BY domain ORDER BY ts, event_id) AS prev
              lag(backoff_multiplier) OVER (PARTITION BY domain ORDER BY ts, event_id) AS prev_m FROM w4)
 SELECT event_id, domain, ts, round((epoch_us(ts) - epoch_us(prev_ts)) / 1e6, 6) AS gap_s,
        round(least(0.5 * coalesce(prev_m, 1.0), 60.0), 6) AS required_gap_s, backoff_multiplier FROM p"""
+
+
+ORACLE["a10_error_report"] = f"""WITH {OUTCOMES_CTE},
+a1 AS (SELECT count(*) AS total_processed, count(*) FILTER (WHERE error_type IS NULL) AS successful_requests,
+              count(*) FILTER (WHERE error_type IS NOT NULL) AS failed_requests,
+              min(epoch_us(ts)) AS s, max({_END_US}) AS e,
+              avg(elapsed_s) FILTER (WHERE error_type IS NULL) AS av FROM outcomes),
+a1b AS (SELECT total_processed, successful_requests, failed_requests,
+               round(coalesce((e - s) / 1e6, 0.0), 6) AS duration,
+               round(coalesce(CASE WHEN e - s = 0 THEN NULL ELSE total_processed / ((e - s) / 1e6) END, 0.0), 6) AS average_speed,
+               round(coalesce(av, 0.0), 6) AS avg_response_time,
+               make_timestamp(s) AS start_time, make_timestamp(e) AS end_time FROM a1),
+a4 AS (SELECT map_from_entries(list((error_type, n) ORDER BY error_type, n)) AS error_stats
+       FROM (SELECT error_type, count(*) AS n FROM outcomes WHERE error_type IS NOT NULL GROUP BY 1)),
+pe AS (SELECT DISTINCT url FROM outcomes WHERE error_type = 'PermanentError'),
+a5 AS (SELECT count(*) AS permanent_error_count FROM pe),
+smp AS (SELECT list(url ORDER BY url) AS permanent_error_sample FROM (SELECT url FROM pe ORDER BY url LIMIT 5)),
+a7 AS (SELECT count(*) FILTER (WHERE ok AND attempt > 1) AS successful_retries,
+              coalesce(sum(elapsed_s) FILTER (WHERE ok AND attempt > 1), 0.0) AS total_retry_time,
+              coalesce(avg(elapsed_s) FILTER (WHERE ok AND attempt > 1), 0.0) AS mean_retry_time,
+              count(*) AS total_attempts FROM attempts),
+j AS (SELECT * FROM a1b, a4, a5, smp, a7)
+SELECT to_json({{'total_processed': total_processed, 'successful_requests': successful_requests,
+                 'failed_requests': failed_requests, 'duration': duration, 'average_speed': average_speed,
+                 'avg_response_time': avg_response_time,
+                 'start_time': strftime(start_time, '%Y-%m-%dT%H:%M:%S.%f'),
+                 'end_time': strftime(end_time, '%Y-%m-%dT%H:%M:%S.%f'),
+                 'error_stats': error_stats, 'permanent_error_count': permanent_error_count,
+                 'permanent_error_sample': permanent_error_sample, 'successful_retries': successful_retries,
+                 'total_retry_time': round(total_retry_time, 6), 'mean_retry_time': round(mean_retry_time, 6),
+                 'total_attempts': total_attempts}})::VARCHAR AS report, * FROM j"""
