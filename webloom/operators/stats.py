@@ -114,13 +114,14 @@ def error_report(attempts: DataFrame, outcomes: DataFrame, sample: int = 5) -> D
            .agg(F.array_sort(F.collect_list("url")).alias("permanent_error_sample")).withColumn("_k", F.lit(1)))
     a7 = retry_summary(attempts).withColumn("_k", F.lit(1))
     j = a1.join(a4, "_k").join(a5, "_k").join(smp, "_k").join(a7, "_k").drop("_k")
-    # times as ISO text inside the document, numbers rounded to 6 places
+    # in the document: times as ISO text, fractional numbers as DECIMAL(20,6)
+    # (plain digits, never scientific notation)
     fields = []
     for c in j.columns:
         if c in ("start_time", "end_time"):
             fields.append(F.date_format(c, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS").alias(c))
-        elif c in ("total_retry_time", "mean_retry_time"):
-            fields.append(F.round(c, 6).alias(c))
+        elif c in ("duration", "average_speed", "avg_response_time", "total_retry_time", "mean_retry_time"):
+            fields.append(F.round(c, 6).cast("decimal(20,6)").alias(c))
         else:
             fields.append(F.col(c))
     return j.select(F.to_json(F.struct(*fields)).alias("report"), *j.columns)

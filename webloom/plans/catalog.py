@@ -1222,11 +1222,13 @@ a7 AS (SELECT count(*) FILTER (WHERE ok AND attempt > 1) AS successful_retries,
               count(*) AS total_attempts FROM attempts),
 j AS (SELECT * FROM a1b, a4, a5, smp, a7)
 SELECT to_json({{'total_processed': total_processed, 'successful_requests': successful_requests,
-                 'failed_requests': failed_requests, 'duration': duration, 'average_speed': average_speed,
-                 'avg_response_time': avg_response_time,
+                 'failed_requests': failed_requests, 'duration': CAST(duration AS DECIMAL(20,6)),
+                 'average_speed': CAST(average_speed AS DECIMAL(20,6)),
+                 'avg_response_time': CAST(avg_response_time AS DECIMAL(20,6)),
                  'start_time': strftime(start_time, '%Y-%m-%dT%H:%M:%S.%f'),
                  'end_time': strftime(end_time, '%Y-%m-%dT%H:%M:%S.%f'),
                  'error_stats': error_stats, 'permanent_error_count': permanent_error_count,
                  'permanent_error_sample': permanent_error_sample, 'successful_retries': successful_retries,
-                 'total_retry_time': round(total_retry_time, 6), 'mean_retry_time': round(mean_retry_time, 6),
+                 'total_retry_time': CAST(round(total_retry_time, 6) AS DECIMAL(20,6)),
+                 'mean_retry_time': CAST(round(mean_retry_time, 6) AS DECIMAL(20,6)),
                  'total_attempts': total_attempts}})::VARCHAR AS report, * FROM j"""
