@@ -7,9 +7,9 @@ of the data.  These helpers split each key's sequence into time buckets:
 
 1. one shuffle on (key, bucket); running values *inside* each bucket
    (windows bounded by one bucket);
-2. a per-(key, bucket) summary taken from those rows (already partitioned, no
-   new shuffle) and a carry over earlier buckets: a window over the small
-   summary table only;
+2. a per-(key, bucket) summary (a partial aggregation of the input, or taken
+   from the windowed rows when positions inside the bucket are needed) and a
+   carry over earlier buckets: a window over the small summary table only;
 3. the carry joined back on (key, bucket): the big side keeps its
    partitioning, only the small side moves (AQE broadcasts it when measured
    small).
@@ -71,7 +71,15 @@ def prefix_aggregate(df: DataFrame, keys: list[str], order: list[str], bucket: s
         within.append(c.alias(f"_w{v}"))
     x = x.select("*", *within)
 
-    aggs = [F.max("_wn").alias("_bn")]
+    if all(s.how in ("sum", "max") for s in specs):
+        # bucket totals straight from the input: a partial (map-side)
+        # aggregation, so this branch shuffles per-bucket partials, not rows
+        src = df.select(*keys, bucket, *[s.value.alias(v) for s, v in zip(specs, vals)])
+        aggs = [F.count(F.lit(1)).alias("_bn")]
+    else:
+        # "last" needs row positions inside the bucket: take them from x
+        src = x
+        aggs = [F.max("_wn").alias("_bn")]
     for s, v in zip(specs, vals):
         if s.how == "sum":
             aggs.append(F.sum(v).alias(f"_b{v}"))
@@ -79,7 +87,7 @@ def prefix_aggregate(df: DataFrame, keys: list[str], order: list[str], bucket: s
             aggs.append(F.max(v).alias(f"_b{v}"))
         else:
             aggs.append(F.max(F.when(F.col(v), F.col("_wn"))).alias(f"_b{v}"))
-    b = x.groupBy(*keys, bucket).agg(*aggs)
+    b = src.groupBy(*keys, bucket).agg(*aggs)
     wb = W.partitionBy(*keys).orderBy(bucket)
     before = wb.rowsBetween(W.unboundedPreceding, -1)
     b = b.select("*", F.coalesce(F.sum("_bn").over(before), F.lit(0)).alias("_cbefore"))

@@ -75,6 +75,19 @@ def _outcomes(spark, sf):
     return R.outcomes(_attempts(spark, sf))
 
 
+# Jobs that read the attempt/outcome rows more than once (several aggregates,
+# or the bucketed per-domain sequences with their self-joins) read them from a
+# table written once into the shared checkpoint folder, as a pipeline would,
+# instead of re-deriving the attempt numbering in every branch.
+def _attempts_table(spark, sf):
+    from ..session import cut_lineage
+    return cut_lineage(_attempts(spark, sf))
+
+
+def _outcomes_table(spark, sf):
+    return R.outcomes(_attempts_table(spark, sf))
+
+
 # ==== S1 / U1–U8 ==================================================================
 @query("s1_pages_scan", "SELECT page_id, url, CAST(length(html) AS INTEGER) AS html_chars FROM pages")
 def s1_pages_scan(spark, sf):
@@ -362,12 +375,12 @@ SELECT 'status' AS section, bucket, n, round(n * 100.0 / max(n) OVER (), 1) AS b
 UNION ALL
 SELECT 'domain' AS section, bucket, n, round(n * 100.0 / max(n) OVER (), 1) AS bar_pct FROM d""")
 def a9_report_table(spark, sf):
-    return A.report_table(_outcomes(spark, sf))
+    return A.report_table(_outcomes_table(spark, sf))
 
 
 @query("a10_error_report", None)
 def a10_error_report(spark, sf):
-    a = _attempts(spark, sf)
+    a = _attempts_table(spark, sf)
     return A.error_report(a, R.outcomes(a))
 
 
@@ -430,7 +443,7 @@ w4 AS (SELECT event_id, domain, ts, error_type, CAST(k AS INTEGER) AS fails_sinc
 @query("w4_backoff_multiplier", f"WITH {_W4_SQL} SELECT * FROM w4")
 def w4_backoff_multiplier(spark, sf):
     from ..operators.politeness import backoff
-    return backoff(_outcomes(spark, sf))
+    return backoff(_outcomes_table(spark, sf))
 
 
 @query("w5_rate_compliance", f"""WITH {_W4_SQL},
@@ -442,7 +455,7 @@ SELECT *, coalesce(gap_s >= required_gap_s, true) AS rate_ok, 1.0 AS crawl_delay
        coalesce(gap_s >= 1.0, true) AS delay_ok FROM q""")
 def w5_rate_compliance(spark, sf):
     from ..operators.politeness import rate_compliance
-    return rate_compliance(_outcomes(spark, sf))
+    return rate_compliance(_outcomes_table(spark, sf))
 
 
 @query("w5_rate_compliance_global", f"""WITH {_W4_SQL},
@@ -455,7 +468,7 @@ SELECT *, coalesce(gap_s >= required_gap_s, true) AS rate_ok, 1.0 AS crawl_delay
 def w5_rate_compliance_global(spark, sf):
     """Global limiter mode; the multiplier is still the per-domain one of W4."""
     from ..operators.politeness import rate_compliance
-    return rate_compliance(_outcomes(spark, sf), per_domain=False)
+    return rate_compliance(_outcomes_table(spark, sf), per_domain=False)
 
 
 @query("w6_rolling_failures", f"""WITH {OUTCOMES_CTE},
@@ -469,20 +482,20 @@ SELECT event_id, domain, ts, counting,
 FROM x""")
 def w6_rolling_failures(spark, sf):
     from ..operators.politeness import rolling_failures
-    return rolling_failures(_outcomes(spark, sf), BREAKER["window_s"])
+    return rolling_failures(_outcomes_table(spark, sf), BREAKER["window_s"])
 
 
 @query("w7_outages", None)
 def w7_outages(spark, sf):
     from ..operators.outages import outages
-    return outages(_outcomes(spark, sf), **BREAKER_W7).select(
+    return outages(_outcomes_table(spark, sf), **BREAKER_W7).select(
         "domain", "opened_at", "open_until", "opened_by", "failures_while_open")
 
 
 @query("w7_blocked_flags", None)
 def w7_blocked_flags(spark, sf):
     from ..operators.outages import flag_blocked, outages
-    o = _outcomes(spark, sf)
+    o = _outcomes_table(spark, sf)
     return flag_blocked(o, outages(o, **BREAKER_W7))
 
 
@@ -506,13 +519,13 @@ FROM a {grp}"""
 @query("w8_concurrency_domains", _w8_sql(True))
 def w8_concurrency_domains(spark, sf):
     from ..operators.politeness import concurrency_profile
-    return concurrency_profile(_attempts(spark, sf))
+    return concurrency_profile(_attempts_table(spark, sf))
 
 
 @query("w8_concurrency_global", _w8_sql(False))
 def w8_concurrency_global(spark, sf):
     from ..operators.politeness import concurrency_profile
-    return concurrency_profile(_attempts(spark, sf), per_domain=False)
+    return concurrency_profile(_attempts_table(spark, sf), per_domain=False)
 
 
 @query("w9_latest_per_domain", f"""WITH {OUTCOMES_CTE}
@@ -963,7 +976,7 @@ t AS (SELECT to_json(list({{'domain': domain, 'count': n}} ORDER BY n DESC, doma
             GROUP BY 1 ORDER BY n DESC, domain LIMIT 10))
 SELECT * FROM a, s, t""")
 def k8_run_stats(spark, sf):
-    r = K.run_stats_row(_outcomes(spark, sf))
+    r = K.run_stats_row(_outcomes_table(spark, sf))
     return r.select("total_processed", "successful_requests", "failed_requests",
                     F.to_json("status_code_distribution").alias("status_code_distribution"),
                     F.to_json("top_domains").alias("top_domains"))
