@@ -44,12 +44,14 @@ def allow_urls(urls: DataFrame, robots: DataFrame, user_agent: str = "*", id_col
     """``allowed`` per URL row (rows keep all their columns)."""
     r = broadcast_if_small(governing_rules(robots, user_agent).select(
         F.col("domain").alias("_rd"), "rule_no", "allow", F.col("path").alias("_rp")))
+    cols = urls.columns
     u = urls.withColumn("_d", netloc(url_col)).withColumn("_p", url_path_key(url_col))
-    m = u.select(id_col, "_d", "_p").join(
-        r, (F.col("_d") == F.col("_rd")) & ((F.col("_rp") == "*") | F.col("_p").startswith(F.col("_rp"))), "inner")
-    first = m.groupBy(id_col).agg(F.min_by("allow", "rule_no").alias("_allow"))
-    out = u.join(first, id_col, "left")
-    return out.withColumn("allowed", F.coalesce(F.col("_allow"), F.lit(True))).drop("_d", "_p", "_allow")
+    # left join to the matching rules (a URL matches at most its file's rules),
+    # then one aggregation per URL row: the URL side is shuffled once
+    m = u.join(r, (F.col("_d") == F.col("_rd")) & ((F.col("_rp") == "*") | F.col("_p").startswith(F.col("_rp"))),
+               "left")
+    out = m.groupBy(*cols).agg(F.min_by("allow", "rule_no").alias("_allow"))
+    return out.select(*cols, F.coalesce(F.col("_allow"), F.lit(True)).alias("allowed"))
 
 
 def blocked_counts(allowed: DataFrame, url_col: str = "url") -> DataFrame:
