@@ -1245,3 +1245,16 @@ SELECT to_json({{'total_processed': total_processed, 'successful_requests': succ
                  'total_retry_time': CAST(round(total_retry_time, 6) AS DECIMAL(20,6)),
                  'mean_retry_time': CAST(round(mean_retry_time, 6) AS DECIMAL(20,6)),
                  'total_attempts': total_attempts}})::VARCHAR AS report, * FROM j"""
+
+
+# T3 (availableNow over the outcome files): an outage is emitted when a later
+# failure closes it, or by event-time timeout once the final watermark
+# (latest request time - 1 day) has passed its open_until
+ORACLE["t3_outage_stream"] = f"""{_W7_CTE},
+wm AS (SELECT max(epoch_us(ts)) // 1000 - 86400000 AS wm_ms FROM outcomes),
+closed AS (SELECT domain, e_at AS opened_at, e_until AS open_until, e_n AS n FROM r WHERE e_at IS NOT NULL),
+still_open AS (SELECT r.domain, r.opened_at, r.open_until, r.n FROM r JOIN last_i l ON r.domain = l.domain AND r.i = l.i
+               WHERE r.open_until IS NOT NULL AND (SELECT wm_ms FROM wm) > r.open_until // 1000 + 1)
+SELECT domain, make_timestamp(opened_at) AS opened_at, make_timestamp(open_until) AS open_until,
+       CAST(n AS BIGINT) AS failures_while_open
+FROM (SELECT * FROM closed UNION ALL SELECT * FROM still_open)"""

@@ -130,11 +130,14 @@ def outage_stream(log: DataFrame, threshold: int = 5, window_s: float = 60.0, co
     """Per-domain breaker as keyed state.  Only counting failures enter the
     state machine (as in the batch job); state per domain is at most
     ``threshold - 1`` recent failure times plus the open interval.  An outage
-    is emitted when a later failure closes it or when the watermark passes
-    ``open_until`` (event-time timeout)."""
-    f = (log.filter(counts_for_breaker("error_type"))
-         .select("domain", "ts", "event_id", F.unix_micros("ts").alias("t_us"))
-         .withWatermark("ts", watermark))
+    is emitted when a later failure closes it or when the watermark (which
+    follows every request) passes ``open_until`` (event-time timeout)."""
+    # the watermark is set on the whole stream; the failure filter is written as
+    # one expression over the event-time column, which Catalyst does not push
+    # below the watermark, so event time advances with every request
+    counting = F.when(F.col("ts").isNotNull(), counts_for_breaker("error_type")).otherwise(F.lit(False))
+    f = (log.withWatermark("ts", watermark).filter(counting)
+         .select("domain", "ts", "event_id", F.unix_micros("ts").alias("t_us")))
     fn = _breaker_fn(threshold, int(window_s * 1e6), int(cooldown_s * 1e6))
     return f.groupBy("domain").applyInPandasWithState(fn, OUTAGE_OUT, OUTAGE_STATE, "append",
                                                       GroupStateTimeout.EventTimeTimeout)
