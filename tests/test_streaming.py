@@ -59,3 +59,24 @@ def test_progress_to_target(spark):
     r = S.progress_to_target(w, 100, bucket_seconds=86_400).orderBy("window_start").collect()
     assert [x.pages_done for x in r[:3]] == [10, 20, 30]
     assert r[-1].pct_of_target == 100.0 and r[0].eta_s == 9.0
+
+
+def test_t2_dedup_within_watermark(spark, tmpdir_path):
+    src = os.path.join(tmpdir_path, "src")
+    t0 = dt.datetime(2024, 1, 1, 12)
+    schema = "event_id long, url string, domain string, ts timestamp, elapsed_s double, status int"
+
+    def batch(rows):
+        df = spark.createDataFrame(rows, schema).withColumn("error_type", error_class("status"))
+        df.coalesce(1).write.mode("append").parquet(src)
+
+    h = dt.timedelta(hours=1)
+    batch([(1, "https://a.com/x", "a.com", t0, 0.1, 200), (2, "https://a.com/x", "a.com", t0 + h / 6, 0.1, 200)])
+    batch([(3, "https://a.com/y", "a.com", t0 + 5 * h, 0.1, 200)])  # moves the watermark past the first sighting
+    batch([(4, "https://a.com/z", "a.com", t0 + 5.5 * h, 0.1, 200)])  # a batch that evicts the expired /x state
+    batch([(5, "https://a.com/x", "a.com", t0 + 6 * h, 0.1, 200)])  # state for /x is gone: emitted again
+    out, ck = os.path.join(tmpdir_path, "out"), os.path.join(tmpdir_path, "ck")
+    stream = S.dedup_urls(S.fetch_log_stream(spark, src, max_files_per_trigger=1), watermark="1 hour")
+    S.run_available(stream.select("event_id", "url"), out, ck)
+    got = sorted(r.event_id for r in spark.read.parquet(out).collect())
+    assert got == [1, 3, 4, 5]
