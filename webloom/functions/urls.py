@@ -95,6 +95,25 @@ def clean_ref(href) -> Column:
     return strip_fragment(_clean_ref(_c(href)))
 
 
+def normalize_ref(h, base_scheme) -> Column:
+    """Two ``urljoin`` rules before resolution: a reference with the base's own
+    scheme and no host (``http:?q``, ``http:../x``) is relative; ``//`` followed
+    by an empty host (``//``, ``///x``) drops the empty authority."""
+    h = _c(h)
+    m = F.regexp_extract(h, r"^([A-Za-z][A-Za-z0-9+.-]*):", 1)
+    rest = F.substring(h, F.length(m) + 2, 1 << 30)
+    same_scheme = (m != "") & (F.lower(m) == F.lower(base_scheme))
+    with_host = rest.rlike(r"^//[^/?#]")
+    # same scheme with a host: as urlunparse writes it (scheme lower-cased, empty query dropped)
+    hosted = F.concat(F.lower(m), F.lit(":"),
+                      F.when(F.instr(rest, "?") == F.length(rest), F.substring(rest, 1, F.length(rest) - 1))
+                      .otherwise(rest))
+    # same scheme without a host: a relative reference (kept a path if it looks like a scheme)
+    relative = F.when(rest.rlike(SCHEME_RE), F.concat(F.lit("./"), rest)).otherwise(rest)
+    h1 = F.when(same_scheme & with_host, hosted).when(same_scheme, relative).otherwise(h)
+    return F.when(h1.rlike(r"^//([/?#]|$)"), F.substring(h1, 3, 1 << 30)).otherwise(h1)
+
+
 def split_ref(h) -> Column:
     """STRUCT<h, hp (path), hq (query or null), segs> of a cleaned reference."""
     h = _c(h)
@@ -128,7 +147,7 @@ def resolve(parts: dict, ref: Column) -> Column:
     segs = F.when(hp.startswith("/"), hs).otherwise(merged)
     path = F.concat(F.lit("/"), F.regexp_replace(F.array_join(_remove_dots(segs), "/"), "^/", ""))
     return (F.when(h.rlike(SCHEME_RE), h)
-            .when(h.startswith("//"), F.concat(parts["scheme"], F.lit(":"), h))
+            .when(h.rlike(r"^//[^/?#]"), F.concat(parts["scheme"], F.lit(":"), h))
             .when((hp == "") & (F.coalesce(hq, F.lit("")) == ""), parts["b"])
             .when(hp == "", F.concat(parts["noquery"], F.lit("?"), hq))
             # fast path: an absolute path without dot segments is kept as written
@@ -146,7 +165,8 @@ def urljoin(base, href, parts: dict | None = None) -> Column:
     dropped up front (callers cut fragments anyway).  ``parts`` may hold the
     base's parts precomputed as columns (see ``base_parts``).
     """
-    return resolve(parts or base_parts(base), split_ref(clean_ref(href)))
+    p = parts or base_parts(base)
+    return resolve(p, split_ref(normalize_ref(clean_ref(href), p["scheme"])))
 
 
 def urljoin_sql(base: str, href: str) -> str:
@@ -155,7 +175,7 @@ def urljoin_sql(base: str, href: str) -> str:
     # DuckDB: build in a correlated subquery so every part is computed once
     return f"""(SELECT CASE
         WHEN regexp_matches(h, {lit(SCHEME_RE)}) THEN h
-        WHEN starts_with(h, '//') THEN regexp_extract(b, {lit(r'^([A-Za-z][A-Za-z0-9+.-]*):')}, 1) || ':' || h
+        WHEN regexp_matches(h, '^//[^/?#]') THEN regexp_extract(b, {lit(r'^([A-Za-z][A-Za-z0-9+.-]*):')}, 1) || ':' || h
         WHEN hp = '' AND coalesce(hq, '') = '' THEN b
         WHEN hp = '' THEN split_part(b, '?', 1) || '?' || hq
         ELSE regexp_extract(b, {lit(r'^([A-Za-z][A-Za-z0-9+.-]*://[^/?#]*)')}, 1)
@@ -180,4 +200,15 @@ def urljoin_sql(base: str, href: str) -> str:
       END
       FROM (SELECT b, h, split_part(h, '?', 1) AS hp,
                    CASE WHEN strpos(h, '?') > 0 THEN substr(h, strpos(h, '?') + 1) END AS hq
-            FROM (SELECT {b} AS b, {h} AS h)))"""
+            FROM (SELECT b, CASE WHEN regexp_matches(h1, '^//([/?#]|$)') THEN substr(h1, 3) ELSE h1 END AS h
+                  FROM (SELECT b, CASE WHEN m <> '' AND lower(m) = lower(regexp_extract(b, {lit(r'^([A-Za-z][A-Za-z0-9+.-]*):')}, 1))
+                                       THEN CASE WHEN regexp_matches(substr(h0, length(m) + 2), '^//[^/?#]')
+                                                 THEN lower(m) || ':' || CASE WHEN strpos(substr(h0, length(m) + 2), '?') = length(substr(h0, length(m) + 2))
+                                                                              THEN substr(h0, length(m) + 2, length(substr(h0, length(m) + 2)) - 1)
+                                                                              ELSE substr(h0, length(m) + 2) END
+                                                 WHEN regexp_matches(substr(h0, length(m) + 2), {lit(SCHEME_RE)})
+                                                 THEN './' || substr(h0, length(m) + 2)
+                                                 ELSE substr(h0, length(m) + 2) END
+                                       ELSE h0 END AS h1
+                        FROM (SELECT b, h0, regexp_extract(h0, {lit(r'^([A-Za-z][A-Za-z0-9+.-]*):')}, 1) AS m
+                              FROM (SELECT {b} AS b, {h} AS h0))))))"""

@@ -44,7 +44,7 @@ def _page_links_expr(url, cleaned, filter_external: bool = False, allowed_domain
     url = F.col(url) if isinstance(url, str) else url
     parts = ({k: F.col(v) for k, v in BASE_COLS.items()} if parts_projected else U.base_parts(url))
     hs = F.filter(H.hrefs(cleaned), lambda h: (h != "") & ~h.startswith("#"))
-    refs = F.transform(F.transform(hs, U.clean_ref), U.split_ref)
+    refs = F.transform(F.transform(hs, lambda h: U.normalize_ref(U.clean_ref(h), parts["scheme"])), U.split_ref)
     res = F.filter(F.transform(refs, lambda r: U.strip_fragment(U.resolve(parts, r))), U.is_valid_url)
     if filter_external:
         base_dom = U.norm_domain(url)
@@ -71,14 +71,20 @@ def link_table(pages: DataFrame, filter_external: bool = False, allowed_domains=
 
 
 def raw_link_table(pages: DataFrame) -> DataFrame:
-    """All resolved hrefs with their validity (U3/U4/U5 job): page_id, pos, href, resolved, valid."""
-    c = pages.select("page_id", "url", H.clean("html").alias(CLEAN))
-    x = c.select("page_id", "url", F.posexplode(H.hrefs(CLEAN)).alias("pos", "href"))
-    resolved = U.strip_fragment(U.urljoin("url", "href"))
+    """All resolved hrefs with their validity (U3/U4/U5 job): page_id, pos, href, resolved, valid.
+    Resolution runs element-wise over the page's href array (as in
+    ``page_links``), so each reference is cleaned once."""
+    c = with_base_parts(pages.select("page_id", "url", H.clean("html").alias(CLEAN)))
+    parts = {k: F.col(v) for k, v in BASE_COLS.items()}
+    hs = H.hrefs(CLEAN)
+    refs = F.transform(F.transform(hs, lambda h: U.normalize_ref(U.clean_ref(h), parts["scheme"])), U.split_ref)
+    res = F.transform(refs, lambda r: U.strip_fragment(U.resolve(parts, r)))
+    x = c.select("page_id", F.posexplode(F.arrays_zip(hs.alias("href"), res.alias("resolved"))).alias("pos", "z"))
+    x = x.select("page_id", "pos", F.col("z.href").alias("href"), F.col("z.resolved").alias("resolved"))
     skip = (F.col("href") == "") | F.col("href").startswith("#")
     return x.select("page_id", "pos", "href",
-                    F.when(skip, F.lit(None)).otherwise(resolved).alias("resolved"),
-                    (~skip & U.is_valid_url(resolved)).alias("valid"))
+                    F.when(skip, F.lit(None)).otherwise(F.col("resolved")).alias("resolved"),
+                    (~skip & U.is_valid_url(F.col("resolved"))).alias("valid"))
 
 
 # J1 ----------------------------------------------------------------------------
