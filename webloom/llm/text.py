@@ -113,12 +113,18 @@ def words(c: Chunk) -> Words:
     right[off[1:][full] - 1] = True
     start = np.flatnonzero(~space & left)
     end = np.flatnonzero(~space & right) + 1
-    power, inverse = _power_arrays(n)
+    return Words(start, end, span_hash(data, start, end), np.searchsorted(start, off))
+
+
+def span_hash(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """Hash of every byte span, the same wherever the span stands."""
+    n = len(data)
+    power, inverse = _power_arrays(max(n, 1))
     total = np.empty(n + 1, U64)
     total[0] = 0
     np.cumsum(_TABLE[data] * power[:n], out=total[1:])
-    h = mix((total[end] - total[start]) * inverse[start] + (end - start).astype(U64) * _PLACE[63])
-    return Words(start, end, h, np.searchsorted(start, off))
+    inner = (total[end] - total[start]) * inverse[np.minimum(start, max(n - 1, 0))]
+    return mix(inner + (end - start).astype(U64) * _PLACE[63])
 
 
 def windows(h: np.ndarray, first: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
