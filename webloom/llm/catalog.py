@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 #: query name -> (module, function); each function takes (spark, sf_dir)
 _ENTRIES = {
     "op1_lm_scoring": "lm_nce",
+    "op2_token_store": "token_store",
     "op3_decontamination": "decontaminate",
     "op6_ngram_jaccard_join": "jaccard_join",
 }
