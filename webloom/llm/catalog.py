@@ -13,6 +13,7 @@ _ENTRIES = {
     "op2_token_store": "token_store",
     "op3_decontamination": "decontaminate",
     "op6_ngram_jaccard_join": "jaccard_join",
+    "op9_best_fit_packing": "packing",
 }
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
