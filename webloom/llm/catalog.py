@@ -13,7 +13,9 @@ _ENTRIES = {
     "op2_token_store": "token_store",
     "op3_decontamination": "decontaminate",
     "op6_ngram_jaccard_join": "jaccard_join",
+    "op8_exact_topk": "exact_topk",
     "op9_best_fit_packing": "packing",
+    "op10_warc_store": "warc_store",
 }
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
