@@ -12,6 +12,8 @@ _ENTRIES = {
     "op1_lm_scoring": "lm_nce",
     "op2_token_store": "token_store",
     "op3_decontamination": "decontaminate",
+    "op4_toxicity": "toxicity",
+    "op5_pii": "pii",
     "op6_ngram_jaccard_join": "jaccard_join",
     "op8_exact_topk": "exact_topk",
     "op9_best_fit_packing": "packing",
