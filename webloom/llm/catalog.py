@@ -15,6 +15,7 @@ _ENTRIES = {
     "op4_toxicity": "toxicity",
     "op5_pii": "pii",
     "op6_ngram_jaccard_join": "jaccard_join",
+    "op7_main_text": "main_text",
     "op8_exact_topk": "exact_topk",
     "op9_best_fit_packing": "packing",
     "op10_warc_store": "warc_store",
