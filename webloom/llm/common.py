@@ -7,7 +7,7 @@ from collections.abc import Iterable
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..session import checkpoint_dir, cut_lineage, read_table  # noqa: F401
@@ -76,34 +76,29 @@ def merge_slices(rows: DataFrame, size: int, dtype=np.uint32, how: str = "sum")
 
 
 def components(edges: DataFrame) -> DataFrame:
-    """Connected components of ``edges (a long, b long)`` by alternating
-    large-star and small-star steps.  Returns (id, component) for every id in an edge;
-    component is the smallest id of the component.
-
-    Each round is two grouped joins over the edge table, written to the shared
-    folder.  The loop ends when a round changes no edge; the driver holds only
-    a checksum.  Rounds are logarithmic in a component's size.
+    """Connected components of ``edges (a long, b long)``: (id, component) for every id in
+    an edge; component is the smallest id of the component.
+
+    Each round links the smaller neighbours of a node to the smallest of them
+    (a node's smaller neighbours are few, so no group is large) and then lets every
+    edge point past its end to that end's own smallest neighbour, which halves the
+    paths.  A round is written to the shared folder; the loop ends when it changes no
+    edge, of which the driver sees a checksum only.
     """
     def signature(df):
         r = df.agg(F.count("*").alias("n"), F.bit_xor(F.xxhash64("a", "b")).alias("x")).first()
         return r["n"], r["x"]
 
-    def star(df: DataFrame, large: bool) -> DataFrame:
-        both = (df.select("a", "b").unionAll(df.select(F.col("b").alias("a"), F.col("a").alias("b")))
-                if large else df.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")))
-        low = both.groupBy("a").agg(F.min("b").alias("m"))
-        low = low.select("a", F.least("a", "m").alias("m"))
-        j = both.join(low, "a")
-        if large:
-            out = j.where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
-        else:
-            out = j.select(F.col("b").alias("a"), F.col("m").alias("b")).unionAll(low.select("a", F.col("m").alias("b")))
-        return out.where("a != b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
-
     cur = cut_lineage(edges.where("a != b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct())
     before = signature(cur)
     while before[0]:
-        cur = cut_lineage(star(star(cur, True), False))
+        low = F.min("b").over(Window.partitionBy("a"))
+        linked = (cur.select("a", "b", low.alias("m"))
+                  .select(F.explode(F.array(F.struct("a", F.col("m").alias("b")), F.struct(F.col("b").alias("a"), F.col("m").alias("b")))).alias("e"))
+                  .select("e.a", "e.b").where("a != b").distinct())
+        own = linked.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("low"))
+        cur = cut_lineage(linked.join(own, F.col("b") == F.col("node"), "left")
+                          .select("a", F.coalesce("low", "b").alias("b")).distinct())
         now = signature(cur)
         if now == before:
             break

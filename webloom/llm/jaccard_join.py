@@ -11,7 +11,8 @@ Plan
      out of the prefixes.
   3. Each class enters the index under the first ``|A| - ceil(t|A|) + 1``
      shingles of the order.  Linked sets share such a shingle, so classes that
-     share none are never compared.  Classes joined by shared index shingles form clusters.
+     share none are never compared.  Classes that share one and whose sizes allow
+     the threshold form clusters.
   4. A cluster is cut into blocks of bounded bytes by size band; two blocks meet
      only if their sizes allow the threshold.  A task holds one block pair and
      finds every link in it (:func:`links_in`) by
@@ -20,7 +21,9 @@ Plan
      * answer skipping: the overlaps of a set are derived from those of a
        similar set already answered, reading only postings of shingles
        in which the two differ.
-     Tasks emit a spanning set of links, never all pairs of a group.
+     Tasks emit one edge per linked set, never all pairs of a group.  A first
+     run over the index parts (a tenth of the sets) splits the clusters by a safe
+     bound, a second run over whole sets decides.
   5. Components of the links; each class takes its component's smallest doc_id.
 
 Defined results: null or blank texts have the empty set, link with nothing and
@@ -63,11 +66,16 @@ def prefix_length(n: int, num: int, den: int) -> int:
     return n - -(-n * num // den) + 1
 
 
+def index_part(s: np.ndarray, counts, num: int, den: int) -> np.ndarray:
+    """The first shingles of a set in the total order (count, hash)."""
+    order = np.argsort(counts.value[slots(s)], kind="stable")
+    return s[order[:prefix_length(len(s), num, den)]]
+
+
 # ---- passes over the texts ----------------------------------------------------------
 def _set_rows(batches: Iterable[pa.RecordBatch], k: int) -> Iterator[pa.RecordBatch]:
     """Per document (id, n, fp), and the partition's shingle counts as slices."""
     counts = np.zeros(COUNTERS, np.uint32)
-    empty = pa.array([], pa.binary())
 
     def docs(ids, n, fp):
         m = len(n)
@@ -88,25 +96,28 @@ def _set_rows(batches: Iterable[pa.RecordBatch], k: int) -> Iterator[pa.RecordBa
     yield pa.RecordBatch.from_arrays(
         [pa.nulls(m, pa.int64()), pa.nulls(m, pa.int64()), pa.nulls(m, pa.int64()), s.column(0), s.column(1)],
         ["id", "n", "fp", "slice", "counts"])
-    del empty
 
 
 def _prefix_rows(batches: Iterable[pa.RecordBatch], k: int, counts, num: int, den: int) -> Iterator[pa.RecordBatch]:
-    """(token, fp) for each shingle a set is indexed under."""
+    """(token, fp, n) for each shingle a set is indexed under, each set once
+    per partition."""
+    done: set[int] = set()
     for b in batches:
-        toks, fps = [], []
+        toks, fps, ns = [], [], []
         for c in X.chunks(b.column(0)):
             for s in X.shingles(X.words(c), k):
                 n = len(s)
-                if not n:
+                fp = fingerprint(s)
+                if not n or fp in done:
                     continue
-                p = prefix_length(n, num, den)
-                order = np.argsort(counts.value[slots(s)], kind="stable")[:p]
-                toks.append(s[order])
-                fps.append(np.full(p, fingerprint(s), np.int64))
+                done.add(fp)
+                toks.append(index_part(s, counts, num, den))
+                fps.append(np.full(len(toks[-1]), fp, np.int64))
+                ns.append(np.full(len(toks[-1]), n, np.int32))
         if toks:
-            yield pa.RecordBatch.from_arrays([pa.array(signed(np.concatenate(toks))), pa.array(np.concatenate(fps))],
-                                             ["token", "fp"])
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(signed(np.concatenate(toks))), pa.array(np.concatenate(fps)), pa.array(np.concatenate(ns))],
+                ["token", "fp", "n"])
 
 
 def _bloom_slots(fp: np.ndarray) -> np.ndarray:
@@ -120,37 +131,48 @@ def _bloom_rows(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield slice_rows(np.packbits(seen))
 
 
-def _full_sets(batches: Iterable[pa.RecordBatch], k: int, bits) -> Iterator[pa.RecordBatch]:
-    """(fp, set) of the documents whose fingerprint may be in a cluster."""
+def _member_sets(batches: Iterable[pa.RecordBatch], k: int, bits, part=None) -> Iterator[pa.RecordBatch]:
+    """(fp, n, set) of the documents whose fingerprint may be in a cluster, each
+    set once per partition; ``part`` picks the shingles to send."""
+    done: set[int] = set()
     for b in batches:
-        fps, sets = [], []
+        fps, ns, sets = [], [], []
         for c in X.chunks(b.column(0)):
             for s in X.shingles(X.words(c), k):
                 if not len(s):
                     continue
                 fp = fingerprint(s)
                 at = int(_bloom_slots(np.array([fp], np.int64))[0])
-                if bits.value[at >> 3] >> (7 - (at & 7)) & 1:
+                if fp not in done and bits.value[at >> 3] >> (7 - (at & 7)) & 1:
+                    done.add(fp)
                     fps.append(fp)
-                    sets.append(s.tobytes())
+                    ns.append(len(s))
+                    sets.append((s if part is None else part(s)).tobytes())
         if fps:
-            yield pa.RecordBatch.from_arrays([pa.array(fps, pa.int64()), pa.array(sets, pa.binary())], ["fp", "shingles"])
+            yield pa.RecordBatch.from_arrays([pa.array(fps, pa.int64()), pa.array(ns, pa.int32()), pa.array(sets, pa.binary())],
+                                             ["fp", "n", "shingles"])
 
 
 # ---- inside one task ------------------------------------------------------------------
-def links_in(sets: list[np.ndarray], num: int, den: int) -> list[tuple[int, int]]:
+def links_in(sets: list[np.ndarray], sizes: list[int], num: int, den: int) -> list[tuple[int, int]]:
     """A spanning set of links among ``sets``: the returned pairs are all links
     of the answer graph that first join two components.  Every pair that the
-    threshold allows is decided from its exact overlap."""
-    order = sorted(range(len(sets)), key=lambda i: len(sets[i]))
+    size bound allows is decided from its exact overlap.
+
+    Given index parts in place of whole sets (``sizes`` counts whole sets), a pair stays
+    if its sets may link: of the set whose part ends first in the order, at
+    most ``|A| - overlap needed`` shingles are missing from the other's part."""
+    order = sorted(range(len(sets)), key=lambda i: sizes[i])
     sets = [sets[i] for i in order]
     m = len(sets)
-    size = np.array([len(s) for s in sets])
+    size = np.array(sizes, np.int64)[order]
+    held = np.array([len(s) for s in sets])
+    unseen = size - held
     token, flat = np.unique(np.concatenate(sets), return_inverse=True)
-    at = np.concatenate([[0], np.cumsum(size)])
+    at = np.concatenate([[0], np.cumsum(held)])
     own = [flat[at[i]:at[i + 1]] for i in range(m)]
     by_token = np.argsort(flat, kind="stable")  # postings in order of set size
-    holder = np.repeat(np.arange(m), size)[by_token]
+    holder = np.repeat(np.arange(m), held)[by_token]
     begin = np.searchsorted(flat[by_token], np.arange(len(token) + 1))
     # positions that the size bound allows, and a wider run that relatives share
     low = np.searchsorted(size, -(-size * num // den), "left")
@@ -203,7 +225,7 @@ def links_in(sets: list[np.ndarray], num: int, den: int) -> list[tuple[int, int]
                 count = overlaps(own[i], a, b)
             near = np.arange(low[i], high[i])
             c = count[low[i] - a:high[i] - a]
-            linked = near[(num + den) * c >= num * (size[near] + size[i])]
+            linked = near[(num + den) * (c + np.maximum(unseen[near], unseen[i])) >= num * (size[near] + size[i])]
             for j in linked[linked != i]:
                 x, y = root(i), root(int(j))
                 if x != y:
@@ -218,22 +240,37 @@ def links_in(sets: list[np.ndarray], num: int, den: int) -> list[tuple[int, int]
 
 
 def _solve(batches: Iterable[pa.RecordBatch], num: int, den: int) -> Iterator[pa.RecordBatch]:
-    """Rows (task, fp, shingles) sorted by task -> links (a, b) of every task."""
-    task, fps, sets = None, [], []
+    """Rows (task, fp, n, shingles) sorted by task -> edges (a, b) from
+    every linked set to the smallest fingerprint of its component in the task."""
+    task, fps, ns, sets, here = None, [], [], [], set()
 
     def flush():
-        pairs = links_in(sets, num, den) if len(sets) > 1 else []
+        parent = list(range(len(fps)))
+
+        def root(i):
+            while parent[i] != i:
+                parent[i] = parent[parent[i]]
+                i = parent[i]
+            return i
+
+        for i, j in links_in(sets, ns, num, den):
+            x, y = sorted((root(i), root(j)), key=fps.__getitem__)
+            parent[y] = x
+        star = [(f, fps[root(i)]) for i, f in enumerate(fps) if root(i) != i]
         return pa.RecordBatch.from_arrays(
-            [pa.array([fps[i] for i, _ in pairs], pa.int64()), pa.array([fps[j] for _, j in pairs], pa.int64())], ["a", "b"])
+            [pa.array([f for f, _ in star], pa.int64()), pa.array([r for _, r in star], pa.int64())], ["a", "b"])
 
     for batch in batches:
-        for t, fp, s in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2), strict=True):
+        for t, fp, n, s in zip(*(batch.column(i).to_pylist() for i in range(3)), batch.column(3), strict=True):
             if t != task:
                 if len(sets) > 1:
                     yield flush()
-                task, fps, sets = t, [], []
-            fps.append(fp)
-            sets.append(np.frombuffer(s.as_buffer(), np.uint64))
+                task, fps, ns, sets, here = t, [], [], [], set()
+            if fp not in here:
+                here.add(fp)
+                fps.append(fp)
+                ns.append(n)
+                sets.append(np.frombuffer(s.as_buffer(), np.uint64))
     if len(sets) > 1:
         yield flush()
 
@@ -250,20 +287,13 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     rows = passed.where("fp IS NOT NULL").select("id", "n", "fp")
     counts = sc.broadcast(merge_slices(passed.where("slice IS NOT NULL").select("slice", "counts"), COUNTERS))
 
-    entries = cut_lineage(text.mapInArrow(lambda it: _prefix_rows(it, k, counts, num, den), "token long, fp long"))
-    shared = (entries.groupBy("token").agg(F.min("fp").alias("low"), F.max("fp").alias("high"))
-              .where("low != high").select("token", F.col("low").alias("b")))
-    star = cut_lineage(entries.join(shared, "token").where("fp != b").select(F.col("fp").alias("a"), "b").distinct())
-    cluster = cut_lineage(components(star))
-
-    bits = sc.broadcast(merge_slices(cluster.select("id").mapInArrow(_bloom_rows, "slice int, counts binary"),
-                                     BLOOM_BITS // 8, np.uint8, "or"))
-    full = cut_lineage(text.mapInArrow(lambda it: _full_sets(it, k, bits), "fp long, shingles binary")
-                       .dropDuplicates(["fp"]))
-    task_rows = _block_pairs(cluster, full, num, den, block_bytes)
-    n_parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    links = cut_lineage(task_rows.repartition(n_parts, "task").sortWithinPartitions("task")
-                        .mapInArrow(lambda it: _solve(it, num, den), "a long, b long"))
+    entries = cut_lineage(text.mapInArrow(lambda it: _prefix_rows(it, k, counts, num, den), "token long, fp long, n int"))
+    shared = entries.groupBy("token").agg(F.min("fp").alias("x"), F.max("fp").alias("y")).where("x != y").select("token")
+    sizes = rows.groupBy("fp").agg(F.first("n").alias("n"))
+    clusters = components(_meetings(entries.join(shared, "token"), num, den))
+    # the index parts alone tell most clusters apart; whole sets are sent only for what remains
+    maybe = _solved(text, clusters, sizes, k, num, den, block_bytes, lambda s: index_part(s, counts, num, den))
+    links = _solved(text, components(maybe), sizes, k, num, den, block_bytes)
     comp = components(links).withColumnsRenamed({"id": "fp"})
 
     low = rows.groupBy("fp").agg(F.min("id").alias("low"))
@@ -275,22 +305,50 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
                     F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("id")).alias("component_id")))
 
 
-def _block_pairs(cluster: DataFrame, full: DataFrame, num: int, den: int, block_bytes: int) -> DataFrame:
-    """(task, fp, shingles): every set in every block pair it belongs to.
+def _solved(text: DataFrame, clusters: DataFrame, sizes: DataFrame, k: int, num: int, den: int, block_bytes: int,
+            part=None) -> DataFrame:
+    """Links (a, b) inside the clusters (id, component)."""
+    spark = text.sparkSession
+    member = cut_lineage(clusters.join(sizes, F.col("id") == F.col("fp")).select("fp", "component", "n"))
+    bits = spark.sparkContext.broadcast(merge_slices(
+        member.select("fp").mapInArrow(_bloom_rows, "slice int, counts binary"), BLOOM_BITS // 8, np.uint8, "or"))
+    sets = text.mapInArrow(lambda it: _member_sets(it, k, bits, part), "fp long, n int, shingles binary")
+    n_parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return cut_lineage(sets.join(_block_pairs(member, num, den, block_bytes), "fp").select("task", "fp", "n", "shingles")
+                       .repartition(n_parts, "task").sortWithinPartitions("task")
+                       .mapInArrow(lambda it: _solve(it, num, den), "a long, b long"))
+
+
+def _band(n, num: int, den: int):
+    """Size band: linked sizes lie in the same or in neighbouring bands."""
+    return F.floor(F.log(n.cast("double")) / F.lit(math.log(den / num)) + F.lit(1e-9)).cast("long")
+
+
+def _meetings(entries: DataFrame, num: int, den: int) -> DataFrame:
+    """Edges (a, b) that connect all classes which share an index shingle and
+    whose sizes allow the threshold: a star per shingle and band, and an edge between
+    neighbouring bands.  Rows are linear in the entries."""
+    e = entries.withColumn("band", _band(F.col("n"), num, den))
+    star = e.groupBy("token", "band").agg(F.min("fp").alias("rep"), F.min("n").alias("low"), F.max("n").alias("high"))
+    inside = e.join(star, ["token", "band"]).select(F.col("fp").alias("a"), F.col("rep").alias("b"))
+    above = star.select("token", (F.col("band") - 1).alias("band"), F.col("rep").alias("b"), F.col("low").alias("low_above"))
+    across = (star.join(above, ["token", "band"]).where(F.col("high") * den >= F.col("low_above") * num)
+              .select(F.col("rep").alias("a"), "b"))
+    return inside.unionAll(across).where("a != b").distinct()
+
+
+def _block_pairs(member: DataFrame, num: int, den: int, block_bytes: int) -> DataFrame:
+    """(fp, task): every block pair a class belongs to.
 
-    A cluster within ``block_bytes`` is one block.  A larger one is split into
-    size bands of ratio num/den and salted blocks inside a band; linked sets
-    lie in the same or in neighbouring bands, other block pairs are skipped."""
-    sets = cluster.join(full, F.col("id") == F.col("fp")).select("component", "fp", "shingles")
-    size = F.octet_length("shingles")
-    band = F.floor(F.log(size.cast("double")) / F.lit(math.log(den / num))).cast("long")
-    weight = sets.select("component", "fp", size.alias("bytes"), band.alias("band"))
+    A cluster whose sets fit ``block_bytes`` is one block.  A larger one is split into
+    size bands and salted blocks inside a band; linked sets lie in the same or
+    in neighbouring bands, other block pairs are skipped."""
+    weight = member.select("component", "fp", (F.col("n") * 8).alias("bytes"), _band(F.col("n"), num, den).alias("band"))
     total = weight.groupBy("component").agg(F.sum("bytes").alias("total")).where(F.col("total") > block_bytes)
     large = weight.join(total.select("component"), "component")
     salts = large.groupBy("component", "band").agg(F.ceil(F.sum("bytes") / block_bytes).cast("long").alias("salts"))
     block = large.join(salts, ["component", "band"]).select(
         "component", "fp", "band", F.pmod(F.xxhash64("fp"), F.col("salts")).alias("salt"))
-    # each set once per partner block: own band (salt pairs i <= j) and the bands beside it
     partner = salts.select("component", F.col("band").alias("band2"), F.col("salts").alias("salts2"))
     met = (block.join(partner, "component").where("abs(band - band2) <= 1")
            .withColumn("salt2", F.explode(F.sequence(F.lit(0).cast("long"), F.col("salts2") - 1))))
@@ -299,7 +357,7 @@ def _block_pairs(cluster: DataFrame, full: DataFrame, num: int, den: int, block_
     met = met.select("fp", F.xxhash64("component", F.least(mine, other), F.greatest(mine, other)).alias("task"))
     small = weight.join(total.select("component"), "component", "left_anti").select(
         "fp", F.xxhash64("component").alias("task"))
-    return small.unionAll(met).join(full, "fp").select("task", "fp", "shingles")
+    return small.unionAll(met)
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
