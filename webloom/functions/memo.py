@@ -13,6 +13,7 @@ import functools
 from pyspark import SparkContext
 
 _CACHE: dict = {}
+_STATE: dict = {"app": None}
 _PLAIN = (str, int, float, bool, type(None))
 
 
@@ -30,7 +31,11 @@ def cached_column(fn):
         if not all(_plain(a) for a in args) or not all(_plain(v) for v in kwargs.values()):
             return fn(*args, **kwargs)
         sc = SparkContext._active_spark_context
-        key = (fn.__module__, fn.__qualname__, args, tuple(sorted(kwargs.items())), id(sc))
+        key = (fn.__module__, fn.__qualname__, args, tuple(sorted(kwargs.items())))
+        app = sc.applicationId if sc is not None else None
+        if app != _STATE["app"]:  # Columns belong to one application's gateway
+            _CACHE.clear()
+            _STATE["app"] = app
         hit = _CACHE.get(key)
         if hit is None:
             hit = _CACHE[key] = fn(*args, **kwargs)

@@ -13,7 +13,6 @@ from pyspark.sql import functions as F
 from ..functions import html as H
 from ..functions import urls as U
 from ..functions.memo import cached_column
-from .joins import broadcast_if_small
 
 CLEAN = "_clean"
 
@@ -91,12 +90,12 @@ def raw_link_table(pages: DataFrame) -> DataFrame:
 def scope_to_page_domain(links: DataFrame, allowed: DataFrame | None = None,
                          allowed_col: str = "domain") -> DataFrame:
     """Keep links whose normalised target domain equals the page's or is in the
-    allow-list table (a left join against distinct allowed domains, broadcast
-    only when the list is proven small)."""
+    allow-list table (a left join against distinct allowed domains, which AQE
+    broadcasts when it measures small)."""
     x = links.withColumn("_dd", U.norm_domain("dst_url")).withColumn("_sd", U.norm_domain("src_url"))
     if allowed is None:
         return x.filter(F.col("_dd") == F.col("_sd")).drop("_dd", "_sd")
-    a = broadcast_if_small(allowed.select(F.col(allowed_col).alias("_ad")).distinct())
+    a = allowed.select(F.col(allowed_col).alias("_ad")).distinct()
     y = x.join(a, x["_dd"] == a["_ad"], "left")
     return y.filter((F.col("_dd") == F.col("_sd")) | F.col("_ad").isNotNull()).drop("_dd", "_sd", "_ad")
 
@@ -109,7 +108,7 @@ def seed_domains(seeds: DataFrame, url_col: str = "url") -> DataFrame:
 
 def same_domain_as_seeds(df: DataFrame, seeds: DataFrame, url_col: str = "url") -> DataFrame:
     """``same_domain_only``: netloc of the URL must be a netloc of some seed."""
-    sd = broadcast_if_small(seed_domains(seeds))
+    sd = seed_domains(seeds)
     return df.join(sd, U.netloc(F.col(url_col)) == sd["domain"], "left_semi")
 
 
@@ -132,15 +131,13 @@ def apply_patterns(df: DataFrame, url_col: str = "url", exclude=None, include=No
 
 
 def apply_pattern_table(df: DataFrame, patterns: DataFrame, how: str, url_col: str = "url",
-                        pattern_col: str = "pattern", max_patterns: int = 10_000) -> DataFrame:
-    """Pattern list held in a table: left-semi (include) / left-anti (exclude)
-    theta join on ``contains``.  The pattern side is broadcast and must be
-    proven small; a large pattern table is refused rather than cross-joined."""
-    from .joins import row_count_at_most
-    if not row_count_at_most(patterns, max_patterns):
-        raise ValueError(f"pattern table exceeds {max_patterns} rows")
-    p = F.broadcast(patterns.select(F.col(pattern_col).alias("_pat")))
-    return df.join(p, F.col(url_col).contains(F.col("_pat")), "left_semi" if how == "include" else "left_anti")
+                        pattern_col: str = "pattern") -> DataFrame:
+    """Pattern list held in a table: keep (include) or drop (exclude) the URLs that
+    contain any pattern.  The list, a job parameter, becomes one array by a scalar
+    subquery and each URL is tested against it; no row pairs are formed."""
+    held = df.withColumn("_patterns", patterns.agg(F.collect_set(pattern_col)).scalar())
+    hit = F.coalesce(F.exists("_patterns", lambda p: F.col(url_col).contains(p)), F.lit(False))
+    return held.filter(hit if how == "include" else ~hit).drop("_patterns")
 
 
 # J5 ----------------------------------------------------------------------------

@@ -16,13 +16,11 @@ Two facts make this a Spark job instead of one loop over the log:
   into independent episodes (gap test = bucketed ``previous_row``, episode
   number = bucketed running sum).
 
-Each (domain, episode) is replayed by ``applyInPandas``; clear-on-close makes
-the replay inside one episode sequential by nature.
+Episodes are replayed in parallel time chunks by ``applyInPandas`` (see below).
 """
 
 from __future__ import annotations
 
-import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -35,34 +33,6 @@ OUTAGE_SCHEMA = ("domain STRING, episode LONG, opened_at TIMESTAMP, open_until T
 ORDER = ["ts", "event_id"]
 
 
-def replay(times_us: np.ndarray, event_ids: np.ndarray, threshold: int, window_us: int, cooldown_us: int):
-    """Sequential breaker over one episode's failure times (sorted)."""
-    out = []
-    recent: list[int] = []
-    head = 0
-    open_until = None
-    opened_at = opened_by = None
-    n_open = 0
-    for t, eid in zip(times_us.tolist(), event_ids.tolist()):
-        if open_until is not None and t >= open_until:
-            out.append((opened_at, open_until, opened_by, n_open))
-            open_until = None
-            recent, head = [], 0
-        recent.append(t)
-        cutoff = t - window_us
-        while recent[head] < cutoff:
-            head += 1
-        if len(recent) - head >= threshold:
-            if open_until is None:
-                opened_at, opened_by, n_open = t, eid, 0
-            open_until = t + cooldown_us
-        if open_until is not None:
-            n_open += 1
-    if open_until is not None:
-        out.append((opened_at, open_until, opened_by, n_open))
-    return out
-
-
 def counting_failures(outcomes: DataFrame, window_s: float, cooldown_s: float,
                       bucket_seconds: int = KEY_BUCKET_SECONDS) -> DataFrame:
     """Counting failures with their episode number: a new episode starts
@@ -165,8 +135,10 @@ def _normalise(recent: F.Column, open_until: F.Column, start_us: F.Column, windo
     return r, o
 
 
-def chunked_replay(f: DataFrame, threshold: int, window_us: int, cooldown_us: int, chunk_us: int,
-                   max_rounds: int = 1000) -> DataFrame:
+def chunked_replay(f: DataFrame, threshold: int, window_us: int, cooldown_us: int, chunk_us: int) -> DataFrame:
+    """Replay rounds until no chunk's assumed start differs from the end before it.
+    Every round settles at least the first stale chunk of each episode for good,
+    so the loop ends, and it ends only with a consistent state."""
     from ..session import cut_lineage
     f = f.withColumn("chunk", F.floor(F.col("t_us") / F.lit(chunk_us)).cast("long"))
     f = cut_lineage(f)
@@ -180,7 +152,7 @@ def chunked_replay(f: DataFrame, threshold: int, window_us: int, cooldown_us: in
         return x.groupBy(*keys).applyInPandas(fn, REPLAY_SCHEMA)
 
     state = cut_lineage(run(chunks).join(chunks, keys))  # replay rows + the start each chunk assumed
-    for _ in range(max_rounds):
+    while True:
         ends = state.filter(F.col("kind") == "end").select(*keys, "s_recent", "s_open_until", "e_recent",
                                                             "e_open_until")
         # previous chunk of the same episode; the chunk table has one row per chunk

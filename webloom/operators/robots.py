@@ -6,9 +6,8 @@ product token, else the default ``*`` group, else none (allow).  Inside the
 group the first rule, in file order, whose path is a prefix of the URL's
 path+query (or is ``*``) decides; no match allows.
 
-The URL side is joined to the rule side on the host with a prefix
-condition; the rule table is broadcast only when proven small, otherwise it
-is a shuffle join on the host that AQE splits for a hot host.
+The URL rows join the files' rule arrays on the host; AQE broadcasts the file
+side when it measures small, and splits a hot host otherwise.
 """
 
 from __future__ import annotations
@@ -17,15 +16,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.urls import netloc
-from ..sources.robots import DEFAULT_CRAWL_DELAY, crawl_delays, robots_groups_and_rules
-from .joins import broadcast_if_small
+from ..sources.robots import DEFAULT_CRAWL_DELAY, crawl_delays, percent_decoded, robots_groups_and_rules
 
 PATH_RE = r"^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*(.*)$"
 
 
 def url_path_key(url) -> F.Column:
+    """Path and query of a URL, percent-decoded, as the rules' paths are."""
     rest = F.regexp_extract(url if not isinstance(url, str) else F.col(url), PATH_RE, 1)
-    return F.when(rest == "", F.lit("/")).otherwise(rest)
+    return F.when(rest == "", F.lit("/")).otherwise(percent_decoded(rest))
 
 
 def governing_rules(robots: DataFrame, user_agent: str = "*") -> DataFrame:
@@ -39,19 +38,17 @@ def governing_rules(robots: DataFrame, user_agent: str = "*") -> DataFrame:
     return rules.join(chosen, ["domain", "group_no"], "left_semi")
 
 
-def allow_urls(urls: DataFrame, robots: DataFrame, user_agent: str = "*", id_col: str = "url_id",
-               url_col: str = "url") -> DataFrame:
-    """``allowed`` per URL row (rows keep all their columns)."""
-    r = broadcast_if_small(governing_rules(robots, user_agent).select(
-        F.col("domain").alias("_rd"), "rule_no", "allow", F.col("path").alias("_rp")))
-    cols = urls.columns
-    u = urls.withColumn("_d", netloc(url_col)).withColumn("_p", url_path_key(url_col))
-    # left join to the matching rules (a URL matches at most its file's rules),
-    # then one aggregation per URL row: the URL side is shuffled once
-    m = u.join(r, (F.col("_d") == F.col("_rd")) & ((F.col("_rp") == "*") | F.col("_p").startswith(F.col("_rp"))),
-               "left")
-    out = m.groupBy(*cols).agg(F.min_by("allow", "rule_no").alias("_allow"))
-    return out.select(*cols, F.coalesce(F.col("_allow"), F.lit(True)).alias("allowed"))
+def allow_urls(urls: DataFrame, robots: DataFrame, user_agent: str = "*", url_col: str = "url") -> DataFrame:
+    """``allowed`` per URL row.  Every row is kept with all its columns; a file's
+    rules are one array (its size is the file's), and the first match decides."""
+    # one row per robots file: its governing rules in file order
+    files = (governing_rules(robots, user_agent).groupBy(F.col("domain").alias("_rd"))
+             .agg(F.array_sort(F.collect_list(F.struct("rule_no", "path", "allow"))).alias("_rules")))
+    path = F.col("_p")
+    matching = F.filter("_rules", lambda r: (r["path"] == "*") | path.startswith(r["path"]))
+    return (urls.withColumn("_d", netloc(url_col)).withColumn("_p", url_path_key(url_col))
+            .join(files, F.col("_d") == F.col("_rd"), "left")
+            .select(*urls.columns, F.coalesce(F.get(matching, F.lit(0))["allow"], F.lit(True)).alias("allowed")))
 
 
 def blocked_counts(allowed: DataFrame, url_col: str = "url") -> DataFrame:

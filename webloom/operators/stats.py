@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from ..functions.outcomes import PERMANENT
+from ..functions.outcomes import is_retryable
 from ..functions.urls import netloc
 
 
@@ -63,8 +63,10 @@ def error_counts(outcomes: DataFrame) -> DataFrame:
 
 # A5 ---------------------------------------------------------------------------
 def permanent_error_urls(outcomes: DataFrame) -> DataFrame:
-    """Distinct URLs whose request ended in a PermanentError."""
-    return outcomes.filter(F.col("error_type") == PERMANENT).select("url").distinct()
+    """Distinct URLs whose request ended in an error that is not retried: a
+    PermanentError or an error of no known class."""
+    failed = F.col("error_type").isNotNull() & ~is_retryable("error_type")
+    return outcomes.filter(failed).select("url").distinct()
 
 
 # A6 ---------------------------------------------------------------------------
@@ -98,22 +100,26 @@ def report_table(outcomes: DataFrame, k: int = 10) -> DataFrame:
     return s.unionByName(d)
 
 
+def one_row(*parts: DataFrame) -> DataFrame:
+    """One-row results side by side: their union, aggregated to the one value of each column."""
+    rows = parts[0]
+    for p in parts[1:]:
+        rows = rows.unionByName(p, allowMissingColumns=True)
+    return rows.agg(*[F.first(c, ignorenulls=True).alias(c) for c in rows.columns])
+
+
 # A10 --------------------------------------------------------------------------
 def error_report(attempts: DataFrame, outcomes: DataFrame, sample: int = 5) -> DataFrame:
-    """One-row JSON document: A1 + A4 + A5 + A7.  Every part is a one-row
-    aggregate; they are combined by an equi-join on a constant key."""
+    """One-row JSON document: A1 + A4 + A5 + A7, each a one-row aggregate."""
     from .retries import retry_summary
-    a1 = run_summary(outcomes).withColumn("_k", F.lit(1))
+    a1 = run_summary(outcomes)
     a4 = error_counts(outcomes).agg(
-        F.map_from_entries(F.array_sort(F.collect_list(F.struct("error_type", "n")))).alias("error_stats")
-    ).withColumn("_k", F.lit(1))
+        F.map_from_entries(F.array_sort(F.collect_list(F.struct("error_type", "n")))).alias("error_stats"))
     # the sample is a limit by design (the reference shows 5); the count is exact
-    a5 = (permanent_error_urls(outcomes).agg(F.count(F.lit(1)).alias("permanent_error_count"))
-          .withColumn("_k", F.lit(1)))
+    a5 = permanent_error_urls(outcomes).agg(F.count(F.lit(1)).alias("permanent_error_count"))
     smp = (permanent_error_urls(outcomes).orderBy("url").limit(sample)
-           .agg(F.array_sort(F.collect_list("url")).alias("permanent_error_sample")).withColumn("_k", F.lit(1)))
-    a7 = retry_summary(attempts).withColumn("_k", F.lit(1))
-    j = a1.join(a4, "_k").join(a5, "_k").join(smp, "_k").join(a7, "_k").drop("_k")
+           .agg(F.array_sort(F.collect_list("url")).alias("permanent_error_sample")))
+    j = one_row(a1, a4, a5, smp, retry_summary(attempts))
     # in the document: times as ISO text, fractional numbers as DECIMAL(20,6)
     # (plain digits, never scientific notation)
     fields = []

@@ -615,10 +615,6 @@ mm AS (SELECT uu.page_id, arg_min(r.allow, r.rule_no) AS allow FROM uu
 j6 AS (SELECT uu.page_id, uu.url, coalesce(mm.allow, true) AS allowed FROM uu LEFT JOIN mm ON uu.page_id = mm.page_id)"""
 
 
-def _robots_df(spark, sf, hosts):
-    return RS.robots_fixture(hosts)
-
-
 @query("s5_robots_rules", f"""WITH {robots_sql(_PAGE_HOSTS_SQL)}
 SELECT r.domain, r.group_no, array_to_string(g.agents, '|') AS agents, g.is_default, r.rule_no, r.allow, r.path
 FROM rrules r JOIN rgroups g ON r.domain = g.domain AND r.group_no = g.group_no""")
@@ -632,7 +628,7 @@ def s5_robots_rules(spark, sf):
 def j6_robots_allow(spark, sf):
     p = T.pages(spark, sf, with_html=False)
     robots = RS.robots_fixture(_page_hosts(spark, sf))
-    return RB.allow_urls(p, robots, USER_AGENT, id_col="page_id").select("page_id", "url", "allowed")
+    return RB.allow_urls(p, robots, USER_AGENT).select("page_id", "url", "allowed")
 
 
 @query("j7_blocked_by_robots", f"""{_J6_SQL}
@@ -857,35 +853,31 @@ def _locs_sql(x: str) -> str:
     ent = "t"
     for a, b in SM.XML_ENTITIES:
         ent = f"replace({ent}, {lit(a)}, {lit(b)})"
-    return (f"CASE WHEN regexp_matches({x}, {lit(r'(?s)</(urlset|sitemapindex)\s*>')}) "
-            f"AND strpos({x}, {lit('xmlns=\"' + SM.SITEMAP_NS + '\"')}) > 0 "
-            f"THEN list_filter(list_transform(regexp_extract_all({x}, {lit(SM.LOC_RE)}, 1), lambda t: {ent}), "
+    text = f"CASE WHEN regexp_matches(t, {lit(SM.CDATA_RE)}) THEN regexp_extract(t, {lit(SM.CDATA_RE)}, 1) ELSE {ent} END"
+    return (f"CASE WHEN regexp_matches({x}, {lit(SM.CLOSED_RE)}) AND regexp_matches({x}, {lit(SM.NS_RE)}) "
+            f"THEN list_filter(list_transform(regexp_extract_all({x}, {lit(SM.LOC_RE)}, 1), lambda t: {text}), "
             f"lambda t: t <> '') ELSE []::VARCHAR[] END")
 
 
-def _expand_sql(levels: int = 4) -> str:
-    """Level-by-level expansion unrolled (same rule as the Spark loop)."""
-    parts = [f"""docs AS (SELECT sitemap_url, strpos(lower(xml), '<sitemapindex') > 0 AS is_index, {_locs_sql('xml')} AS locs
-                 FROM sitemaps),
-f0 AS (SELECT '{SM.TOP_SITEMAP}' AS root, '{SM.TOP_SITEMAP}' AS sitemap_url, []::INTEGER[] AS path),
-v0 AS (SELECT root, sitemap_url FROM f0)"""]
-    leaves = []
-    for i in range(levels):
-        parts.append(f"""k{i} AS (SELECT f.root, f.sitemap_url AS via, d.is_index,
-                      list_append(f.path, CAST(u.p - 1 AS INTEGER)) AS path, u.loc
-               FROM f{i} f JOIN docs d ON f.sitemap_url = d.sitemap_url,
-               LATERAL (SELECT unnest(d.locs) AS loc, generate_subscripts(d.locs, 1) AS p) u),
-f{i + 1} AS (SELECT root, loc AS sitemap_url, min(path) AS path FROM k{i} WHERE is_index
-             AND (root, loc) NOT IN (SELECT (root, sitemap_url) FROM v{i}) GROUP BY root, loc),
-v{i + 1} AS (SELECT root, sitemap_url FROM v{i} UNION ALL SELECT root, sitemap_url FROM f{i + 1})""")
-        leaves.append(f"SELECT root, via, path, loc AS url FROM k{i} WHERE NOT is_index")
-    parts.append("leaves AS (" + " UNION ALL ".join(leaves) + ")")
-    return ",\n".join(parts)
-
-
-@query("s6_sitemap_expand", f"""WITH {_SITEMAP_FIXTURE_SQL}, {_expand_sql()}
-SELECT root, CAST(rk - 1 AS INTEGER) AS pos, url, via FROM
-  (SELECT *, row_number() OVER (PARTITION BY root ORDER BY path, url) AS rk FROM leaves) WHERE rk <= {SM.MAX_URLS_TREE}""")
+# every walk from the root that repeats no sitemap of its own trail; a sitemap is
+# expanded at its first level, there under its smallest position path
+_EXPAND_SQL = f"""docs AS (SELECT sitemap_url, regexp_matches(lower(xml), {lit(SM.INDEX_RE)}) AS is_index, {_locs_sql('xml')} AS locs
+               FROM sitemaps),
+walk AS (SELECT '{SM.TOP_SITEMAP}' AS root, '{SM.TOP_SITEMAP}' AS sitemap_url, []::INTEGER[] AS path, ['{SM.TOP_SITEMAP}'] AS trail,
+                0 AS level
+         UNION ALL
+         SELECT w.root, u.loc, list_append(w.path, CAST(u.p - 1 AS INTEGER)), list_append(w.trail, u.loc), w.level + 1
+         FROM walk w JOIN docs d ON w.sitemap_url = d.sitemap_url AND d.is_index,
+              LATERAL (SELECT unnest(d.locs) AS loc, generate_subscripts(d.locs, 1) AS p) u
+         WHERE NOT list_contains(w.trail, u.loc)),
+visits AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY root, sitemap_url ORDER BY level, path) AS k FROM walk) WHERE k = 1),
+leaves AS (SELECT v.root, v.sitemap_url AS via, list_append(v.path, CAST(u.p - 1 AS INTEGER)) AS path, u.loc AS url
+           FROM visits v JOIN docs d ON v.sitemap_url = d.sitemap_url AND NOT d.is_index,
+                LATERAL (SELECT unnest(d.locs) AS loc, generate_subscripts(d.locs, 1) AS p) u)"""
+
+
+@query("s6_sitemap_expand", f"""WITH RECURSIVE {_SITEMAP_FIXTURE_SQL}, {_EXPAND_SQL}
+SELECT root, CAST(row_number() OVER (PARTITION BY root ORDER BY path, url) - 1 AS INTEGER) AS pos, url, via FROM leaves""")
 def s6_sitemap_expand(spark, sf):
     roots = spark.range(1).select(F.lit(SM.TOP_SITEMAP).alias("root"))
     return SM.expand(_sitemaps(spark, sf), roots).select("root", F.col("pos").cast("int").alias("pos"), "url", "via")
@@ -894,8 +886,7 @@ def s6_sitemap_expand(spark, sf):
 @query("s7_flat_locs", f"""WITH {_SITEMAP_FIXTURE_SQL}
 SELECT sitemap_url, CAST(u.p - 1 AS INTEGER) AS pos, u.url FROM sitemaps,
   LATERAL (SELECT unnest(regexp_extract_all(xml, {lit(SM.FLAT_LOC_RE)}, 1)) AS url,
-                  generate_subscripts(regexp_extract_all(xml, {lit(SM.FLAT_LOC_RE)}, 1), 1) AS p) u
-WHERE u.p - 1 < {SM.MAX_URLS_FLAT}""")
+                  generate_subscripts(regexp_extract_all(xml, {lit(SM.FLAT_LOC_RE)}, 1), 1) AS p) u""")
 def s7_flat_locs(spark, sf):
     return SM.flat_locs(_sitemaps(spark, sf))
 
@@ -957,7 +948,7 @@ def k6_records_with_errors(spark, sf):
 
 
 @query("k7_result_digest", f"""WITH {_FAILED_SQL}
-SELECT url, substr(html, 1, 1000) AS content FROM pages
+SELECT url, coalesce(html, '') AS content FROM pages
 UNION ALL SELECT url, error AS content FROM failed""")
 def k7_result_digest(spark, sf):
     ok = T.pages(spark, sf).select("url", "html", F.lit(None).cast("string").alias("error"))
@@ -966,8 +957,12 @@ def k7_result_digest(spark, sf):
 
 
 @query("k8_run_stats", f"""WITH {OUTCOMES_CTE},
-a AS (SELECT count(*) AS total_processed, count(*) FILTER (WHERE error_type IS NULL) AS successful_requests,
-             count(*) FILTER (WHERE error_type IS NOT NULL) AS failed_requests FROM outcomes),
+a1 AS (SELECT count(*) AS total_processed, count(*) FILTER (WHERE error_type IS NULL) AS successful_requests,
+              count(*) FILTER (WHERE error_type IS NOT NULL) AS failed_requests,
+              min(epoch_us(ts)) AS s, max({_END_US}) AS e, avg(elapsed_s) FILTER (WHERE error_type IS NULL) AS av FROM outcomes),
+a AS (SELECT total_processed, successful_requests, failed_requests, round(coalesce((e - s) / 1e6, 0.0), 6) AS duration,
+             round(coalesce(CASE WHEN e - s = 0 THEN NULL ELSE total_processed / ((e - s) / 1e6) END, 0.0), 6) AS average_speed,
+             round(coalesce(av, 0.0), 6) AS avg_response_time, make_timestamp(s) AS start_time, make_timestamp(e) AS end_time FROM a1),
 s AS (SELECT to_json(map_from_entries(list((status, n) ORDER BY status)))::VARCHAR AS status_code_distribution
       FROM (SELECT CASE WHEN error_type IS NULL THEN CAST(status AS VARCHAR) ELSE 'error' END AS status, count(*) AS n
             FROM outcomes GROUP BY 1)),
@@ -977,9 +972,7 @@ t AS (SELECT to_json(list({{'domain': domain, 'count': n}} ORDER BY n DESC, doma
 SELECT * FROM a, s, t""")
 def k8_run_stats(spark, sf):
     r = K.run_stats_row(_outcomes_table(spark, sf))
-    return r.select("total_processed", "successful_requests", "failed_requests",
-                    F.to_json("status_code_distribution").alias("status_code_distribution"),
-                    F.to_json("top_domains").alias("top_domains"))
+    return r.withColumns({c: F.to_json(c) for c in ("status_code_distribution", "top_domains")})
 
 
 # ==== T1–T6 (streams run to completion over the derived log) ===================
@@ -1003,29 +996,35 @@ def _run_stream(spark, sf, build, mode="append", outcomes_only: bool = False):
     return spark.read.parquet(out)
 
 
+def _run_latest(spark, sf, build, keys):
+    """Run an aggregation in update mode and keep each group's last version."""
+    from ..streaming.jobs import fetch_log_stream, latest_versions, run_versions, scratch_path
+    out = scratch_path(spark, "versions")
+    run_versions(build(fetch_log_stream(spark, _log_folder(spark, sf))), out, scratch_path(spark, "ckpt"))
+    return latest_versions(spark, out, keys)
+
+
 @query("t1_progress_stream", f"""WITH {LOG_CTE}
 SELECT date_trunc('second', ts) AS window_start, count(*) AS requests,
        count(*) FILTER (WHERE error_type IS NULL) AS pages, count(*) FILTER (WHERE error_type IS NOT NULL) AS errors,
        round(avg(elapsed_s) FILTER (WHERE error_type IS NULL), 6) AS mean_latency_s,
        round(count(*) / 1.0, 6) AS rate_per_s
-FROM fetch_log GROUP BY 1
--- append mode: a window is final once the watermark (max ts - 10 s) reaches its end
-HAVING date_trunc('second', ts) + INTERVAL 1 SECOND <= (SELECT max(ts) FROM fetch_log) - INTERVAL 10 SECOND""")
+FROM fetch_log GROUP BY 1""")
 def t1_progress_stream(spark, sf):
     from ..streaming.jobs import progress
-    return _run_stream(spark, sf, progress)
+    return _run_latest(spark, sf, progress, ["window_start"])
 
 
 @query("t2_dedup_stream", f"WITH {LOG_CTE} SELECT DISTINCT url FROM fetch_log")
 def t2_dedup_stream(spark, sf):
     from ..streaming.jobs import dedup_urls
-    return _run_stream(spark, sf, lambda s: dedup_urls(s).select("url", "event_id")).select("url")
+    return _run_stream(spark, sf, lambda s: dedup_urls(s, exact=True).select("url", "event_id")).select("url")
 
 
 @query("t3_outage_stream", None)
 def t3_outage_stream(spark, sf):
-    from ..streaming.jobs import outage_stream
-    return _run_stream(spark, sf, lambda s: outage_stream(s, watermark="1 day", **BREAKER_W7), outcomes_only=True)
+    from ..streaming.jobs import final_outages, outage_stream
+    return final_outages(_run_stream(spark, sf, lambda s: outage_stream(s, watermark="1 day", **BREAKER_W7), outcomes_only=True))
 
 
 @query("t4_rate_state_stream", None)
@@ -1046,12 +1045,10 @@ def t5_extraction_stream(spark, sf):
 
 @query("t6_error_counters_stream", f"""WITH {LOG_CTE}
 SELECT date_trunc('hour', ts) AS window_start, error_type, count(*) AS n FROM fetch_log
-WHERE error_type IS NOT NULL GROUP BY 1, 2
--- append mode: a window is final once the watermark (max ts - 1 h) reaches its end
-HAVING date_trunc('hour', ts) + INTERVAL 1 HOUR <= (SELECT max(ts) FROM fetch_log) - INTERVAL 1 HOUR""")
+WHERE error_type IS NOT NULL GROUP BY 1, 2""")
 def t6_error_counters_stream(spark, sf):
     from ..streaming.jobs import error_counters
-    return _run_stream(spark, sf, error_counters)
+    return _run_latest(spark, sf, error_counters, ["window_start", "error_type"])
 
 
 # ==== D1 / D6 / X7 oracle ========================================================
@@ -1067,13 +1064,8 @@ def d1_link_dedup(spark, sf):
                                     (F.count(F.lit(1)) - F.count_distinct("resolved")).alias("n_dropped"))
 
 
-def _d6_sql(levels: int = 4) -> str:
-    parts = _expand_sql(levels)
-    vs = " UNION ALL ".join(f"SELECT root, sitemap_url, {i} AS level FROM f{i}" for i in range(levels + 1))
-    return f"WITH {_SITEMAP_FIXTURE_SQL}, {parts}\nSELECT root, sitemap_url, level FROM ({vs})"
-
-
-@query("d6_sitemap_visits", _d6_sql())
+@query("d6_sitemap_visits", f"""WITH RECURSIVE {_SITEMAP_FIXTURE_SQL}, {_EXPAND_SQL}
+SELECT root, sitemap_url, level FROM visits""")
 def d6_sitemap_visits(spark, sf):
     roots = spark.range(1).select(F.lit(SM.TOP_SITEMAP).alias("root"))
     return SM.expand(_sitemaps(spark, sf), roots, visits=True).select(
@@ -1247,14 +1239,7 @@ SELECT to_json({{'total_processed': total_processed, 'successful_requests': succ
                  'total_attempts': total_attempts}})::VARCHAR AS report, * FROM j"""
 
 
-# T3 (availableNow over the outcome files): an outage is emitted when a later
-# failure closes it, or by event-time timeout once the final watermark
-# (latest request time - 1 day) has passed its open_until
-ORACLE["t3_outage_stream"] = f"""{_W7_CTE},
-wm AS (SELECT max(epoch_us(ts)) // 1000 - 86400000 AS wm_ms FROM outcomes),
-closed AS (SELECT domain, e_at AS opened_at, e_until AS open_until, e_n AS n FROM r WHERE e_at IS NOT NULL),
-still_open AS (SELECT r.domain, r.opened_at, r.open_until, r.n FROM r JOIN last_i l ON r.domain = l.domain AND r.i = l.i
-               WHERE r.open_until IS NOT NULL AND (SELECT wm_ms FROM wm) > r.open_until // 1000 + 1)
+# T3 finds the outages of W7
+ORACLE["t3_outage_stream"] = f"""{_W7_CTE}
 SELECT domain, make_timestamp(opened_at) AS opened_at, make_timestamp(open_until) AS open_until,
-       CAST(n AS BIGINT) AS failures_while_open
-FROM (SELECT * FROM closed UNION ALL SELECT * FROM still_open)"""
+       CAST(n AS BIGINT) AS failures_while_open FROM outs"""

@@ -13,7 +13,6 @@ from pyspark.sql import functions as F
 
 from ..functions.urls import netloc
 from ..operators.extract import page_records
-from ..operators.joins import broadcast_if_small
 from ..sources.tables import pages
 
 
@@ -22,13 +21,9 @@ def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
     rec = page_records(p).withColumn("domain", netloc("url"))
     dom = (pages(spark, sf_dir, with_html=False).select(netloc("url").alias("domain"))
            .filter(F.col("domain") != "").groupBy("domain").agg(F.count(F.lit(1)).alias("domain_pages")))
-    # share of the corpus: a one-row total joined on a constant key (no global sort)
-    total = dom.agg(F.sum("domain_pages").alias("_total")).withColumn("_k", F.lit(1))
-    dom = (dom.withColumn("_k", F.lit(1)).join(total, "_k")
-           .select("domain", "domain_pages", F.round(F.col("domain_pages") / F.col("_total"), 6).alias("domain_share")))
-    # the host table is broadcast only when proven small (then the wide page
-    # records are not shuffled); otherwise a shuffle join that AQE can split
-    dom = broadcast_if_small(dom, 500_000)
+    # share of the corpus: the total is a scalar subquery
+    total = dom.agg(F.sum("domain_pages")).scalar()
+    dom = dom.select("domain", "domain_pages", F.round(F.col("domain_pages") / total, 6).alias("domain_share"))
     return (rec.join(dom, "domain", "left")
             .select("page_id", "url", "domain", "domain_pages", "domain_share", "title", "description", "keywords",
                     F.length("text").alias("text_length"), "links", "images", "headings", "tables", "lists"))

@@ -182,32 +182,27 @@ def fan_out(df: DataFrame, sinks: Iterable[Sink]) -> None:
 
 
 # K7 ---------------------------------------------------------------------------
-def result_digest(fetched: DataFrame, n_chars: int = 1000) -> DataFrame:
-    """url + first ``n_chars`` characters of the html, or the error text."""
+def result_digest(fetched: DataFrame, n_chars: int | None = None) -> DataFrame:
+    """url + the html (its first ``n_chars`` characters if the caller asks for a
+    preview), or the error text."""
+    body = F.coalesce("html", F.lit(""))
     return fetched.select("url", F.when(F.col("error").isNotNull() & (F.col("error") != ""), F.col("error"))
-                          .otherwise(F.substring(F.coalesce("html", F.lit("")), 1, n_chars)).alias("content"))
-
-
-def digest_sink(path: str) -> Sink:
-    def write(df: DataFrame) -> None:
-        df.write.mode("overwrite").json(path)
-    return write
+                          .otherwise(body if n_chars is None else F.substring(body, 1, n_chars)).alias("content"))
 
 
 # K8 ---------------------------------------------------------------------------
 def run_stats_row(outcomes: DataFrame, k: int = 10) -> DataFrame:
     """A1 + A2 (as a map) + A3 (as a list) in one row; every part is a one-row
-    aggregate over already-aggregated (small) tables, joined on a constant key."""
-    from ..operators.stats import run_summary, status_distribution, top_domains
-    a1 = run_summary(outcomes).withColumn("_k", F.lit(1))
+    aggregate over already-aggregated (small) tables."""
+    from ..operators.stats import one_row, run_summary, status_distribution, top_domains
+    a1 = run_summary(outcomes)
     a2 = status_distribution(outcomes).agg(
-        F.map_from_entries(F.array_sort(F.collect_list(F.struct("status", "n")))).alias("status_code_distribution")
-    ).withColumn("_k", F.lit(1))
+        F.map_from_entries(F.array_sort(F.collect_list(F.struct("status", "n")))).alias("status_code_distribution"))
     a3 = top_domains(outcomes, k=k).agg(
         F.array_sort(F.collect_list(F.struct(F.col("n") * -1, F.col("domain"), F.col("n").alias("count"))))
         .alias("_t")).select(F.transform("_t", lambda s: F.struct(s["domain"].alias("domain"), s["count"].alias("count")))
-                             .alias("top_domains")).withColumn("_k", F.lit(1))
-    return a1.join(a2, "_k").join(a3, "_k").drop("_k")
+                             .alias("top_domains"))
+    return one_row(a1, a2, a3)
 
 
 def stats_sink(path: str) -> Sink:

@@ -30,6 +30,12 @@ LINE_SPLIT_RE = "\r\n|[\n\r\x0b\x0c\x1c\x1d\x1e\x85\u2028\u2029]"
 DEFAULT_CRAWL_DELAY = 1.0
 
 
+def percent_decoded(c):
+    """Percent escapes decoded as UTF-8, malformed ones kept; ``+`` stays."""
+    safe = F.regexp_replace(F.regexp_replace(c, "%(?![0-9A-Fa-f]{2})", "%25"), r"\+", "%2B")
+    return F.when(F.instr(c, "%") > 0, F.coalesce(F.try_url_decode(safe), c)).otherwise(c)
+
+
 def robots_lines(robots: DataFrame) -> DataFrame:
     x = robots.select("domain", F.posexplode(F.split("content", LINE_SPLIT_RE, -1)).alias("line_no", "raw"))
     body = strip(F.substring_index(F.col("raw"), "#", 1))
@@ -55,7 +61,7 @@ def robots_groups_and_rules(robots: DataFrame):
     ln = ln.withColumn("group_no", F.sum("_new").over(w.rowsBetween(W.unboundedPreceding, 0)).cast("int"))
     rules = ln.filter("_accepted").select(
         "domain", "group_no", F.col("line_no").alias("rule_no"),
-        ((F.col("key") == "allow") | (F.col("value") == "")).alias("allow"), F.col("value").alias("path"))
+        ((F.col("key") == "allow") | (F.col("value") == "")).alias("allow"), percent_decoded(F.col("value")).alias("path"))
     agents = (ln.filter(F.col("kind") == "U").groupBy("domain", "group_no")
               .agg(F.sort_array(F.collect_list(F.struct("line_no", "value"))).alias("_a")))
     agents = agents.select("domain", "group_no", F.transform("_a", lambda s: s["value"]).alias("agents"))

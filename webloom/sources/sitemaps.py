@@ -13,26 +13,28 @@ sitemap is expanded once per root: per level the occurrence with the smallest
 position path wins and sitemaps expanded at an earlier level are skipped.
 (A depth-first walk decides repeats by position path across levels; the two
 differ only when one child sitemap is listed under several branches at
-different depths.)  The URL list of a root is cut at ``max_urls`` in
-position-path order, which is the depth-first order.
+different depths.)  A root's URLs are numbered in position-path order, which is
+the depth-first order; nothing is cut unless the caller names ``max_urls``.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions.urls import netloc
-from ..operators.sequence import top_n_per_key
 from ..session import cut_lineage
 
 # fixed values
 SITEMAP_NS = "http://www.sitemaps.org/schemas/sitemap/0.9"
-LOC_RE = r"(?s)<loc>(.*?)</loc>"
+LOC_RE = r"(?s)<(?:[A-Za-z][\w.-]*:)?loc(?:\s[^>]*)?>(.*?)</(?:[A-Za-z][\w.-]*:)?loc\s*>"
+NS_RE = r"xmlns(?::[\w.-]+)?\s*=\s*[\"']" + SITEMAP_NS.replace(".", r"\.") + r"[\"']"
+CLOSED_RE = r"(?s)</(?:[A-Za-z][\w.-]*:)?(urlset|sitemapindex)\s*>"
+INDEX_RE = r"<(?:[a-z][\w.-]*:)?sitemapindex"
+CDATA_RE = r"(?s)^\s*<!\[CDATA\[(.*)\]\]>\s*$"
 FLAT_LOC_RE = r"<loc>([^<]+)</loc>"
 XML_ENTITIES = [("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&apos;", "'"), ("&amp;", "&")]
-MAX_URLS_TREE = 50_000
-MAX_URLS_FLAT = 1_000
 URLS_PER_FILE = 50_000
 
 
@@ -51,58 +53,65 @@ def xml_escape(c):
 def parse_locs(xml) -> F.Column:
     """``loc`` texts of a sitemap document (namespace-qualified only)."""
     x = F.col(xml) if isinstance(xml, str) else xml
-    closed = x.rlike(r"(?s)</(urlset|sitemapindex)\s*>")
-    has_ns = F.instr(x, f'xmlns="{SITEMAP_NS}"') > 0
-    locs = F.filter(F.transform(F.regexp_extract_all(x, F.lit(LOC_RE), 1), xml_unescape), lambda s: s != "")
+    closed = x.rlike(CLOSED_RE)
+    has_ns = x.rlike(NS_RE)
+    text = lambda s: F.when(s.rlike(CDATA_RE), F.regexp_extract(s, CDATA_RE, 1)).otherwise(xml_unescape(s))
+    locs = F.filter(F.transform(F.regexp_extract_all(x, F.lit(LOC_RE), 1), text), lambda s: s != "")
     return F.when(closed & has_ns, locs).otherwise(F.array().cast("array<string>"))
 
 
 def is_index(xml) -> F.Column:
     x = F.col(xml) if isinstance(xml, str) else xml
-    return F.instr(F.lower(x), "<sitemapindex") > 0
+    return F.lower(x).rlike(INDEX_RE)
 
 
-def expand(sitemaps: DataFrame, roots: DataFrame, max_urls: int = MAX_URLS_TREE, max_levels: int = 10,
-           checkpoint: bool = True, visits: bool = False) -> DataFrame:
+def expand(sitemaps: DataFrame, roots: DataFrame, max_urls: int | None = None, checkpoint: bool = True,
+           visits: bool = False) -> DataFrame:
     """S6 + D6: (root, pos, url, via) for every root sitemap URL in ``roots(root)``.
     With ``visits`` the D6 table is returned instead: every sitemap expanded
-    per root with its level (root, sitemap_url, level)."""
+    per root with its level (root, sitemap_url, level).
+
+    The loop runs until a level adds no unvisited sitemap, however deep the tree
+    is.  Positions come from a running total over the sitemap files (one row
+    per file), not from ranking a root's URLs."""
     docs = sitemaps.select("sitemap_url", is_index("xml").alias("_index"), parse_locs("xml").alias("_locs"))
     if checkpoint:
         # parse every document once; levels then join against the parsed table
         docs = cut_lineage(docs)
     frontier = roots.select("root", F.col("root").alias("sitemap_url"), F.array().cast("array<int>").alias("path"))
-    visited = frontier.select("root", "sitemap_url", F.lit(0).alias("level"))
-    leaves = None
-    for level in range(1, max_levels + 1):
-        cur = frontier.join(docs, "sitemap_url")
-        kids = cur.select("root", F.col("sitemap_url").alias("via"), "path", "_index",
-                          F.posexplode("_locs").alias("_p", "loc"))
-        kids = kids.withColumn("path", F.concat("path", F.array(F.col("_p").cast("int"))))
-        out = kids.filter(~F.col("_index")).select("root", "via", "path", F.col("loc").alias("url"))
-        leaves = out if leaves is None else leaves.unionByName(out)
-        nxt = (kids.filter("_index").groupBy("root", F.col("loc").alias("sitemap_url"))
-               .agg(F.min("path").alias("path"))
+    visited = frontier.withColumn("level", F.lit(0))
+    level = 0
+    while True:
+        level += 1
+        kids = (frontier.join(docs.filter("_index"), "sitemap_url")
+                .select("root", "path", F.posexplode("_locs").alias("_p", "loc")))
+        nxt = (kids.groupBy("root", F.col("loc").alias("sitemap_url"))
+               .agg(F.min(F.concat("path", F.array(F.col("_p").cast("int")))).alias("path"))
                .join(visited.select("root", "sitemap_url"), ["root", "sitemap_url"], "left_anti"))
         if checkpoint:
             nxt = cut_lineage(nxt)
         if nxt.isEmpty():
             break
-        visited = visited.unionByName(nxt.select("root", "sitemap_url", F.lit(level).alias("level")))
+        visited = visited.unionByName(nxt.withColumn("level", F.lit(level)))
         frontier = nxt
     if visits:
-        return visited
-    if leaves is None:
-        raise ValueError("no roots")
-    top = top_n_per_key(leaves, ["root"], [F.col("path"), F.col("url")], max_urls, rank_col="pos")
-    return top.select("root", (F.col("pos") - 1).alias("pos"), "url", "via")
-
-
-def flat_locs(sitemaps: DataFrame, max_urls: int = MAX_URLS_FLAT) -> DataFrame:
-    """Raw ``<loc>…</loc>`` texts of each document, first ``max_urls``."""
+        return visited.select("root", "sitemap_url", "level")
+    files = visited.join(docs.filter(~F.col("_index")), "sitemap_url")
+    before = W.partitionBy("root").orderBy("path", "sitemap_url").rowsBetween(W.unboundedPreceding, -1)
+    starts = files.select("root", "sitemap_url", F.coalesce(F.sum(F.size("_locs").cast("long")).over(before), F.lit(0))
+                          .alias("_start"))
+    urls = files.join(starts, ["root", "sitemap_url"]).select(
+        "root", F.col("sitemap_url").alias("via"), "_start", F.posexplode("_locs").alias("_p", "url"))
+    out = urls.select("root", (F.col("_start") + F.col("_p")).alias("pos"), "url", "via")
+    return out if max_urls is None else out.filter(F.col("pos") < max_urls)
+
+
+def flat_locs(sitemaps: DataFrame, max_urls: int | None = None) -> DataFrame:
+    """Raw ``<loc>…</loc>`` texts of each document; the first ``max_urls``
+    of each only if the caller asks for it."""
     x = sitemaps.select("sitemap_url", F.posexplode(F.regexp_extract_all("xml", F.lit(FLAT_LOC_RE), 1))
                         .alias("pos", "url"))
-    return x.filter(F.col("pos") < max_urls)
+    return x if max_urls is None else x.filter(F.col("pos") < max_urls)
 
 
 # ---- fixture: a sitemap tree derived from the page table ----------------------------

@@ -112,6 +112,8 @@ def _breaker_fn(threshold: int, window_us: int, cooldown_us: int):
             if open_until is not None:
                 n_open += 1
             recent = recent[-max(threshold - 1, 1):] if len(recent) >= threshold else recent
+        if open_until is not None:  # the outage as known so far; later rows of it replace this one
+            out.append((opened_at, open_until, n_open))
         state.update((recent, open_until, opened_at, n_open, last_us, last_eid))
         # wake up when the watermark passes the end of the open interval, or when
         # the history can no longer matter
@@ -130,8 +132,10 @@ def outage_stream(log: DataFrame, threshold: int = 5, window_s: float = 60.0, co
     """Per-domain breaker as keyed state.  Only counting failures enter the
     state machine (as in the batch job); state per domain is at most
     ``threshold - 1`` recent failure times plus the open interval.  An outage
-    is emitted when a later failure closes it or when the watermark (which
-    follows every request) passes ``open_until`` (event-time timeout)."""
+    is emitted when a later failure closes it, when the watermark (which
+    follows every request) passes ``open_until``, and, while it is open, as known
+    after each micro-batch, so that the end of the input leaves none out.
+    ``final_outages`` keeps the last version of each."""
     # the watermark is set on the whole stream; the failure filter is written as
     # one expression over the event-time column, which Catalyst does not push
     # below the watermark, so event time advances with every request
@@ -143,6 +147,13 @@ def outage_stream(log: DataFrame, threshold: int = 5, window_s: float = 60.0, co
                                                       GroupStateTimeout.EventTimeTimeout)
 
 
+def final_outages(rows: DataFrame) -> DataFrame:
+    """The last version of every outage: an open interval only grows."""
+    return rows.groupBy("domain", "opened_at").agg(
+        F.max("open_until").alias("open_until"), F.max("failures_while_open").alias("failures_while_open")).select(
+        "domain", "opened_at", "open_until", "failures_while_open")
+
+
 # T4 ---------------------------------------------------------------------------
 RATE_OUT = "event_id LONG, domain STRING, ts TIMESTAMP, gap_s DOUBLE, required_gap_s DOUBLE, backoff_multiplier DOUBLE"
 RATE_STATE = "last_us LONG, last_eid LONG, fails LONG"
@@ -233,3 +244,23 @@ def run_available(stream: DataFrame, out_path: str, ckpt_path: str, mode: str =
     q = (stream.writeStream.outputMode(mode).format("parquet").option("path", out_path)
          .option("checkpointLocation", ckpt_path).trigger(availableNow=True).start())
     q.awaitTermination()
+
+
+def run_versions(stream: DataFrame, out_path: str, ckpt_path: str) -> None:
+    """Process everything available now in update mode: every micro-batch adds the
+    new versions of its groups, stamped with the batch number.  No group waits for
+    the watermark, so the end of the input leaves none out."""
+    def write(batch: DataFrame, epoch_id: int) -> None:
+        batch.withColumn("_batch", F.lit(epoch_id).cast("long")).write.mode("overwrite").parquet(f"{out_path}/batch={epoch_id}")
+
+    q = (stream.writeStream.outputMode("update").foreachBatch(write)
+         .option("checkpointLocation", ckpt_path).trigger(availableNow=True).start())
+    q.awaitTermination()
+
+
+def latest_versions(spark: SparkSession, out_path: str, keys: list[str]) -> DataFrame:
+    """The last version of each group written by ``run_versions``."""
+    rows = spark.read.parquet(out_path).drop("batch")
+    rest = [c for c in rows.columns if c not in (*keys, "_batch")]
+    last = rows.groupBy(*keys).agg(F.max_by(F.struct(*rest), "_batch").alias("_last"))
+    return last.select(*keys, *[F.col("_last")[c].alias(c) for c in rest])
