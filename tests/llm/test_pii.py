@@ -97,13 +97,13 @@ TEXT = "Call +1 (017) 555-{0:04d} or mail u{0}@mail.example.com from 10.0.{1}.7
 
 def test_find_and_redact(docs_of):
     rows = [(i, TEXT.format(i, i % 200)) for i in range(300)]
-    rows += [(400, None), (401, ""), (402, "no data here"), (403, "x 017-555-1234 y"), (404, "é" * 50 + " a@b.cd"), (None, "a@b.cd"), (404, "a@b.cd")]
+    rows += [(400, None), (401, ""), (402, "no data here"), (403, "x 017-555-1234 y"), (404, "é" * 50 + " a@b.cd"), (None, "a@b.cd"), (404, "é" * 50 + " a@b.cd")]
     docs = docs_of(rows)
     tagger = P.fit(docs)
     got = P.find(docs, tagger).collect()
     assert len(got) == len(rows)
     for g in got:
-        t = next(t for i, t in rows if i == g["doc_id"] and (i != 404 or (len(t) > 20) == ("52" in g["spans"]))) or ""
+        t = next(t for i, t in rows if i == g["doc_id"]) or ""
         base = sorted(plain(t))
         coded = ",".join(f"{P.KINDS[k]}:{a}:{b}" for k, a, b in base)
         assert g["base_sha256"] == hashlib.sha256(coded.encode()).hexdigest()
