@@ -102,3 +102,26 @@ def test_corpus_totals_and_digest(spark):
     assert (t.pages, t.links, t.images) == (1, 2, 1)
     d = X.page_digest(p, 1).collect()[0]
     assert d.first_links == "https://example.com/page1" and d.n_links == 2
+
+
+def _one(spark, html, expr):
+    from webloom.functions import html as H
+    df = spark.createDataFrame([(html,)], "html string").select(H.clean("html").alias("_clean"))
+    return df.select(expr("_clean").alias("v")).first()["v"]
+
+
+def test_quoted_greater_than(spark):
+    from webloom.functions import html as H
+    page = '<p title="a>b">text</p><h1 data-x="1>2">H</h1><ul class="x>y"><li id=\'a>b\'>i</li></ul>'
+    assert _one(spark, page, H.page_text) == "text H i"
+    assert _one(spark, page, lambda c: H.headings(c, 1)) == ["H"]
+    assert _one(spark, page, lambda c: H.list_items(c, "ul")) == ["i"]
+    assert _one(spark, '<p title="open>text</p>', H.page_text) == "text"
+
+
+def test_attribute_name_inside_a_value(spark):
+    from webloom.functions import html as H
+    page = '<img alt="x src=foo y" src="bar.png"><img src=a.png alt=\'b src="c"\'><img data-src="no" alt="z">'
+    got = [(r["src"], r["alt"]) for r in _one(spark, page, H.images)]
+    assert got == [("bar.png", "x src=foo y"), ("a.png", 'b src="c"')]
+    assert _one(spark, '<a title="href=/x" href="/y">t</a><a title="href=/z">u</a>', H.hrefs) == ["/y"]

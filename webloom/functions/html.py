@@ -31,7 +31,6 @@ from .sqltext import lit
 SKIP_RE = (r"(?is)<script\b[^>]*>.*?</script\s*>|<style\b[^>]*>.*?</style\s*>"
            r"|<template\b[^>]*>.*?</template\s*>|<!--.*?-->|<!doctype[^>]*>")
 SKIP_MARK = "<x>"
-TAG_RE = r"</?[A-Za-z][^>]*>|<[!?][^>]*>"
 ATTR_VALUE = r"""\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))"""
 # rest of a start tag, attribute values may hold '>'.  Java form is possessive
 # (no per-character recursion or backtracking); the RE2 form (DuckDB oracle)
@@ -39,6 +38,13 @@ ATTR_VALUE = r"""\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))"""
 TAG_TOKEN = r"""(?:[^>"']++|"[^"]*+"|'[^']*+')*+>"""
 TAG_TOKEN_RE2 = r"""(?:[^>"']|"[^"]*"|'[^']*')*>"""
 
+# a whole tag; one with an unclosed quote ends at its first '>'
+TAG_RE = rf"</?[A-Za-z]{TAG_TOKEN}|</?[A-Za-z][^>]*>|<[!?][^>]*>"
+TAG_RE2 = rf"</?[A-Za-z]{TAG_TOKEN_RE2}|</?[A-Za-z][^>]*>|<[!?][^>]*>"
+# the attributes before the wanted one, each with its value: a name inside
+# another attribute's value is not an attribute
+ATTRS_BEFORE = r"""(?is)^<[^\s/>]+(?:[\s/]+[^\s"'>/=]+(?:\s*=\s*(?:"[^"]*"|'[^']*'|[^\s"'>]+))?)*?[\s/]+"""
+
 # ---- fixed values: entities decoded (``&amp;`` always last) ------------------
 ENTITIES = [
     ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&apos;", "'"), ("&#39;", "'"),
@@ -100,7 +106,7 @@ def text_nodes(fragment) -> Column:
 
 
 def text_nodes_sql(fragment: str) -> str:
-    return (f"list_filter(list_transform(string_split_regex({fragment}, {lit(TAG_RE)}), "
+    return (f"list_filter(list_transform(string_split_regex({fragment}, {lit(TAG_RE2)}), "
             f"lambda p: {strip_sql(decode_entities_sql('p'))}), lambda p: p <> '')")
 
 
@@ -125,10 +131,9 @@ def elem_text_sql(fragment: str) -> str:
 
 
 # ---- element patterns ----------------------------------------------------------
-def element_re(tag: str) -> str:
+def element_re(tag: str, re2: bool = False) -> str:
     """Inner content of every (non-nested) ``<tag>…</tag>``; group 1."""
-    t = re.escape(tag)
-    return rf"(?is)<{t}\b[^>]*>(.*?)</{t}\s*>"
+    return rf"{tag_re(tag, re2)}(.*?)</{re.escape(tag)}\s*>"
 
 
 def tag_re(tag: str, re2: bool = False) -> str:
@@ -137,7 +142,7 @@ def tag_re(tag: str, re2: bool = False) -> str:
 
 
 def attr_re(name: str) -> str:
-    return rf"(?is)\s{re.escape(name)}{ATTR_VALUE}"
+    return rf"{ATTRS_BEFORE}{re.escape(name)}{ATTR_VALUE}"
 
 
 def attr(tag_text, name: str) -> Column:
@@ -167,7 +172,7 @@ def inner_all(cleaned, tag: str) -> Column:
 
 
 def inner_all_sql(cleaned: str, tag: str) -> str:
-    return f"regexp_extract_all({cleaned}, {lit(element_re(tag))}, 1)"
+    return f"regexp_extract_all({cleaned}, {lit(element_re(tag, re2=True))}, 1)"
 
 
 def tags_all(cleaned, tag: str) -> Column:
@@ -189,7 +194,7 @@ def title(cleaned) -> Column:
 
 
 def title_sql(cleaned: str) -> str:
-    return elem_text_sql(f"regexp_extract({cleaned}, {lit(TITLE_RE)}, 1)")
+    return elem_text_sql(f"regexp_extract({cleaned}, {lit(element_re('title', re2=True))}, 1)")
 
 
 @cached_column
@@ -230,7 +235,7 @@ def headings_struct(cleaned) -> Column:
 
 
 # ---- X8 ------------------------------------------------------------------------
-LI_START = r"(?i)<li\b[^>]*>"
+LI_START, LI_START_RE2 = tag_re("li"), tag_re("li", re2=True)
 LI_END = r"(?i)</li\s*>"
 
 
@@ -246,16 +251,16 @@ def list_items(cleaned, kind: str) -> Column:
 
 
 def list_items_sql(cleaned: str, kind: str) -> str:
-    items = (f"list_transform(string_split_regex(b, {lit(LI_START)})[2:], "
+    items = (f"list_transform(string_split_regex(b, {lit(LI_START_RE2)})[2:], "
              f"lambda c: {elem_text_sql(f'string_split_regex(c, {lit(LI_END)})[1]')})")
     return (f"list_filter(flatten(list_transform({inner_all_sql(cleaned, kind)}, lambda b: {items})), "
             f"lambda s: s <> '')")
 
 
 # ---- X7 ------------------------------------------------------------------------
-TR_START = r"(?i)<tr\b[^>]*>"
+TR_START, TR_START_RE2 = tag_re("tr"), tag_re("tr", re2=True)
 TR_END = r"(?i)</tr\s*>"
-CELL_START = r"(?i)<t[dh]\b[^>]*>"
+CELL_START, CELL_START_RE2 = (rf"(?is)<t[dh]\b{t}" for t in (TAG_TOKEN, TAG_TOKEN_RE2))
 CELL_END = r"(?i)</t[dh]\s*>"
 
 

@@ -208,11 +208,11 @@ _CELLS_SQL = f"""WITH {CLEAN_CTE},
 tb AS (SELECT page_id, u.t, u.ti FROM cp,
        LATERAL (SELECT unnest({H.inner_all_sql('c', 'table')}) AS t, generate_subscripts({H.inner_all_sql('c', 'table')}, 1) AS ti) u),
 tr AS (SELECT page_id, ti, u.r, u.ri FROM tb,
-       LATERAL (SELECT unnest(string_split_regex(t, {lit(H.TR_START)})[2:]) AS r,
-                       generate_subscripts(string_split_regex(t, {lit(H.TR_START)})[2:], 1) AS ri) u),
+       LATERAL (SELECT unnest(string_split_regex(t, {lit(H.TR_START_RE2)})[2:]) AS r,
+                       generate_subscripts(string_split_regex(t, {lit(H.TR_START_RE2)})[2:], 1) AS ri) u),
 td AS (SELECT page_id, ti, ri, u.c2, u.ci FROM tr,
-       LATERAL (SELECT unnest(string_split_regex(string_split_regex(r, {lit(H.TR_END)})[1], {lit(H.CELL_START)})[2:]) AS c2,
-                       generate_subscripts(string_split_regex(string_split_regex(r, {lit(H.TR_END)})[1], {lit(H.CELL_START)})[2:], 1) AS ci) u),
+       LATERAL (SELECT unnest(string_split_regex(string_split_regex(r, {lit(H.TR_END)})[1], {lit(H.CELL_START_RE2)})[2:]) AS c2,
+                       generate_subscripts(string_split_regex(string_split_regex(r, {lit(H.TR_END)})[1], {lit(H.CELL_START_RE2)})[2:], 1) AS ci) u),
 cl AS (SELECT page_id, ti, ri, ci, {H.elem_text_sql(f"string_split_regex(c2, {lit(H.CELL_END)})[1]")} AS text FROM td),
 nr AS (SELECT page_id, ti, ri, dense_rank() OVER (PARTITION BY page_id, ti ORDER BY ri) AS rn FROM (SELECT DISTINCT page_id, ti, ri FROM cl)),
 nt AS (SELECT page_id, ti, dense_rank() OVER (PARTITION BY page_id ORDER BY ti) AS tn FROM (SELECT DISTINCT page_id, ti FROM cl))
