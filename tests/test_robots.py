@@ -55,3 +55,11 @@ def test_groups(spark):
     g = sorted((r.group_no, tuple(r.agents), r.is_default) for r in groups.collect())
     assert g == [(1, ("webloombot",), False), (2, ("Crawler", "other"), False), (3, ("*",), True)]
     assert rules.count() == 4
+
+
+def test_equal_rows_are_kept_and_escapes_decoded(spark):
+    robots = spark.createDataFrame([("a.com", "User-agent: *\nDisallow: /a%20b\nDisallow: /c+d")], "domain string, content string")
+    rows = [(1, "https://a.com/a b/x"), (1, "https://a.com/a b/x"), (2, "https://a.com/a%20b"), (3, "https://a.com/ab"),
+            (4, "https://a.com/c+d"), (5, "https://a.com/100%")]
+    got = RB.allow_urls(spark.createDataFrame(rows, "url_id long, url string"), robots).collect()
+    assert sorted((r.url_id, r.allowed) for r in got) == [(1, False), (1, False), (2, False), (3, True), (4, False), (5, True)]

@@ -75,3 +75,28 @@ def test_fixture_tree_matches_dfs(spark):
     assert got == exp
     pages = {r.url for r in spark.read.parquet("/root/testdata/sf0.001/pages.parquet").select("url").collect()}
     assert set(got) == pages and len(got) == len(pages)
+
+
+def _index(*locs):
+    return ('<sitemapindex xmlns="http://www.sitemaps.org/schemas/sitemap/0.9">'
+            + "".join(f"<sitemap><loc>{u}</loc></sitemap>" for u in locs) + "</sitemapindex>")
+
+
+def _urlset(*locs):
+    return ('<urlset xmlns="http://www.sitemaps.org/schemas/sitemap/0.9">'
+            + "".join(f"<url><loc>{u}</loc></url>" for u in locs) + "</urlset>")
+
+
+def test_deep_tree_and_many_urls_come_out_whole(spark):
+    docs = {f"i{k}": _index(f"i{k + 1}") for k in range(11)} | {"i11": _urlset("https://e.com/deep")}
+    assert _expand(spark, docs, "i0") == ["https://e.com/deep"]
+    many = [f"https://e.com/{k}" for k in range(50_300)]
+    docs = {"r": _index("a", "b"), "a": _urlset(*many[:30_000]), "b": _urlset(*many[30_000:])}
+    assert _expand(spark, docs, "r") == many
+
+
+def test_loc_forms(spark):
+    ns = "http://www.sitemaps.org/schemas/sitemap/0.9"
+    x = (f"<s:urlset xmlns:s='{ns}'><s:url><s:loc >https://e.com/1</s:loc></s:url>"
+         "<s:url><s:loc><![CDATA[https://e.com/2?a=1&b=2]]></s:loc></s:url></s:urlset>")
+    assert _expand(spark, {"x": x}, "x") == ["https://e.com/1", "https://e.com/2?a=1&b=2"]

@@ -1015,6 +1015,23 @@ def t1_progress_stream(spark, sf):
     return _run_latest(spark, sf, progress, ["window_start"])
 
 
+TARGET_PAGES = 5000
+
+
+@query("t1_progress_to_target", f"""WITH {LOG_CTE},
+w AS (SELECT date_trunc('second', ts) AS window_start, count(*) AS requests,
+             count(*) FILTER (WHERE error_type IS NULL) AS pages, count(*) FILTER (WHERE error_type IS NOT NULL) AS errors,
+             round(avg(elapsed_s) FILTER (WHERE error_type IS NULL), 6) AS mean_latency_s, round(count(*) / 1.0, 6) AS rate_per_s
+      FROM fetch_log GROUP BY 1),
+c AS (SELECT *, CAST(sum(pages) OVER (ORDER BY window_start) AS BIGINT) AS pages_done FROM w)
+SELECT *, round(least(pages_done * 100.0 / {TARGET_PAGES}, 100.0), 3) AS pct_of_target,
+       round(greatest({TARGET_PAGES} - pages_done, 0) / rate_per_s, 3) AS eta_s FROM c""")
+def t1_progress_to_target(spark, sf):
+    """Share of the page target and time left after every window of the log."""
+    from ..streaming.jobs import progress, progress_to_target
+    return progress_to_target(progress(_log(spark, sf)), TARGET_PAGES)
+
+
 @query("t2_dedup_stream", f"WITH {LOG_CTE} SELECT DISTINCT url FROM fetch_log")
 def t2_dedup_stream(spark, sf):
     from ..streaming.jobs import dedup_urls
