@@ -91,3 +91,18 @@ def test_stats_export(spark, tmpdir_path):
     assert (data["total_processed"], data["successful_requests"], data["failed_requests"]) == (3, 2, 1)
     assert data["status_code_distribution"] == {"200": 2, "error": 1}
     assert data["avg_response_time"] == 0.4
+
+
+def test_table_ids_grow_over_appends(spark, tmpdir_path):
+    import uuid
+
+    from webloom.sinks import records as K
+    name = f"grow_{uuid.uuid4().hex[:8]}"
+    sink = K.table_sink(spark, name, buckets=4, path=f"{tmpdir_path}/t")
+    for k in range(3):
+        sink(spark.range(20, numPartitions=3).selectExpr(f"concat('u', id + {20 * k}) AS url", f"'{k}' AS title", "200 AS status_code"))
+    rows = spark.table(name).select("id", "title").collect()
+    assert len({r.id for r in rows}) == 60
+    top = {t: [r.id for r in rows if r.title == t] for t in "012"}
+    assert max(top["0"]) < min(top["1"]) and max(top["1"]) < min(top["2"])
+    assert {r.title for r in K.latest_from_table(spark, name, 20, order=("id",)).collect()} == {"2"}

@@ -13,6 +13,8 @@ from collections.abc import Callable, Iterable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import cut_lineage
+
 Sink = Callable[[DataFrame], None]
 
 CRAWL_RECORD = (
@@ -146,12 +148,15 @@ TABLE_COLUMNS = ["url", "title", "text", "text_length", "links", "images", "head
 
 def table_sink(spark: SparkSession, table: str, buckets: int = 16, path: str | None = None) -> Sink:
     """K3: append to a Parquet table bucketed and sorted by ``url`` (the url
-    index of the reference); duplicates are kept; each row gets a unique
-    ``id`` and ``saved_at``.  With ``path`` the table's files live there
-    (an external table, e.g. in the shared folder)."""
+    index of the reference); duplicates are kept; each row gets ``saved_at`` and an
+    ``id`` that is unique in the table and larger than those of earlier appends.
+    Rows are dealt by ``url`` first, so an append writes one file per bucket.  With
+    ``path`` the table's files live there (an external table, e.g. in the shared folder)."""
     def write(df: DataFrame) -> None:
+        last = spark.table(table).agg(F.max("id")).first()[0] if spark.catalog.tableExists(table) else None
         x = df.select(*[c for c in TABLE_COLUMNS if c in df.columns])
-        x = x.withColumn("id", F.monotonically_increasing_id()).withColumn("saved_at", F.current_timestamp())
+        x = x.withColumn("id", F.monotonically_increasing_id() + F.lit(0 if last is None else last + 1))
+        x = x.withColumn("saved_at", F.current_timestamp()).repartition(buckets, "url")
         w = x.write.mode("append").format("parquet").bucketBy(buckets, "url").sortBy("url")
         if path:
             w = w.option("path", path)
@@ -172,13 +177,11 @@ def lookup_url(spark: SparkSession, table: str, url: str) -> DataFrame:
 
 # K4 ---------------------------------------------------------------------------
 def fan_out(df: DataFrame, sinks: Iterable[Sink]) -> None:
-    """One result, many sinks: computed once (persisted), written by each."""
-    x = df.persist()
-    try:
-        for s in sinks:
-            s(x)
-    finally:
-        x.unpersist()
+    """One result, many sinks: computed once into the shared folder (page bodies
+    are not held in executor storage), then written by each."""
+    x = cut_lineage(df)
+    for s in sinks:
+        s(x)
 
 
 # K7 ---------------------------------------------------------------------------
