@@ -46,7 +46,6 @@ CUT = 0.3
 CHUNK_CHARS = 1 << 21
 _GAP = "\0" * LONGEST
 _FACTOR = np.random.default_rng(4).integers(1, 1 << 31, 8, dtype=np.uint32) * np.uint32(2) + np.uint32(1)
-_BLANK = {c: " " for c in (9, 10, 11, 12, 13)}
 
 
 def _chunks(texts: list[str | None]) -> Iterator[tuple[int, list[str]]]:
@@ -62,7 +61,8 @@ def _chunks(texts: list[str | None]) -> Iterator[tuple[int, list[str]]]:
 
 
 def _points(texts: list[str]) -> np.ndarray:
-    return np.frombuffer(_GAP.join([*texts, ""]).translate(_BLANK).encode("utf-32-le", "surrogatepass"), "<u4")
+    c = np.frombuffer(_GAP.join([*texts, ""]).encode("utf-32-le", "surrogatepass"), "<u4")
+    return np.where((c >= 9) & (c <= 13), np.uint32(32), c)
 
 
 def _slots(c: np.ndarray, orders: tuple[int, ...], salt: int) -> Iterator[tuple[np.ndarray, int]]:
@@ -78,13 +78,14 @@ def _slots(c: np.ndarray, orders: tuple[int, ...], salt: int) -> Iterator[tuple[
 
 def features(texts: list[str | None], table: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
     """(first text, text number, slot): the distinct slots with a non-zero entry in ``table`` of each text."""
+    used = table != 0
     for first, part in _chunks(texts):
         doc, slot = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
         for lower, orders in VIEWS:
             seen = [t.lower() for t in part] if lower else part
             c, start = _points(seen), np.cumsum([0] + [len(t) + len(_GAP) for t in seen])[:-1]
             for s, n in _slots(c, orders, 977 * (not lower)):
-                at = np.flatnonzero(table[s])
+                at = np.flatnonzero(used[s])
                 at = at[(c[at] != 0) & (c[at + n] != 0)]
                 doc.append(np.searchsorted(start, at, "right") - 1)
                 slot.append(s[at])
