@@ -93,9 +93,10 @@ def components(edges: DataFrame) -> DataFrame:
     before = signature(cur)
     while before[0]:
         low = F.min("b").over(Window.partitionBy("a"))
+        # one edge for each: the node itself, and each of its other smaller neighbours, to the smallest
         linked = (cur.select("a", "b", low.alias("m"))
-                  .select(F.explode(F.array(F.struct("a", F.col("m").alias("b")), F.struct(F.col("b").alias("a"), F.col("m").alias("b")))).alias("e"))
-                  .select("e.a", "e.b").where("a != b").distinct())
+                  .select(F.when(F.col("b") == F.col("m"), F.col("a")).otherwise(F.col("b")).alias("a"), F.col("m").alias("b"))
+                  .distinct())
         own = linked.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("low"))
         cur = cut_lineage(linked.join(own, F.col("b") == F.col("node"), "left")
                           .select("a", F.coalesce("low", "b").alias("b")).distinct())

@@ -46,13 +46,13 @@ from pyspark.sql import functions as F
 from . import text as X
 from .common import components, cut_lineage, merge_slices, signed, slice_rows, table
 
-COUNTERS = 1 << 21
+COUNTERS = 1 << 22
 BLOOM_BITS = 1 << 24
 BLOCK_BYTES = 16 << 20
 
 
 def slots(h: np.ndarray) -> np.ndarray:
-    return (h >> np.uint64(64 - 21)).astype(np.int64)
+    return (h >> np.uint64(64 - 22)).astype(np.int64)
 
 
 def fingerprint(s: np.ndarray) -> int:
@@ -131,6 +131,19 @@ def _bloom_rows(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield slice_rows(np.packbits(seen))
 
 
+def _maybe(batches: Iterable[pa.RecordBatch], bits) -> Iterator[pa.RecordBatch]:
+    """The rows whose first column may be in the Bloom filter."""
+    for b in batches:
+        at = _bloom_slots(b.column(0).to_numpy(zero_copy_only=False))
+        yield b.filter(pa.array((bits.value[at >> 3] >> (7 - (at & 7)).astype(np.uint8)) & 1 > 0))
+
+
+def _bloom(df: DataFrame):
+    """Broadcast Bloom filter (fixed size) of a one-column table of longs."""
+    return df.sparkSession.sparkContext.broadcast(
+        merge_slices(df.mapInArrow(_bloom_rows, "slice int, counts binary"), BLOOM_BITS // 8, np.uint8, "or"))
+
+
 def _member_sets(batches: Iterable[pa.RecordBatch], k: int, bits, part=None) -> Iterator[pa.RecordBatch]:
     """(fp, n, set) of the documents whose fingerprint may be in a cluster, each
     set once per partition; ``part`` picks the shingles to send."""
@@ -288,9 +301,12 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     counts = sc.broadcast(merge_slices(passed.where("slice IS NOT NULL").select("slice", "counts"), COUNTERS))
 
     entries = cut_lineage(text.mapInArrow(lambda it: _prefix_rows(it, k, counts, num, den), "token long, fp long, n int"))
-    shared = entries.groupBy("token").agg(F.min("fp").alias("x"), F.max("fp").alias("y")).where("x != y").select("token")
+    shared = cut_lineage(entries.groupBy("token").agg(F.min("fp").alias("x"), F.max("fp").alias("y"))
+                         .where("x != y").select("token"))
+    bits = _bloom(shared)
+    live = entries.mapInArrow(lambda it: _maybe(it, bits), entries.schema).join(shared, "token")
     sizes = rows.groupBy("fp").agg(F.first("n").alias("n"))
-    clusters = components(_meetings(entries.join(shared, "token"), num, den))
+    clusters = components(_meetings(live, num, den))
     # the index parts alone tell most clusters apart; whole sets are sent only for what remains
     maybe = _solved(text, clusters, sizes, k, num, den, block_bytes, lambda s: index_part(s, counts, num, den))
     links = _solved(text, components(maybe), sizes, k, num, den, block_bytes)
@@ -310,8 +326,7 @@ def _solved(text: DataFrame, clusters: DataFrame, sizes: DataFrame, k: int, num:
     """Links (a, b) inside the clusters (id, component)."""
     spark = text.sparkSession
     member = cut_lineage(clusters.join(sizes, F.col("id") == F.col("fp")).select("fp", "component", "n"))
-    bits = spark.sparkContext.broadcast(merge_slices(
-        member.select("fp").mapInArrow(_bloom_rows, "slice int, counts binary"), BLOOM_BITS // 8, np.uint8, "or"))
+    bits = _bloom(member.select("fp"))
     sets = text.mapInArrow(lambda it: _member_sets(it, k, bits, part), "fp long, n int, shingles binary")
     n_parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     return cut_lineage(sets.join(_block_pairs(member, num, den, block_bytes), "fp").select("task", "fp", "n", "shingles")
