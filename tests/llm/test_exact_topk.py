@@ -47,3 +47,10 @@ def test_large_components_stay_exact(spark):
     r = np.random.default_rng(1)
     rows = [(i, (r.normal(0, 1, 8) * 1e7).astype(np.float32).tolist()) for i in range(60)]
     assert run(spark, rows, 4, 20) == brute(rows, 4, 20)
+
+
+@pytest.mark.parametrize("nodes", [1, 2, 3])
+def test_fewer_candidates_than_k_are_all_returned(spark, nodes):
+    rows = [(i, [float(i), -1.5, 0.25, 2.0]) for i in range(0, 60, 10)]
+    got = run(spark, rows, 20, 20, nodes=nodes)
+    assert len(got) == 3 * 5 and got == brute(rows, 20, 20)

@@ -134,7 +134,8 @@ def _collect(batches: Iterable[pa.RecordBatch], dim: int, nodes: int) -> Iterato
         cut = dict(zip(row["cut_rid"] or [], row["cut_score"] or [], strict=True))
         tau = np.array([cut.get(r, LOWEST) for r in p.q_rid.tolist()], np.int64)
         over = np.zeros(p.parts[0].shape, bool)
-        share = -(-tau // nodes)  # integers: a sum of tau needs a part of ceil(tau / nodes)
+        # integers: a sum of tau needs a part of ceil(tau / nodes); no cutoff (LOWEST, whose negative wraps) takes all
+        share = np.where(tau == LOWEST, LOWEST, -(-tau // nodes))
         for part in p.parts:
             over |= part >= share[:, None]
         if p.own is not None:
