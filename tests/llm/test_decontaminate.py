@@ -72,3 +72,31 @@ def test_empty_tables_and_repeats(docs_of, items, spark):
     assert found(docs_of, twice, [(1, "the big old dog ran away"), (1, "the big old dog ran away")]) == [(1, 4)]
     got = D.leaks(docs_of([(None, "the big old dog ran away")]), twice).collect()
     assert [(r["doc_id"], r["item_id"]) for r in got] == [(None, 4)]
+
+
+def test_every_item_of_a_template_is_found(docs_of, spark):
+    text = "first we put {} coins on the big wooden table near the door and later we take {} coins from it again"
+    table = spark.createDataFrame([(i, text.format(i, i + 50)) for i in range(1, 7)], ITEM)
+    rows = [(i, "well then " + text.format(i, i + 50)) for i in range(1, 7)] + [(100, text.format(77, 78))]
+    assert found(docs_of, table, rows) == sorted((d, i) for d, _ in rows for i in range(1, 7))
+
+
+def test_slots_are_compared_with_their_own_item(docs_of, spark):
+    # no 8 tokens without a number: a contradicting run leaves nothing
+    text = "we take {} red balls out of it then add {} more balls to the old box"
+    table = spark.createDataFrame([(1, text.format(5, 5)), (2, text.format(5, 6))], ITEM)
+    rows = [(1, text.format(8, 8)), (2, text.format(5, 6)), (3, text.format(5, 5))]
+    got = set(found(docs_of, table, rows))
+    assert (2, 2) in got and (1, 1) in got and (3, 1) in got and (2, 1) not in got
+
+
+def test_matches_brute_force_item_by_item(docs_of, spark):
+    r = random.Random(5)
+    words = [f"w{c}" for c in "abcdefghijklmnopqrstuvwxyz"]
+    common = r.choices(words, k=10)
+    texts = [" ".join(r.choices(words, k=r.randint(2, 9)) + (common if j % 2 else [])) + f" end{j}" for j in range(24)]
+    texts = [t for t in texts if len(t.split()) >= D.K]
+    rows = [(i, " ".join(r.choices(words, k=r.randint(0, 30)) + texts[i % len(texts)].split()[:r.randint(4, 20)])) for i in range(80)]
+    grams = lambda t: {tuple(t.split()[p:p + D.K]) for p in range(len(t.split()) - D.K + 1)}
+    want = sorted((i, j) for i, t in rows for j, x in enumerate(texts) if grams(t) & grams(x))
+    assert found(docs_of, spark.createDataFrame(list(enumerate(texts)), ITEM), rows) == want

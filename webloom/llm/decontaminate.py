@@ -7,8 +7,10 @@ at least ``MIN_LITERAL`` of them literal; in its hash a slot counts as (type,
 position of the window's first slot of the same value), so two windows are equal
 when their literal words agree and their slots map one to one.
 
-* The benchmark's windows make an index with one row per window hash.  Items
-  shorter than ``k`` tokens are one window of their own length.
+* The benchmark's windows make an index with one row per window hash, item and, for
+  windows with slots, place in the item: items of one template share hashes, and
+  each is compared by its own slots.  Items shorter than ``k`` tokens are one
+  window of their own length.
 * Documents are scanned once; a Bloom filter of fixed size (whatever the
   benchmark's size) drops most windows before the shuffle, and an exact hash join
   with the index decides the rest.
@@ -177,10 +179,12 @@ def leaks(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: s
     document with a passage of an item, re-parameterised or verbatim."""
     sizes = tuple(range(MIN_LITERAL, K + 1))
     index = cut_lineage(
-        items.select(F.col(item_col).cast("long"), F.col(item_text))
+        items.groupBy(item_text).agg(F.min(F.col(item_col).cast("long")).alias("id")).select("id", item_text)
         .mapInArrow(lambda it: _window_rows(it, sizes), _WINDOW)
-        .groupBy("w", "k").agg(F.min(F.struct("id", "pos", "slots")).alias("m"))
-        .select("w", "k", F.col("m.id").alias("item_id"), F.col("m.pos").alias("item_pos"), F.col("m.slots").alias("item_slots")))
+        # a window without slots counts wherever it stands in the item
+        .groupBy("w", "k", "id", F.when(F.exists("slots", lambda x: x != 0), F.col("pos")).alias("place"))
+        .agg(F.min(F.struct("pos", "slots")).alias("m"))
+        .select("w", "k", F.col("id").alias("item_id"), F.col("m.pos").alias("item_pos"), F.col("m.slots").alias("item_slots")))
     lengths = tuple(sorted(r["k"] for r in index.select("k").distinct().collect()))  # at most K - MIN_LITERAL + 1
     bits = docs.sparkSession.sparkContext.broadcast(
         merge_slices(index.select("w").mapInArrow(_bloom_rows, "slice int, counts binary"), BLOOM_BITS // 8, np.uint8, "or"))
@@ -194,17 +198,18 @@ def leaks(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: s
     clash = (found.select(*run, F.explode("pairs").alias("p")).groupBy(*run, F.col("p.a").alias("a"))
              .agg((F.min("p.b") != F.max("p.b")).alias("clash")).groupBy(*run)
              .agg(F.max("clash").alias("clash"), F.count("*").alias("slots")))
-    literal = F.size("pairs") == 0
-    runs = found.groupBy(*run).agg(F.count("*").alias("n"), F.count(F.when(literal, 1)).alias("literal"),
-                                   F.min("pos").alias("first_word"))
-    same = [runs[c].eqNullSafe(clash[c]) for c in run]
-    runs = (runs.join(clash, same, "left").select(*[runs[c] for c in run], "n", "literal", "first_word",
-                                                  F.coalesce("clash", F.lit(False)).alias("clash"),
-                                                  F.coalesce("slots", F.lit(0)).alias("slots")))
-    windows = F.when(F.col("clash"), F.col("literal")).otherwise(F.col("n"))
-    return (runs.withColumn("windows", windows).where("windows > 0").groupBy(F.col("id").alias(id_col), "item_id")
-            .agg(F.sum("windows").alias("n_windows"), F.sum("literal").alias("n_literal_windows"),
-                 F.min("first_word").alias("first_word"), F.sum("slots").alias("n_slots")))
+    hits = (found.join(clash.withColumnsRenamed({c: f"c_{c}" for c in run}),
+                       [F.col(c).eqNullSafe(F.col(f"c_{c}")) for c in run], "left")
+            .withColumn("literal", F.size("pairs") == 0)
+            .where("literal OR NOT clash"))
+    # a window of the document counts once for an item, however many places of the item it equals
+    runs = (hits.groupBy(*run).agg(F.max(F.coalesce("slots", F.lit(0))).alias("slots")).groupBy("id", "item_id")
+            .agg(F.sum("slots").alias("n_slots")).withColumnsRenamed({"id": "r_id", "item_id": "r_item"}))
+    words = (hits.groupBy("id", "item_id", "pos").agg(F.max("literal").alias("literal")).groupBy("id", "item_id")
+             .agg(F.count("*").alias("n_windows"), F.count(F.when(F.col("literal"), 1)).alias("n_literal_windows"),
+                  F.min("pos").alias("first_word")))
+    return (words.join(runs, F.col("id").eqNullSafe(F.col("r_id")) & F.col("item_id").eqNullSafe(F.col("r_item")))
+            .select(F.col("id").alias(id_col), "item_id", "n_windows", "n_literal_windows", "first_word", "n_slots"))
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
