@@ -2,10 +2,13 @@
 
 A text becomes a sequence of tokens: words without outer punctuation, lower-cased.  Numbers,
 units after a number and names (title case inside a sentence) become typed
-placeholders, their values are the slots.  A template window is ``k`` tokens,
-at least ``MIN_LITERAL`` of them literal; in its hash a slot counts as (type,
-position of the window's first slot of the same value), so two windows are equal
-when their literal words agree and their slots map one to one.
+placeholders, their values are the slots.  Windows are ``k`` tokens and enter twice:
+
+* word for word, every window: equal when all lower-cased tokens agree, whatever
+  their types (numbers, names and letter case do not matter for a copy);
+* as a template, windows with slots and at least ``MIN_LITERAL`` literal tokens: in the
+  hash a slot counts as (type, position of the window's first slot of the same value), so
+  two windows are equal when their literal words agree and their slots map one to one.
 
 * The benchmark's windows make an index with one row per window hash, item and, for
   windows with slots, place in the item: items of one template share hashes, and
@@ -16,10 +19,10 @@ when their literal words agree and their slots map one to one.
   with the index decides the rest.
 * Windows of one document and item on one diagonal (document position minus
   item position) form a run.  A run whose slot values contradict each other
-  across windows counts only by its windows without slots.
+  across windows counts only by its windows that agree word for word.
 
 Defined results: null, blank and short texts match nothing; an item below
-``MIN_LITERAL`` literal tokens cannot be matched; an item text given twice is
+``MIN_LITERAL`` tokens cannot be matched; an item text given twice is
 reported under its smallest item_id; repeated rows of documents are reported
 each (once per distinct doc_id and item); extra columns are ignored.
 """
@@ -106,30 +109,32 @@ class Tokens:
         fresh[self.first[:-1][self.first[:-1] < n]] = True
         kind[(kind == 0) & title & ~fresh] = NAME
 
-    def windows(self, k: int) -> tuple[np.ndarray, np.ndarray]:
-        """(hash, first token) of every template window of ``k`` tokens."""
+    def windows(self, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """(hash, first token, number of slots, template?) of every window of ``k`` tokens
+        word for word, then of those that count as templates."""
         n = len(self.hash)
         if n < k:
-            return np.zeros(0, np.uint64), np.zeros(0, np.int64)
+            z = np.zeros(0, np.int64)
+            return np.zeros(0, np.uint64), z, z, np.zeros(0, bool)
         slot = self.type > 0
-        literal = np.where(slot, np.uint64(0), self.hash)
-        h, at = X.windows(literal, self.first, k)
+        exact, at = X.windows(self.hash, self.first, k)
         held = np.concatenate([[0], np.cumsum(slot)])
         slots = held[at + k] - held[at]
-        ok = k - slots >= min(MIN_LITERAL, k)
-        h, at, slots = h[ok], at[ok], slots[ok]
-        mixed = np.flatnonzero(slots)
-        if len(mixed):
-            a, extra = at[mixed], np.zeros(len(mixed), np.uint64)
-            for j in range(k):
-                place = np.full(len(a), j, np.uint64)
-                for i in range(j - 1, -1, -1):
-                    same = slot[a + i] & (self.hash[a + i] == self.hash[a + j])
-                    place[same] = i
-                code = X.mix((place + np.uint64(1)) * X._PLACE[j] + self.type[a + j].astype(np.uint64) * X._PLACE[40])
-                extra += np.where(slot[a + j], code, np.uint64(0))
-            h[mixed] = X.mix(h[mixed] + extra)
-        return h, at
+        mixed = np.flatnonzero((slots > 0) & (k - slots >= min(MIN_LITERAL, k)))
+        if not len(mixed):
+            return exact, at, slots, np.zeros(len(at), bool)
+        h = X.windows(np.where(slot, np.uint64(0), self.hash), self.first, k)[0][mixed]
+        a, extra = at[mixed], np.zeros(len(mixed), np.uint64)
+        for j in range(k):
+            place = np.full(len(a), j, np.uint64)
+            for i in range(j - 1, -1, -1):
+                same = slot[a + i] & (self.hash[a + i] == self.hash[a + j])
+                place[same] = i
+            code = X.mix((place + np.uint64(1)) * X._PLACE[j] + self.type[a + j].astype(np.uint64) * X._PLACE[40])
+            extra += np.where(slot[a + j], code, np.uint64(0))
+        h = X.mix(h + extra)
+        return (np.concatenate([exact, h]), np.concatenate([at, a]), np.concatenate([slots, slots[mixed]]),
+                np.arange(len(at) + len(a)) >= len(at))
 
     def values(self, at: np.ndarray, k: int) -> list[list[int]]:
         """Slot values (as hashes) of the windows, in order; 0 for literals."""
@@ -137,12 +142,13 @@ class Tokens:
         return v[at[:, None] + np.arange(k)].tolist() if len(at) else []
 
 
-_WINDOW = "w long, id long, pos long, k int, slots array<long>"
+_WINDOW = "w long, id long, pos long, k int, plain boolean, slots array<long>"
 
 
 def _window_rows(batches: Iterable[pa.RecordBatch], sizes, bits=None) -> Iterator[pa.RecordBatch]:
-    """Rows (w, id, pos, k, slots) of each text's windows; with ``bits`` only
-    those that may be in the index, without only K-windows plus whole short texts."""
+    """Rows (w, id, pos, k, plain, slots) of each text's windows, ``plain`` without slots and
+    ``slots`` null word for word; with ``bits`` only those that may be in the index,
+    without only K-windows plus whole short texts."""
     names = [p.split()[0] for p in _WINDOW.split(", ")]
     for b in batches:
         ids = b.column(0).cast(pa.int64())
@@ -150,7 +156,7 @@ def _window_rows(batches: Iterable[pa.RecordBatch], sizes, bits=None) -> Iterato
             t = Tokens(c)
             own = ids.slice(c.lo, c.hi - c.lo)
             for k in sizes:
-                h, at = t.windows(k)
+                h, at, slots, template = t.windows(k)
                 doc = np.searchsorted(t.first, at, "right") - 1
                 if bits is None:
                     ok = (k == K) | (t.first[doc + 1] - t.first[doc] == k)
@@ -158,11 +164,13 @@ def _window_rows(batches: Iterable[pa.RecordBatch], sizes, bits=None) -> Iterato
                 else:
                     s = (h & np.uint64(BLOOM_BITS - 1)).astype(np.int64)
                     ok = (bits.value[s >> 3] >> (7 - (s & 7)).astype(np.uint8)) & 1 > 0
-                h, at, doc = h[ok], at[ok], doc[ok]
+                h, at, doc, slots, template = h[ok], at[ok], doc[ok], slots[ok], template[ok]
                 if len(h):
+                    values = [None] * int((~template).sum()) + t.values(at[template], k)  # templates come last
                     yield pa.RecordBatch.from_arrays(
                         [pa.array(signed(h)), own.take(pa.array(doc)), pa.array(at - t.first[doc]),
-                         pa.array(np.full(len(h), k, np.int32)), pa.array(t.values(at, k), pa.list_(pa.int64()))], names)
+                         pa.array(np.full(len(h), k, np.int32)), pa.array(slots == 0),
+                         pa.array(values, pa.list_(pa.int64()))], names)
 
 
 def _bloom_rows(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -181,8 +189,8 @@ def leaks(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: s
     index = cut_lineage(
         items.groupBy(item_text).agg(F.min(F.col(item_col).cast("long")).alias("id")).select("id", item_text)
         .mapInArrow(lambda it: _window_rows(it, sizes), _WINDOW)
-        # a window without slots counts wherever it stands in the item
-        .groupBy("w", "k", "id", F.when(F.exists("slots", lambda x: x != 0), F.col("pos")).alias("place"))
+        # a window that agrees word for word counts wherever it stands in the item
+        .groupBy("w", "k", "id", F.when(F.col("slots").isNotNull(), F.col("pos")).alias("place"))
         .agg(F.min(F.struct("pos", "slots")).alias("m"))
         .select("w", "k", F.col("id").alias("item_id"), F.col("m.pos").alias("item_pos"), F.col("m.slots").alias("item_slots")))
     lengths = tuple(sorted(r["k"] for r in index.select("k").distinct().collect()))  # at most K - MIN_LITERAL + 1
@@ -192,20 +200,19 @@ def leaks(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: s
              .mapInArrow(lambda it: _window_rows(it, lengths, bits), _WINDOW)
              .join(index, ["w", "k"])
              .withColumn("pairs", F.filter(F.arrays_zip(F.col("item_slots").alias("a"), F.col("slots").alias("b")),
-                                           lambda p: p["a"] != 0)))
+                                           lambda p: p["a"] != 0)))  # null word for word
     run = ["id", "item_id", "diagonal"]
-    found = cut_lineage(found.select("id", "item_id", (F.col("pos") - F.col("item_pos")).alias("diagonal"), "pos", "pairs"))
+    found = cut_lineage(found.select("id", "item_id", (F.col("pos") - F.col("item_pos")).alias("diagonal"), "pos", "plain", "pairs"))
     clash = (found.select(*run, F.explode("pairs").alias("p")).groupBy(*run, F.col("p.a").alias("a"))
              .agg((F.min("p.b") != F.max("p.b")).alias("clash")).groupBy(*run)
              .agg(F.max("clash").alias("clash"), F.count("*").alias("slots")))
     hits = (found.join(clash.withColumnsRenamed({c: f"c_{c}" for c in run}),
                        [F.col(c).eqNullSafe(F.col(f"c_{c}")) for c in run], "left")
-            .withColumn("literal", F.size("pairs") == 0)
-            .where("literal OR NOT clash"))
+            .where("pairs IS NULL OR NOT clash"))
     # a window of the document counts once for an item, however many places of the item it equals
     runs = (hits.groupBy(*run).agg(F.max(F.coalesce("slots", F.lit(0))).alias("slots")).groupBy("id", "item_id")
             .agg(F.sum("slots").alias("n_slots")).withColumnsRenamed({"id": "r_id", "item_id": "r_item"}))
-    words = (hits.groupBy("id", "item_id", "pos").agg(F.max("literal").alias("literal")).groupBy("id", "item_id")
+    words = (hits.groupBy("id", "item_id", "pos").agg(F.max(F.col("pairs").isNull() & F.col("plain")).alias("literal")).groupBy("id", "item_id")
              .agg(F.count("*").alias("n_windows"), F.count(F.when(F.col("literal"), 1)).alias("n_literal_windows"),
                   F.min("pos").alias("first_word")))
     return (words.join(runs, F.col("id").eqNullSafe(F.col("r_id")) & F.col("item_id").eqNullSafe(F.col("r_item")))
