@@ -102,3 +102,22 @@ def test_rows(spark):
         assert (g["text"], g["n_chars"]) == (want, len(want))
     empty = spark.createDataFrame([], PAGE)
     assert M.main_text(empty, M.fit(empty)).count() == 0
+
+
+@pytest.mark.parametrize("page, blocks", [
+    ("<html><head><title>no</title><meta charset=x><body><p>yes</p></body></html>", ["yes"]),
+    ("<head><link rel=x><style>no</style><script>no</script><p>a<p>b", ["a", "b"]),
+    ("<html><head><title>no</title>plain text <b>bold</b>", ["plain text bold"]),
+    ("<head><template><p>no</p></template><noscript>no</noscript><h1>yes</h1>", ["yes"]),
+    ("<head><head><title>no</title></head><body><div>yes</div>", ["yes"]),
+    ("<html><head>\n <title>no</title>\n</head>\n<body><p>yes</p></body></html>", ["yes"]),
+])
+def test_head_without_end_tag(page, blocks):
+    assert [t for _, t in M.parse(page)[1]] == blocks
+
+
+def test_article_of_page_without_head_end(model):
+    body = "<body><article><h1>Title here</h1><p>First part with text, and more words to say.</p></article></body></html>"
+    want = "Title here First part with text, and more words to say."
+    for head in ("<html><head><title>no</title></head>", "<html><head><title>no</title>"):
+        assert M.extract(head + body, model) == want

@@ -19,7 +19,7 @@ notices, forms, sidebars and comments are known, for pages without such marks.
 
 Defined results: null and empty html give the empty text; text outside any tag belongs to
 the root; unclosed and stray tags are repaired as browsers do in the common cases (paragraphs,
-list items, table cells); a page without content gives the empty text; repeated
+list items, table cells, a head without its end tag); a page without content gives the empty text; repeated
 rows are extracted each; null keys are kept; extra columns are ignored.
 """
 
@@ -49,6 +49,8 @@ _WORD = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 UNSEEN = frozenset("script style noscript template head title svg math iframe object canvas audio video select option textarea "
                    "button datalist".split())
+#: any other start tag, and any text, ends an open head
+IN_HEAD = frozenset("title meta link base basefont bgsound style script noscript noframes template head".split())
 RAW = frozenset("script style textarea title noscript iframe".split())
 INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q s samp small span strike "
                    "strong sub sup time tt u var wbr br img ruby rt rp input".split())
@@ -90,6 +92,8 @@ def parse(page: str) -> tuple[list[Node], list[tuple[int, str]]]:
             run.clear()
 
     def text(a, b):
+        if stack[-1][0] == "head" and a < b and not page[a:b].isspace():
+            end_head()
         if a < b and not hidden:
             s = H.unescape(page[a:b])
             run.append(s)
@@ -110,6 +114,10 @@ def parse(page: str) -> tuple[list[Node], list[tuple[int, str]]]:
             flush()
         owner = stack[-1][1]
 
+    def end_head():
+        while stack[-1][0] == "head":
+            pop()
+
     end = len(page)
     while at < end:
         m = _TOKEN.search(page, at)
@@ -130,6 +138,8 @@ def parse(page: str) -> tuple[list[Node], list[tuple[int, str]]]:
                 if stack[k][0] in SCOPE and tag not in SCOPE:
                     break
             continue
+        if stack[-1][0] == "head" and tag not in IN_HEAD:
+            end_head()
         if tag in VOID:
             if tag in ("br", "hr") and not hidden:
                 run.append(" ")
