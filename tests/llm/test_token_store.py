@@ -1,3 +1,4 @@
+import functools
 import struct
 import zlib
 
@@ -5,6 +6,7 @@ import numpy as np
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from tokenizers import Tokenizer
 
 from webloom.llm import token_store as S
 from webloom.llm.tokenize import encoder, vocabulary
@@ -66,3 +68,30 @@ def test_null_ids_repeats_and_empty_table(spark, docs_of, tmp_path):
     assert sorted(r["start"] + r["n_tokens"] for r in got)[-1] == sum(r["n_tokens"] for r in got) == 8
     S.write(docs_of([]), str(tmp_path / "b"), path)
     assert S.read(spark, str(tmp_path / "b")).count() == 0
+
+
+@functools.cache
+def _plain(name):
+    """The library's tokenizer as it comes from the file."""
+    return Tokenizer.from_file(vocabulary(name))
+
+
+SPECIAL = ["a <|endoftext|> b", "<|endoftext|>", "x<|endoftext|>y <|startoftext|>. z", "a  <|endoftext|>\n\nb ", "tab\t<|endoftext|> é",
+           "<|EndOfText|> <|endoftext|", "don't<|endoftext|>'s", "\n <|endoftext|><|endoftext|> 12"]
+
+
+@pytest.mark.parametrize("name, spaces", [("word_bpe_49k.json", False), ("byte_bpe_50k.json", True)])
+def test_special_tokens_in_texts_are_one_id(name, spaces):
+    plain = _plain(name)
+    e = encoder(vocabulary(name), spaces, 7)
+    for t, got in zip(SPECIAL + ODD, e.encode(SPECIAL + ODD), strict=True):
+        assert np.frombuffer(got, "<u4").tolist() == plain.encode(t, add_special_tokens=False).ids + [7], t
+
+
+@pytest.mark.parametrize("name, spaces", [("word_bpe_49k.json", False), ("byte_bpe_50k.json", True)])
+@settings(max_examples=150, deadline=None)
+@given(parts=st.lists(st.sampled_from(["<|endoftext|>", "<|startoftext|>", " ", "\n", "  ", "ab", "é", "'s", "1", ".", "<|", "\t"]), max_size=9))
+def test_special_tokens_on_random_texts(name, spaces, parts):
+    t = "".join(parts)
+    plain = _plain(name)
+    assert np.frombuffer(encoder(vocabulary(name), spaces, 7).encode([t])[0], "<u4").tolist() == plain.encode(t, add_special_tokens=False).ids + [7]

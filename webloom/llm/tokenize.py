@@ -6,7 +6,8 @@ space is blanks and line breaks is cut into pieces that never share a token;
 equal pieces are encoded once per worker.  A piece of Latin letters and closing
 signs is two pre-tokens and goes straight to the vocabulary's merges, any other
 piece through the whole tokenizer, and a text with other white space is encoded whole.
-The result equals ``encode(text, add_special_tokens=False)`` (see the tests).
+A special token written in a text (``<|endoftext|>``) has no white space, lies inside one piece and
+is one id.  The result equals ``encode(text, add_special_tokens=False)`` (see the tests).
 """
 
 from __future__ import annotations
@@ -43,7 +44,6 @@ class Encoder:
     def __init__(self, path: str, spaces: bool, end: int):
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
         self.model = self.tokenizer.model
         self.spaces, self.end = spaces, end.to_bytes(4, "little")
         self.cache: dict[str, bytes] = {}
