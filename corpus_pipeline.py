@@ -5,7 +5,7 @@ predecessor kept; its output is written as Parquet and read again as the next
 one's ``docs``.  All but the last return the columns of ``documents``.
 
 1. toxicity: documents scored 0.3 or more go (classifier trained on ``labels``)
-2. n-gram Jaccard join: of linked documents (3-word shingles, 90 in 100) the
+2. n-gram Jaccard join: of linked documents (5-word shingles, 80 in 100) the
    one with the smallest doc_id stays
 3. benchmark decontamination: documents with a passage of ``benchmark`` go
 4. PII: personal data in the texts becomes ``<EMAIL>``, ``<IP>``, ``<CARD>``, ``<PHONE>``
@@ -32,7 +32,7 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     prepare(spark)
-    group = cut_lineage(jaccard_join.jaccard_components(docs))
+    group = cut_lineage(jaccard_join.jaccard_components(docs, k=5, num=80, den=100))
     copies = group.where("doc_id != component_id").select("doc_id").distinct()
     repeated = group.groupBy("doc_id").count().where("count > 1 AND doc_id IS NOT NULL").select("doc_id")
     kept = docs.join(copies, "doc_id", "left_anti")

@@ -82,6 +82,31 @@ def test_stages_and_run(spark, folder):
     assert len({r["sequence_id"] for r in out}) <= -(-total // 2048) + 1
 
 
+def test_near_copies_by_five_words_and_four_fifths(spark, tmp_path):
+    r = random.Random(3)
+
+    def jaccard(a, b, k):
+        x, y = ({tuple(t.split()[i:i + k]) for i in range(len(t.split()) - k + 1)} for t in (a, b))
+        return len(x & y) / len(x | y)
+
+    def edited(words, places):
+        return " ".join(f"new{r.random()}" if i in places else w for i, w in enumerate(words))
+
+    rows, near = [], set()
+    for n in range(6):
+        w = [f"w{n}x{i}" for i in range(200)]
+        base = " ".join(w)
+        scattered, stretch, far = edited(w, {20, 65, 110, 155}), edited(w, set(range(90, 104))), edited(w, set(range(10, 190, 30)))
+        for t in (scattered, stretch):
+            assert jaccard(base, t, 5) >= 0.8 and jaccard(base, t, 3) < 0.9
+        assert jaccard(base, far, 5) < 0.8
+        rows += [(10 * n, base), (10 * n + 1, scattered), (10 * n + 2, stretch), (10 * n + 3, far)]
+        near |= {10 * n + 1, 10 * n + 2}
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = {r["doc_id"] for r in C.drop_near_copies(spark, docs, str(tmp_path)).collect()}
+    assert got == {i for i, _ in rows} - near
+
+
 def test_repeated_and_null_ids(spark, tmp_path):
     docs = spark.createDataFrame([(1, "a b c d"), (1, "a b c d"), (None, "a b c d"), (2, "a b c d"), (3, "q")], "doc_id long, text string")
     got = C.drop_near_copies(spark, docs, str(tmp_path)).collect()
