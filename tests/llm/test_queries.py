@@ -19,6 +19,9 @@ COLUMNS = {
     "op8_": "query_id rank vec_id score",
     "op9_": "doc_id piece start length ids_crc32 sequence_id offset",
     "op10_": "page_id payload_bytes payload_digest record_type refers_to",
+    "op11_": "doc_id n_shingles component_id kept",
+    "op12_": "vec_id component n deviation whitened explained identity_error",
+    "op13_": "doc_id n_runs start length period exponent_milli runs_sha256 collapsed_sha256",
 }
 
 

@@ -19,6 +19,9 @@ _ENTRIES = {
     "op8_exact_topk": "exact_topk",
     "op9_best_fit_packing": "packing",
     "op10_warc_store": "warc_store",
+    "op11_minhash_near_dedup": "minhash_tensor",
+    "op12_embedding_whitening": "whitening",
+    "op13_periodic_runs": "periodic_runs",
 }
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
