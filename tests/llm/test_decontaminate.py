@@ -27,7 +27,7 @@ def test_reparameterised_and_verbatim(docs_of, items):
         (4, None), (5, ""), (6, "few words"), (7, "the big old dog ran"),
         (8, "some other text about apples and trains and hours of a trip that has nothing to do with it"),
     ]
-    assert found(docs_of, items, rows) == [(1, 7), (2, 8), (3, 11)]
+    assert found(docs_of, items, rows) == [(1, 7), (2, 8), (3, 11), (6, 10)]
 
 
 def test_inconsistent_slots_do_not_match(docs_of, spark):
@@ -114,3 +114,44 @@ def test_verbatim_copies_need_no_literal_words(docs_of, spark, item, copy):
     table = spark.createDataFrame([(1, item), (2, "an item of which no word is in any text here at all")], ITEM)
     other = " ".join(f"x{w}" for w in copy.split())
     assert found(docs_of, table, [(1, copy), (2, other), (3, "8 plus 9 is 17 and 5 plus 6 is 11")]) == [(1, 1)]
+
+
+def test_short_items_match_whole_sentences_and_lines(docs_of, spark):
+    item = spark.createDataFrame([(1, "What is 2+2?"), (2, "Why"), (3, "name the capital")], ITEM)
+    rows = [(1, "What is 2+2?"), (2, "so I ask: what is 2+2 ? four"), (3, "he knows what is 2+2 and more"), (4, "a line\n  WHAT IS 2+2\nnext"),
+            (5, "Why? because"), (6, "this is why it is"), (7, "name the capital of x"), (8, "Well. Name the capital!"), (9, "what is 2+3")]
+    assert found(docs_of, item, rows) == [(1, 1), (2, 1), (4, 1), (5, 2), (8, 3)]
+
+
+def test_values_map_one_to_one_both_ways(docs_of, spark):
+    text = "first we put {} coins on the big wooden table near the door and later we take {} coins from it again"
+    item = spark.createDataFrame([(1, text.format(3, 4))], ITEM)
+    got = {r["doc_id"]: (r["n_windows"], r["n_literal_windows"]) for r in
+           D.leaks(docs_of([(1, text.format(8, 9)), (2, text.format(5, 5))]), item).collect()}
+    assert got[1][0] > got[1][1] and got[2][0] == got[2][1]
+    short = "take {} red balls and then add {} more balls to the box"
+    item = spark.createDataFrame([(1, short.format(3, 4))], ITEM)
+    assert found(docs_of, item, [(1, short.format(7, 8)), (2, short.format(5, 5))]) == [(1, 1)]
+
+
+def test_alignment_equals_brute_force():
+    import numpy as np
+    r = np.random.default_rng(3)
+    k, side = 5, D.K - 1
+    for _ in range(200):
+        at = r.integers(-1, 3, (1, k + 2 * side))
+        bt = np.where(r.random(at.shape) < 0.85, at, r.integers(-1, 3, at.shape))
+        at[:, side:side + k] = bt[:, side:side + k] = r.integers(0, 3, (1, k))
+        a = r.integers(1, 4, at.shape)
+        b = np.where((at == 0) & (r.random(at.shape) < 0.9), a, r.integers(1, 4, at.shape))
+        b[:, side:side + k] = np.where(at[:, side:side + k] == 0, a[:, side:side + k], b[:, side:side + k])
+
+        def agrees(j, a=a, b=b, at=at, bt=bt):
+            return at[0, j] == bt[0, j] >= 0 and (at[0, j] > 0 or a[0, j] == b[0, j])
+        lo, hi = side, side + k
+        while lo > 0 and agrees(lo - 1):
+            lo -= 1
+        while hi < a.shape[1] and agrees(hi):
+            hi += 1
+        want = [(int(a[0, j]), int(b[0, j])) for j in range(lo, hi) if at[0, j] > 0]
+        assert D.aligned_pairs(k, a, at, b, bt) == [want]

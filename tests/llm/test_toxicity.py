@@ -2,6 +2,7 @@ import random
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from webloom.llm import toxicity as T
@@ -44,13 +45,59 @@ def test_held_out_labels_are_never_read(docs_of, spark):
     assert a[1] == pytest.approx(b[1]) and np.allclose(a[0], b[0])
 
 
-def test_batches_do_not_change_features():
-    every = np.ones(T.SLOTS, bool)
-    texts = ["Hello wörld", None, "", "a", "x\ny " * 50]
-    alone = [next(T.features([t], every))[2].tolist() for t in texts]
-    first, doc, slot = next(T.features(texts, every))
-    assert [slot[doc == i].tolist() for i in range(len(texts))] == alone
-    assert alone[1] == alone[2] == alone[3] == []
+def ngrams(text):
+    """(lower-cased?, n-gram): the features of a text before hashing, one by one."""
+    out = set()
+    for lower, orders in T.VIEWS:
+        t = "".join(" " if "\t" <= c <= "\r" else c for c in (text.lower() if lower else text))
+        out |= {(lower, t[i:i + n]) for n in orders for i in range(len(t) - n + 1)}
+    return out
+
+
+def slot_of(lower, gram):
+    h = 977 * (not lower) % 2 ** 32
+    for c, f in zip(gram, T._FACTOR, strict=False):
+        h = (h + ord(c) * int(f)) % 2 ** 32
+    return ((h ^ h >> 15) * 0x2C1B3C6D % 2 ** 32) >> 12
+
+
+def test_features_equal_brute_force_whatever_the_pieces(monkeypatch):
+    every = T.Features(np.ones(T.SLOTS, bool))
+    texts = ["Hello wörld", "", "a", "x\ny " * 50, "Some LONGER text, with ever so many words in it 😀 and more"]
+    want = [sorted({slot_of(*g) for g in ngrams(t)}) for t in texts]
+    for piece in (T.PIECE_CHARS, 16, 7):
+        monkeypatch.setattr(T, "PIECE_CHARS", piece)
+        assert [sorted(every.of(t).tolist()) for t in texts] == want
+    assert not every.seen.any() and every.of(None).tolist() == []
+
+
+def test_scores_equal_brute_force():
+    rng = np.random.default_rng(1)
+    weight = np.where(rng.random(T.SLOTS) < 0.3, rng.normal(size=T.SLOTS), 0).astype(np.float32)
+    texts = ["Hello wörld", None, "", "abc " * 40]
+    got = T.Scorer((weight, -0.5))(pa.array(texts))
+    for g, t in zip(got, texts, strict=True):
+        z = -0.5 + sum(float(weight[s]) for s in {slot_of(*n) for n in ngrams(t or "")})
+        assert g == pytest.approx(1 / (1 + np.exp(-z)))
+
+
+def test_one_text_of_20_mb_takes_little_memory():
+    import resource
+    text = "".join(random.Random(1).choices("abcdefghij klmnop", k=1_000_000)) * 20
+    every = T.Features(np.ones(T.SLOTS, bool))
+    before = resource.getrusage(resource.RUSAGE_SELF).ru_maxrss
+    n = sum(len(f) for f in every.pieces(text))
+    assert 0 < n <= T.SLOTS and resource.getrusage(resource.RUSAGE_SELF).ru_maxrss - before < 150_000
+
+
+@pytest.mark.parametrize("total", [10, 10 ** 6, 10 ** 12, 10 ** 18])
+def test_a_sample_is_never_empty_at_any_size(spark, total):
+    from webloom.llm.common import hash_share
+    share = spark.range(1).select(hash_share("id", 20_000, total).alias("s"))
+    text = share._jdf.queryExecution().optimizedPlan().toString()
+    assert "false" not in text.lower()
+    if total == 10 ** 6:
+        assert abs(spark.range(50_000).where(hash_share("id", 20_000, total)).count() - 1000) < 150
 
 
 def test_defined_cases(docs_of, spark):

@@ -7,7 +7,7 @@ from collections.abc import Iterable
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..session import checkpoint_dir, cut_lineage, read_table  # noqa: F401
@@ -34,6 +34,14 @@ def signed(x: np.ndarray) -> np.ndarray:
     return np.ascontiguousarray(x, np.uint64).view(np.int64)
 
 
+def hash_share(key: str, sample: int, total: int) -> Column:
+    """True for about ``sample`` of ``total`` rows, chosen by a 64-bit hash of ``key`` whatever
+    the table's size: the hash's whole range is cut, so no share is ever rounded to nothing."""
+    if total <= sample:
+        return F.lit(True)
+    return F.xxhash64(key) < F.lit(max((sample << 64) // total, 1) - (1 << 63))
+
+
 SLICES = 64
 
 

@@ -13,16 +13,18 @@ placeholders, their values are the slots.  Windows are ``k`` tokens and enter tw
 * The benchmark's windows make an index with one row per window hash, item and, for
   windows with slots, place in the item: items of one template share hashes, and
   each is compared by its own slots.  Items shorter than ``k`` tokens are one
-  window of their own length.
+  window of their own length; below ``MIN_LITERAL`` tokens it is compared word for word with
+  whole sentences and lines only.
 * Documents are scanned once; a Bloom filter of fixed size (whatever the
   benchmark's size) drops most windows before the shuffle, and an exact hash join
   with the index decides the rest.
 * Windows of one document and item on one diagonal (document position minus
-  item position) form a run.  A run whose slot values contradict each other
-  across windows counts only by its windows that agree word for word.
+  item position) form a run.  Item and document are aligned along it, beyond the windows
+  as far as literals agree and slots have one type, and every slot aligned is compared: values
+  must map one to one.  A run whose slot values contradict each other
+  counts only by its windows that agree word for word.
 
-Defined results: null, blank and short texts match nothing; an item below
-``MIN_LITERAL`` tokens cannot be matched; an item text given twice is
+Defined results: null and blank texts match nothing; an item text given twice is
 reported under its smallest item_id; repeated rows of documents are reported
 each (once per distinct doc_id and item); extra columns are ignored.
 """
@@ -88,6 +90,7 @@ class Tokens:
         self.hash = X.span_hash(data, start, end) if len(start) else np.zeros(0, np.uint64)
         n = len(start)
         self.type = kind = np.zeros(n, np.int8)
+        self.opens = self.closes = np.zeros(n, bool)
         if not n:
             return
         lead = data[start]
@@ -108,6 +111,10 @@ class Tokens:
         fresh[1:] = _SENTENCE_END[data[we[:-1] - 1]] | _SENTENCE_END[data[ws[1:] - 1]]
         fresh[self.first[:-1][self.first[:-1] < n]] = True
         kind[(kind == 0) & title & ~fresh] = NAME
+        # the first and the last token of a sentence or line
+        ends = np.concatenate([[0], np.cumsum(_SENTENCE_END[data])])
+        fresh[1:] |= ends[ws[1:]] > ends[we[:-1] - 1]
+        self.opens, self.closes = fresh, np.append(fresh[1:], True)
 
     def windows(self, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """(hash, first token, number of slots, template?) of every window of ``k`` tokens
@@ -136,19 +143,36 @@ class Tokens:
         return (np.concatenate([exact, h]), np.concatenate([at, a]), np.concatenate([slots, slots[mixed]]),
                 np.arange(len(at) + len(a)) >= len(at))
 
-    def values(self, at: np.ndarray, k: int) -> list[list[int]]:
-        """Slot values (as hashes) of the windows, in order; 0 for literals."""
-        v = signed(np.where(self.type > 0, self.hash, np.uint64(0)))
-        return v[at[:, None] + np.arange(k)].tolist() if len(at) else []
+    def around(self, at: np.ndarray, k: int) -> tuple[list[list[int]], list[list[int]]]:
+        """(values as hashes, types) of the windows' tokens and of ``K - 1`` tokens to both
+        sides; type -1 outside the document."""
+        place = at[:, None] + np.arange(1 - K, k + K - 1)
+        doc = np.searchsorted(self.first, at, "right") - 1
+        inside = (place >= self.first[doc][:, None]) & (place < self.first[doc + 1][:, None])
+        place = np.where(inside, place, 0)
+        if not len(at):
+            return [], []
+        return signed(self.hash)[place].tolist(), np.where(inside, self.type[place], -1).tolist()
 
 
-_WINDOW = "w long, id long, pos long, k int, plain boolean, slots array<long>"
+def aligned_pairs(k: int, a: np.ndarray, a_type: np.ndarray, b: np.ndarray, b_type: np.ndarray) -> list[list[tuple[int, int]]]:
+    """Per pair of equal windows the (item value, document value) of every slot they align: in the window, and
+    to both sides of it as far as literals agree and slots have one type."""
+    agree = (a_type == b_type) & (a_type >= 0) & ((a_type > LITERAL) | (a == b))
+    left = np.logical_and.accumulate(agree[:, :K - 1][:, ::-1], axis=1)[:, ::-1]
+    right = np.logical_and.accumulate(agree[:, K - 1 + k:], axis=1)
+    held = np.concatenate([left, np.ones((len(a), k), bool), right], axis=1) & (a_type > LITERAL)
+    return [list(zip(x[m].tolist(), y[m].tolist(), strict=True)) for x, y, m in zip(a, b, held, strict=True)]
+
+
+_WINDOW = "w long, id long, pos long, k int, plain boolean, around array<long>, types array<int>"
 
 
 def _window_rows(batches: Iterable[pa.RecordBatch], sizes, bits=None) -> Iterator[pa.RecordBatch]:
-    """Rows (w, id, pos, k, plain, slots) of each text's windows, ``plain`` without slots and
-    ``slots`` null word for word; with ``bits`` only those that may be in the index,
-    without only K-windows plus whole short texts."""
+    """Rows (w, id, pos, k, plain, around, types) of each text's windows, ``plain`` without slots, the last
+    two null word for word; with ``bits`` only those that may be in the index,
+    without only K-windows plus whole short texts.  Windows shorter than ``MIN_LITERAL`` are whole
+    sentences or lines."""
     names = [p.split()[0] for p in _WINDOW.split(", ")]
     for b in batches:
         ids = b.column(0).cast(pa.int64())
@@ -164,13 +188,32 @@ def _window_rows(batches: Iterable[pa.RecordBatch], sizes, bits=None) -> Iterato
                 else:
                     s = (h & np.uint64(BLOOM_BITS - 1)).astype(np.int64)
                     ok = (bits.value[s >> 3] >> (7 - (s & 7)).astype(np.uint8)) & 1 > 0
+                    if k < MIN_LITERAL:
+                        ok &= t.opens[at] & t.closes[at + k - 1]
                 h, at, doc, slots, template = h[ok], at[ok], doc[ok], slots[ok], template[ok]
                 if len(h):
-                    values = [None] * int((~template).sum()) + t.values(at[template], k)  # templates come last
+                    empty = [None] * int((~template).sum())  # templates come last
+                    around, types = t.around(at[template], k)
                     yield pa.RecordBatch.from_arrays(
                         [pa.array(signed(h)), own.take(pa.array(doc)), pa.array(at - t.first[doc]),
                          pa.array(np.full(len(h), k, np.int32)), pa.array(slots == 0),
-                         pa.array(values, pa.list_(pa.int64()))], names)
+                         pa.array(empty + around, pa.list_(pa.int64())), pa.array(empty + types, pa.list_(pa.int32()))], names)
+
+
+def _pair_rows(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(id, item_id, diagonal, pos, plain, k, item's around and types, document's) -> the same with pairs."""
+    for batch in batches:
+        pairs: list = [None] * batch.num_rows
+        k, cols = batch.column(5).to_numpy(), [batch.column(i) for i in range(6, 10)]
+        slotted = cols[0].is_valid().to_numpy(zero_copy_only=False)
+        for size in np.unique(k[slotted]):
+            at = np.flatnonzero(slotted & (k == size))
+            parts = [c.take(pa.array(at)).flatten().to_numpy().reshape(len(at), -1) for c in cols]
+            for i, p in zip(at, aligned_pairs(int(size), *parts), strict=True):
+                pairs[i] = [{"a": x, "b": y} for x, y in p]
+        yield pa.RecordBatch.from_arrays(
+            [*batch.columns[:5], pa.array(pairs, pa.list_(pa.struct([("a", pa.int64()), ("b", pa.int64())])))],
+            [*batch.schema.names[:5], "pairs"])
 
 
 def _bloom_rows(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -185,27 +228,32 @@ def leaks(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: s
           item_text: str = "text") -> DataFrame:
     """(doc, item_id, n_windows, n_literal_windows, first_word, n_slots): every
     document with a passage of an item, re-parameterised or verbatim."""
-    sizes = tuple(range(MIN_LITERAL, K + 1))
+    sizes = tuple(range(1, K + 1))
     index = cut_lineage(
         items.groupBy(item_text).agg(F.min(F.col(item_col).cast("long")).alias("id")).select("id", item_text)
         .mapInArrow(lambda it: _window_rows(it, sizes), _WINDOW)
         # a window that agrees word for word counts wherever it stands in the item
-        .groupBy("w", "k", "id", F.when(F.col("slots").isNotNull(), F.col("pos")).alias("place"))
-        .agg(F.min(F.struct("pos", "slots")).alias("m"))
-        .select("w", "k", F.col("id").alias("item_id"), F.col("m.pos").alias("item_pos"), F.col("m.slots").alias("item_slots")))
-    lengths = tuple(sorted(r["k"] for r in index.select("k").distinct().collect()))  # at most K - MIN_LITERAL + 1
+        .groupBy("w", "k", "id", F.when(F.col("around").isNotNull(), F.col("pos")).alias("place"))
+        .agg(F.min(F.struct("pos", "around", "types")).alias("m"))
+        .select("w", "k", F.col("id").alias("item_id"), F.col("m.pos").alias("item_pos"), F.col("m.around").alias("item_around"),
+                F.col("m.types").alias("item_types")))
+    lengths = tuple(sorted(r["k"] for r in index.select("k").distinct().collect()))  # at most K
     bits = docs.sparkSession.sparkContext.broadcast(
         merge_slices(index.select("w").mapInArrow(_bloom_rows, "slice int, counts binary"), BLOOM_BITS // 8, np.uint8, "or"))
     found = (docs.select(F.col(id_col).cast("long"), F.col(text_col))
              .mapInArrow(lambda it: _window_rows(it, lengths, bits), _WINDOW)
              .join(index, ["w", "k"])
-             .withColumn("pairs", F.filter(F.arrays_zip(F.col("item_slots").alias("a"), F.col("slots").alias("b")),
-                                           lambda p: p["a"] != 0)))  # null word for word
+             .select("id", "item_id", (F.col("pos") - F.col("item_pos")).alias("diagonal"), "pos", "plain", "k", "item_around",
+                     "item_types", "around", "types"))
     run = ["id", "item_id", "diagonal"]
-    found = cut_lineage(found.select("id", "item_id", (F.col("pos") - F.col("item_pos")).alias("diagonal"), "pos", "plain", "pairs"))
-    clash = (found.select(*run, F.explode("pairs").alias("p")).groupBy(*run, F.col("p.a").alias("a"))
-             .agg((F.min("p.b") != F.max("p.b")).alias("clash")).groupBy(*run)
-             .agg(F.max("clash").alias("clash"), F.count("*").alias("slots")))
+    found = cut_lineage(found.mapInArrow(_pair_rows, "id long, item_id long, diagonal long, pos long, plain boolean, "
+                                                     "pairs array<struct<a: long, b: long>>"))
+    # slots of a run map one to one: neither a value of the item nor one of the document has two partners
+    each = found.select(*run, F.explode("pairs").alias("p")).select(*run, "p.a", "p.b").distinct()
+    both = (each.select(*run, F.lit(0).alias("side"), F.col("a").alias("v"), F.col("b").alias("partner"))
+            .unionAll(each.select(*run, F.lit(1), "b", "a")))
+    clash = (both.groupBy(*run, "side", "v").agg((F.min("partner") != F.max("partner")).alias("clash")).groupBy(*run)
+             .agg(F.max("clash").alias("clash"), F.count_if(F.col("side") == 0).alias("slots")))
     hits = (found.join(clash.withColumnsRenamed({c: f"c_{c}" for c in run}),
                        [F.col(c).eqNullSafe(F.col(f"c_{c}")) for c in run], "left")
             .where("pairs IS NULL OR NOT clash"))

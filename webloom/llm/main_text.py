@@ -36,9 +36,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import table
+from .common import hash_share, table
 
+#: marked pages and generated layouts to train on; a marked page is shorter than this
 SAMPLE, LAYOUTS = 150, 250
+LONGEST_SAMPLE = 1 << 17
 
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*+(?:>|\Z)"
@@ -377,9 +379,9 @@ def fit(pages: DataFrame, html_col: str = "html") -> Model:
     """Train on generated layouts and a bounded sample of self-marked pages."""
     found = pages.select(F.col(html_col).alias("html")).where(F.col("html").rlike("(?i)<(article|main)[\\s>]"))
     total = found.count()
-    share = 1 << 20 if total <= SAMPLE else (SAMPLE << 20) // total
-    got = found.where((F.pmod(F.xxhash64("html"), F.lit(1 << 20)) < share) & (F.length("html") < 1 << 17)).limit(4 * SAMPLE).collect()
-    marked = [label_marked(parse(h)[0]) for h in sorted(r["html"] for r in got)[:2 * SAMPLE]]
+    got = (found.where(hash_share("html", SAMPLE, total) & (F.length("html") < LONGEST_SAMPLE)).distinct()
+           .orderBy(F.xxhash64("html"), "html").limit(2 * SAMPLE).collect())
+    marked = [label_marked(parse(r["html"])[0]) for r in got]
     return Model().fit([*layouts(), *[m for m in marked if m]]).frozen()
 
 

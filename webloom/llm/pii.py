@@ -32,12 +32,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import table
+from .common import hash_share, table
 
 KINDS = ("email", "ip", "card", "phone")
 WINDOW, STEP, REACH = 64, 32, 24
 HIDDEN, EMBED = 12, 10
-SAMPLE_DOCS, SAMPLE_WINDOWS = 2000, 4000
+SAMPLE_DOCS, SAMPLE_STRETCHES, SAMPLE_WINDOWS = 2000, 16, 4000
 SURE = 0.65
 
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
@@ -384,21 +384,24 @@ def training_windows(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _sample_rows(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The stretches of a sampled text, at most 16 of each."""
+    """The stretches of a sampled text, at most ``SAMPLE_STRETCHES`` of each, by hash."""
     for b in batches:
-        yield pa.RecordBatch.from_arrays(
-            [pa.array([t[x:y] for t in b.column(0).to_pylist() for x, y in stretches(t)[:16]], pa.string())], ["near"])
+        near = [s for t in b.column(0).to_pylist() for s in sorted((t[x:y] for x, y in stretches(t)), key=_lot)[:SAMPLE_STRETCHES]]
+        yield pa.RecordBatch.from_arrays([pa.array(near, pa.string())], ["near"])
+
+
+def _lot(text: str) -> bytes:
+    """A text's place in a drawing that favours no beginning, length or position."""
+    return hashlib.blake2b(text.encode("utf-8", "surrogatepass"), digest_size=8).digest()
 
 
 def fit(docs: DataFrame, text_col: str = "text") -> Tagger | None:
     """Train on the bounded sample; None without a text that holds a digit or ``@``."""
     found = docs.select(F.col(text_col).alias("text")).where(F.col("text").rlike("[0-9@]"))
     total = found.count()
-    # a share by hash of the text: about SAMPLE_DOCS rows, whatever the table's size
-    share = 1 << 20 if total <= SAMPLE_DOCS else (SAMPLE_DOCS << 20) // total
-    rows = (found.where(F.pmod(F.xxhash64("text"), F.lit(1 << 20)) < share)
+    rows = (found.where(hash_share("text", SAMPLE_DOCS, total))
             .mapInArrow(_sample_rows, "near string").distinct().collect())
-    texts = sorted(r["near"] for r in rows)
+    texts = sorted((r["near"] for r in rows), key=lambda t: (_lot(t), t))
     x, y = training_windows(texts)
     return Tagger().fit(x, y) if len(x) else None
 

@@ -6,13 +6,14 @@ hashed into 2^20 slots.  From labelled texts:
 
 1. distributed counts give each slot's documents per class, and the log-count ratio
    ``r = log((p + a) / (P + 2a)) - log((n + a) / (N + 2a))``
-2. slots in at least ``MIN_DOCS`` documents with |r| >= ``MIN_RATIO`` are kept, at
-   most ``FEATURES`` by |r| * sqrt(documents)
+2. all slots in at least ``MIN_DOCS`` documents with |r| >= ``MIN_RATIO`` are features; the
+   others tell the classes apart too little to be worth a weight
 3. a logistic regression over the features scaled by r (numpy, full
    batches, L2) gives the weights
 
 The labelled sample is bounded: the ``SAMPLE`` rows of smallest hash, so that
-the broadcast label list and the driver's sparse rows are.  Scoring reads every whole text:
+the broadcast label list and the driver's sparse rows (one integer for each distinct feature of
+a sampled text) are.  Scoring reads every whole text:
 sigmoid of the bias plus the weights of the text's distinct features.
 
 Labels come only from rows whose crc32(doc_id as text) mod 4 is not 2; label, language, source
@@ -33,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import cut_lineage, merge_slices, slice_rows, table
+from .common import cut_lineage, hash_share, merge_slices, slice_rows, table
 
 #: (lower-cased?, orders) of the n-grams
 VIEWS = ((True, (3, 4, 5)), (False, (4, 5, 6)))
@@ -41,97 +42,101 @@ LONGEST = 6
 SLOT_BITS = 20
 SLOTS = 1 << SLOT_BITS
 SAMPLE = 20_000
-FEATURES, MIN_DOCS, MIN_RATIO, ALPHA = 1 << 12, 5, 1.0, 1.0
+MIN_DOCS, MIN_RATIO, ALPHA = 5, 1.0, 1.0
 CUT = 0.3
-CHUNK_CHARS = 1 << 21
-_GAP = "\0" * LONGEST
+PIECE_CHARS = 1 << 16
 _FACTOR = np.random.default_rng(4).integers(1, 1 << 31, 8, dtype=np.uint32) * np.uint32(2) + np.uint32(1)
 
 
-def _chunks(texts: list[str | None]) -> Iterator[tuple[int, list[str]]]:
-    """(first text, texts) of runs of about ``CHUNK_CHARS`` code points."""
-    a = 0
-    while a < len(texts):
-        z, size = a, 0
-        while z < len(texts) and (z == a or size + len(texts[z] or "") <= CHUNK_CHARS):
-            size += len(texts[z] or "") + len(_GAP)
-            z += 1
-        yield a, [t or "" for t in texts[a:z]]
-        a = z
-
-
-def _points(texts: list[str]) -> np.ndarray:
-    c = np.frombuffer(_GAP.join([*texts, ""]).encode("utf-32-le", "surrogatepass"), "<u4")
-    return np.where((c >= 9) & (c <= 13), np.uint32(32), c)
-
-
-def _slots(c: np.ndarray, orders: tuple[int, ...], salt: int) -> Iterator[tuple[np.ndarray, int]]:
-    """(slot of the n-gram at every position, n - 1), for each order n."""
+def _slots(c: np.ndarray, orders: tuple[int, ...], salt: int) -> Iterator[np.ndarray]:
+    """The slot of the n-gram at every position, for each order n."""
     h = c * _FACTOR[0] + np.uint32(salt)
-    for n in range(1, max(orders)):
+    for n in range(1, min(max(orders), len(c))):
         h = h[:-1] + c[n:] * _FACTOR[n]
         if n + 1 in orders:
             m = h ^ (h >> np.uint32(15))
             m *= np.uint32(0x2C1B3C6D)
-            yield (m >> np.uint32(32 - SLOT_BITS)).astype(np.int32), n
-
-
-def features(texts: list[str | None], table: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-    """(first text, text number, slot): the distinct slots with a non-zero entry in ``table`` of each text."""
-    used = table != 0
-    for first, part in _chunks(texts):
-        doc, slot = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
-        for lower, orders in VIEWS:
-            seen = [t.lower() for t in part] if lower else part
-            c, start = _points(seen), np.cumsum([0] + [len(t) + len(_GAP) for t in seen])[:-1]
-            for s, n in _slots(c, orders, 977 * (not lower)):
-                at = np.flatnonzero(used[s])
-                at = at[(c[at] != 0) & (c[at + n] != 0)]
-                doc.append(np.searchsorted(start, at, "right") - 1)
-                slot.append(s[at])
-        key = np.unique(np.concatenate(doc) * SLOTS + np.concatenate(slot))
-        yield first, key // SLOTS, key % SLOTS
+            yield (m >> np.uint32(32 - SLOT_BITS)).astype(np.int32)
+
+
+class Features:
+    """The distinct slots with a non-zero entry in ``table`` of one text after another.
+
+    A text is read in pieces of ``PIECE_CHARS`` code points, each with the last
+    ``LONGEST - 1`` of the piece before it.  Memory is two arrays over the slots and one
+    piece, whatever the text's length."""
+
+    def __init__(self, table: np.ndarray):
+        self.used = table != 0
+        self.last = np.zeros(SLOTS, np.int32)
+        self.seen = np.zeros(SLOTS, bool)
+
+    def _new(self, c: np.ndarray, lower: bool) -> np.ndarray:
+        s = np.concatenate([*_slots(c, VIEWS[0][1] if lower else VIEWS[1][1], 977 * (not lower)), np.zeros(0, np.int32)])
+        s = s[self.used[s] & ~self.seen[s]]
+        at = np.arange(len(s), dtype=np.int32)
+        self.last[s] = at  # of equal slots the last place stays
+        return s[self.last[s] == at]
+
+    def pieces(self, text: str | None) -> Iterator[np.ndarray]:
+        """Slots of the text not given before, piece by piece."""
+        given = []
+        for lower, _ in VIEWS:
+            tail = np.zeros(0, np.uint32)
+            for a in range(0, len(text or ""), PIECE_CHARS):
+                part = text[a:a + PIECE_CHARS]
+                c = np.frombuffer((part.lower() if lower else part).encode("utf-32-le", "surrogatepass"), "<u4")
+                c = np.concatenate([tail, np.where((c >= 9) & (c <= 13), np.uint32(32), c)])
+                tail = c[-(LONGEST - 1):]
+                found = self._new(c, lower)
+                self.seen[found] = True
+                yield found
+                given.append(found)
+        for found in given:  # a text gives each slot once: SLOTS numbers at most
+            self.seen[found] = False
+
+    def of(self, text: str | None) -> np.ndarray:
+        return np.concatenate([*self.pieces(text), np.zeros(0, np.int32)])
 
 
 def _count_rows(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Documents per slot (texts of one class)."""
-    total, every = np.zeros(SLOTS, np.uint32), np.ones(SLOTS, bool)
+    total, features = np.zeros(SLOTS, np.uint32), Features(np.ones(SLOTS, bool))
     for b in batches:
-        for _, _, slot in features(b.column(0).to_pylist(), every):
-            total += np.bincount(slot, minlength=SLOTS).astype(np.uint32)
+        for text in b.column(0):
+            for found in features.pieces(text.as_py()):
+                total[found] += 1
     yield slice_rows(total)
 
 
 def _feature_rows(batches: Iterable[pa.RecordBatch], chosen) -> Iterator[pa.RecordBatch]:
     """(toxic, slots) of each labelled text."""
+    features = Features(chosen.value)
     for b in batches:
-        texts = b.column(0).to_pylist()
-        lists: list[list[int]] = [[] for _ in texts]
-        for first, doc, slot in features(texts, chosen.value):
-            for d, part in zip(*_split(doc, slot), strict=True):
-                lists[first + d] = part.tolist()
-        yield pa.RecordBatch.from_arrays([b.column(1), pa.array(lists, pa.list_(pa.int32()))], ["toxic", "slots"])
-
+        lists = [features.of(t.as_py()) for t in b.column(0)]
+        off = np.cumsum([0, *map(len, lists)]).astype(np.int32)
+        yield pa.RecordBatch.from_arrays(
+            [b.column(1), pa.ListArray.from_arrays(pa.array(off), pa.array(np.concatenate([*lists, np.zeros(0, np.int32)])))],
+            ["toxic", "slots"])
 
-def _split(doc: np.ndarray, slot: np.ndarray) -> tuple[list[int], list[np.ndarray]]:
-    at = np.flatnonzero(np.diff(doc)) + 1
-    return ([doc[0], *doc[at]], np.split(slot, at)) if len(doc) else ([], [])
 
-
-def regress(rows: list[tuple[int, list[int]]], ratio: np.ndarray, steps: int = 200, l2: float = 5e-3,
+def regress(y: np.ndarray, count: np.ndarray, flat: np.ndarray, ratio: np.ndarray, steps: int = 200, l2: float = 5e-3,
             rate: float = 0.1) -> tuple[np.ndarray, float]:
-    """Logistic regression (Adam, full batches) over features scaled by ``ratio``;
-    returns the weight per slot, already scaled, and the bias."""
-    y = np.array([t for t, _ in rows], np.float64)
-    flat = np.array([s for _, part in rows for s in part], np.int64)
-    row = np.repeat(np.arange(len(rows)), [len(part) for _, part in rows])
-    used, col = np.unique(flat, return_inverse=True)
-    x = ratio[used][col]
+    """Logistic regression (Adam, full batches) over features scaled by ``ratio``: row i has
+    label ``y[i]`` and the next ``count[i]`` slots of ``flat``.  Returns the weight per slot,
+    already scaled, and the bias."""
+    y = y.astype(np.float64)
+    row = np.repeat(np.arange(len(y), dtype=np.int32), count)
+    used = np.flatnonzero(np.bincount(flat, minlength=SLOTS))
+    place = np.zeros(SLOTS, np.int32)
+    place[used] = np.arange(len(used))
+    col = place[flat]
+    x = ratio[flat].astype(np.float32)
     w, b = np.zeros(len(used)), float(np.log((y.sum() + 1) / (len(y) - y.sum() + 1)))
     m, v = np.zeros(len(used) + 1), np.zeros(len(used) + 1)
     for t in range(1, steps + 1):
-        z = np.clip(np.bincount(row, w[col] * x, len(rows)) + b, -30, 30)
-        e = (1 / (1 + np.exp(-z)) - y) / len(rows)
+        z = np.clip(np.bincount(row, w[col] * x, len(y)) + b, -30, 30)
+        e = (1 / (1 + np.exp(-z)) - y) / len(y)
         g = np.append(np.bincount(col, e[row] * x, len(used)) + l2 * w, e.sum())
         m = 0.9 * m + 0.1 * g
         v = 0.999 * v + 0.001 * g * g
@@ -152,9 +157,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     if fold is not None:
         lab = lab.where(F.crc32(F.col("id").cast("string").cast("binary")) % 4 != fold)
     total = lab.count()
-    # a share by hash: about ``sample`` rows, whatever the table's size
-    share = 1 << 20 if total <= sample else (sample << 20) // total
-    lab = cut_lineage(lab.where(F.pmod(F.xxhash64("id"), F.lit(1 << 20)) < share))
+    lab = cut_lineage(lab.where(hash_share("id", sample, total)))
     rows = cut_lineage(docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
                        .join(F.broadcast(lab), "id").select("text", "toxic"))
     size = {r["toxic"]: r["count"] for r in rows.groupBy("toxic").count().collect()}
@@ -164,25 +167,32 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     p, n = (merge_slices(rows.where(F.col("toxic") == k).select("text").mapInArrow(_count_rows, "slice int, counts binary"), SLOTS)
             .astype(np.float64) for k in (1, 0))
     ratio = np.log((p + ALPHA) / (P + 2 * ALPHA)) - np.log((n + ALPHA) / (N + 2 * ALPHA))
-    strength = np.where((p + n >= MIN_DOCS) & (np.abs(ratio) >= MIN_RATIO), np.abs(ratio) * np.sqrt(p + n), 0)
-    keep = np.argsort(-strength)[:FEATURES]
-    chosen = np.zeros(SLOTS, bool)
-    chosen[keep[strength[keep] > 0]] = True
+    chosen = (p + n >= MIN_DOCS) & (np.abs(ratio) >= MIN_RATIO)
     bc = sc.broadcast(chosen)
-    got = rows.mapInArrow(lambda it: _feature_rows(it, bc), "toxic int, slots array<int>").collect()
-    return regress([(r["toxic"], r["slots"]) for r in got], ratio)
+    got = rows.mapInArrow(lambda it: _feature_rows(it, bc), "toxic int, slots array<int>").toArrow()
+    slots = got.column("slots").combine_chunks()
+    return regress(got.column("toxic").to_numpy(), slots.value_lengths().to_numpy(), slots.flatten().to_numpy(), ratio)
+
+
+class Scorer:
+    """Scores of texts in a worker."""
+
+    def __init__(self, model: tuple[np.ndarray, float]):
+        self.weight, self.bias = model
+        self.features = Features(self.weight)
+
+    def __call__(self, texts: pa.Array) -> np.ndarray:
+        z = np.array([self.bias + sum(float(self.weight[f].sum(dtype=np.float64)) for f in self.features.pieces(t.as_py()))
+                      for t in texts], float)
+        return 1 / (1 + np.exp(-np.clip(z, -500, 500)))
 
 
 def _score_rows(batches: Iterable[pa.RecordBatch], model) -> Iterator[pa.RecordBatch]:
     """Every column of the input and its score; the text is the last column but the score."""
-    weight, bias = model.value
+    scores = Scorer(model.value)
     for b in batches:
-        texts = b.column(b.num_columns - 1).to_pylist()
-        z = np.full(len(texts), bias)
-        for first, doc, slot in features(texts, weight):
-            z[first:] += np.bincount(doc, weight[slot], len(texts) - first)
-        score = 1 / (1 + np.exp(-np.clip(z, -500, 500)))
-        yield pa.RecordBatch.from_arrays([*b.columns[:-1], pa.array(score)], [*b.schema.names[:-1], "score"])
+        yield pa.RecordBatch.from_arrays([*b.columns[:-1], pa.array(scores(b.column(b.num_columns - 1)))],
+                                         [*b.schema.names[:-1], "score"])
 
 
 def score(docs: DataFrame, model: tuple[np.ndarray, float], id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -199,9 +209,9 @@ def keep_clean(docs: DataFrame, model: tuple[np.ndarray, float], text_col: str =
     bc = docs.sparkSession.sparkContext.broadcast(model)
 
     def clean(batches):
+        scores = Scorer(bc.value)
         for b in batches:
-            scored = next(_score_rows([pa.RecordBatch.from_arrays([b.column(at)], ["text"])], bc))
-            yield b.filter(pa.array(scored.column(0).to_numpy() < cut))
+            yield b.filter(pa.array(scores(b.column(at)) < cut))
 
     at = docs.columns.index(text_col)
     return docs.mapInArrow(clean, docs.schema)
