@@ -1,7 +1,7 @@
 """Page extraction (full-page fixture of the reference's parser tests)."""
 
+from tests.tree import parse_tree
 from webloom.operators import extract as X
-from webloom.operators.fallback import parse_tree
 
 FULL = """
 <html>
@@ -82,7 +82,7 @@ def test_selector_text(spark):
     assert X.selector_text(p, "div").collect()[0].selected_text == "Buynow no M"
 
 
-def test_nested_tables_and_lists_use_tree_fallback(spark):
+def test_nested_tables_and_lists(spark):
     html = ("<table><tr><td>a</td><td><table><tr><td>in</td></tr></table></td></tr><tr><td></td></tr></table>"
             "<ul><li>one<ul><li>sub</li></ul></li><li>two</li></ul><ol><li>x</li><li> </li></ol>")
     rec = X.page_records(_pages(spark, html)).collect()[0]
@@ -115,7 +115,7 @@ def test_quoted_greater_than(spark):
     page = '<p title="a>b">text</p><h1 data-x="1>2">H</h1><ul class="x>y"><li id=\'a>b\'>i</li></ul>'
     assert _one(spark, page, H.page_text) == "text H i"
     assert _one(spark, page, lambda c: H.headings(c, 1)) == ["H"]
-    assert _one(spark, page, lambda c: H.list_items(c, "ul")) == ["i"]
+    assert X.page_records(_pages(spark, page)).first().lists.ul == ["i"]
     assert _one(spark, '<p title="open>text</p>', H.page_text) == "text"
 
 

@@ -1,20 +1,9 @@
-"""Tree-based fallback for pages a regular pattern cannot pair up.
-
-Only rows flagged by ``functions.html.needs_tree_parse`` (nested lists or
-tables) come here.  ``mapInPandas`` streams them in Arrow batches to a small
-stdlib ``html.parser`` tree builder; each row is parsed on its own, and a row
-that fails yields empty values plus a ``parse_error`` text, never a failed task.
-"""
+"""A tree of a page by the standard library's parser: what the element intervals are tested against."""
 
 from __future__ import annotations
 
 from html.parser import HTMLParser
 
-from pyspark.sql import DataFrame
-
-TREE_SCHEMA = ("page_id LONG, tables ARRAY<ARRAY<ARRAY<STRING>>>, "
-               "lists STRUCT<ul: ARRAY<STRING>, ol: ARRAY<STRING>>, parse_error STRING")
-
 # fixed values: elements without content, and elements a new sibling closes
 VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta",
         "source", "track", "wbr"}
@@ -24,10 +13,10 @@ IMPLIED_END = {"li": {"li"}, "tr": {"tr"}, "td": {"td", "th"}, "th": {"td", "th"
 
 
 class _Node:
-    __slots__ = ("tag", "children", "parent")
+    __slots__ = ("tag", "children", "parent", "classes")
 
-    def __init__(self, tag, parent):
-        self.tag, self.children, self.parent = tag, [], parent
+    def __init__(self, tag, parent, classes=()):
+        self.tag, self.children, self.parent, self.classes = tag, [], parent, classes
 
 
 class _Builder(HTMLParser):
@@ -40,7 +29,7 @@ class _Builder(HTMLParser):
         ends = IMPLIED_END.get(tag)
         if ends and self.cur.tag in ends:
             self.cur = self.cur.parent
-        node = _Node(tag, self.cur)
+        node = _Node(tag, self.cur, (dict(attrs).get("class") or "").split())
         self.cur.children.append(node)
         if tag not in VOID:
             self.cur = node
@@ -104,24 +93,17 @@ def parse_tree(html: str):
     return tables, lists
 
 
-def _map(batches):
-    import pandas as pd
-    for pdf in batches:
-        out_t, out_l, out_e = [], [], []
-        for h in pdf["html"]:
-            try:
-                t, lst = parse_tree(h)
-                out_t.append(t)
-                out_l.append(lst)
-                out_e.append(None)
-            except Exception as e:  # X10: keep the row, record the failure
-                out_t.append([])
-                out_l.append({"ul": [], "ol": []})
-                out_e.append(f"{type(e).__name__}: {e}")
-        yield pd.DataFrame({"page_id": pdf["page_id"], "tables": out_t, "lists": out_l,
-                            "parse_error": out_e})
-
-
-def tree_extract(pages: DataFrame) -> DataFrame:
-    """``mapInPandas`` over (page_id, html); one output row per input row."""
-    return pages.select("page_id", "html").mapInPandas(_map, TREE_SCHEMA)
+def select(html: str, tag: str | None = None, cls: str | None = None) -> str:
+    """Texts of all elements of a tag and a class, joined by one space."""
+    b = _Builder()
+    b.feed(html or "")
+    b.close()
+    found = [n for n in _every(b.root) if (tag is None or n.tag == tag) and (cls is None or cls in n.classes)]
+    return " ".join(_text(n) for n in found)
+
+
+def _every(node):
+    for ch in node.children:
+        if isinstance(ch, _Node):
+            yield ch
+            yield from _every(ch)

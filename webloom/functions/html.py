@@ -6,20 +6,25 @@ The page is never parsed into a tree on the JVM side.  Instead:
    replaced by an empty marker tag, so they add no text but still break text
    nodes apart;
 2. text nodes are the pieces between tags (``split`` on the tag pattern);
-3. entities are decoded per piece (after the split, so ``&lt;`` makes no tag);
+3. character references are settled once per page, those that would make markup per piece (after
+   the split, so ``&lt;`` makes no tag);
 4. element text = stripped pieces, empties dropped, joined by '' (as
    ``get_text(strip=True)``); page text = joined by ' '.
 
-Pages whose lists/tables nest (which a regular pattern cannot pair up) are
-sent to the stdlib-parser fallback in ``operators.fallback`` (E2).
+Lists, tables and selectors need to know which tags belong together; they use the
+element intervals of ``operators.elements`` over :func:`text_pieces`.
 
-Every builder has a ``*_sql`` twin producing DuckDB SQL from the same
-pattern text, used by the oracle queries.
+Every pattern is linear in the page: what is repeated is possessive, and an element or
+comment that never ends runs to the end of the page instead of being tried again from every start.
+
+Most builders have a ``*_sql`` twin producing DuckDB SQL, used by the oracle queries.
+Entities are decoded from the standard library's table here and by a few plain replacements there.
 """
 
 from __future__ import annotations
 
 import re
+from html.entities import html5
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -28,8 +33,15 @@ from .memo import cached_column
 from .sqltext import lit
 
 # ---- fixed values: patterns --------------------------------------------------
-SKIP_RE = (r"(?is)<script\b[^>]*>.*?</script\s*>|<style\b[^>]*>.*?</style\s*>"
-           r"|<template\b[^>]*>.*?</template\s*>|<!--.*?-->|<!doctype[^>]*>")
+def _until(end: str) -> str:
+    """Anything up to ``end`` (which begins with '<'), or up to the end of the page."""
+    return rf"(?:[^<]++|<(?!{end[1:]}))*+(?:{end}|\z)"
+
+
+SKIP_RE = ("(?is)" + "|".join(rf"<{t}\b[^>]*+(?:>|\z){_until(rf'</{t}[^a-z0-9>]*+>')}" for t in ("script", "style", "template"))
+           + r"|<!--(?:[^-]++|-(?!->))*+(?:-->|\z)|<!doctype[^>]*+(?:>|\z)")
+SKIP_RE2 = (r"(?is)<script\b[^>]*>.*?</script\s*>|<style\b[^>]*>.*?</style\s*>"
+            r"|<template\b[^>]*>.*?</template\s*>|<!--.*?-->|<!doctype[^>]*>")
 SKIP_MARK = "<x>"
 ATTR_VALUE = r"""\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))"""
 # rest of a start tag, attribute values may hold '>'.  Java form is possessive
@@ -38,14 +50,14 @@ ATTR_VALUE = r"""\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))"""
 TAG_TOKEN = r"""(?:[^>"']++|"[^"]*+"|'[^']*+')*+>"""
 TAG_TOKEN_RE2 = r"""(?:[^>"']|"[^"]*"|'[^']*')*>"""
 
-# a whole tag; one with an unclosed quote ends at its first '>'
-TAG_RE = rf"</?[A-Za-z]{TAG_TOKEN}|</?[A-Za-z][^>]*>|<[!?][^>]*>"
-TAG_RE2 = rf"</?[A-Za-z]{TAG_TOKEN_RE2}|</?[A-Za-z][^>]*>|<[!?][^>]*>"
+# a whole tag; one with an unclosed quote ends at its first '>', one without any with the page
+TAG_RE = rf"</?[A-Za-z]{TAG_TOKEN}|</?[A-Za-z][^>]*+(?:>|\z)|<[!?][^>]*+(?:>|\z)"
+TAG_RE2 = rf"</?[A-Za-z]{TAG_TOKEN_RE2}|</?[A-Za-z][^>]*(?:>|\z)|<[!?][^>]*(?:>|\z)"
 # the attributes before the wanted one, each with its value: a name inside
 # another attribute's value is not an attribute
 ATTRS_BEFORE = r"""(?is)^<[^\s/>]+(?:[\s/]+[^\s"'>/=]+(?:\s*=\s*(?:"[^"]*"|'[^']*'|[^\s"'>]+))?)*?[\s/]+"""
 
-# ---- fixed values: entities decoded (``&amp;`` always last) ------------------
+# ---- fixed values: entities that the SQL twins replace (``&amp;`` always last) -
 ENTITIES = [
     ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&apos;", "'"), ("&#39;", "'"),
     ("&nbsp;", "\u00a0"), ("&copy;", "©"), ("&middot;", "·"),
@@ -65,12 +77,76 @@ def _c(x) -> Column:
 
 
 # ---- text primitives ---------------------------------------------------------
+# names of the standard library's table: with ';', and the old ones that count without it (longest first)
+_SEP = "\x01"
+_WITH_END = sorted(n for n in html5 if n.endswith(";"))
+_BARE = sorted((n for n in html5 if not n.endswith(";")), key=lambda n: (-len(n), n))
+#: what a numeric reference to a code from 128 to 159 means: the Windows code page
+_C1 = bytes(range(128, 160)).decode("cp1252", "replace")
+
+
+#: references that stay written, in this form, until the markup is read: what they stand for would be taken for it
+_KEPT = {"<": "&lt;", ">": "&gt;", '"': "&quot;", "'": "&apos;", " ": "&#32;", "\t": "&#9;", "\n": "&#10;", "\f": "&#12;", "\r": "&#13;"}
+
+
+def _written(text: str) -> str:
+    text = text.replace("&", "&amp;")
+    for char, name in _KEPT.items():
+        text = text.replace(char, name)
+    return text
+
+
+def _quoted(text: str) -> str:
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def _reference_sql() -> str:
+    """Lambda over the parts of a text cut at its '&': the reference at a part's start settled.
+    One SQL text, as a Column built call by call would take longer than the query."""
+    names = (f"map_from_arrays(split('{_SEP.join(_WITH_END)}', '{_SEP}'),"
+             f" split({_quoted(_SEP.join(_written(html5[n]) for n in _WITH_END))}, '{_SEP}'))")
+    c1 = "array(" + ", ".join(_quoted(c if c != "\ufffd" else chr(128 + i)) for i, c in enumerate(_C1)) + ")"
+    dec, hexa = "regexp_extract(p, r'^#0*+([0-9]++)', 1)", "regexp_extract(p, r'^#[xX]0*+([0-9a-fA-F]++)', 1)"
+    code = (f"CASE WHEN length({dec}) > 7 OR length({hexa}) > 6 THEN 1073741824L WHEN {dec} <> '' THEN cast({dec} AS BIGINT)"
+            f" WHEN {hexa} <> '' THEN cast(conv({hexa}, 16, 10) AS BIGINT) ELSE 0L END")
+    kept = " ".join(f"WHEN c = {ord(char)} THEN '{name}'" for char, name in {**_KEPT, "&": "&amp;"}.items())
+    char = (f"CASE WHEN c = 0 OR c BETWEEN 55296 AND 57343 OR c > 1114111 THEN '\ufffd' {kept}"
+            f" WHEN c BETWEEN 128 AND 159 THEN try_element_at({c1}, cast(c - 127 AS INT))"
+            " WHEN c < 32 OR c = 127 OR c BETWEEN 64976 AND 65007 OR c % 65536 >= 65534 THEN ''"
+            " ELSE decode(unhex(lpad(hex(c), 8, '0')), 'UTF-32') END")
+    full = "regexp_extract(p, r'^([A-Za-z][A-Za-z0-9]{1,30};)', 1)"
+    bare = f"regexp_extract(p, r'^({'|'.join(_BARE)})', 1)"
+    # the longest name: with its ';', or one of the old names that count without it
+    named = (f"transform(array(transform(array({full}, concat({bare}, ';')), k -> try_element_at({names}, k))), v ->"
+             f" CASE WHEN v[0] IS NOT NULL THEN concat(v[0], substring(p, length({full}) + 1))"
+             f" WHEN v[1] IS NOT NULL THEN concat(v[1], substring(p, length({bare}) + 1)) ELSE concat('&amp;', p) END)[0]")
+    return (r"(p, i) -> CASE WHEN i = 0 THEN p WHEN p RLIKE r'^(?:amp|lt|gt|quot);' THEN concat('&', p)"
+            f" WHEN p RLIKE r'^#(?:[0-9]|[xX][0-9a-fA-F])' THEN concat(transform(array({code}), c -> {char})[0],"
+            f" regexp_replace(p, r'^#(?:[xX][0-9a-fA-F]++|[0-9]++);?', '')) ELSE {named} END")
+
+
+@cached_column
+def _reference() -> Column:
+    return F.expr(_reference_sql())
+
+
+def settle_references(x) -> Column:
+    """Every character reference replaced by its character, as ``html.unescape`` reads it (longest name of the
+    standard library's table, code points), except that characters with a meaning in markup stay
+    references in one fixed form; a lone '&' becomes ``&amp;``.  Done once per page."""
+    src = _c(x)
+    y = F.array_join(F.call_function("transform", F.split(src, "&", -1), _reference()), "")
+    return F.when(F.instr(src, "&") > 0, y).otherwise(src)
+
+
 def decode_entities(x) -> Column:
+    """The few references that :func:`settle_references` leaves; ``&amp;`` last, so each is decoded once."""
     src = _c(x)
     y = src
-    for ent, ch in ENTITIES:
-        y = F.replace(y, F.lit(ent), F.lit(ch))
-    # most text pieces hold no '&': skip the replace chain for them
+    for char, name in _KEPT.items():
+        y = F.replace(y, F.lit(name), F.lit(char))
+    y = F.replace(y, F.lit("&amp;"), F.lit("&"))
+    # most text pieces hold no '&'
     return F.when(F.instr(src, "&") > 0, y).otherwise(src)
 
 
@@ -91,12 +167,22 @@ def strip_sql(x: str) -> str:
 
 @cached_column
 def clean(html) -> Column:
-    """Blank out non-text elements, keep a node break in their place."""
-    return F.regexp_replace(_c(html), SKIP_RE, SKIP_MARK)
+    """Blank out non-text elements, keep a node break in their place; character references settled."""
+    return settle_references(F.regexp_replace(_c(html), SKIP_RE, SKIP_MARK))
 
 
 def clean_sql(html: str) -> str:
-    return f"regexp_replace({html}, {lit(SKIP_RE)}, {lit(SKIP_MARK)}, 'g')"
+    return f"regexp_replace({html}, {lit(SKIP_RE2)}, {lit(SKIP_MARK)}, 'g')"
+
+
+def text_pieces(cleaned) -> Column:
+    """The decoded, stripped text in front of, between and behind the tags ('' where there is none)."""
+    return F.transform(F.split(_c(cleaned), TAG_RE, -1), lambda p: strip(decode_entities(p)))
+
+
+def tag_name(tag) -> Column:
+    """Lower-cased name of a start or end tag ('' for other markup)."""
+    return F.lower(F.regexp_extract(_c(tag), "^</?([A-Za-z][^\\s/>]*)", 1))
 
 
 def text_nodes(fragment) -> Column:
@@ -132,8 +218,12 @@ def elem_text_sql(fragment: str) -> str:
 
 # ---- element patterns ----------------------------------------------------------
 def element_re(tag: str, re2: bool = False) -> str:
-    """Inner content of every (non-nested) ``<tag>…</tag>``; group 1."""
-    return rf"{tag_re(tag, re2)}(.*?)</{re.escape(tag)}\s*>"
+    """Inner content of every ``<tag>…</tag>`` (not nested in itself); group 1.  Without an end tag it
+    runs to the end of the page."""
+    end = rf"</{re.escape(tag)}\s*>"
+    if re2:
+        return rf"{tag_re(tag, re2)}(.*?)(?:{end}|\z)"
+    return rf"{tag_re(tag)}((?:[^<]++|<(?!{end[1:]}))*+)(?:{end}|\z)"
 
 
 def tag_re(tag: str, re2: bool = False) -> str:
@@ -239,17 +329,6 @@ LI_START, LI_START_RE2 = tag_re("li"), tag_re("li", re2=True)
 LI_END = r"(?i)</li\s*>"
 
 
-@cached_column
-def list_items(cleaned, kind: str) -> Column:
-    """Texts of the direct ``li`` children of every ``<ul>``/``<ol>``, flattened."""
-    def items(block):
-        chunks = F.split(block, LI_START, -1)
-        chunks = F.slice(chunks, 2, F.greatest(F.size(chunks) - 1, F.lit(0)))
-        return F.transform(chunks, lambda c: elem_text(F.try_element_at(F.split(c, LI_END, -1), F.lit(1))))
-    per_list = F.transform(inner_all(cleaned, kind), items)
-    return F.filter(F.flatten(per_list), lambda s: s != "")
-
-
 def list_items_sql(cleaned: str, kind: str) -> str:
     items = (f"list_transform(string_split_regex(b, {lit(LI_START_RE2)})[2:], "
              f"lambda c: {elem_text_sql(f'string_split_regex(c, {lit(LI_END)})[1]')})")
@@ -264,76 +343,64 @@ CELL_START, CELL_START_RE2 = (rf"(?is)<t[dh]\b{t}" for t in (TAG_TOKEN, TAG_TOKE
 CELL_END = r"(?i)</t[dh]\s*>"
 
 
-@cached_column
-def tables(cleaned) -> Column:
-    """``ARRAY<ARRAY<ARRAY<STRING>>>`` table -> row -> cell text; empty cells kept,
-    empty rows and tables dropped."""
-    def after_first(arr):
-        return F.slice(arr, 2, F.greatest(F.size(arr) - 1, F.lit(0)))
-
-    def row_cells(tr):
-        cells = after_first(F.split(F.try_element_at(F.split(tr, TR_END, -1), F.lit(1)), CELL_START, -1))
-        return F.transform(cells, lambda c: elem_text(F.try_element_at(F.split(c, CELL_END, -1), F.lit(1))))
-
-    def table_rows(tb):
-        rows = F.transform(after_first(F.split(tb, TR_START, -1)), row_cells)
-        return F.filter(rows, lambda r: F.size(r) > 0)
-
-    return F.filter(F.transform(inner_all(cleaned, "table"), table_rows), lambda t: F.size(t) > 0)
-
-
 # ---- X3 ------------------------------------------------------------------------
 SELECTOR_RE = re.compile(r"^([A-Za-z][A-Za-z0-9]*)?(?:([.#])([A-Za-z0-9_-]+))?$")
 
 
-def selector_re(selector: str) -> str:
-    """Pattern for a simple selector ``tag``, ``tag.class``, ``tag#id``, ``.class`` or ``#id``.
+# fixed values: elements without content
+VOID = ("area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "source", "track", "wbr")
+
 
-    Combinators, attribute selectors and pseudo-classes are rejected.  A
-    selector without a tag name needs a back-reference to pair the end tag, so
-    it only runs on the Spark (Java regex) side.
-    """
+def _selector(selector: str) -> tuple[str | None, str | None, str | None]:
+    """(tag, '.' or '#', name) of ``tag``, ``tag.class``, ``tag#id``, ``.class`` or ``#id``.  Combinators, attribute
+    selectors and pseudo-classes are rejected."""
     m = SELECTOR_RE.match(selector.strip())
     if not m or not (m.group(1) or m.group(2)):
         raise ValueError(f"only simple selectors are supported, got {selector!r}")
-    tag, kind, name = m.groups()
-    cond = ""
-    if kind == ".":
-        cond = rf"""(?=[^>]*\sclass\s*=\s*(?:"[^"]*|'[^']*|)(?<![\w-]){re.escape(name)}(?![\w-]))"""
-    elif kind == "#":
-        cond = rf"""(?=[^>]*\sid\s*=\s*["']?{re.escape(name)}(?:["'\s>/]))"""
-    if tag:
-        t = re.escape(tag)
-        return rf"(?is)<{t}\b{cond}[^>]*>(.*?)</{t}\s*>"
-    return rf"(?is)<([A-Za-z][A-Za-z0-9]*)\b{cond}[^>]*>(.*?)</\1\s*>"
+    return m.group(1) and m.group(1).lower(), m.group(2), m.group(3)
 
 
-def selector_re2(selector: str) -> str:
-    """RE2 (DuckDB) form for ``tag.class`` with the class as a whole attribute word."""
-    m = SELECTOR_RE.match(selector.strip())
-    tag, kind, name = m.groups()
-    if not tag:
-        raise ValueError("oracle form needs a tag name")
-    t = re.escape(tag)
-    if kind == ".":
-        return (rf"""(?is)<{t}\s[^>]*class\s*=\s*["']?(?:[^"'>]*\s)?{re.escape(name)}(?:\s[^"'>]*)?["'\s>][^>]*>"""
-                r"(.*?)</" + t + r"\s*>")
-    if kind == "#":
-        return rf"""(?is)<{t}\s[^>]*id\s*=\s*["']?{re.escape(name)}["'\s>][^>]*>(.*?)</{t}\s*>"""
-    return rf"(?is)<{t}\b[^>]*>(.*?)</{t}\s*>"
+def selector_test(selector: str):
+    """(tag name or None, test of a tag's text): is it a start tag that the selector names?"""
+    tag, kind, name = _selector(selector)
 
+    def test(t) -> Column:
+        ok = t.rlike("^<[A-Za-z]")
+        if tag:
+            ok = ok & (tag_name(t) == tag)
+        if kind == ".":
+            ok = ok & F.array_contains(F.split(attr(t, "class"), r"[ \t\n\r\f]+"), name)
+        elif kind == "#":
+            ok = ok & (attr(t, "id") == name)
+        return ok
 
-@cached_column
-def selector_text(cleaned, selector: str) -> Column:
-    """``' '.join(el.get_text(strip=True) for el in soup.select(selector))``."""
-    r = selector_re(selector)
-    grp = 1 if SELECTOR_RE.match(selector.strip()).group(1) else 2
-    return F.array_join(F.transform(F.regexp_extract_all(_c(cleaned), F.lit(r), grp), elem_text), " ")
+    return tag, test
 
 
-def selector_text_sql(cleaned: str, selector: str) -> str:
-    r = lit(selector_re2(selector))
-    return f"array_to_string(list_transform(regexp_extract_all({cleaned}, {r}, 1), lambda s: {elem_text_sql('s')}), ' ')"
+def selector_text_sql(cleaned_cte: str, selector: str) -> str:
+    """SELECT (page_id, url, selected_text) from a CTE (page_id, url, c): each hit's end is the tag where its own name's
+    starts and ends balance, found by counting from the hit on."""
+    tag, kind, name = _selector(selector)
+    ok = "regexp_matches(tag, '^<[A-Za-z]')"
+    if tag:
+        ok += f" AND name = {lit(tag)}"
+    if kind == ".":
+        ok += f" AND list_contains(string_split_regex({attr_sql('tag', 'class')}, '[ \t\n\r\f]+'), {lit(name)})"
+    elif kind == "#":
+        ok += f" AND {attr_sql('tag', 'id')} = {lit(name)}"
+    return f"""sp AS (SELECT page_id, url, regexp_extract_all(c, {lit(TAG_RE2)}) AS tags,
+       list_transform(string_split_regex(c, {lit(TAG_RE2)}), lambda p: {strip_sql(decode_entities_sql('p'))}) AS pieces FROM {cleaned_cte}),
+tg AS (SELECT page_id, len(tags) AS n, unnest(tags) AS tag, generate_subscripts(tags, 1) AS i FROM sp),
+nm AS (SELECT *, lower(regexp_extract(tag, '^</?([A-Za-z][^\\s/>]*)', 1)) AS name FROM tg),
+hit AS (SELECT * FROM nm WHERE {ok}),
+bal AS (SELECT h.page_id, h.i, t.i AS j, sum(CASE WHEN starts_with(t.tag, '</') THEN -1 ELSE 1 END)
+               OVER (PARTITION BY h.page_id, h.i ORDER BY t.i) AS open
+        FROM hit h JOIN nm t ON t.page_id = h.page_id AND t.name = h.name AND t.i >= h.i),
+fin AS (SELECT hit.page_id, hit.i, coalesce(min(j) FILTER (WHERE open = 0), any_value(hit.n) + 1) AS j
+        FROM hit LEFT JOIN bal USING (page_id, i) GROUP BY 1, 2)
+SELECT sp.page_id, sp.url, coalesce(string_agg(CASE WHEN fin.i IS NOT NULL THEN array_to_string(list_filter(pieces[fin.i + 1:fin.j],
+       lambda p: p <> ''), '') END, ' ' ORDER BY fin.i), '') AS selected_text
+FROM sp LEFT JOIN fin USING (page_id) GROUP BY sp.page_id, sp.url"""
 
 
 # ---- X4 --------------------------------------------------------------------------
@@ -347,15 +414,3 @@ def hrefs(cleaned) -> Column:
 def hrefs_sql(cleaned: str) -> str:
     return (f"list_transform(list_filter({tags_all_sql(cleaned, 'a')}, lambda t: {has_attr_sql('t', 'href')}), "
             f"lambda t: {attr_sql('t', 'href')})")
-
-
-# ---- E2 routing --------------------------------------------------------------------
-NESTED_RE = (r"(?is)<table\b(?:(?!</table\s*>).)*<table\b"
-             r"|<ul\b(?:(?!</ul\s*>).)*<(?:ul|ol)\b|<ol\b(?:(?!</ol\s*>).)*<(?:ul|ol)\b")
-
-
-def needs_tree_parse(html) -> Column:
-    """True where lists or tables nest; those rows go through the tree fallback.
-    Runs on the raw html (a commented-out nested list only costs a tree parse)."""
-    h = _c(html)
-    return F.coalesce(h.rlike(NESTED_RE), F.lit(False))

@@ -1,8 +1,10 @@
 """Page extraction jobs (X1–X3, X5–X9, X11) over the page table.
 
-Every job is a narrow projection of the scan (no shuffle): one pass of
-Catalyst expressions per page, results either as per-page columns or as long
-(element-per-row) tables via ``posexplode`` so they can be joined and
+Titles, texts, links, images and headings are a narrow projection of the scan (no shuffle): one
+pass of Catalyst expressions per page.  Tables, lists and selectors pair up tags with windows
+(``operators.elements``): the pass also cuts the page into tags and text pieces, written once, only
+structural tags are shuffled, and their intervals are joined back to the pieces.  Results are
+per-page columns or long (element-per-row) tables via ``posexplode``, so they can be joined and
 aggregated across the corpus.
 """
 
@@ -12,6 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import html as H
+from . import elements as E
 from . import links as L
 
 CLEAN = "_clean"
@@ -39,7 +42,8 @@ def text(pages: DataFrame) -> DataFrame:
 
 # X3 ---------------------------------------------------------------------------
 def selector_text(pages: DataFrame, selector: str) -> DataFrame:
-    return cleaned(pages).select("page_id", "url", H.selector_text(CLEAN, selector).alias("selected_text"))
+    """Text of all elements that the selector names, elements inside each other included."""
+    return E.selected(cleaned(pages), selector, CLEAN)
 
 
 # X5 ---------------------------------------------------------------------------
@@ -67,12 +71,8 @@ def cells_from_tables(df: DataFrame, col: str = "tables") -> DataFrame:
 
 
 def cells(pages: DataFrame) -> DataFrame:
-    """Table-cell long table; nested tables go through the tree fallback."""
-    from .fallback import tree_extract
-    nested = H.needs_tree_parse("html")
-    flat = cells_from_tables(cleaned(pages.filter(~nested)).select("page_id", H.tables(CLEAN).alias("tables")))
-    tree = tree_extract(pages.filter(nested))
-    return flat.unionByName(cells_from_tables(tree.select("page_id", "tables")))
+    """Table-cell long table; a table also holds the rows and cells of tables inside it."""
+    return cells_from_tables(E.with_structure(E.parsed(cleaned(pages), clean=CLEAN)))
 
 
 # X8 ---------------------------------------------------------------------------
@@ -84,47 +84,27 @@ def items_from_lists(df: DataFrame, ul: str = "ul", ol: str = "ol") -> DataFrame
 
 
 def list_items(pages: DataFrame) -> DataFrame:
-    from .fallback import tree_extract
-    nested = H.needs_tree_parse("html")
-    flat = items_from_lists(cleaned(pages.filter(~nested)).select(
-        "page_id", H.list_items(CLEAN, "ul").alias("ul"), H.list_items(CLEAN, "ol").alias("ol")))
-    tree = tree_extract(pages.filter(nested))
-    return flat.unionByName(items_from_lists(tree.select("page_id", "lists.ul", "lists.ol")))
+    """List-item long table; an item also holds the text of lists inside it."""
+    x = E.with_structure(E.parsed(cleaned(pages), clean=CLEAN))
+    return items_from_lists(x.select("page_id", "lists.ul", "lists.ol"))
 
 
 # X9 ---------------------------------------------------------------------------
 def page_records(pages: DataFrame, filter_external: bool = False, allowed_domains=None) -> DataFrame:
-    """Whole ``PAGE`` record per page in one projection (no join).
-
-    Rows whose lists/tables nest (detected on the raw html by one pattern)
-    take ``tables``/``lists`` from the tree fallback; only those rows are
-    projected a second time and parsed in Python.  Everything else is pure
-    Catalyst in a single narrow stage.
-    """
-    from .fallback import tree_extract
-
+    """Whole ``PAGE`` record per page: one scan of the html makes all but tables and lists, which
+    come from the structural tags of the same scan."""
     links = L.page_links_expr("url", CLEAN, filter_external, allowed_domains, parts_projected=True)
     cols = [H.title(CLEAN).alias("title"),
             H.meta_content(CLEAN, "description").alias("description"),
             H.meta_content(CLEAN, "keywords").alias("keywords"),
-            H.page_text(CLEAN).alias("text"),
             links.alias("links"),
             H.images(CLEAN).alias("images"),
-            H.headings_struct(CLEAN).alias("headings"),
-            H.tables(CLEAN).alias("tables"),
-            F.struct(H.list_items(CLEAN, "ul").alias("ul"), H.list_items(CLEAN, "ol").alias("ol")).alias("lists")]
-
-    def project(df):  # the same Column objects serve both branches
-        c = L.with_base_parts(df.select("page_id", "url", H.clean("html").alias(CLEAN)))
-        return c.select("page_id", "url", *cols)
-
-    nested = H.needs_tree_parse("html")
-    flat = project(pages.filter(~nested))
-    odd = pages.filter(nested)
-    tree = tree_extract(odd)
-    fixed = (project(odd).drop("tables", "lists")
-             .join(tree.select("page_id", "tables", "lists"), "page_id"))
-    return flat.unionByName(fixed.select(*flat.columns))
+            H.headings_struct(CLEAN).alias("headings")]
+    c = L.with_base_parts(cleaned(pages))
+    x = E.with_structure(E.parsed(c, *cols, clean=CLEAN))
+    return x.select("page_id", "url", "title", "description", "keywords",
+                    F.array_join(F.filter(E.TEXT, lambda p: p != ""), " ").alias("text"),
+                    "links", "images", "headings", "tables", "lists")
 
 
 # X11 --------------------------------------------------------------------------

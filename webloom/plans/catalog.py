@@ -166,12 +166,17 @@ def x2_page_text(spark, sf):
     return X.text(_pages(spark, sf))
 
 
-@query("x3_selector_text", f"""WITH {CLEAN_CTE}
-SELECT page_id, url, {H.selector_text_sql('c', 'div.ad')} AS selected_text FROM cp""")
+@query("x3_selector_text", f"WITH {CLEAN_CTE}, {H.selector_text_sql('cp', 'div.ad')}")
 def x3_selector_text(spark, sf):
     return X.selector_text(_pages(spark, sf), "div.ad")
 
 
+@query("x3_selector_class", f"WITH {CLEAN_CTE}, {H.selector_text_sql('cp', '.ad')}")
+def x3_selector_class(spark, sf):
+    """A class on any tag."""
+    return X.selector_text(_pages(spark, sf), ".ad")
+
+
 @query("x4_link_table", f"WITH {LINKS_CTE} SELECT page_id, pos, src_url, dst_url FROM links")
 def x4_link_table(spark, sf):
     return L.link_table(_pages(spark, sf))
@@ -240,35 +245,85 @@ def x8_list_items(spark, sf):
     return X.list_items(_pages(spark, sf))
 
 
+# pages made from the orders: a table in a cell and a list in an item, most end tags left out
+def _nested_pages(spark, sf):
+    from ..session import read_table
+    line = F.struct("l_linenumber", "l_partkey", "l_suppkey")
+    o = read_table(spark, sf, "lineitem").groupBy("l_orderkey").agg(F.array_sort(F.collect_list(line)).alias("lines"))  # an order's lines
+    k = F.col("l_orderkey").cast("string")
+    cells = F.array_join(F.transform("lines", lambda x, i: F.concat(
+        F.lit("<tr><td>line "), i + 1, F.lit("<td><b>part "), x["l_partkey"])), "")
+    items = F.array_join(F.transform("lines", lambda x: F.concat(F.lit("<li><b>supplier "), x["l_suppkey"])), "")
+    return o.select(F.col("l_orderkey").alias("page_id"), F.concat(F.lit("http://orders/"), k).alias("url"), F.concat(
+        F.lit("<table><tr><td>order "), k, F.lit("<table>"), cells, F.lit("</table><tr><th>total "), F.size("lines"),
+        F.lit("</table><ul><li>order "), k, F.lit("<ul>"), items, F.lit("</ul><li>end</ul>")).alias("html"))
+
+
+_NESTED_CTE = """ln AS (SELECT l_orderkey AS k, l_partkey AS p, l_suppkey AS s,
+       row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey) AS n FROM lineitem),
+od AS (SELECT k, max(n) AS total, string_agg('line ' || n || 'part ' || p, '' ORDER BY n) AS cell,
+              string_agg('supplier ' || s, '' ORDER BY n) AS item FROM ln GROUP BY k)"""
+
+
+@query("x7_nested_cells", f"""WITH {_NESTED_CTE},
+c AS (SELECT k, 0 AS t, 0 AS r, 0 AS c, 'order ' || k || cell AS text FROM od
+      UNION ALL SELECT k, 0, 0, 2 * n - 1, 'line ' || n FROM ln UNION ALL SELECT k, 0, 0, 2 * n, 'part ' || p FROM ln
+      UNION ALL SELECT k, 0, n, 0, 'line ' || n FROM ln UNION ALL SELECT k, 0, n, 1, 'part ' || p FROM ln
+      UNION ALL SELECT k, 0, total + 1, 0, 'total ' || total FROM od
+      UNION ALL SELECT k, 1, n - 1, 0, 'line ' || n FROM ln UNION ALL SELECT k, 1, n - 1, 1, 'part ' || p FROM ln)
+SELECT k AS page_id, CAST(t AS INTEGER) AS table_no, CAST(r AS INTEGER) AS row_no, CAST(c AS INTEGER) AS col_no, text FROM c""")
+def x7_nested_cells(spark, sf):
+    """X7 on pages with a table inside a cell: the outer table also holds the inner one's rows and cells."""
+    return X.cells(_nested_pages(spark, sf))
+
+
+@query("x8_nested_items", f"""WITH {_NESTED_CTE},
+i AS (SELECT k, 0 AS pos, 'order ' || k || item AS text FROM od UNION ALL SELECT k, 1, 'end' FROM od
+      UNION ALL SELECT k, n + 1, 'supplier ' || s FROM ln)
+SELECT k AS page_id, 'ul' AS kind, CAST(pos AS INTEGER) AS pos, text FROM i""")
+def x8_nested_items(spark, sf):
+    """X8 on pages with a list inside an item."""
+    return X.list_items(_nested_pages(spark, sf))
+
+
+_RECORD_FIELDS = ("links", "images", "tables")
+
+
 @query("x9_page_records", f"""WITH {LINKS_CTE},
-lk AS (SELECT page_id, count(*) AS n_links, to_json(list(dst_url ORDER BY pos))::VARCHAR AS links_json
-       FROM links GROUP BY page_id)
+lk AS (SELECT page_id, to_json(list(dst_url ORDER BY pos))::VARCHAR AS links_json FROM links GROUP BY page_id),
+cells AS ({_CELLS_SQL.replace("WITH " + CLEAN_CTE + ",", "WITH ")}),
+rw AS (SELECT page_id, table_no, row_no, list(text ORDER BY col_no) AS r FROM cells GROUP BY ALL),
+tl AS (SELECT page_id, table_no, list(r ORDER BY row_no) AS t FROM rw GROUP BY ALL),
+tb_all AS (SELECT page_id, to_json(list(t ORDER BY table_no))::VARCHAR AS tables_json FROM tl GROUP BY ALL),
+im AS ({_IMG_SQL.replace("WITH " + CLEAN_CTE + ",", "WITH ")}),
+ig AS (SELECT page_id, to_json(list({{'src': src, 'alt': alt}} ORDER BY pos))::VARCHAR AS images_json FROM im GROUP BY ALL)
 SELECT cp.page_id, cp.url, {H.title_sql('c')} AS title, {H.meta_content_sql('c', 'description')} AS description,
-       {H.meta_content_sql('c', 'keywords')} AS keywords,
-       CAST(length({H.page_text_sql('c')}) AS INTEGER) AS text_length,
-       CAST(coalesce(lk.n_links, 0) AS INTEGER) AS n_links, coalesce(lk.links_json, '[]') AS links_json,
-       CAST(len({H.headings_sql('c', 1)}) AS INTEGER) AS n_h1,
-       to_json({H.headings_sql('c', 1)})::VARCHAR AS h1_json,
-       CAST(len({H.list_items_sql('c', 'ul')}) AS INTEGER) AS n_ul_items
-FROM cp LEFT JOIN lk ON cp.page_id = lk.page_id""")
+       {H.meta_content_sql('c', 'keywords')} AS keywords, {H.page_text_sql('c')} AS text,
+       coalesce(lk.links_json, '[]') AS links_json, coalesce(ig.images_json, '[]') AS images_json,
+       coalesce(tb_all.tables_json, '[]') AS tables_json,
+       {", ".join(f"to_json({H.headings_sql('c', n)})::VARCHAR AS h{n}_json" for n in (1, 2, 3))},
+       {", ".join(f"to_json({H.list_items_sql('c', k)})::VARCHAR AS {k}_json" for k in ("ul", "ol"))}
+FROM cp LEFT JOIN lk ON cp.page_id = lk.page_id LEFT JOIN ig ON cp.page_id = ig.page_id LEFT JOIN tb_all ON cp.page_id = tb_all.page_id""")
 def x9_page_records(spark, sf):
+    """Every field of the page record, nested ones as JSON text."""
     r = X.page_records(_pages(spark, sf))
-    return r.select("page_id", "url", "title", "description", "keywords",
-                    F.length("text").alias("text_length"), F.size("links").alias("n_links"),
-                    F.to_json("links").alias("links_json"),
-                    F.size("headings.h1").alias("n_h1"), F.to_json("headings.h1").alias("h1_json"),
-                    F.size("lists.ul").alias("n_ul_items"))
+    return r.select("page_id", "url", "title", "description", "keywords", "text",
+                    *(F.to_json(c).alias(f"{c}_json") for c in _RECORD_FIELDS),
+                    *(F.to_json(f"headings.h{n}").alias(f"h{n}_json") for n in (1, 2, 3)),
+                    *(F.to_json(f"lists.{k}").alias(f"{k}_json") for k in ("ul", "ol")))
 
 
 @query("x10_tree_parse", f"""WITH {CLEAN_CTE}
 SELECT page_id, CAST(len({H.list_items_sql('c', 'ul')}) AS INTEGER) AS n_ul_items,
        to_json({H.list_items_sql('c', 'ul')})::VARCHAR AS ul_json, 0 AS n_tables, false AS has_error FROM cp""")
 def x10_tree_parse(spark, sf):
-    """E2/X10 on every page: the tree path must agree with the pattern path."""
-    from ..operators.fallback import tree_extract
-    t = tree_extract(_pages(spark, sf))
-    return t.select("page_id", F.size("lists.ul").alias("n_ul_items"), F.to_json("lists.ul").alias("ul_json"),
-                    F.size("tables").alias("n_tables"), F.col("parse_error").isNotNull().alias("has_error"))
+    """X10 on every page: nested structure from expressions that cannot fail; a page whose record is
+    missing would show as an error."""
+    p = _pages(spark, sf)
+    t = X.page_records(p).select("page_id", "tables", "lists")
+    x = p.select("page_id").join(t, "page_id", "left")
+    return x.select("page_id", F.size("lists.ul").alias("n_ul_items"), F.to_json("lists.ul").alias("ul_json"),
+                    F.size("tables").alias("n_tables"), F.col("lists").isNull().alias("has_error"))
 
 
 @query("x11_corpus_totals", f"""WITH {LINKS_CTE},
