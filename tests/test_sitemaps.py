@@ -100,3 +100,18 @@ def test_loc_forms(spark):
     x = (f"<s:urlset xmlns:s='{ns}'><s:url><s:loc >https://e.com/1</s:loc></s:url>"
          "<s:url><s:loc><![CDATA[https://e.com/2?a=1&b=2]]></s:loc></s:url></s:urlset>")
     assert _expand(spark, {"x": x}, "x") == ["https://e.com/1", "https://e.com/2?a=1&b=2"]
+
+
+def test_depth_first_on_random_diamonds(spark):
+    """Sitemaps listed under several branches at different depths, with cycles."""
+    import random
+    head = '<sitemapindex xmlns="http://www.sitemaps.org/schemas/sitemap/0.9">'
+    rng = random.Random(6)
+    for _ in range(4):
+        docs, n = {}, 9
+        for i in range(n):
+            kids = rng.sample(range(n + 3), rng.randint(1, 5))
+            docs[f"i{i}"] = head + "".join(f"<sitemap><loc>{'i' if k < n else 'u'}{k}</loc></sitemap>" for k in kids) + "</sitemapindex>"
+        for k in range(n, n + 3):
+            docs[f"u{k}"] = URLSET.replace("page1", f"{k}-a").replace("page2", f"{k}-b")
+        assert _expand(spark, docs, "i0") == dfs(docs, "i0")

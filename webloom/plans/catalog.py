@@ -914,8 +914,8 @@ def _locs_sql(x: str) -> str:
             f"lambda t: t <> '') ELSE []::VARCHAR[] END")
 
 
-# every walk from the root that repeats no sitemap of its own trail; a sitemap is
-# expanded at its first level, there under its smallest position path
+# every walk from the root that repeats no sitemap of its own trail; a sitemap is expanded
+# at its smallest position path, where a depth-first walk meets it first
 _EXPAND_SQL = f"""docs AS (SELECT sitemap_url, regexp_matches(lower(xml), {lit(SM.INDEX_RE)}) AS is_index, {_locs_sql('xml')} AS locs
                FROM sitemaps),
 walk AS (SELECT '{SM.TOP_SITEMAP}' AS root, '{SM.TOP_SITEMAP}' AS sitemap_url, []::INTEGER[] AS path, ['{SM.TOP_SITEMAP}'] AS trail,
@@ -925,7 +925,7 @@ walk AS (SELECT '{SM.TOP_SITEMAP}' AS root, '{SM.TOP_SITEMAP}' AS sitemap_url, [
          FROM walk w JOIN docs d ON w.sitemap_url = d.sitemap_url AND d.is_index,
               LATERAL (SELECT unnest(d.locs) AS loc, generate_subscripts(d.locs, 1) AS p) u
          WHERE NOT list_contains(w.trail, u.loc)),
-visits AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY root, sitemap_url ORDER BY level, path) AS k FROM walk) WHERE k = 1),
+visits AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY root, sitemap_url ORDER BY path) AS k FROM walk) WHERE k = 1),
 leaves AS (SELECT v.root, v.sitemap_url AS via, list_append(v.path, CAST(u.p - 1 AS INTEGER)) AS path, u.loc AS url
            FROM visits v JOIN docs d ON v.sitemap_url = d.sitemap_url AND NOT d.is_index,
                 LATERAL (SELECT unnest(d.locs) AS loc, generate_subscripts(d.locs, 1) AS p) u)"""

@@ -71,29 +71,40 @@ def expand(sitemaps: DataFrame, roots: DataFrame, max_urls: int | None = None, c
     With ``visits`` the D6 table is returned instead: every sitemap expanded
     per root with its level (root, sitemap_url, level).
 
-    The loop runs until a level adds no unvisited sitemap, however deep the tree
-    is.  Positions come from a running total over the sitemap files (one row
+    Sitemaps are visited depth first, each once: a sitemap listed at several places counts where a
+    depth-first walk meets it first.  That place is its smallest position path (position in the
+    root, position in that child, ...) among those that pass no sitemap twice, and every
+    sitemap on it stands at its own smallest path.  So a fixpoint finds it: each round lists the
+    children of the sitemaps whose path changed, keeps the smallest path of each child and goes on with the
+    children that gained one, those re-pathed after a visit at a deeper level included, until no
+    path changes.  Positions come from a running total over the sitemap files (one row
     per file), not from ranking a root's URLs."""
     docs = sitemaps.select("sitemap_url", is_index("xml").alias("_index"), parse_locs("xml").alias("_locs"))
     if checkpoint:
-        # parse every document once; levels then join against the parsed table
+        # parse every document once; rounds then join against the parsed table
         docs = cut_lineage(docs)
-    frontier = roots.select("root", F.col("root").alias("sitemap_url"), F.array().cast("array<int>").alias("path"))
-    visited = frontier.withColumn("level", F.lit(0))
-    level = 0
+    frontier = roots.select("root", F.col("root").alias("sitemap_url"), F.array().cast("array<int>").alias("path"),
+                            F.array("root").alias("trail"))
+    best = frontier
+    key = ["root", "sitemap_url"]
     while True:
-        level += 1
         kids = (frontier.join(docs.filter("_index"), "sitemap_url")
-                .select("root", "path", F.posexplode("_locs").alias("_p", "loc")))
-        nxt = (kids.groupBy("root", F.col("loc").alias("sitemap_url"))
-               .agg(F.min(F.concat("path", F.array(F.col("_p").cast("int")))).alias("path"))
-               .join(visited.select("root", "sitemap_url"), ["root", "sitemap_url"], "left_anti"))
+                .select("root", "path", "trail", F.posexplode("_locs").alias("_p", "loc"))
+                .where(~F.array_contains("trail", F.col("loc"))))
+        found = (kids.groupBy("root", F.col("loc").alias("sitemap_url"))
+                 .agg(F.min(F.struct(F.concat("path", F.array(F.col("_p").cast("int"))).alias("path"), "trail")).alias("m"))
+                 .select(*key, "m.path", F.concat("m.trail", F.array("sitemap_url")).alias("trail")))
+        nxt = (found.join(best.select(*key, F.col("path").alias("_old")), key, "left")
+               .where("_old IS NULL OR path < _old").drop("_old"))
         if checkpoint:
             nxt = cut_lineage(nxt)
         if nxt.isEmpty():
             break
-        visited = visited.unionByName(nxt.withColumn("level", F.lit(level)))
+        best = best.join(nxt.select(*key), key, "left_anti").unionByName(nxt)
+        if checkpoint:
+            best = cut_lineage(best)
         frontier = nxt
+    visited = best.select(*key, "path", F.size("path").alias("level"))
     if visits:
         return visited.select("root", "sitemap_url", "level")
     files = visited.join(docs.filter(~F.col("_index")), "sitemap_url")
