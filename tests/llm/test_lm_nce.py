@@ -80,3 +80,46 @@ def test_no_training_rows(docs_of):
     held = [i for i in range(100) if zlib.crc32(str(i).encode()) % 7 == 2][:3]
     got = L.score(docs_of([(i, "a b") for i in held])).collect()
     assert all((g["n_known"], g["train_tokens"], g["base_score"]) == (0, 0, 0.0) and math.isfinite(g["score"]) for g in got)
+
+
+def test_log_probs_equal_plain_softmax():
+    r = np.random.default_rng(5)
+    for scale in (1, 40):  # small logits, and logits far beyond what exp can take
+        m = L.Model.start(np.full(L.UNITS, 1 / L.UNITS))
+        m.Q[:] = r.normal(0, scale, m.Q.shape)
+        m.R[:] = r.normal(0, 1, m.R.shape)
+        unit, off = r.integers(0, L.UNITS, 700), np.array([0, 1, 300, 700])
+        unit[350:500] = unit[10:160]  # repeated contexts
+        got, ctx = m.log_probs(unit, off, block=64), L.contexts(unit, off)
+        for i in (0, 1, 5, 299, 300, 360, 499, 699):
+            z = m.Q.astype(float) @ (m.R[ctx[i]].astype(float) * m.scale).sum(0) + m.b
+            assert abs(got[i] - (z[unit[i]] - z.max() - np.log(np.exp(z - z.max()).sum()))) < 1e-3 * max(1, abs(got[i]))
+
+
+def test_step_equals_plain_gradient():
+    r = np.random.default_rng(6)
+    uni = r.random(L.UNITS) + 0.1
+    uni /= uni.sum()
+    t = L.Trainer(L.Model.start(uni), uni, 3, 0.1)
+    before = [x.astype(float).copy() for x in (t.m.R, t.m.Q, t.m.b, t.m.scale)]
+    ctx, y = r.integers(0, L.UNITS + 1, (9, L.CONTEXT)), r.integers(0, L.UNITS, 9)
+    noise = np.searchsorted(np.cumsum(uni), np.random.default_rng(3).random(L.NOISE)).clip(max=L.UNITS - 1)
+    R, Q, b, s = before
+    g = [np.zeros_like(x) for x in before]
+    for c, w in zip(ctx, y, strict=True):
+        h = (R[c] * s).sum(0)
+        for u, label in [(w, 1), *((k, 0) for k in noise)]:
+            e = 1 / (1 + np.exp(-(h @ Q[u] + b[u] - np.log(L.NOISE * uni[u])))) - label
+            g[1][u] += e * h
+            g[2][u] += e
+            for j, k in enumerate(c):
+                g[0][k] += e * Q[u] * s[j]
+                g[3][j] += e * Q[u] * R[k]
+    t.step(ctx, y)
+    for x, old, grad in zip((t.m.R, t.m.Q, t.m.b, t.m.scale), before, g, strict=True):
+        grad = grad / 9
+        assert np.allclose(x, old - 0.1 * grad / np.sqrt(1e-2 + grad * grad), atol=2e-4)
+
+
+def test_small_corpora_are_read_several_times():
+    assert len(L.rounds_for(1000)) == L.PASSES + 1 and L.rounds_for(10 ** 9) == [(16, .1), (1, .1)]
