@@ -80,3 +80,54 @@ def test_t2_dedup_within_watermark(spark, tmpdir_path):
     S.run_available(stream.select("event_id", "url"), out, ck)
     got = sorted(r.event_id for r in spark.read.parquet(out).collect())
     assert got == [1, 3, 4, 5]
+
+
+def _log_parts(spark, path, parts):
+    for rows in parts:
+        df = spark.createDataFrame(rows, "event_id long, url string, domain string, ts timestamp, elapsed_s double, status int")
+        df.withColumn("error_type", error_class("status")).withColumn("attempt", F.lit(1)).coalesce(1).write.mode("append").parquet(path)
+
+
+def test_carried_streams_equal_batch_and_keep_late_rows(spark, tmpdir_path):
+    """Three micro-batches, a domain with most of the rows, outages across batch edges, one row out of order."""
+    import random
+
+    from webloom.operators.outages import outages
+    rng = random.Random(3)
+    t0, rows = dt.datetime(2024, 1, 1), []
+    for i in range(600):
+        d = "hot.com" if rng.random() < 0.6 else f"d{rng.randint(0, 4)}.com"
+        rows.append((i, f"https://{d}/{i}", d, t0 + dt.timedelta(seconds=i * 7 + rng.randint(0, 6)), 0.1, rng.choice([200, 200, 200, 503, 0, 404])))
+    late = (9000, "https://hot.com/late", "hot.com", t0 + dt.timedelta(seconds=5), 0.1, 503)
+    parts = [rows[:200], rows[200:400], [*rows[400:], late]]
+    src = os.path.join(tmpdir_path, "src")
+    _log_parts(spark, src, parts)
+    log = spark.read.parquet(src).where("event_id <> 9000")
+    setting = dict(threshold=3, window_s=60.0, cooldown_s=90.0)
+
+    def run(body, name, **kw):
+        out, state, side, ck = (os.path.join(tmpdir_path, name, x) for x in ("out", "state", "late", "ck"))
+        S.run_batches(S.fetch_log_stream(spark, src, max_files_per_trigger=1), body(spark, out, state, side, **kw), ck)
+        assert sorted(os.listdir(state)) == ["0", "1", "2"]
+        assert spark.read.parquet(f"{state}/2").groupBy("domain").count().agg(F.max("count")).first()[0] == 1
+        assert [r.event_id for r in spark.read.parquet(side).collect()] == [9000]
+        return spark.read.parquet(out)
+
+    got = S.final_outages(run(S.outage_batches, "t3", chunk_seconds=200, **setting))
+    want = outages(log, **setting).select("domain", "opened_at", "open_until", "failures_while_open")
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect())) and want.count() > 5
+    got = {r.event_id: (r.gap_s, r.required_gap_s) for r in run(S.rate_batches, "t4", bucket_seconds=100).collect()}
+    want = {r.event_id: (r.gap_s, r.required_gap_s) for r in rate_compliance(log).collect()}
+    assert got == want
+
+
+def test_idle_domains_leave_the_state(spark, tmpdir_path):
+    t0 = dt.datetime(2024, 1, 1)
+    src = os.path.join(tmpdir_path, "src")
+    _log_parts(spark, src, [[(1, "https://a.com/", "a.com", t0, 0.1, 200), (2, "https://b.com/", "b.com", t0, 0.1, 503)],
+                            [(3, "https://b.com/", "b.com", t0 + dt.timedelta(hours=3), 0.1, 503)]])
+    state = os.path.join(tmpdir_path, "state")
+    S.run_batches(S.fetch_log_stream(spark, src, max_files_per_trigger=1),
+                  S.rate_batches(spark, os.path.join(tmpdir_path, "o"), state, os.path.join(tmpdir_path, "l"), idle_s=3600),
+                  os.path.join(tmpdir_path, "ck"))
+    assert [tuple(r) for r in spark.read.parquet(f"{state}/1").select("domain", "fails").collect()] == [("b.com", 2)]

@@ -135,11 +135,22 @@ def _normalise(recent: F.Column, open_until: F.Column, start_us: F.Column, windo
     return r, o
 
 
-def chunked_replay(f: DataFrame, threshold: int, window_us: int, cooldown_us: int, chunk_us: int) -> DataFrame:
+STATE = ["domain", "e_recent", "e_open_until", "opened_at_us", "opened_by", "n_open"]
+
+
+def chunked_replay(f: DataFrame, threshold: int, window_us: int, cooldown_us: int, chunk_us: int,
+                   carry: DataFrame | None = None, with_state: bool = False):
     """Replay rounds until no chunk's assumed start differs from the end before it.
     Every round settles at least the first stale chunk of each episode for good,
-    so the loop ends, and it ends only with a consistent state."""
+    so the loop ends, and it ends only with a consistent state.
+
+    ``carry`` (columns ``STATE``; one row per domain, all failures in one episode 0) is the state that an
+    earlier part of the log ended in: it stands as the chunk before all others.  ``with_state`` also
+    returns the state behind the last chunk of every domain that ``f`` holds."""
     from ..session import cut_lineage
+    before = None
+    if carry is not None:
+        before = carry.select("domain", F.lit(0).cast("long").alias("episode"), F.lit(-(1 << 40)).cast("long").alias("chunk"), *STATE[1:])
     f = f.withColumn("chunk", F.floor(F.col("t_us") / F.lit(chunk_us)).cast("long"))
     f = cut_lineage(f)
     keys = ["domain", "episode", "chunk"]
@@ -155,11 +166,15 @@ def chunked_replay(f: DataFrame, threshold: int, window_us: int, cooldown_us: in
     while True:
         ends = state.filter(F.col("kind") == "end").select(*keys, "s_recent", "s_open_until", "e_recent",
                                                             "e_open_until")
+        if before is not None:
+            ends = ends.unionByName(before.select(*keys, "e_recent", "e_open_until"), allowMissingColumns=True)
         # previous chunk of the same episode; the chunk table has one row per chunk
         ends = ends.withColumn("_cb", F.floor(F.col("chunk") / F.lit(1024)).cast("long"))
         prev = previous_row(ends, ["domain", "episode"], ["chunk"], "_cb", ["e_recent", "e_open_until"])
         r, o = _normalise(F.col("prev_e_recent"), F.col("prev_e_open_until"), F.col("chunk") * F.lit(chunk_us),
                           window_us)
+        if before is not None:
+            prev = prev.where("s_recent IS NOT NULL")  # a carried state assumes nothing
         cmp = prev.select(*keys, "s_recent", "s_open_until", r.alias("a_recent"), o.alias("a_open_until"))
         stale = cmp.filter(~(F.col("s_recent").eqNullSafe(F.col("a_recent"))
                              & F.col("s_open_until").eqNullSafe(F.col("a_open_until"))))
@@ -171,6 +186,11 @@ def chunked_replay(f: DataFrame, threshold: int, window_us: int, cooldown_us: in
         state = cut_lineage(state.join(stale.select(*keys), keys, "left_anti").unionByName(redo))
     recs = state.filter(F.col("kind") == "rec").select(*keys, "seq", "opened_at_us", "opened_by", "open_until_us",
                                                        "n_open", "cont")
+    if before is not None:  # an outage still open when the earlier part ended
+        # once another failure of the domain is known; else its last version stands
+        recs = recs.unionByName(before.where("e_open_until IS NOT NULL").join(recs.select("domain").distinct(), "domain", "left_semi").select(
+            *keys, F.lit(0).alias("seq"), "opened_at_us", "opened_by", F.col("e_open_until").alias("open_until_us"), "n_open",
+            F.lit(False).alias("cont")))
     # stitch: every record that does not continue an earlier outage starts an island
     recs = recs.withColumn("_cb", F.floor(F.col("chunk") / F.lit(1024)).cast("long"))
     recs = prefix_aggregate(recs, ["domain", "episode"], ["chunk", "seq"], "_cb",
@@ -178,9 +198,18 @@ def chunked_replay(f: DataFrame, threshold: int, window_us: int, cooldown_us: in
     out = recs.groupBy("domain", "episode", "island").agg(
         F.max("opened_at_us").alias("opened_at_us"), F.max("opened_by").alias("opened_by"),
         F.max("open_until_us").alias("open_until_us"), F.sum("n_open").alias("failures_while_open"))
-    return out.select("domain", "episode", F.timestamp_micros("opened_at_us").alias("opened_at"),
-                      F.timestamp_micros("open_until_us").alias("open_until"), "opened_by",
-                      F.col("failures_while_open").cast("long").alias("failures_while_open"))
+    found = out.select("domain", "episode", F.timestamp_micros("opened_at_us").alias("opened_at"),
+                       F.timestamp_micros("open_until_us").alias("open_until"), "opened_by",
+                       F.col("failures_while_open").cast("long").alias("failures_while_open"))
+    if not with_state:
+        return found
+    last = (state.filter(F.col("kind") == "end").groupBy("domain")
+            .agg(F.max_by(F.struct("e_recent", "e_open_until"), "chunk").alias("e")).select("domain", "e.*"))
+    latest = out.groupBy("domain").agg(F.max_by(F.struct("opened_at_us", "opened_by", F.col("failures_while_open").alias("n_open")),
+                                                "opened_at_us").alias("o")).select("domain", "o.*")
+    open_now = F.col("e_open_until").isNotNull()
+    return found, last.join(latest, "domain", "left").select(
+        "domain", "e_recent", "e_open_until", *(F.when(open_now, F.col(c)).cast("long").alias(c) for c in STATE[3:]))
 
 
 def flag_blocked(outcomes: DataFrame, outs: DataFrame, bucket_seconds: int = KEY_BUCKET_SECONDS) -> DataFrame:

@@ -1093,16 +1093,36 @@ def t2_dedup_stream(spark, sf):
     return _run_stream(spark, sf, lambda s: dedup_urls(s, exact=True).select("url", "event_id")).select("url")
 
 
+def _run_carried(spark, sf, body, parts: int = 4, **kw):
+    """The outcome log as ``parts`` files in time order, one micro-batch each, through a job that carries
+    its state in tables; returns what all micro-batches wrote."""
+    from ..sources.fetchlog import FETCH_LOG_SCHEMA
+    from ..streaming.jobs import fetch_log_stream, run_batches, scratch_path
+    src, out, state, late, ck = (scratch_path(spark, n) for n in ("log-parts", "out", "state", "late", "ckpt"))
+    log = _outcomes_table(spark, sf).select(*[c.split()[0] for c in FETCH_LOG_SCHEMA.split(", ")])
+    t = F.unix_micros("ts")
+    lo, hi = log.agg(F.min(t), F.max(t)).first()
+    for i in range(parts if lo is not None else 0):
+        a, b = (lo + (hi + 1 - lo) * k // parts for k in (i, i + 1))
+        log.where((t >= a) & (t < b)).coalesce(1).write.mode("append").parquet(src)
+    if lo is None:
+        log.write.parquet(src)
+    run_batches(fetch_log_stream(spark, src, max_files_per_trigger=1), body(spark, out, state, late, **kw), ck)
+    return out, late
+
+
 @query("t3_outage_stream", None)
 def t3_outage_stream(spark, sf):
-    from ..streaming.jobs import final_outages, outage_stream
-    return final_outages(_run_stream(spark, sf, lambda s: outage_stream(s, watermark="1 day", **BREAKER_W7), outcomes_only=True))
+    from ..streaming.jobs import OUTAGE_OUT, final_outages, outage_batches
+    out, _ = _run_carried(spark, sf, outage_batches, **BREAKER_W7)
+    return final_outages(spark.read.schema(OUTAGE_OUT).parquet(out))
 
 
 @query("t4_rate_state_stream", None)
 def t4_rate_state_stream(spark, sf):
-    from ..streaming.jobs import rate_state_stream
-    return _run_stream(spark, sf, lambda s: rate_state_stream(s, idle="40 days"), outcomes_only=True)
+    from ..streaming.jobs import rate_batches
+    out, _ = _run_carried(spark, sf, rate_batches)
+    return spark.read.parquet(out).drop("batch")
 
 
 @query("t5_extraction_stream", f"""WITH {CLEAN_CTE}

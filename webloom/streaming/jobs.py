@@ -1,22 +1,19 @@
 """Structured Streaming twins: S8 source, T1–T6, E3.
 
 Every job reads a ``fetch_log``/``pages`` stream from a file source with an
-explicit schema, keeps its state bounded by a watermark or by the breaker's
-own limits, and writes through ``foreachBatch`` sinks (E1) or a file sink.
+explicit schema, keeps its state bounded by a watermark or by a few values per
+domain, and writes through ``foreachBatch`` sinks (E1) or a file sink.
 """
 
 from __future__ import annotations
 
 import uuid
-from collections.abc import Iterable, Iterator
 
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from ..functions.outcomes import counts_for_breaker
-from ..session import checkpoint_dir
+from ..session import checkpoint_dir, cut_lineage
 from ..sources.fetchlog import FETCH_LOG_SCHEMA
 
 
@@ -71,80 +68,73 @@ def dedup_urls(log: DataFrame, watermark: str = "1 hour", exact: bool = False) -
     return log.withWatermark("ts", watermark).dropDuplicatesWithinWatermark(["url"])
 
 
-# T3 ---------------------------------------------------------------------------
+# T3 / T4 --------------------------------------------------------------------------
+# The breaker and the limiter follow every domain in time order.  A keyed state per domain would make a
+# hot domain's rows one group, so each micro-batch is worked on as the batch jobs do it, in
+# time buckets (``operators.sequence``, ``outages.chunked_replay``), and what goes from
+# one micro-batch to the next is a state table with one row of a few values per domain, in
+# the shared folder.  A batch that is run again overwrites its own folder and reads the
+# state before it, so restarts change nothing.  Rows older than their domain's state go to a side table.
 OUTAGE_OUT = "domain STRING, opened_at TIMESTAMP, open_until TIMESTAMP, failures_while_open LONG"
-OUTAGE_STATE = ("recent_us ARRAY<LONG>, open_until_us LONG, opened_at_us LONG, n_open LONG, last_us LONG, "
-                "last_eid LONG")
-
-
-def _breaker_fn(threshold: int, window_us: int, cooldown_us: int):
-    def fn(key, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterable[pd.DataFrame]:
-        (domain,) = key
-        if state.hasTimedOut:
-            recent, open_until, opened_at, n_open, _, _ = state.get
-            state.remove()
-            if open_until is not None:
-                yield pd.DataFrame({"domain": [domain], "opened_at": [pd.Timestamp(opened_at, unit="us")],
-                                    "open_until": [pd.Timestamp(open_until, unit="us")],
-                                    "failures_while_open": [n_open]})
-            return
-        if state.exists:
-            recent, open_until, opened_at, n_open, last_us, last_eid = state.get
-            recent = list(recent or [])
-        else:
-            recent, open_until, opened_at, n_open, last_us, last_eid = [], None, None, 0, None, None
-        pdf = pd.concat(list(batches), ignore_index=True)
-        pdf = pdf.sort_values(["t_us", "event_id"])
-        out = []
-        for t, eid in zip(pdf["t_us"].tolist(), pdf["event_id"].tolist()):
-            if last_us is not None and (t, eid) <= (last_us, last_eid):
-                continue  # older than the state: late row, ignored
-            last_us, last_eid = t, eid
-            if open_until is not None and t >= open_until:
-                out.append((opened_at, open_until, n_open))
-                open_until, recent = None, []
-            recent.append(t)
-            recent = [x for x in recent if x >= t - window_us]
-            if len(recent) >= threshold:
-                if open_until is None:
-                    opened_at, n_open = t, 0
-                open_until = t + cooldown_us
-            if open_until is not None:
-                n_open += 1
-            recent = recent[-max(threshold - 1, 1):] if len(recent) >= threshold else recent
-        if open_until is not None:  # the outage as known so far; later rows of it replace this one
-            out.append((opened_at, open_until, n_open))
-        state.update((recent, open_until, opened_at, n_open, last_us, last_eid))
-        # wake up when the watermark passes the end of the open interval, or when
-        # the history can no longer matter
-        wake = open_until if open_until is not None else (last_us + window_us)
-        state.setTimeoutTimestamp(max(int(wake // 1000) + 1, state.getCurrentWatermarkMs() + 1))
-        if out:
-            yield pd.DataFrame({"domain": [domain] * len(out),
-                                "opened_at": [pd.Timestamp(o[0], unit="us") for o in out],
-                                "open_until": [pd.Timestamp(o[1], unit="us") for o in out],
-                                "failures_while_open": [o[2] for o in out]})
-    return fn
-
-
-def outage_stream(log: DataFrame, threshold: int = 5, window_s: float = 60.0, cooldown_s: float = 30.0,
-                  watermark: str = "1 minute") -> DataFrame:
-    """Per-domain breaker as keyed state.  Only counting failures enter the
-    state machine (as in the batch job); state per domain is at most
-    ``threshold - 1`` recent failure times plus the open interval.  An outage
-    is emitted when a later failure closes it, when the watermark (which
-    follows every request) passes ``open_until``, and, while it is open, as known
-    after each micro-batch, so that the end of the input leaves none out.
-    ``final_outages`` keeps the last version of each."""
-    # the watermark is set on the whole stream; the failure filter is written as
-    # one expression over the event-time column, which Catalyst does not push
-    # below the watermark, so event time advances with every request
-    counting = F.when(F.col("ts").isNotNull(), counts_for_breaker("error_type")).otherwise(F.lit(False))
-    f = (log.withWatermark("ts", watermark).filter(counting)
-         .select("domain", "ts", "event_id", F.unix_micros("ts").alias("t_us")))
-    fn = _breaker_fn(threshold, int(window_s * 1e6), int(cooldown_s * 1e6))
-    return f.groupBy("domain").applyInPandasWithState(fn, OUTAGE_OUT, OUTAGE_STATE, "append",
-                                                      GroupStateTimeout.EventTimeTimeout)
+LAST = ["last_us", "last_eid"]
+
+
+class CarriedState:
+    """The state tables of a stream, one folder per micro-batch."""
+
+    def __init__(self, spark: SparkSession, path: str, schema: str):
+        self.spark, self.path, self.schema = spark, path, schema
+
+    def before(self, epoch_id: int) -> DataFrame:
+        if epoch_id == 0:
+            return self.spark.createDataFrame([], self.schema)
+        return self.spark.read.schema(self.schema).parquet(f"{self.path}/{epoch_id - 1}")
+
+    def save(self, epoch_id: int, changed: DataFrame, idle_us: int | None, now: DataFrame) -> None:
+        """States of this batch's domains, and of the others unless idle for longer than ``idle_us``."""
+        rest = self.before(epoch_id).join(changed.select("domain"), "domain", "left_anti")
+        if idle_us is not None:
+            rest = rest.where(F.col("last_us") >= F.coalesce(now.agg(F.max("t_us")).scalar(), F.lit(0)) - idle_us)
+        names = [c.split()[0] for c in self.schema.split(", ")]
+        rest.select(*names).unionByName(changed.select(*names)).write.mode("overwrite").parquet(f"{self.path}/{epoch_id}")
+
+
+def split_late(rows: DataFrame, state: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(rows behind their domain's state, rows older than it)."""
+    x = rows.join(state.select("domain", *LAST), "domain", "left")
+    late = F.col("last_us").isNotNull() & (F.struct("t_us", "event_id") <= F.struct(*LAST))
+    return x.where(~late).drop(*LAST), x.where(late).drop(*LAST)
+
+
+def _newest(rows: DataFrame) -> DataFrame:
+    return rows.groupBy("domain").agg(F.max(F.struct(F.col("t_us").alias("last_us"), F.col("event_id").alias("last_eid"))).alias("l")).select(
+        "domain", "l.*")
+
+
+def outage_batches(spark: SparkSession, out: str, state: str, late: str, threshold: int = 5, window_s: float = 60.0,
+                   cooldown_s: float = 30.0, chunk_seconds: int = 3600, idle_s: float | None = None) -> callable:
+    """``foreachBatch`` body of T3: outages as known after each micro-batch; ``final_outages`` keeps the
+    last version of each.  State per domain: its last row, at most ``threshold - 1`` failure times, and
+    the open outage."""
+    from ..operators.outages import STATE, chunked_replay
+    carried = CarriedState(spark, state, "domain STRING, last_us LONG, last_eid LONG, e_recent ARRAY<LONG>, e_open_until LONG, "
+                                         "opened_at_us LONG, opened_by LONG, n_open LONG")
+    w_us, c_us = int(window_s * 1e6), int(cooldown_s * 1e6)
+    chunk_us = int(max(chunk_seconds, 2 * (window_s + cooldown_s)) * 1e6)
+
+    def run(batch: DataFrame, epoch_id: int) -> None:
+        old = carried.before(epoch_id)
+        rows = cut_lineage(batch.select("domain", "ts", "event_id", "error_type", F.unix_micros("ts").alias("t_us")))
+        fresh, behind = split_late(rows, old)
+        behind.drop("t_us").write.mode("overwrite").parquet(f"{late}/batch={epoch_id}")
+        f = fresh.where(counts_for_breaker("error_type")).select("domain", F.lit(0).cast("long").alias("episode"), "t_us", "event_id")
+        found, ends = chunked_replay(f, threshold, w_us, c_us, chunk_us, carry=old.select(*STATE), with_state=True)
+        found.select("domain", "opened_at", "open_until", "failures_while_open").write.mode("overwrite").parquet(f"{out}/batch={epoch_id}")
+        # a domain without counting failures in this batch keeps its breaker state
+        same = old.select(*STATE).join(ends.select("domain"), "domain", "left_anti")
+        both = _newest(fresh).join(ends.unionByName(same), "domain", "left")
+        carried.save(epoch_id, both, None if idle_s is None else int(idle_s * 1e6), rows)
+    return run
 
 
 def final_outages(rows: DataFrame) -> DataFrame:
@@ -154,48 +144,44 @@ def final_outages(rows: DataFrame) -> DataFrame:
         "domain", "opened_at", "open_until", "failures_while_open")
 
 
-# T4 ---------------------------------------------------------------------------
-RATE_OUT = "event_id LONG, domain STRING, ts TIMESTAMP, gap_s DOUBLE, required_gap_s DOUBLE, backoff_multiplier DOUBLE"
-RATE_STATE = "last_us LONG, last_eid LONG, fails LONG"
-
-
-def rate_state_stream(log: DataFrame, rps: float = 5.0, min_delay: float = 0.5, factor: float = 2.0,
-                      max_backoff: float = 60.0, idle: str = "1 hour") -> DataFrame:
-    """Per-domain limiter state (last request time, failures since success);
-    emits the gap and the required gap for every request, as W5.  Domains
-    idle past the watermark are dropped from state."""
-    base = max(min_delay, 1.0 / rps)
-    cap = max_backoff / (1.0 / rps + min_delay)
-
-    def fn(key, batches, state: GroupState):
-        (domain,) = key
-        if state.hasTimedOut:
-            state.remove()
-            return
-        last_us, last_eid, fails = state.get if state.exists else (None, None, 0)
-        pdf = pd.concat(list(batches), ignore_index=True).sort_values(["t_us", "event_id"])
-        rows = []
-        for t, eid, ok in zip(pdf["t_us"].tolist(), pdf["event_id"].tolist(), pdf["ok"].tolist()):
-            if last_us is not None and (t, eid) <= (last_us, last_eid):
-                continue
-            mult_before = 1.0 if fails == 0 else min(factor ** fails, cap)
-            gap = None if last_us is None else round((t - last_us) / 1e6, 6)
-            fails = 0 if ok else fails + 1
-            mult_after = 1.0 if fails == 0 else min(factor ** fails, cap)
-            rows.append((eid, domain, pd.Timestamp(t, unit="us"), gap, round(min(base * mult_before, max_backoff), 6),
-                         round(mult_after, 6)))
-            last_us, last_eid = t, eid
-        state.update((last_us, last_eid, fails))
-        state.setTimeoutTimestamp(max(int(last_us // 1000) + 1, state.getCurrentWatermarkMs() + 1))
-        if rows:
-            yield pd.DataFrame(rows, columns=["event_id", "domain", "ts", "gap_s", "required_gap_s",
-                                              "backoff_multiplier"])
-
-    x = (log.select("event_id", "domain", "ts", F.unix_micros("ts").alias("t_us"),
-                    F.col("error_type").isNull().alias("ok"))
-         .withWatermark("ts", idle))
-    return x.groupBy("domain").applyInPandasWithState(fn, RATE_OUT, RATE_STATE, "append",
-                                                      GroupStateTimeout.EventTimeTimeout)
+def rate_batches(spark: SparkSession, out: str, state: str, late: str, rps: float = 5.0, min_delay: float = 0.5,
+                 factor: float = 2.0, max_backoff: float = 60.0, bucket_seconds: int = 3600, idle_s: float | None = None) -> callable:
+    """``foreachBatch`` body of T4: gap and required gap of every request, as W5.  State per domain: its last
+    request and the failures since its last success."""
+    from ..operators.sequence import Prefix, prefix_aggregate, previous_row, time_bucket
+    carried = CarriedState(spark, state, "domain STRING, last_us LONG, last_eid LONG, fails LONG")
+    base, cap = max(min_delay, 1.0 / rps), max_backoff / (1.0 / rps + min_delay)
+
+    def multiplier(k):
+        return F.when(k == 0, F.lit(1.0)).otherwise(F.least(F.pow(F.lit(float(factor)), k), F.lit(cap)))
+
+    def run(batch: DataFrame, epoch_id: int) -> None:
+        old = carried.before(epoch_id)
+        rows = cut_lineage(batch.select("event_id", "domain", "ts", F.unix_micros("ts").alias("t_us"),
+                                        F.col("error_type").isNull().alias("ok")))
+        fresh, behind = split_late(rows, old)
+        behind.drop("t_us").write.mode("overwrite").parquet(f"{late}/batch={epoch_id}")
+        order = ["ts", "event_id"]
+        x = prefix_aggregate(fresh.withColumn("_bk", time_bucket("ts", bucket_seconds)), ["domain"], order, "_bk",
+                             [Prefix("_cnt", F.lit(1)), Prefix("_okc", F.col("ok"), how="last")])
+        x = x.join(old.select("domain", F.col("last_us").alias("_us"), F.col("fails").alias("_fails")), "domain", "left")
+        x = x.withColumn("fails", F.when(F.col("_okc").isNull(), F.col("_cnt") + F.coalesce("_fails", F.lit(0)))
+                         .otherwise(F.col("_cnt") - F.col("_okc")).cast("long"))
+        x = previous_row(x, ["domain"], order, "_bk", ["t_us", "fails"])
+        gap = F.col("t_us") - F.coalesce("prev_t_us", "_us")
+        prev = F.coalesce("prev_fails", "_fails", F.lit(0))
+        x = cut_lineage(x.select("event_id", "domain", "ts", "t_us", "fails", F.round(gap / F.lit(1e6), 6).alias("gap_s"),
+                                 F.round(F.least(F.lit(base) * multiplier(prev), F.lit(float(max_backoff))), 6).alias("required_gap_s"),
+                                 F.round(multiplier(F.col("fails")), 6).alias("backoff_multiplier")))
+        x.drop("t_us", "fails").write.mode("overwrite").parquet(f"{out}/batch={epoch_id}")
+        new = x.groupBy("domain").agg(F.max(F.struct(F.col("t_us").alias("last_us"), F.col("event_id").alias("last_eid"), "fails")).alias("l"))
+        carried.save(epoch_id, new.select("domain", "l.*"), None if idle_s is None else int(idle_s * 1e6), rows)
+    return run
+
+
+def run_batches(stream: DataFrame, body, ckpt_path: str) -> None:
+    """Process everything available now, micro-batch by micro-batch."""
+    (stream.writeStream.foreachBatch(body).option("checkpointLocation", ckpt_path).trigger(availableNow=True).start()).awaitTermination()
 
 
 # T5 ---------------------------------------------------------------------------
