@@ -106,3 +106,35 @@ def test_table_ids_grow_over_appends(spark, tmpdir_path):
     top = {t: [r.id for r in rows if r.title == t] for t in "012"}
     assert max(top["0"]) < min(top["1"]) and max(top["1"]) < min(top["2"])
     assert {r.title for r in K.latest_from_table(spark, name, 20, order=("id",)).collect()} == {"2"}
+
+
+def test_url_lookup_reads_one_bucket_and_ids_grow(spark, tmpdir_path):
+    name = "lookup_table"
+    sink = K.table_sink(spark, name, buckets=8, path=os.path.join(tmpdir_path, "lookup"))
+    for a in (0, 100, 200):
+        sink(spark.range(a, a + 100).select(F.concat(F.lit("http://h/"), "id").alias("url"), F.lit("t").alias("title")))
+    rows = spark.table(name).select("url", "id").collect()
+    by = {int(r.url.rsplit("/", 1)[1]): r.id for r in rows}
+    assert len(set(by.values())) == 300 and max(by[i] for i in range(100)) < min(by[i] for i in range(100, 200))
+    assert max(by[i] for i in range(100, 200)) < min(by[i] for i in range(200, 300))
+    one = K.lookup_url(spark, name, "http://h/7")
+    assert one.count() == 1
+    spark.conf.set("spark.sql.sources.bucketing.autoBucketedScan.enabled", "false")  # the plan then names the buckets
+    try:
+        assert "SelectedBucketsCount: 1 out of 8" in K.lookup_url(spark, name, "http://h/7")._jdf.queryExecution().toString()
+    finally:
+        spark.conf.unset("spark.sql.sources.bucketing.autoBucketedScan.enabled")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        many = K.lookup_urls(spark, name, spark.createDataFrame([("http://h/7",), ("http://h/250",), ("none",)], "url string"))
+        side = many._jdf.queryExecution().executedPlan().toString()
+        assert sorted(r.url for r in many.collect()) == ["http://h/250", "http://h/7"]
+        table_side = side[:side.index("FileScan")]
+        assert "Bucketed: true" in side and "Exchange hashpartitioning" not in table_side
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    import glob
+
+    import pyarrow.parquet as pq
+    f = glob.glob(os.path.join(tmpdir_path, "lookup", "*.parquet"))[0]
+    assert pq.ParquetFile(f).metadata.num_rows > 0

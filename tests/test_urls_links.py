@@ -74,3 +74,29 @@ def test_patterns_and_seen(spark):
     pats = spark.createDataFrame([("admin",)], "pattern string")
     assert L.apply_pattern_table(df, pats, "exclude").count() == 2
     assert F is not None
+
+
+def test_pattern_tables_equal_brute_force(spark):
+    import random
+    rng = random.Random(1)
+    urls = ["".join(rng.choices("abcd/", k=rng.randint(0, 30))) for _ in range(300)] + ["", None, "é/ü/abcd"]
+    sets = [["".join(rng.choices("abcd/é", k=rng.randint(1, 9))) for _ in range(40)] for _ in range(2)] + [["ab"], [""], [], ["abcde", None, "abc", "/ü"]]
+    sets[1] = [p for p in sets[1] if len(p) > 3]
+    df = spark.createDataFrame([(i, u) for i, u in enumerate(urls)], "i int, url string")
+    for pats in sets:
+        t = spark.createDataFrame([(p,) for p in pats], "pattern string")
+        want = {i for i, u in enumerate(urls) if u is not None and any(p is not None and p in u for p in pats)}
+        assert {r.i for r in L.apply_pattern_table(df, t, "include").collect()} == want
+        assert {r.i for r in L.apply_pattern_table(df, t, "exclude").collect()} == set(range(len(urls))) - want
+
+
+def test_many_patterns(spark):
+    """100,000 patterns against 20,000 URLs: nothing is collected, no row pairs are formed."""
+    urls = spark.range(20_000).select(F.concat(F.lit("http://h/p/"), F.col("id") * 7).alias("url"))
+    pats = spark.range(100_000).select(F.concat(F.lit("/p/"), F.col("id") * 13, F.lit("")).alias("pattern"))
+    got = L.apply_pattern_table(urls, pats, "include")
+    plan = got._jdf.queryExecution().toString()
+    assert "collect_set" not in plan and "NestedLoop" not in plan and "Cartesian" not in plan
+    tails = {str(i * 13) for i in range(100_000)}
+    want = sum(any(str(i * 7)[:n] in tails for n in range(1, 7)) for i in range(20_000))
+    assert got.count() == want

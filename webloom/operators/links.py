@@ -130,14 +130,42 @@ def apply_patterns(df: DataFrame, url_col: str = "url", exclude=None, include=No
     return df
 
 
+def _grams(text: Column, q: int) -> Column:
+    """Distinct q-grams of a text of at least q characters (none of a shorter one)."""
+    starts = F.when(F.length(text) >= q, F.sequence(F.lit(1), F.length(text) - q + 1)).otherwise(F.array().cast("array<int>"))
+    return F.array_distinct(F.transform(starts, lambda i: F.substring(text, i, F.lit(q))))
+
+
+def matching_urls(urls: DataFrame, patterns: DataFrame, url_col: str = "url", pattern_col: str = "pattern", q: int = 4,
+                  shortest: int = 1) -> DataFrame:
+    """Distinct URLs that contain any pattern of a table of patterns.
+
+    A pattern is indexed under one of its q-grams, the one that fewest URLs hold, and only URLs with this q-gram are
+    tested for the whole pattern: an equi-join on the q-gram, then ``contains``.  Patterns shorter than ``q`` have
+    an index of their own length each (at most ``q - 1`` of them).  The empty pattern is in every URL."""
+    u = urls.select(F.col(url_col).alias("_u")).where("_u IS NOT NULL").distinct()
+    p = patterns.select(F.col(pattern_col).alias("_p")).where("_p IS NOT NULL").distinct()
+    found = u.where(p.where(F.col("_p") == "").exists())
+    for n in range(shortest, q + 1):
+        mine = p.where(F.length("_p") >= q if n == q else F.length("_p") == n)
+        grams = u.select("_u", F.explode(_grams(F.col("_u"), n)).alias("_g"))
+        asked = mine.select("_p", F.explode(_grams(F.col("_p"), n)).alias("_g"))
+        if n == q:
+            held = (grams.join(asked.select("_g").distinct(), "_g", "left_semi").groupBy("_g").agg(F.count(F.lit(1)).alias("_n")))
+            # a q-gram that no URL has: the pattern is in none
+            asked = (asked.join(held, "_g", "left").groupBy("_p")
+                     .agg(F.min(F.struct(F.coalesce("_n", F.lit(0)).alias("n"), "_g")).alias("m")).where("m.n > 0")
+                     .select("_p", F.col("m._g").alias("_g")))
+        found = found.unionAll(grams.join(asked, "_g").where(F.col("_u").contains(F.col("_p"))).select("_u"))
+    return found.distinct().withColumnRenamed("_u", url_col)
+
+
 def apply_pattern_table(df: DataFrame, patterns: DataFrame, how: str, url_col: str = "url",
                         pattern_col: str = "pattern") -> DataFrame:
-    """Pattern list held in a table: keep (include) or drop (exclude) the URLs that
-    contain any pattern.  The list, a job parameter, becomes one array by a scalar
-    subquery and each URL is tested against it; no row pairs are formed."""
-    held = df.withColumn("_patterns", patterns.agg(F.collect_set(pattern_col)).scalar())
-    hit = F.coalesce(F.exists("_patterns", lambda p: F.col(url_col).contains(p)), F.lit(False))
-    return held.filter(hit if how == "include" else ~hit).drop("_patterns")
+    """Pattern list held in a table, of any size: keep (include) or drop (exclude) the URLs that
+    contain any pattern.  Null URLs contain none."""
+    hits = matching_urls(df, patterns, url_col, pattern_col)
+    return df.join(hits, url_col, "left_semi" if how == "include" else "left_anti")
 
 
 # J5 ----------------------------------------------------------------------------

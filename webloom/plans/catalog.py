@@ -750,6 +750,33 @@ def j4_include_patterns(spark, sf):
     return L.apply_patterns(L.link_table(_pages(spark, sf)), "dst_url", exclude=EXCLUDE, include=INCLUDE)
 
 
+# a table of patterns of 3 characters and more from the other tables: customer numbers as last paths, nations, languages
+_PATTERNS_SQL = """pats AS (SELECT DISTINCT '/' || c_custkey || '?' AS pattern FROM customer UNION SELECT lower(substr(n_name, 1, 3)) FROM nation
+UNION SELECT '/' || lang || '/1' FROM documents WHERE lang IS NOT NULL)"""
+
+
+def _pattern_table(spark, sf):
+    from ..session import read_table
+    c = read_table(spark, sf, "customer").select(F.concat(F.lit("/"), "c_custkey", F.lit("?")).alias("pattern"))
+    n = read_table(spark, sf, "nation").select(F.lower(F.substring("n_name", 1, 3)))
+    d = read_table(spark, sf, "documents").where("lang IS NOT NULL").select(F.concat(F.lit("/"), "lang", F.lit("/1")))
+    return c.unionAll(n).unionAll(d).distinct()
+
+
+@query("j3_exclude_pattern_table", f"""WITH {_PATTERNS_SQL}
+SELECT page_id, url FROM pages WHERE NOT EXISTS (SELECT 1 FROM pats WHERE contains(url, pattern))""")
+def j3_exclude_pattern_table(spark, sf):
+    return L.apply_pattern_table(T.pages(spark, sf, with_html=False).select("page_id", "url"), _pattern_table(spark, sf), "exclude").select(
+        "page_id", "url")
+
+
+@query("j4_include_pattern_table", f"""WITH {_PATTERNS_SQL}
+SELECT page_id, url FROM pages WHERE EXISTS (SELECT 1 FROM pats WHERE contains(url, pattern))""")
+def j4_include_pattern_table(spark, sf):
+    return L.apply_pattern_table(T.pages(spark, sf, with_html=False).select("page_id", "url"), _pattern_table(spark, sf), "include").select(
+        "page_id", "url")
+
+
 @query("j5_unseen_links", f"""WITH {LINKS_CTE}
 SELECT DISTINCT dst_url AS url FROM links WHERE dst_url NOT IN (SELECT url FROM pages)""")
 def j5_unseen_links(spark, sf):
@@ -966,6 +993,25 @@ rec AS (SELECT cp.url, {H.title_sql('c')} AS title, {H.page_text_sql('c')} AS te
         FROM cp LEFT JOIN lk ON cp.page_id = lk.page_id)"""
 
 
+# every field of a stored record but its time, nested ones as JSON text
+_FULL_SQL = f"""{_REC_SQL},
+im AS ({_IMG_SQL.replace("WITH " + CLEAN_CTE + ",", "WITH ")}),
+ig AS (SELECT page_id, to_json(list({{'src': src, 'alt': alt}} ORDER BY pos))::VARCHAR AS images FROM im GROUP BY ALL),
+full_rec AS (SELECT rec.url, rec.title, rec.text, CAST(length(rec.text) AS INTEGER) AS text_length, rec.links, coalesce(ig.images, '[]') AS images,
+                    rec.headings, rec.metadata, '' AS error, 200 AS status_code, 'text/html' AS content_type
+             FROM rec JOIN cp ON rec.url = cp.url LEFT JOIN ig ON cp.page_id = ig.page_id)"""
+
+
+def _flat(df):
+    """Nested columns as JSON text, in one form whichever sink they come from."""
+    nested = [f.name for f in df.schema.fields if f.dataType.typeName() in ("array", "struct", "map")]
+    return df.withColumns({c: F.to_json(c) for c in nested})
+
+
+_RECORD_COLS = ["url", "title", "text", "text_length", "links", "images", "headings", "metadata", "error", "status_code", "content_type"]
+_CSV_COLS = [c for c in _RECORD_COLS if c != "images"]
+
+
 @query("k2_csv_rows", f"""WITH {_REC_SQL}
 SELECT url, title, text, links, metadata, '' AS crawled_at, '200' AS status_code, 'text/html' AS content_type,
        CAST(length(text) AS VARCHAR) AS text_length, '0' AS images_count, headings, '' AS error FROM rec""")
@@ -1125,14 +1171,23 @@ def t4_rate_state_stream(spark, sf):
     return spark.read.parquet(out).drop("batch")
 
 
-@query("t5_extraction_stream", f"""WITH {CLEAN_CTE}
-SELECT page_id, url, {H.title_sql('c')} AS title, CAST(length({H.page_text_sql('c')}) AS INTEGER) AS text_length FROM cp""")
+@query("t5_extraction_stream", f"""WITH {_FULL_SQL}
+SELECT 'jsonl' AS sink, {", ".join(_CSV_COLS)} FROM full_rec UNION ALL SELECT 'csv' AS sink, {", ".join(_CSV_COLS)} FROM full_rec
+UNION ALL SELECT 'table' AS sink, {", ".join(_CSV_COLS)} FROM full_rec""")
 def t5_extraction_stream(spark, sf):
-    from ..streaming.jobs import extraction_stream, pages_stream, run_available, scratch_path
-    out, ck = scratch_path(spark, "pages-out"), scratch_path(spark, "pages-ckpt")
-    stream = extraction_stream(pages_stream(spark, sf.rstrip("/"), glob="pages.parquet"))
-    run_available(stream.select("page_id", "url", "title", F.length("text").alias("text_length")), out, ck)
-    return spark.read.parquet(out)
+    """Page stream to whole records, every micro-batch to all three sinks, read back."""
+    import uuid
+
+    from ..streaming.jobs import extraction_batches, pages_stream, run_batches, scratch_path
+    a, b, c, ck = (scratch_path(spark, n) for n in ("t5-jsonl", "t5-csv", "t5-table", "t5-ckpt"))
+    name = f"crawled_stream_{uuid.uuid4().hex[:8]}"
+    sinks = [K.jsonl_sink(a), K.csv_sink(b), K.table_sink(spark, name, path=c)]
+    run_batches(pages_stream(spark, sf.rstrip("/"), glob="pages.parquet"), extraction_batches(sinks), ck)
+    out = None
+    for sink, df in (("jsonl", K.read_jsonl(spark, a)), ("csv", K.read_csv(spark, b)), ("table", spark.table(name))):
+        x = _flat(df).select(F.lit(sink).alias("sink"), *_CSV_COLS)
+        out = x if out is None else out.unionByName(x)
+    return out
 
 
 @query("t6_error_counters_stream", f"""WITH {LOG_CTE}
@@ -1173,13 +1228,19 @@ def _scratch(spark, name):
 _TITLES_CTE = f"{CLEAN_CTE}, titles AS (SELECT url, {H.title_sql('c')} AS title FROM cp)"
 
 
-@query("s2_jsonl_scan", f"""WITH {_TITLES_CTE}
-SELECT url, title, 200 AS status_code, '' AS error FROM titles""")
+@query("s2_jsonl_scan", f"""WITH {_FULL_SQL}
+SELECT {", ".join(_RECORD_COLS)}, CAST(NULL AS VARCHAR) AS bad_line FROM full_rec
+UNION ALL SELECT {", ".join("NULL" for _ in _RECORD_COLS)}, '{{"url":"' || url AS bad_line FROM full_rec""")
 def s2_jsonl_scan(spark, sf):
-    """K1 JSONL sink of the page records, read back by the S2 reader."""
+    """K1 JSONL sink of the page records, and a folder of lines cut off in their first value, read
+    back together by the S2 reader: bad lines come out as they are."""
     path = _scratch(spark, "jsonl")
-    K.jsonl_sink(path)(_records(spark, sf))
-    return K.read_jsonl(spark, path).select("url", "title", "status_code", "error")
+    rec = _records(spark, sf)
+    K.jsonl_sink(f"{path}/part=good")(rec)
+    rec.select(F.concat(F.lit('{"url":"'), "url").alias("value")).write.text(f"{path}/part=cut")
+    r = _flat(K.read_jsonl(spark, path).drop("part"))
+    bad = F.col("_corrupt_record").isNotNull()
+    return r.select(*(F.when(~bad, F.col(c)).alias(c) for c in _RECORD_COLS), F.col("_corrupt_record").alias("bad_line"))
 
 
 @query("s3_csv_scan", f"""WITH {_REC_SQL}
@@ -1198,22 +1259,28 @@ def s3_csv_scan(spark, sf):
 @query("s4_table_latest", f"""WITH {_TITLES_CTE}
 SELECT url, title FROM titles ORDER BY url DESC LIMIT 10""")
 def s4_table_latest(spark, sf):
-    """K3 table sink (bucketed by url, files in the shared folder), then the S4
-    scan: projection, order, limit."""
+    """K3 table sink (bucketed by url, files in the shared folder), appended to in url order, then the S4
+    scan: projection, newest id first, limit."""
     import uuid
     name = f"crawled_data_{uuid.uuid4().hex[:8]}"
-    K.table_sink(spark, name, path=_scratch(spark, "table"))(_records(spark, sf))
-    return K.latest_from_table(spark, name, 10, order=("url",)).select("url", "title")
+    rec = _records(spark, sf)
+    from ..session import cut_lineage
+    sink = K.table_sink(spark, name, path=_scratch(spark, "table"))
+    rec = cut_lineage(rec)
+    last = rec.select("url").orderBy(F.desc("url")).limit(10)  # the report's rows, appended behind all others
+    sink(rec.join(last, "url", "left_anti"))
+    sink(rec.join(last, "url", "left_semi").coalesce(1).sortWithinPartitions("url"))
+    return K.latest_from_table(spark, name, 10, order=("id",)).select("url", "title")
 
 
-@query("k4_fan_out", f"""WITH {_TITLES_CTE}
-SELECT 'jsonl' AS sink, url, title FROM titles UNION ALL SELECT 'csv' AS sink, url, title FROM titles""")
+@query("k4_fan_out", f"""WITH {_FULL_SQL}
+SELECT 'jsonl' AS sink, {", ".join(_CSV_COLS)} FROM full_rec UNION ALL SELECT 'csv' AS sink, {", ".join(_CSV_COLS)} FROM full_rec""")
 def k4_fan_out(spark, sf):
-    """One result written to two sinks (computed once), both read back."""
+    """One result written to two sinks (computed once), every field read back."""
     a, b = _scratch(spark, "fan-jsonl"), _scratch(spark, "fan-csv")
     K.fan_out(_records(spark, sf), [K.jsonl_sink(a), K.csv_sink(b)])
-    return (K.read_jsonl(spark, a).select(F.lit("jsonl").alias("sink"), "url", "title")
-            .unionByName(K.read_csv(spark, b).select(F.lit("csv").alias("sink"), "url", "title")))
+    return (_flat(K.read_jsonl(spark, a)).select(F.lit("jsonl").alias("sink"), *_CSV_COLS)
+            .unionByName(_flat(K.read_csv(spark, b)).select(F.lit("csv").alias("sink"), *_CSV_COLS)))
 
 
 @query("s8_log_stream", f"WITH {LOG_CTE} SELECT event_id, url, domain, ts, status, error_type FROM fetch_log")
@@ -1223,24 +1290,35 @@ def s8_log_stream(spark, sf):
     return _run_stream(spark, sf, lambda s: s.select("event_id", "url", "domain", "ts", "status", "error_type"))
 
 
-@query("k1_jsonl_sink", f"""WITH {_TITLES_CTE} SELECT url, title, true AS has_crawled_at FROM titles""")
+@query("k1_jsonl_sink", f"""WITH {_FULL_SQL} SELECT {", ".join(_RECORD_COLS)}, true AS has_crawled_at FROM full_rec""")
 def k1_jsonl_sink(spark, sf):
-    """K1: JSON lines appended (one object per line, never indented), with
-    ``crawled_at`` filled where the record has none; read back as text lines."""
+    """K1: whole records as JSON lines (one object per line, never indented), with
+    ``crawled_at`` filled where the record has none; read back from text lines."""
     path = _scratch(spark, "k1")
-    K.jsonl_sink(path)(_records(spark, sf).select("url", "title"))
-    lines = spark.read.text(path)
-    obj = F.from_json("value", "url STRING, title STRING, crawled_at STRING")
-    return lines.select(obj.alias("o")).select("o.url", "o.title", F.col("o.crawled_at").isNotNull().alias("has_crawled_at"))
+    K.jsonl_sink(path)(_records(spark, sf))
+    obj = F.from_json("value", K.CRAWL_RECORD.replace("crawled_at TIMESTAMP", "crawled_at STRING"))
+    return _flat(spark.read.text(path).select(obj.alias("o")).select("o.*")).select(
+        *_RECORD_COLS, F.col("crawled_at").isNotNull().alias("has_crawled_at"))
 
 
-@query("k3_table_sink", f"""WITH {_TITLES_CTE} SELECT url, title, 200 AS status_code FROM titles""")
+@query("k3_table_sink", f"""WITH {_FULL_SQL} SELECT {", ".join(_RECORD_COLS)} FROM full_rec""")
 def k3_table_sink(spark, sf):
-    """K3: append to a url-bucketed Parquet table; every stored row read back."""
+    """K3: append to a url-bucketed Parquet table; every stored row and field read back."""
     import uuid
     name = f"crawled_data_{uuid.uuid4().hex[:8]}"
     K.table_sink(spark, name, path=_scratch(spark, "k3"))(_records(spark, sf))
-    return spark.table(name).select("url", "title", "status_code")
+    return _flat(spark.table(name)).select(*_RECORD_COLS)
+
+
+@query("k3_url_lookup", f"""WITH {_FULL_SQL}, w AS (SELECT DISTINCT url FROM pages WHERE url LIKE '%#%')
+SELECT w.url, title, text_length, status_code FROM w JOIN full_rec USING (url)""")
+def k3_url_lookup(spark, sf):
+    """The stored records of a table of URLs (those with a fragment): bucket against bucket, the stored table is not shuffled."""
+    import uuid
+    name = f"crawled_data_{uuid.uuid4().hex[:8]}"
+    K.table_sink(spark, name, path=_scratch(spark, "k3-lookup"))(_records(spark, sf))
+    wanted = T.pages(spark, sf, with_html=False).select("url").where(F.col("url").contains("#")).distinct()
+    return K.lookup_urls(spark, name, wanted).select("url", "title", "text_length", "status_code")
 
 
 # ==== W7 oracle: the breaker replayed by a recursive CTE, one step per failure ====

@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import cut_lineage
@@ -146,21 +146,34 @@ TABLE_COLUMNS = ["url", "title", "text", "text_length", "links", "images", "head
                  "crawled_at", "status_code", "content_type"]
 
 
+NEXT_ID = "webloom.next_id"
+
+
 def table_sink(spark: SparkSession, table: str, buckets: int = 16, path: str | None = None) -> Sink:
-    """K3: append to a Parquet table bucketed and sorted by ``url`` (the url
+    """K3: append to a Parquet table bucketed and sorted by ``url``, with a Parquet Bloom filter on it (the url
     index of the reference); duplicates are kept; each row gets ``saved_at`` and an
-    ``id`` that is unique in the table and larger than those of earlier appends.
-    Rows are dealt by ``url`` first, so an append writes one file per bucket.  With
-    ``path`` the table's files live there (an external table, e.g. in the shared folder)."""
+    ``id`` that is unique in the table and larger than those of earlier appends.  The next free id
+    is a table property, set from what the write itself observed, so no append scans the table.
+    Rows are dealt by ``url`` first, so an append writes one file per bucket.  ``buckets`` should grow with the table
+    (a bucket is what a lookup reads).  With ``path`` the table's files live there (an
+    external table, e.g. in the shared folder)."""
     def write(df: DataFrame) -> None:
-        last = spark.table(table).agg(F.max("id")).first()[0] if spark.catalog.tableExists(table) else None
+        first = 0
+        if spark.catalog.tableExists(table):
+            known = {r["key"]: r["value"] for r in spark.sql(f"SHOW TBLPROPERTIES {table}").collect()}
+            first = int(known.get(NEXT_ID, 0))
         x = df.select(*[c for c in TABLE_COLUMNS if c in df.columns])
-        x = x.withColumn("id", F.monotonically_increasing_id() + F.lit(0 if last is None else last + 1))
+        x = x.withColumn("id", F.monotonically_increasing_id() + F.lit(first))
         x = x.withColumn("saved_at", F.current_timestamp()).repartition(buckets, "url")
-        w = x.write.mode("append").format("parquet").bucketBy(buckets, "url").sortBy("url")
+        seen = Observation()
+        w = (x.observe(seen, F.max("id").alias("last")).write.mode("append").format("parquet").bucketBy(buckets, "url").sortBy("url")
+             .option("parquet.bloom.filter.enabled#url", "true"))
         if path:
             w = w.option("path", path)
         w.saveAsTable(table)
+        last = seen.get["last"]
+        if last is not None:
+            spark.sql(f"ALTER TABLE {table} SET TBLPROPERTIES ('{NEXT_ID}' = '{last + 1}')")
     return write
 
 
@@ -171,10 +184,17 @@ def latest_from_table(spark: SparkSession, table: str, n: int = 3, order=("saved
 
 
 def lookup_url(spark: SparkSession, table: str, url: str) -> DataFrame:
-    """Point lookup by url: bucket pruning + Parquet min/max stats."""
+    """Point lookup by url: one bucket is read, and of it the row groups that the Bloom filter and the
+    min/max statistics leave."""
     return spark.table(table).filter(F.col("url") == url)
 
 
+def lookup_urls(spark: SparkSession, table: str, urls: DataFrame) -> DataFrame:
+    """The stored rows of every URL of a table: the URLs are dealt out as the stored table is, which
+    itself is neither shuffled nor sorted again."""
+    return spark.table(table).join(urls.select("url").distinct(), "url", "left_semi")
+
+
 # K4 ---------------------------------------------------------------------------
 def fan_out(df: DataFrame, sinks: Iterable[Sink]) -> None:
     """One result, many sinks: computed once into the shared folder (page bodies

@@ -198,6 +198,16 @@ def extraction_stream(pages: DataFrame) -> DataFrame:
                     H.meta_content("_clean", "keywords").alias("keywords"))
 
 
+def extraction_batches(sinks) -> callable:
+    """``foreachBatch`` body of T5: pages to whole stored records, to every sink."""
+    from ..operators.extract import page_records
+    from ..sinks.records import fan_out, page_records_to_crawl_records
+
+    def run(batch: DataFrame, epoch_id: int) -> None:
+        fan_out(page_records_to_crawl_records(page_records(batch)), sinks)
+    return run
+
+
 def fan_out_batches(sinks) -> callable:
     """``foreachBatch`` body: every micro-batch goes to every sink."""
     from ..sinks.records import fan_out
