@@ -101,17 +101,22 @@ def request_intervals(attempts: DataFrame) -> DataFrame:
                  F.min("event_id").alias("req_id")))
 
 
-def concurrency_profile(attempts: DataFrame, per_domain_limit: int = 5, global_limit: int = 10,
-                        per_domain: bool = True, bucket_seconds: int = KEY_BUCKET_SECONDS) -> DataFrame:
-    """Active requests after each start/end event (ends first at equal times);
-    per domain (or globally): peak, first time at peak, starts over the limit."""
+def active_requests(attempts: DataFrame, per_domain: bool = True, bucket_seconds: int = KEY_BUCKET_SECONDS) -> tuple[DataFrame, list[str]]:
+    """Every start and end of a request (ends first at equal times) with the number of active requests
+    after it, per domain or over the whole log, in time buckets; and the key columns."""
     iv = request_intervals(attempts)
     ev = (iv.select("domain", "req_id", F.col("start_us").alias("t"), F.lit(1).alias("delta"))
           .unionByName(iv.select("domain", "req_id", F.col("end_us").alias("t"), F.lit(-1).alias("delta"))))
     keys = ["domain"] if per_domain else []
     width = bucket_seconds if per_domain else min(bucket_seconds, GLOBAL_BUCKET_SECONDS)
     ev = ev.withColumn("_bk", F.floor(F.col("t") / F.lit(width * 1_000_000)).cast("long"))
-    ev = prefix_aggregate(ev, keys, ["t", "delta", "req_id"], "_bk", [Prefix("active", F.col("delta"))])
+    return prefix_aggregate(ev, keys, ["t", "delta", "req_id"], "_bk", [Prefix("active", F.col("delta"))]), keys
+
+
+def concurrency_profile(attempts: DataFrame, per_domain_limit: int = 5, global_limit: int = 10,
+                        per_domain: bool = True, bucket_seconds: int = KEY_BUCKET_SECONDS) -> DataFrame:
+    """Per domain (or globally): peak of active requests, first time at peak, starts over the limit."""
+    ev, keys = active_requests(attempts, per_domain, bucket_seconds)
     limit = per_domain_limit if per_domain else global_limit
     g = ev.groupBy(*keys) if keys else ev.groupBy()
     out = g.agg(F.max("active").alias("peak_active"),
@@ -123,6 +128,32 @@ def concurrency_profile(attempts: DataFrame, per_domain_limit: int = 5, global_l
     return out
 
 
+def concurrency_steps(attempts: DataFrame, per_domain: bool = True, bucket_seconds: int = KEY_BUCKET_SECONDS) -> DataFrame:
+    """The profile over time: (domain, at, active) at every time something starts or ends."""
+    ev, keys = active_requests(attempts, per_domain, bucket_seconds)
+    last = ev.groupBy(*keys, "t").agg(F.max_by("active", F.struct("delta", "req_id")).alias("active"))
+    return last.select(F.col("domain") if keys else F.lit("*").alias("domain"), F.timestamp_micros("t").alias("at"), "active")
+
+
+def over_limit_spans(attempts: DataFrame, limit: int = 5, per_domain: bool = True,
+                     bucket_seconds: int = KEY_BUCKET_SECONDS) -> DataFrame:
+    """(domain, span_start, span_end, peak_active, starts): every span in which more than ``limit`` requests are active.
+
+    A span starts where the count first passes the limit and ends where it is back at it.  Both are
+    edges between neighbouring events; the previous event's state is carried over bucket edges, so a span that covers
+    many buckets is stitched by numbering the edges, and no domain's events meet in one task."""
+    ev, keys = active_requests(attempts, per_domain, bucket_seconds)
+    order = ["t", "delta", "req_id"]
+    x = previous_row(ev.select(*keys, *order, "_bk", "active"), keys, order, "_bk", ["active"])
+    over, before = F.col("active") > limit, F.coalesce(F.col("prev_active"), F.lit(0)) > limit
+    x = x.withColumn("_over", over).withColumn("_edge", over & ~before).where(over | before)
+    x = prefix_aggregate(x, keys, order, "_bk", [Prefix("_span", F.col("_edge").cast("int"))])
+    out = x.groupBy(*keys, "_span").agg(F.min("t").alias("a"), F.max("t").alias("z"), F.max("active").alias("peak_active"),
+                                        F.count_if(F.col("_over") & (F.col("delta") == 1)).alias("starts"))
+    return out.select(F.col("domain") if keys else F.lit("*").alias("domain"), F.timestamp_micros("a").alias("span_start"),
+                      F.timestamp_micros("z").alias("span_end"), F.col("peak_active").cast("long").alias("peak_active"), "starts")
+
+
 # W9 ---------------------------------------------------------------------------
 def latest_per_domain(outcomes: DataFrame, n: int = 3) -> DataFrame:
     """Latest n requests of each domain (two-step top-n, skew-safe)."""

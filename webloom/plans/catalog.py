@@ -571,6 +571,52 @@ SELECT {key}, max(active) AS peak_active, make_timestamp(arg_max(t, (active, -t)
 FROM a {grp}"""
 
 
+# the derived log's requests last seconds and start minutes apart: times are pressed together so that some overlap
+_DENSE = 400
+
+
+def _dense_sql(per_domain: bool, rest: str) -> str:
+    sql = _w8_sql(per_domain)
+    head = sql[:sql.rindex("SELECT")].replace("min(epoch_us(ts)) AS start_us", f"min(epoch_us(ts) // {_DENSE}) AS start_us").replace(
+        "max(epoch_us(ts) + ", f"max(epoch_us(ts) // {_DENSE} + ")
+    return head.rstrip() + rest
+
+
+def _dense_attempts(spark, sf):
+    a = _attempts_table(spark, sf)
+    return a.withColumn("ts", F.timestamp_micros(F.floor(F.unix_micros("ts") / _DENSE)))
+
+
+@query("w8_concurrency_steps", _dense_sql(True, """
+SELECT domain, make_timestamp(t) AS at, arg_max(active, (delta, req_id)) AS active FROM a GROUP BY domain, t"""))
+def w8_concurrency_steps(spark, sf):
+    """The number of active requests of every domain over time."""
+    from ..operators.politeness import concurrency_steps
+    return concurrency_steps(_dense_attempts(spark, sf), bucket_seconds=600)
+
+
+_SPANS_SQL = """,
+e AS (SELECT *, coalesce(lag(active) OVER ({part} ORDER BY t, delta, req_id), 0) AS prev FROM a),
+s AS (SELECT *, sum(CASE WHEN active > {lim} AND prev <= {lim} THEN 1 ELSE 0 END) OVER ({part} ORDER BY t, delta, req_id ROWS UNBOUNDED PRECEDING) AS span
+      FROM e WHERE active > {lim} OR prev > {lim})
+SELECT {key}, make_timestamp(min(t)) AS span_start, make_timestamp(max(t)) AS span_end, CAST(max(active) AS BIGINT) AS peak_active,
+       count(*) FILTER (WHERE active > {lim} AND delta = 1) AS starts FROM s GROUP BY {grp}"""
+
+
+@query("w8_over_limit_spans", _dense_sql(True, _SPANS_SQL.format(part="PARTITION BY domain", lim=1, key="domain", grp="domain, span")))
+def w8_over_limit_spans(spark, sf):
+    """Spans with more than one active request of a domain."""
+    from ..operators.politeness import over_limit_spans
+    return over_limit_spans(_dense_attempts(spark, sf), limit=1, bucket_seconds=600)
+
+
+@query("w8_over_limit_spans_global", _dense_sql(False, _SPANS_SQL.format(part="", lim=4, key="'*' AS domain", grp="span")))
+def w8_over_limit_spans_global(spark, sf):
+    """Spans with more than four active requests in the whole log."""
+    from ..operators.politeness import over_limit_spans
+    return over_limit_spans(_dense_attempts(spark, sf), limit=4, per_domain=False, bucket_seconds=600)
+
+
 @query("w8_concurrency_domains", _w8_sql(True))
 def w8_concurrency_domains(spark, sf):
     from ..operators.politeness import concurrency_profile
