@@ -45,6 +45,7 @@ SAMPLE = 20_000
 MIN_DOCS, MIN_RATIO, ALPHA = 5, 1.0, 1.0
 CUT = 0.3
 PIECE_CHARS = 1 << 16
+ENTRIES = 1 << 18
 _FACTOR = np.random.default_rng(4).integers(1, 1 << 31, 8, dtype=np.uint32) * np.uint32(2) + np.uint32(1)
 
 
@@ -130,21 +131,26 @@ def regress(y: np.ndarray, count: np.ndarray, flat: np.ndarray, ratio: np.ndarra
     used = np.flatnonzero(np.bincount(flat, minlength=SLOTS))
     place = np.zeros(SLOTS, np.int32)
     place[used] = np.arange(len(used))
-    col = place[flat]
-    x = ratio[flat].astype(np.float32)
+    scale = ratio[used]
     w, b = np.zeros(len(used)), float(np.log((y.sum() + 1) / (len(y) - y.sum() + 1)))
     m, v = np.zeros(len(used) + 1), np.zeros(len(used) + 1)
+    parts = [slice(a, a + ENTRIES) for a in range(0, len(flat), ENTRIES)]  # bounds what a step holds beside the rows
     for t in range(1, steps + 1):
-        z = np.clip(np.bincount(row, w[col] * x, len(y)) + b, -30, 30)
-        e = (1 / (1 + np.exp(-z)) - y) / len(y)
-        g = np.append(np.bincount(col, e[row] * x, len(used)) + l2 * w, e.sum())
+        z, g = np.full(len(y), b), np.zeros(len(used))
+        scaled = w * scale
+        for p in parts:
+            z += np.bincount(row[p], scaled[place[flat[p]]], len(y))
+        e = (1 / (1 + np.exp(-np.clip(z, -30, 30))) - y) / len(y)
+        for p in parts:
+            g += np.bincount(place[flat[p]], e[row[p]], len(used))
+        g = np.append(g * scale + l2 * w, e.sum())
         m = 0.9 * m + 0.1 * g
         v = 0.999 * v + 0.001 * g * g
         d = rate * (m / (1 - 0.9 ** t)) / (np.sqrt(v / (1 - 0.999 ** t)) + 1e-8)
         w -= d[:-1]
         b -= d[-1]
     out = np.zeros(SLOTS, np.float32)
-    out[used] = w * ratio[used]
+    out[used] = w * scale
     return out, b
 
 
