@@ -23,7 +23,10 @@ Plan
        in which the two differ.
      Tasks emit one edge per linked set, never all pairs of a group.  A first
      run over the index parts (a tenth of the sets) splits the clusters by a safe
-     bound, a second run over whole sets decides.
+     bound.  Then the whole sets of each cluster meet its hubs: the smallest class first, and in
+     ``HUBS - 1`` further rounds what no hub has linked yet meets a random class of the group
+     linked so far.  A cluster that the hubs join is finished after one pair per class and round; of any other,
+     a last run over whole sets decides, without the blocks of its linked group among themselves.
   5. Components of the links; each class takes its component's smallest doc_id.
 
 Defined results: null or blank texts have the empty set, link with nothing and
@@ -49,6 +52,7 @@ from .common import components, cut_lineage, merge_slices, signed, slice_rows, t
 COUNTERS = 1 << 22
 BLOOM_BITS = 1 << 24
 BLOCK_BYTES = 16 << 20
+HUBS = 4
 
 
 def slots(h: np.ndarray) -> np.ndarray:
@@ -288,6 +292,17 @@ def _solve(batches: Iterable[pa.RecordBatch], num: int, den: int) -> Iterator[pa
         yield flush()
 
 
+def linked_rows(batches: Iterable[pa.RecordBatch], num: int, den: int) -> Iterator[pa.RecordBatch]:
+    """Rows (a, b, set of a, set of b) -> the linked (a, b)."""
+    for batch in batches:
+        ok = []
+        for x, y in zip(batch.column(2), batch.column(3), strict=True):
+            x, y = (np.frombuffer(v.as_buffer(), np.uint64) for v in (x, y))
+            both = len(np.intersect1d(x, y, assume_unique=True))
+            ok.append(den * both >= num * (len(x) + len(y) - both))
+        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], ["a", "b"]).filter(pa.array(ok, pa.bool_()))
+
+
 # ---- the operator ----------------------------------------------------------------------
 def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = 3, num: int = 90,
                        den: int = 100, block_bytes: int = BLOCK_BYTES) -> DataFrame:
@@ -309,7 +324,11 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     clusters = components(_meetings(live, num, den))
     # the index parts alone tell most clusters apart; whole sets are sent only for what remains
     maybe = _solved(text, clusters, sizes, k, num, den, block_bytes, lambda s: index_part(s, counts, num, den))
-    links = _solved(text, components(maybe), sizes, k, num, den, block_bytes)
+    possible = cut_lineage(components(maybe))
+    bits_held = _bloom(possible.select("id"))
+    held = cut_lineage(text.mapInArrow(lambda it: _member_sets(it, k, bits_held), "fp long, n int, shingles binary").dropDuplicates(["fp"]))
+    links, rest = _meet_hubs(possible, held, num, den)
+    links = links.unionAll(_decided(held, rest.join(sizes, "fp"), num, den, block_bytes))
     comp = components(links).withColumnsRenamed({"id": "fp"})
 
     low = rows.groupBy("fp").agg(F.min("id").alias("low"))
@@ -321,14 +340,40 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
                     F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("id")).alias("component_id")))
 
 
+def _meet_hubs(clusters: DataFrame, held: DataFrame, num: int, den: int) -> tuple[DataFrame, DataFrame]:
+    """(links (a, b), unfinished classes (fp, component, main)): ``main`` marks the classes of a cluster
+    that links join to its smallest class."""
+    mine = held.select("fp", F.col("shingles").alias("x"))
+    theirs = held.select(F.col("fp").alias("hub"), F.col("shingles").alias("y"))
+    state = clusters.select(F.col("id").alias("fp"), "component", (F.col("id") == F.col("component")).alias("main"))
+    links = None
+    for r in range(HUBS):
+        hub = state.where("main").groupBy("component").agg(
+            F.max_by("fp", F.xxhash64("fp", F.lit(r))).alias("hub"))
+        met = cut_lineage(state.where("NOT main").join(hub, "component").join(mine, "fp").join(theirs, "hub").select("fp", "hub", "x", "y")
+                          .mapInArrow(lambda it: linked_rows(it, num, den), "a long, b long"))
+        links = met if links is None else links.unionAll(met)
+        won = met.select(F.col("a").alias("fp"), F.lit(True).alias("won"))
+        state = cut_lineage(state.join(won, "fp", "left").select("fp", "component", (F.col("main") | F.col("won").isNotNull()).alias("main")))
+    unfinished = state.where("NOT main").select("component").distinct()
+    return links, state.join(unfinished, "component", "left_semi")
+
+
 def _solved(text: DataFrame, clusters: DataFrame, sizes: DataFrame, k: int, num: int, den: int, block_bytes: int,
             part=None) -> DataFrame:
     """Links (a, b) inside the clusters (id, component)."""
-    spark = text.sparkSession
-    member = cut_lineage(clusters.join(sizes, F.col("id") == F.col("fp")).select("fp", "component", "n"))
+    member = clusters.join(sizes, F.col("id") == F.col("fp")).select("fp", "component", "n")
+    if part is not None:  # an index part is what a block is filled with
+        member = member.withColumn("bytes", ((F.col("n") * (den - num) / den).cast("long") + 1) * 8)
+    member = cut_lineage(member)
     bits = _bloom(member.select("fp"))
     sets = text.mapInArrow(lambda it: _member_sets(it, k, bits, part), "fp long, n int, shingles binary")
-    n_parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return _decided(sets, member, num, den, block_bytes)
+
+
+def _decided(sets: DataFrame, member: DataFrame, num: int, den: int, block_bytes: int) -> DataFrame:
+    """Links (a, b) among the classes (fp, component, n) of each cluster."""
+    n_parts = int(sets.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     return cut_lineage(sets.join(_block_pairs(member, num, den, block_bytes), "fp").select("task", "fp", "n", "shingles")
                        .repartition(n_parts, "task").sortWithinPartitions("task")
                        .mapInArrow(lambda it: _solve(it, num, den), "a long, b long"))
@@ -357,18 +402,21 @@ def _block_pairs(member: DataFrame, num: int, den: int, block_bytes: int) -> Dat
 
     A cluster whose sets fit ``block_bytes`` is one block.  A larger one is split into
     size bands and salted blocks inside a band; linked sets lie in the same or
-    in neighbouring bands, other block pairs are skipped."""
-    weight = member.select("component", "fp", (F.col("n") * 8).alias("bytes"), _band(F.col("n"), num, den).alias("band"))
+    in neighbouring bands, other block pairs are skipped, and so are pairs of blocks that hold classes
+    already joined (``main``)."""
+    main = F.col("main") if "main" in member.columns else F.lit(False)
+    held = F.col("bytes") if "bytes" in member.columns else F.col("n") * 8
+    weight = member.select("component", "fp", held.alias("bytes"), _band(F.col("n"), num, den).alias("band"), main.alias("main"))
     total = weight.groupBy("component").agg(F.sum("bytes").alias("total")).where(F.col("total") > block_bytes)
     large = weight.join(total.select("component"), "component")
-    salts = large.groupBy("component", "band").agg(F.ceil(F.sum("bytes") / block_bytes).cast("long").alias("salts"))
-    block = large.join(salts, ["component", "band"]).select(
-        "component", "fp", "band", F.pmod(F.xxhash64("fp"), F.col("salts")).alias("salt"))
-    partner = salts.select("component", F.col("band").alias("band2"), F.col("salts").alias("salts2"))
-    met = (block.join(partner, "component").where("abs(band - band2) <= 1")
+    salts = large.groupBy("component", "band", "main").agg(F.ceil(F.sum("bytes") / block_bytes).cast("long").alias("salts"))
+    block = large.join(salts, ["component", "band", "main"]).select(
+        "component", "fp", "band", "main", F.pmod(F.xxhash64("fp"), F.col("salts")).alias("salt"))
+    partner = salts.select("component", F.col("band").alias("band2"), F.col("main").alias("main2"), F.col("salts").alias("salts2"))
+    met = (block.join(partner, "component").where("abs(band - band2) <= 1 AND NOT (main AND main2)")
            .withColumn("salt2", F.explode(F.sequence(F.lit(0).cast("long"), F.col("salts2") - 1))))
-    mine = F.struct("band", "salt")
-    other = F.struct(F.col("band2").alias("band"), F.col("salt2").alias("salt"))
+    mine = F.struct("band", "main", "salt")
+    other = F.struct(F.col("band2").alias("band"), F.col("main2").alias("main"), F.col("salt2").alias("salt"))
     met = met.select("fp", F.xxhash64("component", F.least(mine, other), F.greatest(mine, other)).alias("task"))
     small = weight.join(total.select("component"), "component", "left_anti").select(
         "fp", F.xxhash64("component").alias("task"))

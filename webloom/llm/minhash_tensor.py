@@ -45,7 +45,7 @@ from pyspark.sql import functions as F
 
 from . import text as X
 from .common import components, cut_lineage, signed, table
-from .jaccard_join import BLOCK_BYTES, _block_pairs, _bloom, _bloom_slots
+from .jaccard_join import BLOCK_BYTES, _block_pairs, _bloom, _bloom_slots, linked_rows
 
 #: half keys of a collection, minhashes of a half key
 SIDE, HALF = 14, 3
@@ -118,16 +118,6 @@ def _sets(column: pa.Array) -> list[np.ndarray]:
     return [np.frombuffer(v.as_buffer(), np.uint64) for v in column]
 
 
-def _linked_rows(batches: Iterable[pa.RecordBatch], num: int, den: int) -> Iterator[pa.RecordBatch]:
-    """Rows (a, b, set of a, set of b) -> the linked (a, b)."""
-    for batch in batches:
-        ok = []
-        for x, y in zip(_sets(batch.column(2)), _sets(batch.column(3)), strict=True):
-            both = len(np.intersect1d(x, y, assume_unique=True))
-            ok.append(den * both >= num * (len(x) + len(y) - both))
-        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], ["a", "b"]).filter(pa.array(ok, pa.bool_()))
-
-
 # ---- inside one task ------------------------------------------------------------------------
 def links_between(sets: list[np.ndarray], group: list[int], num: int, den: int) -> list[tuple[int, int]]:
     """Links that join the groups: every set is counted once against all sets that no link has
@@ -240,7 +230,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     mine = sets.select("fp", F.col("shingles").alias("x"))
     theirs = sets.select(F.col("fp").alias("hub"), F.col("shingles").alias("y"))
     links = cut_lineage(hubs.where("fp != hub").join(mine, "fp").join(theirs, "hub").select("fp", "hub", "x", "y")
-                        .mapInArrow(lambda it: _linked_rows(it, num, den), "a long, b long"))
+                        .mapInArrow(lambda it: linked_rows(it, num, den), "a long, b long"))
 
     # buckets whose classes are not of one component yet
     comp = components(links).withColumnsRenamed({"id": "fp"})
