@@ -2,6 +2,7 @@
 
 import datetime as dt
 import os
+import shutil
 
 from pyspark.sql import functions as F
 
@@ -131,3 +132,16 @@ def test_idle_domains_leave_the_state(spark, tmpdir_path):
                   S.rate_batches(spark, os.path.join(tmpdir_path, "o"), state, os.path.join(tmpdir_path, "l"), idle_s=3600),
                   os.path.join(tmpdir_path, "ck"))
     assert [tuple(r) for r in spark.read.parquet(f"{state}/1").select("domain", "fails").collect()] == [("b.com", 2)]
+
+
+def test_pages_stream_of_a_file_or_a_folder(spark, tmpdir_path):
+    rows = [(i, f"http://h/{i}", "<title>t</title>") for i in range(6)]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    df.repartition(3).write.parquet(os.path.join(tmpdir_path, "folder", "pages.parquet"))
+    df.coalesce(1).write.parquet(os.path.join(tmpdir_path, "one"))
+    os.makedirs(os.path.join(tmpdir_path, "file"))
+    part = next(f for f in os.listdir(os.path.join(tmpdir_path, "one")) if f.endswith(".parquet"))
+    shutil.copy(os.path.join(tmpdir_path, "one", part), os.path.join(tmpdir_path, "file", "pages.parquet"))
+    for form in ("folder", "file"):
+        got = C.QUERIES["t5_extraction_stream"](spark, os.path.join(tmpdir_path, form)).groupBy("sink").count().collect()
+        assert {tuple(r) for r in got} == {("jsonl", 6), ("csv", 6), ("table", 6)}
