@@ -138,3 +138,20 @@ def test_url_lookup_reads_one_bucket_and_ids_grow(spark, tmpdir_path):
     import pyarrow.parquet as pq
     f = glob.glob(os.path.join(tmpdir_path, "lookup", "*.parquet"))[0]
     assert pq.ParquetFile(f).metadata.num_rows > 0
+
+
+def test_s4_newest_rows_are_not_read_in_one_task(spark, monkeypatch):
+    from webloom.plans import catalog as C
+    plans, real = [], K.table_sink
+
+    def watched(*a, **kw):
+        sink = real(*a, **kw)
+        return lambda df: (plans.append((df._jdf.queryExecution().toString(), set(df.inputFiles()))), sink(df))
+
+    monkeypatch.setattr(K, "table_sink", watched)
+    got = [r.url for r in C.QUERIES["s4_table_latest"](spark, "/root/testdata/sf0.001").collect()]
+    urls = [r.url for r in spark.read.parquet("/root/testdata/sf0.001/pages.parquet").select("url").collect()]
+    assert got == sorted(urls, reverse=True)[:10]
+    (_, all_files), (plan, files) = plans
+    assert "Repartition 1, false" not in plan  # coalesce(1) pulls the whole scan into its one task
+    assert not files & all_files  # the sort reads the ten rows, not the table
