@@ -100,3 +100,13 @@ def test_many_patterns(spark):
     tails = {str(i * 13) for i in range(100_000)}
     want = sum(any(str(i * 7)[:n] in tails for n in range(1, 7)) for i in range(20_000))
     assert got.count() == want
+
+
+def test_pattern_grams_are_not_broadcast(spark, tmp_path):
+    """A pattern file small enough to be broadcast is many times larger when it is cut into q-grams."""
+    spark.range(2000).select(F.concat(F.lit("/p/"), "id", F.lit("?")).alias("pattern")).write.parquet(f"{tmp_path}/p")
+    spark.range(500).select(F.concat(F.lit("http://h/p/"), F.col("id") * 7, F.lit("?x")).alias("url")).write.parquet(f"{tmp_path}/u")
+    pats, urls = spark.read.parquet(f"{tmp_path}/p"), spark.read.parquet(f"{tmp_path}/u")
+    got = L.matching_urls(urls, pats)
+    assert got.count() == sum(i * 7 < 2000 for i in range(500))
+    assert "Broadcast" not in got._jdf.queryExecution().executedPlan().toString()
