@@ -126,3 +126,29 @@ def test_deep_nesting(spark):
     r = X.page_records(pages(spark, ["<ul><li>x" * 60, "<table><tr><td>x" * 40])).orderBy("page_id").collect()
     assert [len(u) for u in r[0].lists.ul] == list(range(60, 0, -1))
     assert [len(t) for t in r[1].tables] == list(range(40, 0, -1)) and r[1].tables[0][0][0] == "x" * 40
+
+
+def test_intervals_need_no_shuffle(spark, nested):
+    """Cells, items and selectors are made page by page: no task holds a sorted share of all tags or texts."""
+    p = pages(spark, nested)
+    for df in (X.cells(p), X.list_items(p), X.selector_text(p, ".x")):
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert not any(step in plan for step in ("Window", "Join", "Exchange", "Sort"))
+
+
+def test_intervals_of_any_run_of_pages(monkeypatch):
+    import pyarrow as pa
+
+    from webloom.operators import elements as E
+    rng = random.Random(3)
+    form = pa.list_(pa.struct([("i", pa.int32()), ("name", pa.string()), ("ends", pa.bool_()), ("hit", pa.bool_())]))
+    tags = [[{"i": i, "name": rng.choice(["table", "tr", "td", "ul", "li", "p"]), "ends": rng.random() < .4, "hit": rng.random() < .3}
+             for i in range(1, rng.randint(1, 30))] for _ in range(40)]
+    tags[3:5] = [None, []]
+    last, tags = pa.array([31] * 40, pa.int32()), pa.array(tags, form)
+    for body in (E._structure, E._hits):
+        whole = E._by_pages(last, tags, body).to_pylist()
+        for run in (1, 50):
+            monkeypatch.setattr(E, "RUN", run)
+            assert E._by_pages(last, tags, body).to_pylist() == whole
+        monkeypatch.undo()
