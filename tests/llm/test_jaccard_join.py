@@ -1,9 +1,12 @@
 import random
+import tracemalloc
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from webloom.llm import jaccard_join as J
+from webloom.llm import text as X
 from webloom.llm.common import components
 
 WORDS = [f"w{i}" for i in range(400)]
@@ -118,3 +121,30 @@ def test_components_of_paths_and_stars(spark):
     got = {r["id"]: r["component"] for r in components(df).collect()}
     assert got == {**{i: 0 for i in range(51)}, **{i: 100 for i in range(100, 130)}}
     assert components(df.limit(0)).count() == 0
+
+
+def test_hubs_leave_only_what_they_have_not_met(spark):
+    """A pair that its hub has met and not linked is decided; of a larger cluster the hubs are left out."""
+    sets = {1: range(100), 2: range(50, 150),  # a cluster of two, not linked
+            10: range(1000, 1100), 11: range(1001, 1101), 12: range(1006, 1106),  # 12 is linked to 11, not to 10
+            20: range(2000, 2100), 21: range(2050, 2150), 22: range(2052, 2152)}  # 21 and 22 are linked, the hub to neither
+    rows = [(fp, len(s), bytearray(np.array(sorted(s), np.uint64).tobytes()), fp // 10 * 10 or 1) for fp, s in sets.items()]
+    held = spark.createDataFrame(rows, "fp long, n int, shingles binary, component long")
+    links, rest = J._meet_hubs(held, 90, 100)
+    assert {tuple(r) for r in links.collect()} == {(11, 10), (12, 11)}
+    assert {(r["fp"], r["component"], r["n"], r["main"]) for r in rest.collect()} == {(21, 20, 100, False), (22, 20, 100, False)}
+    assert J._decided(held, rest, 90, 100, J.BLOCK_BYTES).count() == 1
+
+
+def test_first_pass_holds_little(monkeypatch):
+    """A worker holds the count array and arrays of one chunk, nothing of the count array's size besides."""
+    monkeypatch.setattr(X, "_powers", (np.ones(1, np.uint64), np.ones(1, np.uint64)))
+    r = random.Random(5)
+    batch = pa.RecordBatch.from_arrays([pa.array(range(512)), pa.array([" ".join(r.choices(WORDS, k=500)) for _ in range(512)])], ["id", "text"])
+    tracemalloc.start()
+    try:
+        n = sum(b.num_rows for b in J._set_rows([batch], 5))
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert n == 512 + 64 and peak < 72 << 20
