@@ -123,3 +123,12 @@ def test_step_equals_plain_gradient():
 
 def test_small_corpora_are_read_several_times():
     assert len(L.rounds_for(1000)) == L.PASSES + 1 and L.rounds_for(10 ** 9) == [(16, .1), (1, .1)]
+
+
+def test_schedule_does_not_depend_on_the_size(spark, monkeypatch):
+    docs = spark.createDataFrame(corpus(60), "doc_id long, text string").coalesce(1)
+    got = []
+    for few in (1, 10 ** 9):  # no bound on the number of tokens changes how a corpus is learned
+        monkeypatch.setattr(L, "LEARN_TOKENS", few)
+        got.append(sorted((r["doc_id"], round(r["score"], 6)) for r in L.score(docs).collect()))
+    assert got[0] == got[1]
