@@ -46,3 +46,14 @@ def test_chunks_cover_all_documents():
     assert max(len(p.data) for p in parts) <= X.CHUNK_BYTES
     assert X.bytes_of(pa.array([], pa.string()))[1].tolist() == [0]
     assert np.array_equal(X.bytes_of(many.slice(8999, 2))[1], [0, 1000, 1000])
+
+
+def test_merging_slices_runs_no_job_per_partition(spark):
+    from webloom.llm.common import SLICES, merge_slices, slice_rows
+    sc = spark.sparkContext
+    rows = spark.range(4, numPartitions=4).mapInArrow(lambda it: (slice_rows(np.arange(4 * SLICES, dtype=np.uint32)) for _ in it),
+                                                      "slice int, counts binary")
+    before = len(sc.statusTracker().getJobIdsForGroup(None))
+    got = merge_slices(rows, 4 * SLICES)
+    assert got.tolist() == (4 * np.arange(4 * SLICES)).tolist()
+    assert len(sc.statusTracker().getJobIdsForGroup(None)) - before <= 3
