@@ -155,3 +155,38 @@ def test_alignment_equals_brute_force():
             hi += 1
         want = [(int(a[0, j]), int(b[0, j])) for j in range(lo, hi) if at[0, j] > 0]
         assert D.aligned_pairs(k, a, at, b, bt) == [want]
+
+
+def python_steps(node):
+    """Python steps of the tasks that ``node`` belongs to, and the most in any stage below."""
+    name, kids = node.nodeName(), node.children()
+    if name == "AdaptiveSparkPlan":
+        return python_steps(node.inputPlan())
+    below = [python_steps(kids.apply(i)) for i in range(kids.size())]
+    here, most = sum(x for x, _ in below) + (name == "MapInArrow"), max([m for _, m in below], default=0)
+    return (0 if "Exchange" in name else here), max(most, here)
+
+
+def test_a_task_has_one_python_step(docs_of, items, monkeypatch):
+    cut, most = D.cut_lineage, []
+    monkeypatch.setattr(D, "cut_lineage", lambda df: (most.append(python_steps(df._jdf.queryExecution().executedPlan())[1]), cut(df))[1])
+    assert found(docs_of, items, [(1, "x y z. THE BIG OLD DOG ran, away! and more"), (2, "other")]) == [(1, 8)]
+    assert max(most) == 1
+
+
+def test_windows_do_not_depend_on_other_texts_of_the_chunk(monkeypatch):
+    import pyarrow as pa
+    r = random.Random(6)
+    words = ["5", "km", "days", "hours", "Bob", "apples", "trip", "speed", "12", "long."]
+    texts = [" ".join(r.choices(words, k=r.randint(0, 30))) for _ in range(80)]
+
+    def rows(part, first=0):
+        batch = pa.record_batch({"id": pa.array(range(first, first + len(part))), "text": pa.array(part)})
+        out = [x for b in D._window_rows([batch], (1, 2, D.K)) for x in b.to_pylist()]
+        for x in out:  # values outside the text (type -1) are never read
+            x["around"] = x["around"] and [v for v, t in zip(x["around"], x["types"], strict=True) if t >= 0]
+        return sorted(map(str, out))
+    alone = sorted(x for i, t in enumerate(texts) for x in rows([t], i))
+    assert rows(texts) == alone
+    monkeypatch.setattr(D, "CHUNK", 200)
+    assert rows(texts) == alone
