@@ -72,3 +72,13 @@ def test_null_ids_repeats_and_empty_table(docs_of):
     assert sorted((r["doc_id"] or 0, r["length"]) for r in got) == [(0, 2), (1, 3), (1, 3)]
     assert len({(r["sequence_id"], r["offset"]) for r in got}) == 3
     assert P.pack(docs_of([]), VOCAB).count() == 0
+
+
+def test_small_piece_cache_gives_the_same_pieces(docs_of):
+    from webloom.llm.tokenize import Encoder
+    texts = [" ".join(f"word{i * j % 83}," for j in range(1 + i % 20)) for i in range(60)]
+    small = Encoder(VOCAB, True, P.END_ID, 40)
+    assert [b for t in texts for b in small.encode([t])] == encoder(VOCAB, True, P.END_ID).encode(texts)
+    assert 0 < len(small.cache) <= 40
+    docs = docs_of(list(enumerate(texts)), 1)
+    assert sorted(map(str, P.pack(docs, VOCAB, entries=40).collect())) == sorted(map(str, P.pack(docs, VOCAB).collect()))
