@@ -54,3 +54,19 @@ def test_fewer_candidates_than_k_are_all_returned(spark, nodes):
     rows = [(i, [float(i), -1.5, 0.25, 2.0]) for i in range(0, 60, 10)]
     got = run(spark, rows, 20, 20, nodes=nodes)
     assert len(got) == 3 * 5 and got == brute(rows, 20, 20)
+
+
+def test_query_blocks_are_not_broadcast(spark, monkeypatch):
+    cut, plans = T.cut_lineage, []
+
+    def watched(df):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return cut(df)
+
+    monkeypatch.setattr(T, "cut_lineage", watched)
+    rows = [(i, [float(i % 7), -1.5, 0.25, 2.0]) for i in range(200)]
+    df = T.top_k(spark.createDataFrame([(i, v, 0, 1, 2) for i, v in rows], SCHEMA), F.col("vec_id") % 20 == 0, 3)
+    plans.append(df._jdf.queryExecution().executedPlan().toString())
+    met = [line for p in plans for line in p.splitlines() if "Join [g#" in line]
+    # repeated GROUPS times, the query blocks are far larger than Spark's estimate of them
+    assert len(met) == 2 and all("SortMergeJoin" in line for line in met)
