@@ -5,6 +5,7 @@ import glob
 import json
 import os
 
+import pytest
 from pyspark.sql import functions as F
 
 from webloom.operators import extract as X
@@ -155,3 +156,24 @@ def test_s4_newest_rows_are_not_read_in_one_task(spark, monkeypatch):
     (_, all_files), (plan, files) = plans
     assert "Repartition 1, false" not in plan  # coalesce(1) pulls the whole scan into its one task
     assert not files & all_files  # the sort reads the ten rows, not the table
+
+
+@pytest.mark.parametrize("n", [0, 1, 300])
+def test_s4_appends_every_record_in_url_order(spark, tmpdir_path, monkeypatch, n):
+    from webloom.plans import catalog as C
+    urls = [None if i % 50 == 7 else f"http://h{i * 37 % n:03d}.org/" for i in range(n)] + ["http://h000.org/"] * (n // 100)
+    pages = [(i, u, f"<title>t {u}</title><p>x</p>") for i, u in enumerate(urls)]
+    spark.createDataFrame(pages, "page_id long, url string, html string").repartition(5).write.parquet(f"{tmpdir_path}/pages.parquet")
+    tables, real = [], K.latest_from_table
+    monkeypatch.setattr(K, "latest_from_table", lambda s, table, *a, **kw: (tables.append(table), real(s, table, *a, **kw))[1])
+    got = [(r.url, r.title) for r in C.QUERIES["s4_table_latest"](spark, tmpdir_path).collect()]
+    order = sorted(urls, key=lambda u: u or "")
+    assert [r.url for r in spark.table(tables[0]).orderBy("id").collect()] == order
+    assert got == [(u, f"t {u}") for u in order[::-1][:10]]
+
+
+def test_middle_value_of_a_column(spark):
+    from webloom.plans import catalog as C
+    df = spark.range(1000, numPartitions=3).selectExpr("if(id % 10 = 0, null, lpad(id * 7 % 1000, 4, '0')) AS u")
+    assert 250 <= df.where(df.u < C._middle(df, "u")).count() <= 650
+    assert C._middle(df.where("u IS NULL"), "u") is None
