@@ -136,6 +136,18 @@ def test_intervals_need_no_shuffle(spark, nested):
         assert not any(step in plan for step in ("Window", "Join", "Exchange", "Sort"))
 
 
+def test_cells_are_put_together_once(spark):
+    """One pass over the tags; pages without cells give no row, ids that are null or come twice stay as they are."""
+    table = "<table><tr><tr><td>a<td> <tr><th>b</table>"
+    p = spark.createDataFrame([(1, "u", table), (1, "u", table), (None, None, table), (2, "u", None), (3, "u", ""), (4, "u", "text"),
+                               (5, "u", "<table></table>"), (6, "u", "<table><tr></table><td>x"), (7, "u", "<table><tr></table>" + table)], PAGE)
+    cells = X.cells(p)
+    assert cells._jdf.queryExecution().optimizedPlan().toString().count("ArrowEvalPython") == 1
+    want = [(0, 0, 0, "a"), (0, 0, 1, ""), (0, 1, 0, "b")]
+    got = sorted(map(tuple, cells.collect()), key=lambda r: (r[0] or 0, r[1:]))
+    assert got == [(None, *w) for w in want] + [(1, *w) for w in want for _ in "12"] + [(7, *w) for w in want]
+
+
 def test_intervals_of_any_run_of_pages(monkeypatch):
     import pyarrow as pa
 
