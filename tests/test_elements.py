@@ -5,6 +5,7 @@ import random
 import time
 
 import pytest
+from pyspark.sql import functions as F
 
 from tests.tree import parse_tree, select
 from webloom.functions import html as H
@@ -110,6 +111,43 @@ def test_entities_equal_the_standard_library(spark):
     assert [(t, got[i]) for i, t in enumerate(texts)] == [(t, std.unescape(t)) for t in texts]
 
 
+def test_tags_equal_the_plain_patterns(spark):
+    """The patterns that begin at '<' find the same markup as one alternative after the other, and each tag's name with it."""
+    rest = r"""(?:[^>"']++|"[^"]*+"|'[^']*+')*+>"""
+    tag = rf"</?[A-Za-z]{rest}|</?[A-Za-z][^>]*+(?:>|\z)|<[!?][^>]*+(?:>|\z)"
+    skip = "(?is)" + "|".join([*(rf"<{t}\b[^>]*+(?:>|\z){H._until(rf'</{t}[^a-z0-9>]*+>')}" for t in ("script", "style", "template")),
+                               r"<!--(?:[^-]++|-(?!->))*+(?:-->|\z)", r"<!doctype[^>]*+(?:>|\z)"])
+    rng = random.Random(6)
+    bits = ["<", ">", "/", '"', "'", "a", "td", "TD", " ", "\n", "=", "!", "?", "--", "-->", "<!--", "<td", "</td", "<b x='", '<i y="', "<li", "</LI\t>",
+            "<script", "</script>", "<STYLE>", "</style >", "<!DOCTYPE", "<template>", "</template", "é", "\r", "\x0b"]
+    texts = [None, "", '<td"x>y">', "<td'>", "</td"] + ["".join(rng.choices(bits, k=rng.randint(1, 25))) for _ in range(20_000)]
+    df = spark.createDataFrame(list(enumerate(texts)), "i long, t string").repartition(4)
+
+    def found(pattern, group=0):
+        return F.regexp_extract_all("t", F.lit(pattern), F.lit(group))
+
+    names = F.transform(found(tag), lambda t: F.regexp_extract(t, r"^<(/?[A-Za-z][^\s/>]*)", 1))
+    unquoted = F.transform(names, lambda n: F.when(n.rlike("[\"']"), "").otherwise(n))
+    same = [found(tag).eqNullSafe(found(H.TAG_RE)), F.split("t", tag, -1).eqNullSafe(F.split("t", H.TAG_RE, -1)),
+            unquoted.eqNullSafe(found(H.TAG_RE, 1)), F.regexp_replace("t", skip, "<x>").eqNullSafe(F.regexp_replace("t", H.SKIP_RE, "<x>"))]
+    assert [df.where(~x).count() for x in same] == [0] * 4
+
+
+def test_odd_pages_and_ids(spark):
+    """Pages that are null, empty or hold odd tags; ids that are null or come twice."""
+    lists = "<ul><li> a &amp; <b>b</b><LI>&nbsp;<li\n>c &lt;d</UL ><ol><li'>no<li>1</ol>"
+    p = spark.createDataFrame([(1, "u", lists), (1, "u", lists), (None, None, lists), (2, "u", None), (3, "u", ""), (4, "u", "<ul><ul")], PAGE)
+    want = [("ol", 0, "1"), ("ul", 0, "a &b"), ("ul", 1, "c <d")]
+    assert sorted(map(tuple, X.list_items(p).collect()), key=lambda r: (r[0] or 0, r[1:])) == \
+        [(None, *w) for w in want] + [(1, *w) for w in want for _ in "12"]
+    assert [r.text for r in X.text(p).collect()] == ["a & b c <d no 1"] * 3 + [None, "", ""]
+
+
+def test_a_page_is_cleaned_once(spark):
+    plan = X.cleaned(pages(spark, ["a&amp;b"]))._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("regexp_replace(html") == 1
+
+
 ENDLESS = ["<!-- ", "<script>", "<h1>", "<!doctype ", "<title>", "<b x='", "&", "<style>a</styl", "<!--a-->", "<li>", "<b>"]
 
 

x8_nested_items, x7_nested_cells: markup is found by patterns that begin at '<', a page is cleaned once

Symptom: the stage that cleans the pages and cuts them into tags and pieces took most of the CPU of x8_nested_items and x7_nested_cells (16 of 20 JVM seconds of their two large stages in x8).
Evidence: timed alone on the pages of sf0.1, the pattern of what is cleaned away and the tag pattern tried each of their alternatives at every character; settle_references named its input three times, for which Spark ran the cleaning pattern twice a page; each tag was matched again for its name.
Fix: '<' stands before the alternatives of SKIP_RE and TAG_RE; settle_references names its input once; the tag pattern's group 1 is the name, and the tags' texts are only read for selectors. Matches are unchanged, tested against the plain patterns; tests on null, empty and odd pages and null and repeated ids.

@@ -38,8 +38,9 @@ def _until(end: str) -> str:
     return rf"(?:[^<]++|<(?!{end[1:]}))*+(?:{end}|\z)"
 
 
-SKIP_RE = ("(?is)" + "|".join(rf"<{t}\b[^>]*+(?:>|\z){_until(rf'</{t}[^a-z0-9>]*+>')}" for t in ("script", "style", "template"))
-           + r"|<!--(?:[^-]++|-(?!->))*+(?:-->|\z)|<!doctype[^>]*+(?:>|\z)")
+# '<' stands before the alternatives, here and in TAG_RE: text is passed over without trying each of them at every character
+SKIP_RE = ("(?is)<(?:" + "|".join(rf"{t}\b[^>]*+(?:>|\z){_until(rf'</{t}[^a-z0-9>]*+>')}" for t in ("script", "style", "template"))
+           + r"|!--(?:[^-]++|-(?!->))*+(?:-->|\z)|!doctype[^>]*+(?:>|\z))")
 SKIP_RE2 = (r"(?is)<script\b[^>]*>.*?</script\s*>|<style\b[^>]*>.*?</style\s*>"
             r"|<template\b[^>]*>.*?</template\s*>|<!--.*?-->|<!doctype[^>]*>")
 SKIP_MARK = "<x>"
@@ -50,8 +51,10 @@ ATTR_VALUE = r"""\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))"""
 TAG_TOKEN = r"""(?:[^>"']++|"[^"]*+"|'[^']*+')*+>"""
 TAG_TOKEN_RE2 = r"""(?:[^>"']|"[^"]*"|'[^']*')*>"""
 
-# a whole tag; one with an unclosed quote ends at its first '>', one without any with the page
-TAG_RE = rf"</?[A-Za-z]{TAG_TOKEN}|</?[A-Za-z][^>]*+(?:>|\z)|<[!?][^>]*+(?:>|\z)"
+# a whole tag; one with an unclosed quote ends at its first '>', one without any with the page.
+# Group 1 is its name, behind the '/' of an end tag (none if there is a quote in it).
+_TAG_REST = r"""(?:[^>"']*+(?:(?:"[^"]*+"|'[^']*+')[^>"']*+)*+>|[^>]*+(?:>|\z))"""
+TAG_RE = rf"""<(?:(/?[A-Za-z][^\s/>"']*+)(?:>|(?!["']){_TAG_REST})|/?[A-Za-z]{_TAG_REST}|[!?][^>]*+(?:>|\z))"""
 TAG_RE2 = rf"</?[A-Za-z]{TAG_TOKEN_RE2}|</?[A-Za-z][^>]*(?:>|\z)|<[!?][^>]*(?:>|\z)"
 # the attributes before the wanted one, each with its value: a name inside
 # another attribute's value is not an attribute
@@ -133,10 +136,9 @@ def _reference() -> Column:
 def settle_references(x) -> Column:
     """Every character reference replaced by its character, as ``html.unescape`` reads it (longest name of the
     standard library's table, code points), except that characters with a meaning in markup stay
-    references in one fixed form; a lone '&' becomes ``&amp;``.  Done once per page."""
-    src = _c(x)
-    y = F.array_join(F.call_function("transform", F.split(src, "&", -1), _reference()), "")
-    return F.when(F.instr(src, "&") > 0, y).otherwise(src)
+    references in one fixed form; a lone '&' becomes ``&amp;``.  Done once per page; ``x`` is named once, as Spark
+    makes it anew at each place that names it."""
+    return F.array_join(F.call_function("transform", F.split(_c(x), "&", -1), _reference()), "")
 
 
 def decode_entities(x) -> Column:

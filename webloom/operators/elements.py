@@ -54,13 +54,16 @@ def parsed(pages: DataFrame, *extra: Column, clean: str = "_clean", names: tuple
 
     ``names`` are the tags wanted (None: all); ``start`` adds a column ``hit`` to every tag, computed
     from its text in the column ``tag``."""
-    tags = F.regexp_extract_all(F.col(clean), F.lit(H.TAG_RE), 0)
-
-    def one(tag, i):
+    def tag_of(tag, i):
         fields = [(i + 1).alias("i"), H.tag_name(tag).alias("name"), tag.startswith("</").alias("ends")]
         return F.struct(*fields, *([start(tag).alias("hit")] if start is not None else []))
 
-    found = F.transform(tags, one)
+    def named(name, i):
+        return F.struct((i + 1).alias("i"), F.lower(F.ltrim(name, F.lit("/"))).alias("name"), name.startswith("/").alias("ends"))
+
+    # names come with the tags; a tag's text is only read where a selector or any name is asked for
+    whole = start is not None or names is None
+    found = F.transform(F.regexp_extract_all(F.col(clean), F.lit(H.TAG_RE), F.lit(0 if whole else 1)), tag_of if whole else named)
     found = F.filter(found, lambda t: t["name"].isin(*names) if names is not None else t["name"] != "")
     return cut_lineage(pages.select(F.monotonically_increasing_id().alias(ROW), "page_id", "url",
                                     H.text_pieces(clean).alias(TEXT), found.alias(TAGS), *extra))
