@@ -39,6 +39,22 @@ def test_reach_random_graph(spark):
         assert max(got.values()) <= k
 
 
+def test_seeds_are_made_once_and_no_level_is_probed(spark, tmp_path, monkeypatch):
+    """Levels and the result read the seeds as written, not their source; null and repeated seeds and edges, and no seeds at all."""
+    seeds, edges, none = (str(tmp_path / x) for x in ("seeds", "edges", "none"))
+    form = "url string, seed_ord int"
+    spark.createDataFrame([("a", 1), ("a", 0), (None, 2), ("alone", 3)], form).write.parquet(seeds)
+    spark.createDataFrame([], form).write.parquet(none)
+    spark.createDataFrame([("a", "b", 1), ("a", "b", 1), ("a", "b", 0), ("b", "a", 0), ("b", None, 0), ("b", "c", None), (None, "x", 0), ("c", "d", 0)],
+                          "src_url string, dst_url string, pos int").write.parquet(edges)
+    monkeypatch.setattr(type(spark.range(0)), "isEmpty", None)
+    r = D.reach(spark.read.parquet(seeds), spark.read.parquet(edges), 2)
+    assert not any(seeds in f or edges in f for f in r.inputFiles())
+    assert {(x.url, x.depth, x.priority, tuple(x.path)) for x in r.collect()} == {
+        ("a", 0, 0, (0,)), (None, 0, 0, (2,)), ("alone", 0, 0, (3,)), ("b", 1, 1, (0, 0)), ("c", 2, 1, (0, 0, None)), (None, 2, 1, (0, 0, 0))}
+    assert D.reach(spark.read.parquet(none), spark.read.parquet(edges), 3).count() == 0
+
+
 def test_queue_priority_and_dedup(spark):
     offers = spark.createDataFrame([("http://example.com", 0, 1), ("http://example.org", 0, 0),
                                     ("http://example.com", 0, 1)], "url string, depth int, priority int")

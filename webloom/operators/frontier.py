@@ -6,8 +6,9 @@ new frontier to the edge table on the source URL (AQE splits a hub URL with
 a huge out-degree), applies the scope filters to the discovered targets,
 keeps one row per target (min discovery path, partial aggregation), drops
 everything already seen (anti-join) and cuts the lineage with a reliable
-checkpoint in the shared checkpoint folder.  The driver only holds whether
-the new level is empty.  Spark's recursive CTE is not used: it has only
+checkpoint in the shared checkpoint folder.  The seeds are cut like a level, as
+every level reads them.  The driver only holds how many rows the new level has,
+counted as they are written.  Spark's recursive CTE is not used: it has only
 ``UNION ALL``, so cycles would multiply rows instead of stopping.
 
 Discovery order is deterministic: the path of positions from the seed
@@ -19,7 +20,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from ..session import cut_lineage
@@ -49,6 +50,8 @@ def reach(seeds: DataFrame, edges: DataFrame, max_depth: int,
                         F.array(F.col("seed_ord").cast("int")).alias("path"))
     seen = seen.groupBy("url").agg(F.min("depth").alias("depth"), F.min("priority").alias("priority"),
                                    F.min("path").alias("path"))
+    if checkpoint:
+        seen = cut_lineage(seen)  # made once, not by every level's join and anti-join and by the result
     frontier = seen
     last = max_depth + (1 if enqueue_beyond else 0)
     for d in range(1, last + 1):
@@ -62,8 +65,12 @@ def reach(seeds: DataFrame, edges: DataFrame, max_depth: int,
         new = (cand.join(seen.select("url"), "url", "left_anti")
                .select("url", F.lit(d).alias("depth"), F.lit(1).alias("priority"), "path"))
         if checkpoint:
-            new = cut_lineage(new)
-        if new.isEmpty():
+            written = Observation()
+            new = cut_lineage(new.observe(written, F.count(F.lit(1)).alias("n")))
+            empty = written.get["n"] == 0
+        else:
+            empty = new.isEmpty()
+        if empty:
             break
         seen = seen.unionByName(new)
         frontier = new
